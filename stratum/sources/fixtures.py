@@ -1,0 +1,167 @@
+"""Shapes of the reference's inputs, derived by Spark from the driver tables.
+
+Every derivation is a lazy DataFrame over the parquet tables, so its work grows
+with the data. Money is summed as DECIMAL (exact, engine independent) and only
+converted to DOUBLE at the edge, as the reference's schemas declare DOUBLE.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from stratum.sources.tables import Tables
+
+PRICE_SCHEMA = T.StructType([
+    T.StructField("ticker", T.StringType(), False),
+    T.StructField("trade_date", T.DateType()),
+    T.StructField("open_price", T.DoubleType()),
+    T.StructField("high_price", T.DoubleType()),
+    T.StructField("low_price", T.DoubleType()),
+    T.StructField("close_price", T.DoubleType()),
+    T.StructField("volume", T.LongType()),
+    T.StructField("dividends", T.DoubleType()),
+    T.StructField("stock_splits", T.DoubleType()),
+    T.StructField("ingestion_timestamp", T.TimestampNTZType()),
+])
+
+# Columns that, after ingestion_timestamp, give raw price rows a total order.
+INGEST_ORDER = ["ingestion_timestamp", "src_linenumber", "close_price", "src_partkey",
+                "volume", "open_price", "high_price"]
+
+
+def ticker_of(suppkey: Column) -> Column:
+    return F.concat(F.lit("S"), suppkey.cast("string"))
+
+
+def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily prices with duplicates (bronze): one row per lineitem.
+
+    ticker = 'S' || supplier key, trade_date = ship date, close = extended
+    price, volume = quantity. ingestion_timestamp = ship date + order key
+    seconds, so later orders of the same day are the later ingestions.
+    """
+    li = Tables(spark, sf_dir).lineitem
+    price = F.col("l_extendedprice")
+    return li.select(
+        ticker_of(F.col("l_suppkey")).alias("ticker"),
+        F.to_date("l_shipdate").alias("trade_date"),
+        (price * (1 - F.col("l_discount"))).alias("open_price"),
+        (price * (1 + F.col("l_tax"))).alias("high_price"),
+        (price * (1 - F.col("l_discount")) * (1 - F.col("l_tax"))).alias("low_price"),
+        price.alias("close_price"),
+        F.floor("l_quantity").cast("bigint").alias("volume"),
+        F.lit(0.0).alias("dividends"),
+        F.lit(0.0).alias("stock_splits"),
+        (F.to_date("l_shipdate").cast("timestamp_ntz")
+         + F.make_dt_interval(secs=F.col("l_orderkey").cast("decimal(18,6)"))).alias("ingestion_timestamp"),
+        F.col("l_linenumber").alias("src_linenumber"),
+        F.col("l_partkey").alias("src_partkey"),
+    )
+
+
+def _dec(c: str, p: int, s: int) -> Column:
+    return F.col(c).cast(T.DecimalType(p, s))
+
+
+def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact per (supplier, fiscal year) sums the filings are written from."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select(
+        "l_suppkey", F.year("l_shipdate").alias("fiscal_year"),
+        _dec("l_extendedprice", 12, 2).alias("p"),
+        _dec("l_discount", 4, 2).alias("d"), _dec("l_tax", 4, 2).alias("x"))
+    return (li.groupBy("l_suppkey", "fiscal_year").agg(
+        F.sum("p").alias("rev"),
+        F.sum(F.col("p") * (F.col("d") * 5 + F.lit(0.5).cast("decimal(2,1)"))).alias("cost"),
+        F.sum(F.col("p") * F.col("x")).alias("opex")))
+
+
+def _bn(c: Column) -> Column:
+    """DECIMAL amount -> DOUBLE billions (1e6 units in the fixture)."""
+    return c.cast("double") / 1e6
+
+
+def silver_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver extracted metrics: one filing per (supplier, fiscal year).
+
+    Shape of the reference's silver table: file_name, company_key,
+    document_type, industry_sector, extracted_metrics VARIANT ``{response:{..}}``.
+    """
+    t = Tables(spark, sf_dir)
+    facts = filing_facts(spark, sf_dir)
+    sup = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    w = Window.partitionBy("l_suppkey").orderBy("fiscal_year")
+    prev = F.lag(F.col("rev").cast("double")).over(w)
+    rev = F.col("rev").cast("double")
+    base = facts.join(sup, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "l_suppkey", "fiscal_year", "s_name", "s_acctbal", "n_name",
+        _bn(F.col("rev")).alias("total_revenue_billions"),
+        _bn(F.col("cost")).alias("cost_of_revenue_billions"),
+        _bn(F.col("rev") - F.col("cost")).alias("gross_profit_billions"),
+        _bn(F.col("rev") - F.col("cost") - F.col("opex")).alias("operating_income_billions"),
+        _bn((F.col("rev") - F.col("cost") - F.col("opex")) * F.lit(0.79).cast("decimal(3,2)"))
+        .alias("net_income_billions"),
+        _bn(F.col("rev") * F.lit(1.5).cast("decimal(2,1)")).alias("total_assets_billions"),
+        _bn(F.col("rev") * F.lit(0.6).cast("decimal(2,1)")).alias("total_liabilities_billions"),
+        _bn(F.col("rev") * F.lit(0.9).cast("decimal(2,1)")).alias("total_equity_billions"),
+        (F.abs(F.col("s_acctbal").cast("decimal(12,2)")) / 1000).cast("double")
+        .alias("cash_and_equivalents_billions"),
+        F.round((rev - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2).alias("revenue_growth_yoy_pct"),
+    )
+    segs = _segments(t)
+    geo = _geography(t)
+    filings = (base.join(segs, ["l_suppkey", "fiscal_year"], "left")
+               .join(geo, ["l_suppkey", "fiscal_year"], "left"))
+    key = ticker_of(F.col("l_suppkey"))
+    response = F.struct(
+        F.col("s_name").alias("company_name"),
+        key.alias("ticker_symbol"),
+        F.when(F.col("s_acctbal") >= 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
+        F.col("fiscal_year").cast("int").alias("fiscal_year"),
+        F.concat(F.col("fiscal_year").cast("string"), F.lit("-12-31")).alias("fiscal_year_end_date"),
+        "total_revenue_billions", "cost_of_revenue_billions", "gross_profit_billions",
+        "operating_income_billions", "net_income_billions", "total_assets_billions",
+        "total_liabilities_billions", "total_equity_billions",
+        "cash_and_equivalents_billions",
+        (F.col("net_income_billions") * 1000 / 250).alias("eps_diluted"),
+        "revenue_growth_yoy_pct", "business_segments", "geographic_revenue")
+    file_name = F.concat(key, F.lit("_"), F.col("fiscal_year").cast("string"), F.lit("_10k.pdf"))
+    return filings.select(
+        file_name.alias("file_name"),
+        F.regexp_extract(file_name, r"^([^_\.]+)", 1).alias("company_key"),
+        F.lit("10-K Annual Report").alias("document_type"),
+        F.col("n_name").alias("industry_sector"),
+        F.parse_json(F.to_json(F.struct(response.alias("response")))).alias("extracted_metrics"),
+    )
+
+
+def _segments(t: Tables) -> DataFrame:
+    """Business segments per filing: revenue by part type (bounded: #types)."""
+    li = t.lineitem.select("l_suppkey", "l_partkey", F.year("l_shipdate").alias("fiscal_year"),
+                           _dec("l_extendedprice", 12, 2).alias("p"))
+    by_type = (li.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+               .groupBy("l_suppkey", "fiscal_year", "p_type").agg(F.sum("p").alias("r")))
+    return by_type.groupBy("l_suppkey", "fiscal_year").agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.col("p_type").alias("segment_name"),
+            _bn(F.col("r")).alias("segment_revenue_billions")))).alias("business_segments"))
+
+
+def _geography(t: Tables) -> DataFrame:
+    """Geographic revenue per filing: revenue by the buying customer's region."""
+    li = t.lineitem.select("l_suppkey", "l_orderkey", F.year("l_shipdate").alias("fiscal_year"),
+                           _dec("l_extendedprice", 12, 2).alias("p"))
+    cust_region = (t.customer.select("c_custkey", "c_nationkey")
+                   .join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+                   .join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+                   .select("c_custkey", "r_name"))
+    by_region = (li.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+                 .join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
+                 .groupBy("l_suppkey", "fiscal_year", "r_name").agg(F.sum("p").alias("r")))
+    return by_region.groupBy("l_suppkey", "fiscal_year").agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.col("r_name").alias("region"),
+            _bn(F.col("r")).alias("region_revenue_billions")))).alias("geographic_revenue"))

@@ -1,0 +1,176 @@
+"""DuckDB SQL twins of the registered queries (the correctness oracle).
+
+Each twin is written independently from the Spark code, over the same
+pre-registered views. Building blocks are CTEs composed with ``W``.
+"""
+
+from __future__ import annotations
+
+AS_OF = "DATE '2001-12-31'"
+
+
+def W(*ctes: str, body: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+# --- prices ---------------------------------------------------------------------------------
+
+RAW_PRICES = """raw_prices AS (
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker,
+         CAST(l_shipdate AS DATE) AS trade_date,
+         l_extendedprice * (1 - l_discount) AS open_price,
+         l_extendedprice * (1 + l_tax) AS high_price,
+         l_extendedprice * (1 - l_discount) * (1 - l_tax) AS low_price,
+         l_extendedprice AS close_price,
+         CAST(floor(l_quantity) AS BIGINT) AS volume,
+         CAST(0 AS DOUBLE) AS dividends, CAST(0 AS DOUBLE) AS stock_splits,
+         CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + to_seconds(l_orderkey) AS ingestion_timestamp,
+         l_linenumber AS src_linenumber, l_partkey AS src_partkey
+  FROM lineitem)"""
+
+DEDUP = """dedup AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker, trade_date
+      ORDER BY ingestion_timestamp DESC, src_linenumber DESC, close_price DESC, src_partkey DESC,
+               volume DESC, open_price DESC, high_price DESC) AS rn
+    FROM raw_prices) WHERE rn = 1)"""
+
+RETURNS = """rets AS (
+  SELECT *, ROUND((close_price - LAG(close_price) OVER w) / NULLIF(LAG(close_price) OVER w, 0) * 100, 4)
+            AS daily_return_pct
+  FROM dedup WINDOW w AS (PARTITION BY ticker ORDER BY trade_date))"""
+
+
+def _sma(n: int) -> str:
+    # exact half-up rounding of the mean in cents (prices have two decimals)
+    w = f"(PARTITION BY ticker ORDER BY trade_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    cents = "CAST(ROUND(close_price * 100) AS BIGINT)"
+    return (f"CAST((2 * SUM({cents}) OVER {w} + COUNT(*) OVER {w}) // (2 * COUNT(*) OVER {w}) AS DOUBLE) / 100"
+            f" AS sma_{n}")
+
+
+DAILY = f"""daily AS (
+  SELECT ticker, trade_date, open_price, high_price, low_price, close_price, close_price AS adj_close_price,
+         volume, dividends, stock_splits, ingestion_timestamp, daily_return_pct,
+         {_sma(20)}, {_sma(50)}, {_sma(200)},
+         ROUND(STDDEV_SAMP(daily_return_pct) OVER (PARTITION BY ticker ORDER BY trade_date
+               ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 4) AS volatility_20d
+  FROM rets)"""
+
+PRICES = (RAW_PRICES, DEDUP, RETURNS, DAILY)
+
+# --- filings, registry, marts -----------------------------------------------------------------
+
+FACTS = """facts AS (
+  SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS fiscal_year,
+         SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS rev,
+         SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * (CAST(l_discount AS DECIMAL(4,2)) * 5 + CAST(0.5 AS DECIMAL(2,1)))) AS cost,
+         SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))) AS opex
+  FROM lineitem GROUP BY ALL)"""
+
+FILINGS = """filings AS (
+  SELECT 'S' || CAST(f.l_suppkey AS VARCHAR) AS ticker, f.fiscal_year, s.s_name AS company,
+         CASE WHEN s.s_acctbal >= 0 THEN 'NYSE' ELSE 'NASDAQ' END AS exchange,
+         CAST(f.fiscal_year AS VARCHAR) || '-12-31' AS fiscal_year_end_date,
+         CAST(rev AS DOUBLE) / 1e6 AS total_revenue_billions,
+         CAST(cost AS DOUBLE) / 1e6 AS cost_of_revenue_billions,
+         CAST(rev - cost AS DOUBLE) / 1e6 AS gross_profit_billions,
+         CAST(rev - cost - opex AS DOUBLE) / 1e6 AS operating_income_billions,
+         CAST((rev - cost - opex) * CAST(0.79 AS DECIMAL(3,2)) AS DOUBLE) / 1e6 AS net_income_billions,
+         CAST(rev * CAST(1.5 AS DECIMAL(2,1)) AS DOUBLE) / 1e6 AS total_assets_billions,
+         CAST(rev * CAST(0.6 AS DECIMAL(2,1)) AS DOUBLE) / 1e6 AS total_liabilities_billions,
+         CAST(rev * CAST(0.9 AS DECIMAL(2,1)) AS DOUBLE) / 1e6 AS total_equity_billions,
+         CAST(abs(CAST(s.s_acctbal AS DECIMAL(12,2))) / 1000 AS DOUBLE) AS cash_and_equivalents_billions,
+         CAST((rev - cost - opex) * CAST(0.79 AS DECIMAL(3,2)) AS DOUBLE) / 1e6 * 1000 / 250 AS eps_diluted,
+         ROUND((CAST(rev AS DOUBLE) - LAG(CAST(rev AS DOUBLE)) OVER w)
+               / NULLIF(LAG(CAST(rev AS DOUBLE)) OVER w, 0) * 100, 2) AS revenue_growth_yoy_pct,
+         '10-K Annual Report' AS document_type, n.n_name AS industry_sector,
+         'S' || CAST(f.l_suppkey AS VARCHAR) || '_' || CAST(f.fiscal_year AS VARCHAR) || '_10k.pdf' AS file_name,
+         f.l_suppkey
+  FROM facts f JOIN supplier s ON f.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
+  WINDOW w AS (PARTITION BY f.l_suppkey ORDER BY f.fiscal_year))"""
+
+REGISTRY = """registry AS (
+  SELECT company AS company_name, ticker, exchange, file_name AS source_file, document_type, industry_sector
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY file_name DESC) AS rn FROM filings)
+  WHERE rn = 1)"""
+
+FIN = """fin AS (
+  SELECT company, ticker, fiscal_year, fiscal_year_end_date, total_revenue_billions, cost_of_revenue_billions,
+         gross_profit_billions, operating_income_billions, net_income_billions, total_assets_billions,
+         total_liabilities_billions, total_equity_billions, cash_and_equivalents_billions, eps_diluted,
+         ROUND(gross_profit_billions / NULLIF(total_revenue_billions, 0) * 100, 2) AS gross_margin_pct,
+         ROUND(operating_income_billions / NULLIF(total_revenue_billions, 0) * 100, 2) AS operating_margin_pct,
+         ROUND(net_income_billions / NULLIF(total_revenue_billions, 0) * 100, 2) AS net_margin_pct,
+         revenue_growth_yoy_pct, document_type, industry_sector
+  FROM filings)"""
+
+FINANCIALS = (FACTS, FILINGS, REGISTRY, FIN)
+
+SEGMENTS = """segs AS (
+  SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS fiscal_year, p_type AS segment_name,
+         CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) / 1e6 AS segment_revenue_billions
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)"""
+
+GEOS = """geos AS (
+  SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS fiscal_year, r_name AS region,
+         CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) / 1e6 AS region_revenue_billions
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  GROUP BY ALL)"""
+
+SEG_MART = """seg_mart AS (
+  SELECT f.company, f.ticker, f.fiscal_year, g.segment_name, g.segment_revenue_billions,
+         ROUND(g.segment_revenue_billions / NULLIF(f.total_revenue_billions, 0) * 100, 2) AS segment_pct_of_total,
+         ROW_NUMBER() OVER (PARTITION BY f.ticker ORDER BY g.segment_revenue_billions DESC, g.segment_name)
+           AS segment_rank,
+         CAST(NULL AS DOUBLE) AS segment_growth_yoy_pct
+  FROM filings f JOIN segs g ON f.l_suppkey = g.l_suppkey AND f.fiscal_year = g.fiscal_year)"""
+
+GEO_MART = """geo_mart AS (
+  SELECT f.company, f.ticker, f.fiscal_year, g.region, g.region_revenue_billions,
+         ROUND(g.region_revenue_billions / NULLIF(f.total_revenue_billions, 0) * 100, 2) AS region_pct_of_total,
+         CAST(NULL AS DOUBLE) AS region_growth_yoy_pct
+  FROM filings f JOIN geos g ON f.l_suppkey = g.l_suppkey AND f.fiscal_year = g.fiscal_year)"""
+
+STOCK = f"""latest AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rn
+                              FROM daily) WHERE rn = 1),
+rng AS (
+  SELECT ticker, MIN(close_price) AS fifty_two_week_low, MAX(close_price) AS fifty_two_week_high
+  FROM daily WHERE trade_date >= {AS_OF} - 365 GROUP BY ticker),
+per AS (
+  SELECT ticker,
+         arg_min(close_price, trade_date) FILTER (WHERE trade_date >= date_trunc('year', {AS_OF})) AS year_start_price,
+         arg_min(close_price, trade_date) AS one_year_ago_price
+  FROM daily WHERE trade_date >= {AS_OF} - 365 GROUP BY ticker),
+vol AS (
+  SELECT ticker, ROUND(AVG(volume), 0) AS avg_volume_10d FROM (
+    SELECT ticker, volume, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rn FROM daily)
+  WHERE rn <= 10 GROUP BY ticker),
+stock AS (
+  SELECT l.ticker, COALESCE(r.company_name, l.ticker) AS company, l.close_price AS current_price,
+         l.trade_date AS price_date,
+         CAST(NULL AS DOUBLE) AS market_cap_billions, CAST(NULL AS DOUBLE) AS pe_ratio,
+         CAST(NULL AS DOUBLE) AS forward_pe, CAST(NULL AS DOUBLE) AS peg_ratio,
+         CAST(NULL AS DOUBLE) AS price_to_sales, CAST(NULL AS DOUBLE) AS price_to_book,
+         CAST(NULL AS DOUBLE) AS enterprise_value_billions, CAST(NULL AS DOUBLE) AS ev_to_revenue,
+         CAST(NULL AS DOUBLE) AS ev_to_ebitda, CAST(NULL AS DOUBLE) AS dividend_yield_pct,
+         CAST(NULL AS DOUBLE) AS beta,
+         g.fifty_two_week_high, g.fifty_two_week_low,
+         ROUND((l.close_price - p.year_start_price) / NULLIF(p.year_start_price, 0) * 100, 2) AS ytd_return_pct,
+         ROUND((l.close_price - p.one_year_ago_price) / NULLIF(p.one_year_ago_price, 0) * 100, 2)
+           AS one_year_return_pct,
+         v.avg_volume_10d,
+         l.close_price > l.sma_50 AS above_sma_50, l.close_price > l.sma_200 AS above_sma_200,
+         CASE WHEN l.close_price > l.sma_50 AND l.close_price > l.sma_200 THEN 'Bullish'
+              WHEN l.close_price < l.sma_50 AND l.close_price < l.sma_200 THEN 'Bearish'
+              ELSE 'Neutral' END AS trend_signal
+  FROM latest l LEFT JOIN rng g ON l.ticker = g.ticker LEFT JOIN per p ON l.ticker = p.ticker
+       LEFT JOIN vol v ON l.ticker = v.ticker LEFT JOIN registry r ON l.ticker = r.ticker)"""
+
+
+def sql() -> dict[str, str]:
+    """All twins by query name."""
+    from twins import catalogue
+    return catalogue.build()
