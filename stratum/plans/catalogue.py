@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from stratum.operators import timeseries as ts
 from stratum.plans import marts as M
 from stratum.sources import fixtures as fx
+from stratum.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -98,3 +99,171 @@ def q_top_n_per_key(spark, d):
 def q_stock_summary(spark, d):
     silver = fx.silver_filings(spark, d)
     return M.stock_summary(_daily(spark, d), M.company_registry(silver), M.DEFAULT_AS_OF)
+
+
+# --- trips: scalars B5-B15, B24, B25, aggregates D3-D9, D14-D15, D20, F1-F3, H1-H5, H12 ----------
+
+from stratum.functions import scalars as S  # noqa: E402
+from stratum.operators import aggregate as A  # noqa: E402
+from stratum.operators import models as Mo  # noqa: E402
+from stratum.plans import trips as TR  # noqa: E402
+
+
+def _trips(spark, d):
+    return fx.trips(spark, d)
+
+
+for _name, _fn in {
+    "trip_totals": TR.trip_totals, "fares_for_all_trips": TR.fares_for_all,
+    "tip_class_for_all_trips": TR.tip_class_for_all, "fares_by_period": TR.fares_by_period,
+    "tips_by_day_type": TR.tips_by_day_type, "rush_hour_impact": TR.rush_hour_impact,
+    "accuracy_metrics": TR.accuracy_metrics, "largest_errors": TR.largest_errors,
+    "per_mile_by_passengers": TR.per_mile_by_passengers, "daily_summary": TR.daily_summary,
+    "tip_distribution": TR.tip_distribution, "hourly_trend": TR.hourly_trend,
+    "real_trips_scored": TR.real_trips_scored, "filter_then_score": TR.filter_then_score,
+    "error_by_rush": TR.error_by_rush, "tip_distribution_averages": TR.tip_distribution_averages,
+    "typical_class": TR.typical_class, "high_predicted_fares": TR.high_predicted_fares,
+    "tip_analysis": TR.tip_analysis, "top_trips_by_fare": TR.top_trips_by_fare,
+}.items():
+    REGISTRY[_name] = (lambda f: lambda spark, d: f(_trips(spark, d)))(_fn)
+
+
+@query("time_period")
+def q_time_period(spark, d):
+    t = _trips(spark, d)
+    return t.select("trip_id", "hour_of_day", S.time_period("hour_of_day").alias("time_period"),
+                    S.time_period("hour_of_day", long=True).alias("time_period_long"))
+
+
+@query("day_name")
+def q_day_name(spark, d):
+    t = _trips(spark, d)
+    return t.select("trip_id", "day_of_week", S.day_name("day_of_week").alias("day_name"),
+                    S.flag_label("is_weekend", "Weekend", "Weekday").alias("day_type"))
+
+
+@query("is_rush_hour")
+def q_is_rush_hour(spark, d):
+    t = _trips(spark, d)
+    return t.select("trip_id", S.is_rush_hour("hour_of_day").alias("is_rush_hour"),
+                    S.is_weekend("day_of_week").alias("is_weekend"))
+
+
+@query("valid_trips")
+def q_valid_trips(spark, d):
+    return S.valid_trips(_trips(spark, d)).select("trip_id", "trip_distance", "fare_amount", "passenger_count")
+
+
+@query("resolve_columns")
+def q_resolve_columns(spark, d):
+    """Raw events with drifting names -> canonical trip columns."""
+    ev = Tables(spark, d).events
+    out = S.resolve_columns(ev, {"trip_id": ["event_id", "id"], "trip_distance": ["value", "distance"],
+                                 "pickup_ts": ["ts", "tpep_pickup_datetime"], "vendor": ["vendor_id"]},
+                            {"vendor": "unknown"})
+    return out.select("trip_id", "trip_distance", "pickup_ts", "vendor")
+
+
+@query("fill_defaults")
+def q_fill_defaults(spark, d):
+    """Numeric coercion of the props text (bad -> NULL), NULLs -> median; a
+    missing column is added with its constant default."""
+    ev = Tables(spark, d).events.select(
+        "event_id", F.get_json_object("props", "$.k").alias("k_text"),
+        F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("value")).alias("value"))
+    out = S.fill_defaults(ev.withColumnRenamed("k_text", "k"), {"value": "median", "rating": 3.0}, numeric=["k"])
+    return out.select("event_id", "k", "value", "rating")
+
+
+@query("clip")
+def q_clip(spark, d):
+    t = _trips(spark, d)
+    return t.select("trip_id", S.clip("trip_distance", 0.5, 100.0).alias("distance_clipped"),
+                    S.clip("tip_amount", lo=0.0).alias("tip_floor"))
+
+
+@query("tip_category")
+def q_tip_category(spark, d):
+    return Mo.tip_category(_trips(spark, d)).select("trip_id", "tip_amount", "tip_category")
+
+
+@query("date_parts")
+def q_date_parts(spark, d):
+    t = Tables(spark, d).events
+    return t.select("event_id", S.hour_of("ts").alias("hour"), S.weekday_of("ts").alias("dow"),
+                    F.to_date("ts").alias("day"),
+                    F.date_sub(F.to_date("ts"), 365).alias("year_before"),
+                    F.date_add(F.to_date("ts"), 1).alias("next_day"),
+                    S.ms_to_timestamp(F.col("event_id") * 1000 + 1704067200000).cast("timestamp_ntz")
+                    .alias("from_ms"))
+
+
+@query("abs_error")
+def q_abs_error(spark, d):
+    s = TR.scored(_trips(spark, d))
+    return s.select("trip_id", S.abs_error("actual_fare", "predicted_fare").alias("absolute_error"),
+                    S.pct_error("actual_fare", "predicted_fare").alias("error_pct"),
+                    F.round(F.sqrt(F.pow(F.col("actual_fare") - F.col("predicted_fare"), 2)), 2).alias("rms_part"))
+
+
+@query("predict_taxi_fare")
+def q_predict_taxi_fare(spark, d):
+    t = _trips(spark, d)
+    return t.select("trip_id", F.round(Mo.fare_rule("trip_distance", rush="is_rush_hour"), 2).alias("predicted_fare"))
+
+
+@query("predict_tip_category")
+def q_predict_tip_category(spark, d):
+    return TR.scored(_trips(spark, d)).select("trip_id", "predicted_tip_category")
+
+
+@query("predict_taxi_json")
+def q_predict_taxi_json(spark, d):
+    s = TR.scored(_trips(spark, d))
+    return s.select("trip_id", Mo.prediction_json(s).alias("prediction_json"))
+
+
+@query("predict_fare_batch")
+def q_predict_fare_batch(spark, d):
+    """One array call per batch of 100 consecutive trip ids (bounded arrays)."""
+    t = _trips(spark, d)
+    g = t.groupBy("passenger_count", F.floor(F.col("trip_id") / 100).alias("batch")).agg(
+        F.sort_array(F.collect_list(F.struct("trip_id", "trip_distance", "hour_of_day"))).alias("xs"))
+    return g.select("passenger_count", "batch", Mo.fare_batch(
+        F.transform("xs", lambda x: x["trip_distance"]), F.array(),
+        F.transform("xs", lambda x: x["hour_of_day"])).alias("fares"))
+
+
+@query("as_json")
+def q_as_json(spark, d):
+    t = _trips(spark, d)
+    return t.select("trip_id", S.as_json("trip_distance", "passenger_count",
+                                         F.struct("hour_of_day", "day_of_week").alias("when")).alias("js"))
+
+
+@query("with_row_id")
+def q_with_row_id(spark, d):
+    t = _trips(spark, d).select("trip_id", "fare_amount")
+    return ts.with_row_id(t, [F.col("fare_amount").desc(), F.col("trip_id")])
+
+
+@query("quantiles")
+def q_quantiles(spark, d):
+    return A.quantiles(_trips(spark, d), "fare_amount", (0.25, 0.33, 0.67, 0.75))
+
+
+@query("value_counts")
+def q_value_counts(spark, d):
+    return A.value_counts(_trips(spark, d), "passenger_count")
+
+
+@query("profile")
+def q_profile(spark, d):
+    return A.profile(_trips(spark, d), ["trip_distance", "passenger_count"]).select(
+        "column", "count", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"), "min", "max")
+
+
+@query("error_metrics")
+def q_error_metrics(spark, d):
+    s = TR.scored(_trips(spark, d))
+    return A.error_metrics(s, "actual_fare", "predicted_fare", by=["is_rush_hour"], scale=4)

@@ -165,3 +165,26 @@ def _geography(t: Tables) -> DataFrame:
         F.sort_array(F.collect_list(F.struct(
             F.col("r_name").alias("region"),
             _bn(F.col("r")).alias("region_revenue_billions")))).alias("geographic_revenue"))
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Taxi trips from events (one trip per event).
+
+    distance = value, passengers = 1 + user_id % 6, hour / weekday (0 =
+    Monday) of ts; fare = 2.5 + 3.5 * distance + 2 * rush + noise, clipped to
+    [2.5, 200], where noise = ((event_id * 7) % 11 - 5) * 0.25; tip =
+    fare * (event_id % 30) / 100.
+    """
+    ev = Tables(spark, sf_dir).events
+    hour = F.hour("ts")
+    rush = (hour.between(7, 9) | hour.between(17, 19)).cast("int")
+    noise = ((F.col("event_id") * 7) % 11 - 5) * 0.25
+    fare = F.greatest(F.lit(2.5), F.least(F.lit(200.0), 2.5 + 3.5 * F.col("value") + 2 * rush + noise))
+    return ev.select(
+        F.col("event_id").alias("trip_id"), F.col("ts").alias("pickup_ts"),
+        F.col("value").alias("trip_distance"),
+        (1 + F.col("user_id") % 6).cast("int").alias("passenger_count"),
+        hour.alias("hour_of_day"), F.weekday("ts").alias("day_of_week"),
+        rush.alias("is_rush_hour"), F.weekday("ts").isin(5, 6).cast("int").alias("is_weekend"),
+        fare.alias("fare_amount"), fare.alias("actual_fare"),
+        (fare * (F.col("event_id") % 30) / 100).alias("tip_amount"))

@@ -174,3 +174,77 @@ def sql() -> dict[str, str]:
     """All twins by query name."""
     from twins import catalogue
     return catalogue.build()
+
+# --- trips ------------------------------------------------------------------------------------
+
+TRIPS = """trips AS (
+  SELECT event_id AS trip_id, ts AS pickup_ts, value AS trip_distance,
+         CAST(1 + user_id % 6 AS INTEGER) AS passenger_count,
+         CAST(hour(ts) AS INTEGER) AS hour_of_day, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
+         CASE WHEN hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19 THEN 1 ELSE 0 END AS is_rush_hour,
+         CASE WHEN isodow(ts) - 1 IN (5, 6) THEN 1 ELSE 0 END AS is_weekend,
+         greatest(CAST(2.5 AS DOUBLE), least(CAST(200.0 AS DOUBLE),
+           CAST(2.5 AS DOUBLE) + CAST(3.5 AS DOUBLE) * value
+           + CAST(2 * (CASE WHEN hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19 THEN 1 ELSE 0 END) AS DOUBLE)
+           + CAST(((event_id * 7) % 11 - 5) AS DOUBLE) * CAST(0.25 AS DOUBLE))) AS fare_amount,
+         event_id
+  FROM events),
+trips2 AS (
+  SELECT * EXCLUDE (event_id), fare_amount AS actual_fare,
+         fare_amount * CAST(event_id % 30 AS DOUBLE) / 100 AS tip_amount
+  FROM trips)"""
+
+TIP_TH = """th AS (
+  SELECT CASE WHEN abs(q67 - q33) < 0.01 THEN 5.0 ELSE q33 END AS q33,
+         CASE WHEN abs(q67 - q33) < 0.01 THEN 15.0 ELSE q67 END AS q67
+  FROM (SELECT quantile_cont(tip_amount, 0.33) AS q33, quantile_cont(tip_amount, 0.67) AS q67 FROM trips2))"""
+
+SCORED = """scored AS (
+  SELECT t.*, greatest(CAST(0.0 AS DOUBLE), CAST(2.5 AS DOUBLE) + CAST(3.5 AS DOUBLE) * trip_distance
+                        + CAST(2 * COALESCE(is_rush_hour, 0) AS DOUBLE)) AS predicted_fare,
+         CASE WHEN actual_fare * 0.15 <= th.q33 THEN 'Low Tip'
+              WHEN actual_fare * 0.15 <= th.q67 THEN 'Medium Tip' ELSE 'High Tip' END AS predicted_tip_category
+  FROM trips2 t CROSS JOIN th)"""
+
+TRIP_CTES = (TRIPS, TIP_TH, SCORED)
+
+
+def mean(x: str, scale: int = 2) -> str:
+    return f"CAST(ROUND(AVG(CAST({x} AS DECIMAL(18,4))), {scale}) AS DOUBLE)"
+
+
+def day_name(x: str) -> str:
+    names = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+    return "CASE " + " ".join(f"WHEN {x} = {i} THEN '{n}'" for i, n in enumerate(names)) + " END"
+
+
+def decimal_round(sql: str) -> str:
+    """Rewrite every ``ROUND(x, n)`` as a half-up rounding of x's shortest
+    decimal form (Spark's rule for doubles): ``ROUND(CAST(x AS DECIMAL(38,9)), n)``."""
+    out, i = [], 0
+    while True:
+        j = sql.find("ROUND(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 6, None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        inner = decimal_round(sql[j + 6:comma]) if comma else decimal_round(sql[j + 6:k])
+        scale = sql[comma + 1:k].strip() if comma else "0"
+        out.append(sql[i:j])
+        out.append(f"CAST(ROUND(CAST(CAST({inner} AS VARCHAR) AS DECIMAL(38,17)), {scale}) AS DOUBLE)")
+        i = k + 1

@@ -41,4 +41,193 @@ twin("stock_summary", W(*PRICES, *FINANCIALS, STOCK, body="SELECT * FROM stock")
 
 
 def build() -> dict[str, str]:
-    return dict(TWINS)
+    from twins import decimal_round
+    return {k: decimal_round(v) for k, v in TWINS.items()}
+
+
+# --- trips ----------------------------------------------------------------------------------------
+from twins import TRIP_CTES, day_name, decimal_round, mean  # noqa: E402
+
+T = TRIP_CTES
+
+
+def tw(name, body):
+    twin(name, W(*T, body=body))
+
+
+tw("trip_totals", f"SELECT COUNT(*) AS total_trips, {mean('trip_distance')} AS avg_distance, "
+                  f"{mean('actual_fare')} AS avg_fare FROM trips2")
+tw("fares_for_all_trips", f"""
+SELECT trip_id, trip_distance, passenger_count,
+  CASE WHEN hour_of_day < 6 THEN 'Night' WHEN hour_of_day < 12 THEN 'Morning'
+       WHEN hour_of_day < 18 THEN 'Afternoon' ELSE 'Evening' END AS time_period,
+  {day_name('day_of_week')} AS day_name, actual_fare, ROUND(predicted_fare, 2) AS predicted_fare,
+  ROUND(actual_fare - predicted_fare, 2) AS prediction_error
+FROM scored""")
+tw("tip_class_for_all_trips", """
+SELECT trip_id, actual_fare, trip_distance, passenger_count,
+  CASE is_rush_hour WHEN 1 THEN 'Rush Hour' ELSE 'Non-Rush' END AS rush_status,
+  CASE is_weekend WHEN 1 THEN 'Weekend' ELSE 'Weekday' END AS day_type, predicted_tip_category
+FROM scored""")
+tw("fares_by_period", f"""
+SELECT CASE WHEN hour_of_day < 6 THEN 'Night (12AM-6AM)' WHEN hour_of_day < 12 THEN 'Morning (6AM-12PM)'
+            WHEN hour_of_day < 18 THEN 'Afternoon (12PM-6PM)' ELSE 'Evening (6PM-12AM)' END AS time_period,
+  COUNT(*) AS trip_count, {mean('trip_distance')} AS avg_distance_miles, {mean('actual_fare')} AS avg_actual_fare,
+  {mean('predicted_fare')} AS avg_predicted_fare
+FROM scored GROUP BY 1""")
+tw("tips_by_day_type", f"""
+SELECT CASE is_weekend WHEN 1 THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+       predicted_tip_category AS tip_category, COUNT(*) AS trip_count, {mean('actual_fare')} AS avg_fare
+FROM scored GROUP BY 1, 2""")
+tw("rush_hour_impact", f"""
+SELECT CASE is_rush_hour WHEN 1 THEN 'Rush Hour' ELSE 'Non-Rush Hour' END AS rush_status, COUNT(*) AS trip_count,
+  {mean('trip_distance')} AS avg_distance, {mean('actual_fare')} AS avg_actual_fare,
+  {mean('predicted_fare')} AS avg_predicted_fare, {mean('predicted_fare - actual_fare')} AS avg_prediction_error
+FROM scored GROUP BY 1""")
+tw("accuracy_metrics", f"""
+SELECT COUNT(*) AS total_trips, {mean('abs(actual_fare - predicted_fare)')} AS mean_absolute_error,
+  ROUND(SQRT(AVG(POW(CAST(actual_fare - predicted_fare AS DECIMAL(18,4)), 2))), 2) AS root_mean_squared_error,
+  ROUND(MIN(predicted_fare), 2) AS min_predicted_fare, ROUND(MAX(predicted_fare), 2) AS max_predicted_fare
+FROM scored""")
+tw("largest_errors", """
+SELECT trip_id, trip_distance, passenger_count, actual_fare, ROUND(predicted_fare, 2) AS predicted_fare,
+  ROUND(abs(actual_fare - predicted_fare), 2) AS absolute_error,
+  ROUND((actual_fare - predicted_fare) / NULLIF(actual_fare, 0) * 100, 2) AS error_percentage
+FROM scored ORDER BY absolute_error DESC, trip_id LIMIT 5""")
+tw("per_mile_by_passengers", f"""
+SELECT passenger_count, COUNT(*) AS trip_count, {mean('trip_distance')} AS avg_distance,
+  {mean('actual_fare')} AS avg_actual_fare, {mean('predicted_fare')} AS avg_predicted_fare,
+  CAST(ROUND(SUM(CAST(actual_fare AS DECIMAL(18,4))) / NULLIF(SUM(CAST(trip_distance AS DECIMAL(18,4))), 0), 2) AS DOUBLE)
+    AS actual_fare_per_mile,
+  CAST(ROUND(SUM(CAST(predicted_fare AS DECIMAL(18,4))) / NULLIF(SUM(CAST(trip_distance AS DECIMAL(18,4))), 0), 2) AS DOUBLE)
+    AS predicted_fare_per_mile
+FROM scored GROUP BY passenger_count""")
+tw("daily_summary", f"""
+SELECT day_of_week, COUNT(*) AS trips, {mean('trip_distance', 1)} AS avg_miles, {mean('actual_fare')} AS avg_actual,
+  {mean('predicted_fare')} AS avg_predicted, {day_name('day_of_week')} AS day_name
+FROM scored GROUP BY day_of_week""")
+tw("tip_distribution", """
+SELECT predicted_tip_category AS tip_category, COUNT(*) AS trip_count,
+  ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM scored), 1) AS percentage
+FROM scored GROUP BY 1""")
+tw("hourly_trend", f"""
+SELECT hour_of_day, COUNT(*) AS trips, {mean('predicted_fare')} AS avg_predicted_fare,
+  CASE WHEN hour_of_day BETWEEN 7 AND 9 THEN 'Morning Rush' WHEN hour_of_day BETWEEN 17 AND 19 THEN 'Evening Rush'
+       ELSE 'Normal' END AS period_type
+FROM scored GROUP BY hour_of_day""")
+tw("real_trips_scored", """
+SELECT trip_id, pickup_ts, trip_distance, COALESCE(passenger_count, 1) AS passenger_count, fare_amount AS actual_fare,
+  ROUND(greatest(CAST(0.0 AS DOUBLE), CAST(2.5 AS DOUBLE) + CAST(3.5 AS DOUBLE) * trip_distance
+        + CAST(2 * is_rush_hour AS DOUBLE)), 2) AS predicted_fare,
+  CASE WHEN fare_amount * 0.15 <= th.q33 THEN 'Low Tip' WHEN fare_amount * 0.15 <= th.q67 THEN 'Medium Tip'
+       ELSE 'High Tip' END AS predicted_tip_category
+FROM trips2 CROSS JOIN th WHERE trip_distance > 0 AND fare_amount > 0 AND pickup_ts IS NOT NULL""")
+tw("filter_then_score", """
+SELECT trip_id, trip_distance, greatest(CAST(0.0 AS DOUBLE), CAST(2.5 AS DOUBLE) + CAST(3.5 AS DOUBLE) * trip_distance
+        + CAST(2 * is_rush_hour AS DOUBLE)) AS predicted_fare
+FROM trips2 WHERE trip_distance > 0 AND trip_distance < 100 AND fare_amount > 0 AND fare_amount < 500
+  AND passenger_count > 0 AND passenger_count <= 6 AND trip_distance > 5.0 AND is_rush_hour = 1""")
+tw("error_by_rush", f"""
+SELECT CASE is_rush_hour WHEN 1 THEN 'Rush Hour' ELSE 'Normal' END AS period, COUNT(*) AS trips,
+  {mean('abs(actual_fare - predicted_fare)')} AS avg_error,
+  {mean('(actual_fare - predicted_fare) / NULLIF(actual_fare, 0) * 100')} AS avg_error_pct
+FROM scored GROUP BY 1""")
+tw("tip_distribution_averages", f"""
+SELECT predicted_tip_category AS tip_category, COUNT(*) AS trip_count, {mean('actual_fare')} AS avg_fare,
+  {mean('trip_distance')} AS avg_distance, {mean('tip_amount')} AS avg_tip
+FROM scored GROUP BY 1""")
+tw("typical_class", f"""
+SELECT day_type, rush_status, trips, avg_fare, avg_distance,
+  CASE WHEN avg_fare * 0.15 <= th.q33 THEN 'Low Tip' WHEN avg_fare * 0.15 <= th.q67 THEN 'Medium Tip'
+       ELSE 'High Tip' END AS typical_tip_category
+FROM (SELECT CASE is_weekend WHEN 1 THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+             CASE is_rush_hour WHEN 1 THEN 'Rush Hour' ELSE 'Normal' END AS rush_status,
+             COUNT(*) AS trips, {mean('actual_fare')} AS avg_fare, {mean('trip_distance')} AS avg_distance
+      FROM trips2 GROUP BY 1, 2) g CROSS JOIN th""")
+tw("high_predicted_fares", """
+SELECT trip_id, trip_distance, actual_fare, ROUND(predicted_fare, 2) AS predicted_fare
+FROM scored WHERE predicted_fare > 30.0""")
+tw("tip_analysis", """
+SELECT predicted_tip_category, COUNT(trip_id) AS trip_count, MAX(actual_fare) AS max_fare
+FROM scored GROUP BY 1""")
+tw("top_trips_by_fare", "SELECT trip_id, trip_distance, fare_amount FROM trips2 ORDER BY fare_amount DESC, trip_id LIMIT 10")
+tw("time_period", """
+SELECT trip_id, hour_of_day,
+  CASE WHEN hour_of_day < 6 THEN 'Night' WHEN hour_of_day < 12 THEN 'Morning'
+       WHEN hour_of_day < 18 THEN 'Afternoon' ELSE 'Evening' END AS time_period,
+  CASE WHEN hour_of_day < 6 THEN 'Night (12AM-6AM)' WHEN hour_of_day < 12 THEN 'Morning (6AM-12PM)'
+       WHEN hour_of_day < 18 THEN 'Afternoon (12PM-6PM)' ELSE 'Evening (6PM-12AM)' END AS time_period_long
+FROM trips2""")
+tw("day_name", f"""
+SELECT trip_id, day_of_week, {day_name('day_of_week')} AS day_name,
+  CASE is_weekend WHEN 1 THEN 'Weekend' ELSE 'Weekday' END AS day_type FROM trips2""")
+tw("is_rush_hour", """
+SELECT trip_id, CASE WHEN hour_of_day BETWEEN 7 AND 9 OR hour_of_day BETWEEN 17 AND 19 THEN 1 ELSE 0 END AS is_rush_hour,
+  CASE WHEN day_of_week IN (5, 6) THEN 1 ELSE 0 END AS is_weekend FROM trips2""")
+tw("valid_trips", """
+SELECT trip_id, trip_distance, fare_amount, passenger_count FROM trips2
+WHERE trip_distance > 0 AND trip_distance < 100 AND fare_amount > 0 AND fare_amount < 500
+  AND passenger_count > 0 AND passenger_count <= 6""")
+twin("resolve_columns", "SELECT event_id AS trip_id, value AS trip_distance, ts AS pickup_ts, 'unknown' AS vendor FROM events")
+twin("fill_defaults", """
+WITH e AS (SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+                  CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value FROM events)
+SELECT event_id, k, COALESCE(value, (SELECT median(value) FROM e)) AS value, CAST(3.0 AS DOUBLE) AS rating FROM e""")
+tw("clip", """
+SELECT trip_id, CASE WHEN trip_distance IS NULL THEN NULL ELSE greatest(least(trip_distance, 100.0), 0.5) END
+  AS distance_clipped, CASE WHEN tip_amount IS NULL THEN NULL ELSE greatest(tip_amount, 0.0) END AS tip_floor
+FROM trips2""")
+tw("tip_category", """
+SELECT trip_id, tip_amount, CASE WHEN tip_amount IS NULL OR tip_amount <= th.q33 THEN 0
+  WHEN tip_amount <= th.q67 THEN 1 ELSE 2 END AS tip_category FROM trips2 CROSS JOIN th""")
+twin("date_parts", """
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS dow, CAST(ts AS DATE) AS day,
+  CAST(CAST(ts AS DATE) - 365 AS DATE) AS year_before, CAST(CAST(ts AS DATE) + 1 AS DATE) AS next_day,
+  make_timestamp((event_id * 1000 + 1704067200000) * 1000) AS from_ms
+FROM events""")
+tw("abs_error", """
+SELECT trip_id, ROUND(abs(actual_fare - predicted_fare), 2) AS absolute_error,
+  ROUND(abs(actual_fare - predicted_fare) / NULLIF(actual_fare, 0) * 100, 2) AS error_pct,
+  ROUND(sqrt(pow(actual_fare - predicted_fare, 2)), 2) AS rms_part
+FROM scored""")
+tw("predict_taxi_fare", """
+SELECT trip_id, ROUND(greatest(CAST(0.0 AS DOUBLE), CAST(2.5 AS DOUBLE) + CAST(3.5 AS DOUBLE) * trip_distance
+  + CAST(2 * COALESCE(is_rush_hour, 0) AS DOUBLE)), 2) AS predicted_fare FROM trips2""")
+tw("predict_tip_category", "SELECT trip_id, predicted_tip_category FROM scored")
+tw("predict_taxi_json", """
+SELECT trip_id, to_json({'predicted_fare': ROUND(predicted_fare, 2), 'predicted_tip_category': predicted_tip_category,
+  'model_version': '1.0.0', 'input': {'actual_fare': actual_fare, 'trip_distance': trip_distance,
+  'passenger_count': passenger_count, 'hour_of_day': hour_of_day, 'day_of_week': day_of_week,
+  'is_rush_hour': is_rush_hour, 'is_weekend': is_weekend}})::VARCHAR AS prediction_json FROM scored""")
+tw("predict_fare_batch", """
+SELECT passenger_count, CAST(floor(trip_id / 100) AS BIGINT) AS batch,
+  list(ROUND(greatest(CAST(0.0 AS DOUBLE), CAST(2.5 AS DOUBLE) + CAST(3.5 AS DOUBLE) * trip_distance
+    + CAST(2 * (CASE WHEN hour_of_day BETWEEN 7 AND 9 OR hour_of_day BETWEEN 17 AND 19 THEN 1 ELSE 0 END) AS DOUBLE)), 2)
+    ORDER BY trip_id) AS fares
+FROM trips2 GROUP BY 1, 2""")
+tw("as_json", """
+SELECT trip_id, to_json({'trip_distance': trip_distance, 'passenger_count': passenger_count,
+  'when': {'hour_of_day': hour_of_day, 'day_of_week': day_of_week}})::VARCHAR AS js FROM trips2""")
+tw("with_row_id", "SELECT trip_id, fare_amount, ROW_NUMBER() OVER (ORDER BY fare_amount DESC, trip_id) AS row_id FROM trips2")
+tw("quantiles", """
+SELECT median(fare_amount) AS median, quantile_cont(fare_amount, 0.25) AS q25, quantile_cont(fare_amount, 0.33) AS q33,
+  quantile_cont(fare_amount, 0.67) AS q67, quantile_cont(fare_amount, 0.75) AS q75 FROM trips2""")
+tw("value_counts", """
+SELECT passenger_count, COUNT(*) AS count, ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM trips2), 2) AS pct
+FROM trips2 GROUP BY 1""")
+tw("profile", """
+SELECT 'trip_distance' AS column, COUNT(trip_distance) AS count, ROUND(AVG(trip_distance), 6) AS mean,
+  ROUND(STDDEV_SAMP(trip_distance), 6) AS stddev, MIN(trip_distance) AS min, MAX(trip_distance) AS max FROM trips2
+UNION ALL
+SELECT 'passenger_count', COUNT(passenger_count), ROUND(AVG(passenger_count), 6), ROUND(STDDEV_SAMP(passenger_count), 6),
+  CAST(MIN(passenger_count) AS DOUBLE), CAST(MAX(passenger_count) AS DOUBLE) FROM trips2""")
+tw("error_metrics", """
+SELECT is_rush_hour, COUNT(*) AS total_trips,
+  ROUND(AVG(abs(predicted_fare - actual_fare)), 4) AS mean_absolute_error,
+  ROUND(SQRT(AVG(POW(predicted_fare - actual_fare, 2))), 4) AS root_mean_squared_error,
+  ROUND(1 - SUM(POW(predicted_fare - actual_fare, 2))
+        / NULLIF(SUM(actual_fare * actual_fare) - SUM(actual_fare) * SUM(actual_fare) / COUNT(*), 0), 4) AS r2,
+  ROUND(MIN(predicted_fare), 4) AS min_predicted, ROUND(MAX(predicted_fare), 4) AS max_predicted,
+  ROUND(AVG(predicted_fare - actual_fare), 4) AS mean_error,
+  ROUND(AVG(abs(predicted_fare - actual_fare) / NULLIF(actual_fare, 0) * 100), 4) AS mean_pct_error
+FROM scored GROUP BY is_rush_hour""")
