@@ -106,12 +106,12 @@ def peer_average(df: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:
 
     Per-key sums are a grouped aggregate; the totals a one-row aggregate."""
     own = df.groupBy(key).agg(*[x for m in metrics for x in (
-        F.sum(m).alias(f"_s_{m}"), F.count(m).alias(f"_n_{m}"))])
-    tot = df.agg(*[x for m in metrics for x in (F.sum(m).alias(f"_S_{m}"), F.count(m).alias(f"_N_{m}"))])
+        F.sum(m).alias(f"_own_sum_{m}"), F.count(m).alias(f"_own_cnt_{m}"))])
+    tot = df.agg(*[x for m in metrics for x in (F.sum(m).alias(f"_tot_sum_{m}"), F.count(m).alias(f"_tot_cnt_{m}"))])
     j = with_total(own, tot)
     return j.select(key, *[
-        ((F.col(f"_S_{m}") - F.coalesce(F.col(f"_s_{m}"), F.lit(0)))
-         / F.nullif(F.col(f"_N_{m}") - F.col(f"_n_{m}"), F.lit(0))).alias(f"peer_avg_{m}") for m in metrics])
+        ((F.col(f"_tot_sum_{m}") - F.coalesce(F.col(f"_own_sum_{m}"), F.lit(0)))
+         / F.nullif(F.col(f"_tot_cnt_{m}") - F.col(f"_own_cnt_{m}"), F.lit(0))).alias(f"peer_avg_{m}") for m in metrics])
 
 
 def frequency(df: DataFrame, field: str, top: int | None = None, out: str = "value") -> DataFrame:

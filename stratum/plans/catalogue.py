@@ -267,3 +267,258 @@ def q_profile(spark, d):
 def q_error_metrics(spark, d):
     s = TR.scored(_trips(spark, d))
     return A.error_metrics(s, "actual_fare", "predicted_fare", by=["is_rush_hour"], scale=4)
+
+
+# --- filings and marts: A11, A12, A14, B1-B4, B23, B35, C1-C5, C8, C9, D10, E9, E10, G1-G3, H6-H10, J4
+
+from stratum.functions import sql_functions as SF  # noqa: E402
+from stratum.operators import checks as CK  # noqa: E402
+from stratum.operators import relate as R  # noqa: E402
+
+
+def _silver(spark, d):
+    return fx.silver_filings(spark, d)
+
+
+def _reg(spark, d):
+    return M.company_registry(_silver(spark, d))
+
+
+def _fin(spark, d):
+    s = _silver(spark, d)
+    return M.company_financials(s, M.company_registry(s))
+
+
+def _stock(spark, d):
+    return M.stock_summary(_daily(spark, d), _reg(spark, d), M.DEFAULT_AS_OF)
+
+
+@query("company_registry")
+def q_company_registry(spark, d):
+    return _reg(spark, d)
+
+
+@query("company_financials")
+def q_company_financials(spark, d):
+    return _fin(spark, d)
+
+
+@query("revenue_by_segment")
+def q_revenue_by_segment(spark, d):
+    s = _silver(spark, d)
+    return M.revenue_by_segment(s, M.company_registry(s))
+
+
+@query("revenue_by_geography")
+def q_revenue_by_geography(spark, d):
+    s = _silver(spark, d)
+    return M.revenue_by_geography(s, M.company_registry(s))
+
+
+@query("company_overview")
+def q_company_overview(spark, d):
+    return M.company_overview(_fin(spark, d), _stock(spark, d))
+
+
+@query("peer_comparison")
+def q_peer_comparison(spark, d):
+    return M.peer_comparison(M.company_overview(_fin(spark, d), _stock(spark, d)))
+
+
+@query("stock_performance")
+def q_stock_performance(spark, d):
+    return M.stock_performance(_daily(spark, d), _fin(spark, d))
+
+
+@query("revenue_breakdown")
+def q_revenue_breakdown(spark, d):
+    s = _silver(spark, d)
+    r = M.company_registry(s)
+    return M.revenue_breakdown(M.revenue_by_segment(s, r), M.revenue_by_geography(s, r))
+
+
+@query("valuation_score")
+def q_valuation_score(spark, d):
+    return SF.valuation_scores(_fin(spark, d), _stock(spark, d))
+
+
+@query("compare_peers")
+def q_compare_peers(spark, d):
+    return SF.compare_peers_all(_fin(spark, d))
+
+
+@query("investment_thesis")
+def q_investment_thesis(spark, d):
+    return SF.investment_theses(_fin(spark, d))
+
+
+@query("growth_trajectory")
+def q_growth_trajectory(spark, d):
+    return SF.growth_trajectories(_fin(spark, d))
+
+
+@query("risk_summary")
+def q_risk_summary(spark, d):
+    return SF.risk_summaries(_fin(spark, d), _stock(spark, d))
+
+
+@query("first_known")
+def q_first_known(spark, d):
+    """Identity chain: extracted name, registry name, file stem."""
+    s = _silver(spark, d)
+    r = M.company_registry(s).select(F.col("ticker").alias("r_ticker"), F.col("company_name").alias("r_name"))
+    x = s.withColumn("x_ticker", S.vpath("extracted_metrics", "response.ticker_symbol"))
+    j = R.with_registry(x, r, "x_ticker", "r_ticker")
+    return j.select("file_name", S.first_known(S.vpath("extracted_metrics", "response.company_name"), "r_name",
+                                               "company_key").alias("company"),
+                    S.first_known("x_ticker", "r_ticker", "company_key").alias("ticker"))
+
+
+@query("vpath")
+def q_vpath(spark, d):
+    s = _silver(spark, d)
+    v = "extracted_metrics"
+    return s.select("file_name", S.vpath(v, "response.fiscal_year", "int").alias("fiscal_year"),
+                    S.vpath(v, "response.total_revenue_billions", "double").alias("revenue"),
+                    S.vpath(v, "response.no_such_field").alias("missing"),
+                    S.vpath(v, "response.company_name", "int").alias("bad_cast"),
+                    S.json_path(F.col("file_name").alias("x"), "a").alias("not_json"))
+
+
+@query("pct")
+def q_pct(spark, d):
+    f = _fin(spark, d)
+    return f.select("ticker", "fiscal_year", "gross_margin_pct", "operating_margin_pct", "net_margin_pct",
+                    S.pct(F.col("total_revenue_billions") - F.col("total_revenue_billions"),
+                          F.col("total_revenue_billions") - F.col("total_revenue_billions")).alias("zero_div"))
+
+
+@query("null_as")
+def q_null_as(spark, d):
+    return _stock(spark, d).select("ticker", *M.VALUATION_COLS)
+
+
+@query("above")
+def q_above(spark, d):
+    return _daily(spark, d).select("ticker", "trade_date", S.above("close_price", "sma_50").alias("above_sma_50"),
+                                   S.above("close_price", "sma_200").alias("above_sma_200"))
+
+
+@query("trend_signal")
+def q_trend_signal(spark, d):
+    return _daily(spark, d).select("ticker", "trade_date",
+                                   S.trend_signal("close_price", "sma_50", "sma_200").alias("trend_signal"))
+
+
+@query("present")
+def q_present(spark, d):
+    s = _silver(spark, d)
+    return s.select("file_name", S.vpath("extracted_metrics", "response.ticker_symbol").alias("t")) \
+        .filter(S.present("t"))
+
+
+@query("sentence")
+def q_sentence(spark, d):
+    return SF.investment_theses(_fin(spark, d))
+
+
+@query("parse_array")
+def q_parse_array(spark, d):
+    s = _silver(spark, d)
+    arr = S.parse_array(F.to_json(F.try_variant_get("extracted_metrics", "$.response.business_segments", "variant")),
+                        "array<struct<segment_name:string,segment_revenue_billions:double>>")
+    return s.select("file_name", F.size(arr).alias("n_segments"),
+                    F.get(arr, 0)["segment_name"].alias("first_segment"))
+
+
+@query("with_registry")
+def q_with_registry(spark, d):
+    daily = _daily(spark, d).select("ticker", "trade_date", "close_price")
+    reg = _reg(spark, d).select(F.col("ticker").alias("r_ticker"), "company_name", "industry_sector")
+    return R.with_registry(daily, reg, "ticker", "r_ticker").drop("r_ticker")
+
+
+@query("score_inputs")
+def q_score_inputs(spark, d):
+    f = _fin(spark, d).select("ticker", "fiscal_year", "gross_margin_pct")
+    s = _stock(spark, d).select("ticker", "current_price", "trend_signal")
+    return R.score_inputs(f, s, "ticker", F.col("gross_margin_pct") > 20)
+
+
+@query("cross_one")
+def q_cross_one(spark, d):
+    f = _fin(spark, d).agg(F.round(F.avg("gross_margin_pct"), 4).alias("avg_margin"), F.count(F.lit(1)).alias("filings"))
+    s = _stock(spark, d).agg(F.count(F.lit(1)).alias("tickers"), F.max("current_price").alias("max_price"))
+    return R.cross_one(f, s)
+
+
+@query("explode_items")
+def q_explode_items(spark, d):
+    s = _silver(spark, d)
+    arr = S.parse_array(F.to_json(F.try_variant_get("extracted_metrics", "$.response.geographic_revenue", "variant")),
+                        "array<struct<region:string,region_revenue_billions:double>>")
+    return R.explode_items(s.select("file_name", arr.alias("regions")), "regions", "r").select(
+        "file_name", F.col("r.region").alias("region"), F.col("r.region_revenue_billions").alias("revenue"))
+
+
+@query("missing_from")
+def q_missing_from(spark, d):
+    """Tickers with prices but no registry entry and the reverse."""
+    prices = fx.raw_prices(spark, d).select("ticker")
+    reg = _reg(spark, d).select("ticker")
+    return R.missing_from(reg, prices, ["ticker"])
+
+
+@query("peer_average")
+def q_peer_average(spark, d):
+    return A.peer_average(_fin(spark, d), "ticker", ["revenue_growth_yoy_pct", "gross_margin_pct", "net_margin_pct"])
+
+
+@query("rank_peers")
+def q_rank_peers(spark, d):
+    return M.peer_comparison(M.company_overview(_fin(spark, d), _stock(spark, d))).select(
+        "ticker", "fiscal_year", "revenue_rank", "margin_rank", "growth_rank", "pe_rank")
+
+
+@query("rank_in_key")
+def q_rank_in_key(spark, d):
+    s = _silver(spark, d)
+    return M.revenue_by_segment(s, M.company_registry(s), by_year=True).select(
+        "ticker", "fiscal_year", "segment_name", "segment_rank")
+
+
+@query("tagged_union")
+def q_tagged_union(spark, d):
+    f = _fin(spark, d).select("ticker", F.col("total_revenue_billions").alias("value"))
+    s = _stock(spark, d).select("ticker", F.col("current_price").alias("value"), "trend_signal")
+    return R.tagged_union({"financials": f, "stock": s}, "source")
+
+
+@query("merge_history")
+def q_merge_history(spark, d):
+    """History (ship year < 2000) and a refresh (from mid-1999, overlapping)
+    unioned and de-duplicated: equals the silver table of all rows."""
+    raw = fx.raw_prices(spark, d)
+    hist = raw.filter(F.year("trade_date") < 2000)
+    refresh = raw.filter(F.col("trade_date") >= F.lit("1999-07-01").cast("date"))
+    return M.daily_prices(hist, refresh).select("ticker", "trade_date", "close_price", "sma_20")
+
+
+@query("unique_by")
+def q_unique_by(spark, d):
+    return R.unique_by(fx.raw_prices(spark, d).select("ticker", "trade_date", "close_price", "ingestion_timestamp"),
+                       ["ticker"], [F.col("trade_date").desc(), F.col("ingestion_timestamp").desc(),
+                                    F.col("close_price").desc()])
+
+
+@query("build_marts")
+def q_build_marts(spark, d):
+    """A12 + A14: every mart built, then the row-count gate over them."""
+    marts = M.build_marts(spark, d)
+    return CK.row_gate(marts)
+
+
+@query("build_views")
+def q_build_views(spark, d):
+    """A11 + A14: the four views over the marts, gated on row counts."""
+    return CK.row_gate(M.build_views(M.build_marts(spark, d)))

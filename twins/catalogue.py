@@ -231,3 +231,188 @@ SELECT is_rush_hour, COUNT(*) AS total_trips,
   ROUND(AVG(predicted_fare - actual_fare), 4) AS mean_error,
   ROUND(AVG(abs(predicted_fare - actual_fare) / NULLIF(actual_fare, 0) * 100), 4) AS mean_pct_error
 FROM scored GROUP BY is_rush_hour""")
+
+
+# --- filings and marts --------------------------------------------------------------------------
+from twins import GEO_MART, GEOS, SEG_MART, SEGMENTS  # noqa: E402
+
+FINS = FINANCIALS
+VALS = ("market_cap_billions", "pe_ratio", "forward_pe", "peg_ratio", "price_to_sales", "price_to_book",
+        "enterprise_value_billions", "ev_to_revenue", "ev_to_ebitda", "dividend_yield_pct", "beta")
+
+
+def fw(name, body, *extra):
+    twin(name, W(*FINS, *extra, body=body))
+
+
+def sw(name, body, *extra):
+    twin(name, W(*PRICES, *FINS, STOCK, *extra, body=body))
+
+
+fw("company_registry", "SELECT * FROM registry")
+fw("company_financials", "SELECT * FROM fin")
+fw("revenue_by_segment", "SELECT * FROM seg_mart", SEGMENTS, SEG_MART)
+fw("revenue_by_geography", "SELECT * FROM geo_mart", GEOS, GEO_MART)
+OVERVIEW = f"""overview AS (
+  SELECT f.company, f.ticker, f.fiscal_year, f.fiscal_year_end_date, f.total_revenue_billions,
+    f.revenue_growth_yoy_pct, f.cost_of_revenue_billions, f.gross_profit_billions, f.gross_margin_pct,
+    f.operating_income_billions, f.operating_margin_pct, f.net_income_billions, f.net_margin_pct,
+    f.eps_diluted AS earnings_per_share, f.total_assets_billions, f.total_liabilities_billions,
+    f.total_equity_billions AS stockholders_equity_billions, f.cash_and_equivalents_billions,
+    s.current_price, s.price_date, {', '.join('s.' + v for v in VALS)},
+    s.fifty_two_week_high, s.fifty_two_week_low, s.ytd_return_pct, s.one_year_return_pct, s.trend_signal,
+    ROUND(s.market_cap_billions / NULLIF(f.net_income_billions, 0), 2) AS price_to_earnings,
+    ROUND(s.market_cap_billions / NULLIF(f.total_revenue_billions, 0), 2) AS market_cap_to_revenue
+  FROM fin f LEFT JOIN stock s ON f.ticker = s.ticker)"""
+sw("company_overview", "SELECT * FROM overview", OVERVIEW)
+PEERS = """peers AS (
+  SELECT company, ticker, fiscal_year, total_revenue_billions, market_cap_billions, revenue_growth_yoy_pct,
+    ytd_return_pct, gross_margin_pct, operating_margin_pct, net_margin_pct, pe_ratio, price_to_sales, ev_to_revenue,
+    RANK() OVER (ORDER BY total_revenue_billions DESC) AS revenue_rank,
+    RANK() OVER (ORDER BY net_margin_pct DESC NULLS FIRST) AS margin_rank,
+    RANK() OVER (ORDER BY revenue_growth_yoy_pct DESC NULLS LAST) AS growth_rank,
+    RANK() OVER (ORDER BY pe_ratio ASC NULLS LAST) AS pe_rank
+  FROM overview)"""
+sw("peer_comparison", "SELECT * FROM peers", OVERVIEW, PEERS)
+sw("rank_peers", "SELECT ticker, fiscal_year, revenue_rank, margin_rank, growth_rank, pe_rank FROM peers",
+   OVERVIEW, PEERS)
+twin("stock_performance", W(*PRICES, *FINS, body="""
+SELECT d.ticker, c.company, d.trade_date, d.close_price, d.volume, d.daily_return_pct, d.sma_20, d.sma_50, d.sma_200,
+  d.volatility_20d,
+  CASE WHEN d.close_price > d.sma_50 AND d.close_price > d.sma_200 THEN 'Bullish'
+       WHEN d.close_price < d.sma_50 AND d.close_price < d.sma_200 THEN 'Bearish' ELSE 'Neutral' END AS trend_signal,
+  ROUND((d.close_price - d.sma_50) / NULLIF(d.sma_50, 0) * 100, 2) AS pct_above_sma_50,
+  ROUND((d.close_price - d.sma_200) / NULLIF(d.sma_200, 0) * 100, 2) AS pct_above_sma_200
+FROM daily d LEFT JOIN (SELECT ticker, company FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker
+  ORDER BY fiscal_year DESC) AS rn FROM fin) WHERE rn = 1) c ON d.ticker = c.ticker"""))
+fw("revenue_breakdown", """
+SELECT 'segment' AS breakdown_type, company, ticker, fiscal_year, segment_name AS category,
+  segment_revenue_billions AS revenue_billions, segment_pct_of_total AS pct_of_total, segment_rank AS category_rank
+FROM seg_mart
+UNION ALL
+SELECT 'geography', company, ticker, fiscal_year, region, region_revenue_billions, region_pct_of_total,
+  ROW_NUMBER() OVER (PARTITION BY company ORDER BY region_revenue_billions DESC, fiscal_year DESC, region)
+FROM geo_mart""", SEGMENTS, SEG_MART, GEOS, GEO_MART)
+
+
+def _case(x, hi, mid, a, b, c, op=">"):
+    return f"CASE WHEN {x} {op} {hi} THEN {a} WHEN {x} {op} {mid} THEN {b} ELSE {c} END"
+
+
+PE = "CASE WHEN s.pe_ratio < 25 THEN 30 WHEN s.pe_ratio < 50 THEN 20 ELSE 10 END"
+GR = _case("f.revenue_growth_yoy_pct", 50, 10, 40, 25, 10)
+MG = _case("f.gross_margin_pct", 60, 40, 30, 20, 10)
+sw("valuation_score", f"""
+SELECT f.ticker, f.company, f.fiscal_year, CAST({PE} + {GR} + {MG} AS INTEGER) AS valuation_score,
+  CAST({PE} AS INTEGER) AS pe_component, CAST({GR} AS INTEGER) AS growth_component,
+  CAST({MG} AS INTEGER) AS margin_component
+FROM fin f JOIN stock s ON f.ticker = s.ticker""")
+PEER_AVG = """pavg AS (
+  SELECT o.ticker,
+    (t.sg - COALESCE(o.sg, 0)) / NULLIF(t.ng - o.ng, 0) AS peer_avg_revenue_growth_yoy_pct,
+    (t.sm - COALESCE(o.sm, 0)) / NULLIF(t.nm - o.nm, 0) AS peer_avg_gross_margin_pct,
+    (t.sn - COALESCE(o.sn, 0)) / NULLIF(t.nn - o.nn, 0) AS peer_avg_net_margin_pct
+  FROM (SELECT ticker, SUM(revenue_growth_yoy_pct) sg, COUNT(revenue_growth_yoy_pct) ng, SUM(gross_margin_pct) sm,
+               COUNT(gross_margin_pct) nm, SUM(net_margin_pct) sn, COUNT(net_margin_pct) nn FROM fin GROUP BY ticker) o
+  CROSS JOIN (SELECT SUM(revenue_growth_yoy_pct) sg, COUNT(revenue_growth_yoy_pct) ng, SUM(gross_margin_pct) sm,
+               COUNT(gross_margin_pct) nm, SUM(net_margin_pct) sn, COUNT(net_margin_pct) nn FROM fin) t)"""
+fw("peer_average", "SELECT * FROM pavg", PEER_AVG)
+fw("compare_peers", """
+SELECT f.ticker, f.fiscal_year, m.metric, m.company_value, m.peer_avg FROM fin f JOIN pavg p ON f.ticker = p.ticker,
+LATERAL (VALUES ('Revenue Growth %', f.revenue_growth_yoy_pct, ROUND(p.peer_avg_revenue_growth_yoy_pct, 1)),
+                ('Gross Margin %', f.gross_margin_pct, ROUND(p.peer_avg_gross_margin_pct, 1)),
+                ('Net Margin %', f.net_margin_pct, ROUND(p.peer_avg_net_margin_pct, 1))) m(metric, company_value, peer_avg)
+""", PEER_AVG)
+
+
+def num1(x):
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)), 1) AS DECIMAL(38,1))::VARCHAR"
+
+
+THESIS = f"""
+SELECT ticker, company || ' (' || ticker || ') Summary: ' || 'Revenue $' || {num1('total_revenue_billions')} || 'B, '
+  || 'Growth ' || {num1('revenue_growth_yoy_pct')} || '%, ' || 'Margin ' || {num1('gross_margin_pct')} || '%' AS thesis
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC) AS rn FROM fin) WHERE rn = 1"""
+fw("investment_thesis", THESIS)
+fw("sentence", THESIS)
+fw("growth_trajectory", """
+SELECT f.ticker, f.fiscal_year, s.year_offset, ROUND(f.total_revenue_billions * s.m, 1) AS projected_revenue,
+  s.growth_rate
+FROM fin f CROSS JOIN (VALUES (1, CAST(1.15 AS DOUBLE), CAST(15.0 AS DOUBLE)), (2, 1.25, 10.0), (3, 1.33, 8.0))
+  s(year_offset, m, growth_rate)""")
+sw("risk_summary", f"""
+SELECT ticker, CAST(NULL AS INTEGER) AS fiscal_year, 'Valuation' AS risk_type,
+  CASE WHEN pe_ratio > 50 THEN 'HIGH' WHEN pe_ratio > 30 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
+  'P/E ratio is ' || {num1('pe_ratio')} AS description FROM stock
+UNION ALL
+SELECT ticker, fiscal_year, 'Growth Sustainability',
+  CASE WHEN revenue_growth_yoy_pct > 80 THEN 'HIGH' WHEN revenue_growth_yoy_pct > 30 THEN 'MEDIUM' ELSE 'LOW' END,
+  'Growth rate of ' || {num1('revenue_growth_yoy_pct')} || '% may not sustain' FROM fin
+UNION ALL
+SELECT ticker, fiscal_year, 'Debt',
+  CASE WHEN total_liabilities_billions > cash_and_equivalents_billions THEN 'MEDIUM' ELSE 'LOW' END,
+  'Liabilities: $' || {num1('total_liabilities_billions')} || 'B vs Cash: $' || {num1('cash_and_equivalents_billions')}
+  || 'B' FROM fin""")
+fw("first_known", "SELECT file_name, company, ticker FROM filings")
+fw("vpath", """
+SELECT file_name, fiscal_year, total_revenue_billions AS revenue, CAST(NULL AS VARCHAR) AS missing,
+  CAST(NULL AS INTEGER) AS bad_cast, CAST(NULL AS VARCHAR) AS not_json FROM filings""")
+fw("pct", """
+SELECT ticker, fiscal_year, gross_margin_pct, operating_margin_pct, net_margin_pct, CAST(NULL AS DOUBLE) AS zero_div
+FROM fin""")
+sw("null_as", f"SELECT ticker, {', '.join(VALS)} FROM stock")
+twin("above", W(*PRICES, body="""
+SELECT ticker, trade_date, close_price > sma_50 AS above_sma_50, close_price > sma_200 AS above_sma_200 FROM daily"""))
+twin("trend_signal", W(*PRICES, body="""
+SELECT ticker, trade_date, CASE WHEN close_price > sma_50 AND close_price > sma_200 THEN 'Bullish'
+  WHEN close_price < sma_50 AND close_price < sma_200 THEN 'Bearish' ELSE 'Neutral' END AS trend_signal FROM daily"""))
+fw("present", "SELECT file_name, ticker AS t FROM filings")
+fw("parse_array", """
+SELECT f.file_name, CAST(COALESCE(n, 0) AS INTEGER) AS n_segments, first_segment FROM filings f
+LEFT JOIN (SELECT l_suppkey, fiscal_year, COUNT(*) AS n, MIN(segment_name) AS first_segment FROM segs GROUP BY ALL) g
+  ON f.l_suppkey = g.l_suppkey AND f.fiscal_year = g.fiscal_year""", SEGMENTS)
+twin("with_registry", W(*PRICES, *FINS, body="""
+SELECT d.ticker, d.trade_date, d.close_price, r.company_name, r.industry_sector
+FROM daily d LEFT JOIN registry r ON d.ticker = r.ticker"""))
+sw("score_inputs", """
+SELECT f.ticker, f.fiscal_year, f.gross_margin_pct, s.current_price, s.trend_signal
+FROM fin f JOIN stock s ON f.ticker = s.ticker WHERE f.gross_margin_pct > 20""")
+sw("cross_one", """
+SELECT * FROM (SELECT ROUND(AVG(gross_margin_pct), 4) AS avg_margin, COUNT(*) AS filings FROM fin)
+CROSS JOIN (SELECT COUNT(*) AS tickers, MAX(current_price) AS max_price FROM stock)""")
+fw("explode_items", """
+SELECT f.file_name, g.region, g.region_revenue_billions AS revenue
+FROM filings f JOIN geos g ON f.l_suppkey = g.l_suppkey AND f.fiscal_year = g.fiscal_year""", GEOS)
+twin("missing_from", W(RAW_PRICES, *FINS, body="""
+SELECT ticker, 'missing' AS side FROM (SELECT ticker FROM registry EXCEPT SELECT ticker FROM raw_prices)
+UNION ALL
+SELECT ticker, 'unexpected' FROM (SELECT ticker FROM raw_prices EXCEPT SELECT ticker FROM registry)"""))
+fw("rank_in_key", """
+SELECT f.ticker, f.fiscal_year, g.segment_name,
+  ROW_NUMBER() OVER (PARTITION BY f.ticker, f.fiscal_year ORDER BY g.segment_revenue_billions DESC, g.segment_name)
+    AS segment_rank
+FROM filings f JOIN segs g ON f.l_suppkey = g.l_suppkey AND f.fiscal_year = g.fiscal_year""", SEGMENTS)
+sw("tagged_union", """
+SELECT ticker, total_revenue_billions AS value, CAST(NULL AS VARCHAR) AS trend_signal, 'financials' AS source FROM fin
+UNION ALL SELECT ticker, current_price, trend_signal, 'stock' FROM stock""")
+twin("merge_history", W(*PRICES, body="SELECT ticker, trade_date, close_price, sma_20 FROM daily"))
+twin("unique_by", W(RAW_PRICES, body="""
+SELECT ticker, trade_date, close_price, ingestion_timestamp FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date DESC, ingestion_timestamp DESC,
+                               close_price DESC) AS rn FROM raw_prices) WHERE rn = 1"""))
+MART_COUNTS = """
+SELECT 'silver_filings' AS "table", (SELECT COUNT(*) FROM filings) AS rows
+UNION ALL SELECT 'company_registry', (SELECT COUNT(*) FROM registry)
+UNION ALL SELECT 'stock_daily_prices', (SELECT COUNT(*) FROM daily)
+UNION ALL SELECT 'company_financials', (SELECT COUNT(*) FROM fin)
+UNION ALL SELECT 'stock_summary', (SELECT COUNT(*) FROM stock)
+UNION ALL SELECT 'revenue_by_segment', (SELECT COUNT(*) FROM seg_mart)
+UNION ALL SELECT 'revenue_by_geography', (SELECT COUNT(*) FROM geo_mart)"""
+sw("build_marts", f"SELECT *, rows >= 1 AS ok FROM ({MART_COUNTS})", SEGMENTS, SEG_MART, GEOS, GEO_MART)
+sw("build_views", """
+SELECT *, rows >= 1 AS ok FROM (
+  SELECT 'company_overview' AS "table", (SELECT COUNT(*) FROM overview) AS rows
+  UNION ALL SELECT 'peer_comparison', (SELECT COUNT(*) FROM overview)
+  UNION ALL SELECT 'stock_performance', (SELECT COUNT(*) FROM daily)
+  UNION ALL SELECT 'revenue_breakdown', (SELECT COUNT(*) FROM seg_mart) + (SELECT COUNT(*) FROM geo_mart))""",
+   OVERVIEW, SEGMENTS, SEG_MART, GEOS, GEO_MART)
