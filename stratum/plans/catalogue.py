@@ -522,3 +522,253 @@ def q_build_marts(spark, d):
 def q_build_views(spark, d):
     """A11 + A14: the four views over the marts, gated on row counts."""
     return CK.row_gate(M.build_views(M.build_marts(spark, d)))
+
+
+# --- inventory and traces: B17-B22, B26-B33, C6, C7, D12, D13, D17-D19, F4, K1-K12 ---------------
+
+from stratum.operators import inventory as K  # noqa: E402
+
+
+def _flat(spark, d):
+    return K.flatten_endpoints(fx.endpoints(spark, d))
+
+
+FLAT_COLS = ["name", "id", "endpoint_type", "task", "creator", "created_at", "updated_at", "state_ready",
+             "config_update", "entity_type", "entity_name", "entity_version", "model_name", "model_provider",
+             "scale_to_zero", "workload_size", "tag_count", "tile_id", "problem_type", "endpoint_category",
+             "model_type"]
+
+
+@query("flatten_endpoints")
+def q_flatten_endpoints(spark, d):
+    f = _flat(spark, d)
+    return f.select(*FLAT_COLS, F.col("tags")["segment"].alias("segment_tag"),
+                    F.col("gateway.usage_tracking_enabled").alias("usage_tracking_enabled"),
+                    F.col("gateway.inference_table_catalog").alias("inference_table_catalog"),
+                    F.col("gateway.rate_limits_count").alias("rate_limits_count"),
+                    F.col("gateway.guardrails_enabled").alias("guardrails_enabled"))
+
+
+@query("model_type")
+def q_model_type(spark, d):
+    return _flat(spark, d).select("name", "model_type")
+
+
+@query("model_type_fast")
+def q_model_type_fast(spark, d):
+    return K.flatten_endpoints(fx.endpoints(spark, d), fast=True).select("name", "model_type")
+
+
+@query("endpoint_category")
+def q_endpoint_category(spark, d):
+    return _flat(spark, d).select("name", "entity_type", "endpoint_category")
+
+
+@query("gateway_settings")
+def q_gateway_settings(spark, d):
+    return _flat(spark, d).select("name", "gateway.*")
+
+
+@query("inventory_summary")
+def q_inventory_summary(spark, d):
+    return K.summary(_flat(spark, d))
+
+
+@query("family_slice")
+def q_family_slice(spark, d):
+    return K.family_slice(_flat(spark, d))
+
+
+@query("health")
+def q_health(spark, d):
+    return K.health(_flat(spark, d))
+
+
+@query("providers")
+def q_providers(spark, d):
+    return K.providers(_flat(spark, d)).withColumn("scope", F.lit("all")).unionByName(
+        K.providers(_flat(spark, d), external_only=True).withColumn("scope", F.lit("external")))
+
+
+@query("format_assistants")
+def q_format_assistants(spark, d):
+    return K.format_assistants(fx.assistants(spark, d)).drop("raw")
+
+
+@query("class_listing")
+def q_class_listing(spark, d):
+    return K.class_listing(_flat(spark, d))
+
+
+@query("frequency")
+def q_frequency(spark, d):
+    """Top-20 model names (blank -> 'unknown')."""
+    return A.frequency(_flat(spark, d), "model_name", top=20, out="model_name")
+
+
+@query("class_counts")
+def q_class_counts(spark, d):
+    f = _flat(spark, d)
+    return A.class_counts(f, {"foundation": F.col("endpoint_category") == "foundation_model",
+                              "external": F.col("endpoint_category") == "external_model",
+                              "agent": F.col("endpoint_category") == "agent",
+                              "ready": F.col("state_ready") == "READY",
+                              "tracking_enabled": F.col("gateway.usage_tracking_enabled"),
+                              "guardrails": F.col("gateway.guardrails_enabled")})
+
+
+@query("enrich_tiles")
+def q_enrich_tiles(spark, d):
+    f = _flat(spark, d).select("name", "tile_id", "model_type")
+    t = fx.tiles(spark, d).withColumnRenamed("name", "title").withColumnRenamed("serving_endpoint_name", "name")
+    return R.enrich_lookup(f, t, "name", "fetch_order", {"tile_id": "tile_id", "tile_name": "title"})
+
+
+@query("with_details")
+def q_with_details(spark, d):
+    a = fx.assistants(spark, d)
+    items = a.select("id", "name")
+    details = a.filter(F.col("id").substr(4, 10).cast("int") % 3 != 0).select("id", "description", "endpoint_name")
+    return R.with_details(items, details, "id", ["description", "endpoint_name"])
+
+
+@query("has_prefix")
+def q_has_prefix(spark, d):
+    f = _flat(spark, d)
+    return f.select("name", S.has_prefix("name", "databricks-").alias("pay_per_token"),
+                    S.mentions("task", "AGENT").alias("mentions_agent"))
+
+
+@query("ellipsis")
+def q_ellipsis(spark, d):
+    a = fx.assistants(spark, d)
+    return a.select("id", S.ellipsis("instructions", 50).alias("i50"), S.ellipsis("instructions", 80).alias("i80"))
+
+
+@query("strip_version")
+def q_strip_version(spark, d):
+    return _flat(spark, d).select("name", S.strip_version("name").alias("family"))
+
+
+@query("sanitize")
+def q_sanitize(spark, d):
+    a = fx.assistants(spark, d)
+    return a.select("id", S.sanitize(F.concat(F.lit("  "), F.coalesce("display_name", F.lit("")),
+                                              F.lit(" -- KA #"))).alias("safe_name"))
+
+
+@query("source_name")
+def q_source_name(spark, d):
+    p = Tables(spark, d).pages
+    return p.select("page_id", S.source_name(F.regexp_extract("url", r"^https?://[^/]+(/[^?#]*)", 1),
+                                             F.col("page_id")).alias("source_name"))
+
+
+@query("categorize")
+def q_categorize(spark, d):
+    s = fx.spans(spark, d)
+    return s.select("span_id", "name", S.categorize("name", K.TOOL_PATTERNS).alias("category"))
+
+
+@query("tags_map")
+def q_tags_map(spark, d):
+    e = fx.endpoints(spark, d)
+    m = S.tags_map("tags")
+    return e.select("name", S.list_size("tags").alias("n_tags"), F.size(m).alias("n_keyed"),
+                    m["segment"].alias("segment"))
+
+
+@query("first_of")
+def q_first_of(spark, d):
+    e = fx.endpoints(spark, d)
+    return e.select("name", S.first_of("config.served_entities", "type", "none").alias("first_type"),
+                    S.first_of("config.served_entities", "workload_size", "").alias("first_size"))
+
+
+@query("nest")
+def q_nest(spark, d):
+    n = K.nest(_flat(spark, d))
+    return n.select("name", "state.ready", "entity.entity_type", "model.model_type", "derived.is_ready",
+                    "derived.model_family")
+
+
+@query("filter_by")
+def q_filter_by(spark, d):
+    f = _flat(spark, d)
+    return S.filter_by(f, state_ready="READY", endpoint_category=["agent", "external_model"]).select(
+        "name", "endpoint_category")
+
+
+@query("tool_calls")
+def q_tool_calls(spark, d):
+    return K.tool_calls(fx.spans(spark, d))
+
+
+@query("trace_totals")
+def q_trace_totals(spark, d):
+    return K.trace_totals(fx.spans(spark, d))
+
+
+@query("tools_vs_expected")
+def q_tools_vs_expected(spark, d):
+    return K.tools_vs_expected(fx.spans(spark, d), fx.expected_tools(spark, d))
+
+
+@query("validate_traces")
+def q_validate_traces(spark, d):
+    v = K.tools_vs_expected(fx.spans(spark, d), fx.expected_tools(spark, d))
+    return v.select("trace_id", "success", F.size("missing_tools").alias("n_missing"),
+                    F.size("unexpected_tools").alias("n_unexpected"), "llm_calls")
+
+
+@query("latest_trace")
+def q_latest_trace(spark, d):
+    """Newest trace per day within the 5 minutes before 12:00 of that day."""
+    s = fx.spans(spark, d).select("trace_id", "ts")
+    days = s.select(F.to_date("ts").alias("day")).distinct()
+    win = days.join(s, F.to_date(s["ts"]) == days["day"]).filter(
+        (F.col("ts") <= F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(12)))
+        & (F.col("ts") >= F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(11), mins=F.lit(55))))
+    return win.groupBy("day").agg(F.max_by("trace_id", F.struct("ts", "trace_id")).alias("trace_id"),
+                                  F.max("ts").alias("ts"))
+
+
+@query("response_text")
+def q_response_text(spark, d):
+    r = fx.responses(spark, d)
+    return r.select("conv_id", "turn", S.response_text("response_json").alias("text"),
+                    S.response_text("response_json", first_only=True).alias("first_text"))
+
+
+@query("missing_phrases")
+def q_missing_phrases(spark, d):
+    r = fx.responses(spark, d)
+    miss = S.missing_phrases(S.response_text("response_json"), "expected_phrases")
+    return r.select("conv_id", "turn", F.array_sort(miss).alias("missing"), (F.size(miss) == 0).alias("ok"))
+
+
+@query("score_responses")
+def q_score_responses(spark, d):
+    r = fx.responses(spark, d).select("conv_id", S.response_text("response_json").alias("t"))
+    scored = r.select("conv_id", F.length("t").alias("length"), S.error_free("t").alias("no_error"))
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("length"), 4).alias("mean_length"),
+                      F.round(F.avg("no_error"), 4).alias("mean_no_error"))
+
+
+@query("recommend")
+def q_recommend(spark, d):
+    v = SF.valuation_scores(_fin(spark, d), _stock(spark, d))
+    peer = A.peer_average(v, "ticker", ["valuation_score"])
+    return v.join(peer, "ticker").select(
+        "ticker", "fiscal_year", "valuation_score", S.recommend("valuation_score").alias("recommendation"),
+        S.versus_peer("valuation_score", "peer_avg_valuation_score").alias("versus_peer"),
+        F.round(F.abs(F.col("valuation_score") - F.col("peer_avg_valuation_score")), 2).alias("peer_diff"))
+
+
+@query("run_summary")
+def q_run_summary(spark, d):
+    r = fx.responses(spark, d)
+    t = S.response_text("response_json")
+    res = r.select(((S.error_free(t) == 1) & (F.size(S.missing_phrases(t, "expected_phrases")) == 0)).alias("passed"),
+                   (F.size("expected_phrases") > 0).alias("validated"), (F.length(t) / 1000.0).alias("duration_s"))
+    return A.run_summary(res)

@@ -188,3 +188,167 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         rush.alias("is_rush_hour"), F.weekday("ts").isin(5, 6).cast("int").alias("is_weekend"),
         fare.alias("fare_amount"), fare.alias("actual_fare"),
         (fare * (F.col("event_id") % 30) / 100).alias("tip_amount"))
+
+
+# --- endpoints, tiles, assistants (inventory) -----------------------------------------------------
+
+# Fixed values for the derived inventory: entity types by custkey % 8.
+ENTITY_TYPES = ["FOUNDATION_MODEL", "PT_FOUNDATION_MODEL", "UC_MODEL", "UC_MODEL", "UC_MODEL",
+                "EXTERNAL_MODEL", "FEATURE_SPEC", "UC_MODEL"]
+PROVIDERS = {"AUTOMOBILE": "openai", "BUILDING": "anthropic", "FURNITURE": "custom",
+             "HOUSEHOLD": "google", "MACHINERY": "cohere"}
+PROBLEM_TYPES = ["KNOWLEDGE_ASSISTANT", "MULTI_AGENT_SUPERVISOR", "INFORMATION_EXTRACTION", "MODEL_SPECIALIZATION"]
+
+
+def _pick(values, idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+
+
+def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested endpoint records, one per customer (shape of the serving list API)."""
+    c = Tables(spark, sf_dir).customer
+    k = F.col("c_custkey") % 8
+    seg = F.lower("c_mktsegment")
+    et = _pick(ENTITY_TYPES, k)
+    name = (F.when(k == 0, F.concat(F.lit("databricks-"), seg, F.lit("-"), (F.col("c_custkey") % 3 + 1).cast("string")))
+            .otherwise(F.concat(F.lit("ep-"), seg, F.lit("-"), F.col("c_custkey").cast("string"))))
+    provider = F.coalesce(*[F.when(F.col("c_mktsegment") == s, F.lit(p)) for s, p in PROVIDERS.items()])
+    entity = F.struct(
+        et.alias("type"),
+        F.when(k == 2, F.concat(F.lit("system.ai."), seg)).when(k.isin(3, 4, 7), F.concat(F.lit("main.models."), seg))
+        .alias("entity_name"),
+        F.when(k.isin(2, 3, 4, 7), (F.col("c_custkey") % 5 + 1).cast("string")).alias("entity_version"),
+        (F.col("c_custkey") % 2 == 0).alias("scale_to_zero_enabled"),
+        _pick(["Small", "Medium", "Large"], F.col("c_custkey") % 3).alias("workload_size"),
+        F.when(k.isin(0, 1), F.struct(F.concat(F.lit("fm-"), seg).alias("name"), F.lit("1").alias("version")))
+        .alias("foundation_model"),
+        F.when(k == 5, F.struct(F.concat(F.lit("ext-"), seg, F.lit("-"), (F.col("c_custkey") % 4).cast("string")).alias("name"),
+                                provider.alias("provider"))).alias("external_model"))
+    legacy = F.struct(F.concat(F.lit("legacy-"), seg).alias("model_name"), F.lit("2").alias("model_version"),
+                      F.lit(True).alias("scale_to_zero_enabled"), F.lit("Small").alias("workload_size"))
+    use_legacy = F.col("c_custkey") % 16 == 9
+    no_config = F.col("c_custkey") % 25 == 0
+    gw = F.struct(
+        F.when(F.col("c_custkey") % 3 != 1, F.struct((F.col("c_custkey") % 3 == 0).alias("enabled"),
+                                                     F.lit("main").alias("catalog_name"),
+                                                     seg.alias("schema_name"))).alias("inference_table_config"),
+        F.array_repeat(F.struct(F.lit(100).alias("calls"), F.lit("minute").alias("renewal_period")),
+                       (F.col("c_custkey") % 3).cast("int")).alias("rate_limits"),
+        F.when(F.col("c_custkey") % 4 == 0, F.struct(F.lit(True).alias("pii"))).alias("guardrails"))
+    config = F.when(~no_config, F.struct(
+        F.when(~use_legacy, F.array(entity)).alias("served_entities"),
+        F.when(use_legacy, F.array(legacy)).alias("served_models"),
+        gw.alias("ai_gateway")))
+    tags = F.array(F.struct(F.lit("segment").alias("key"), F.col("c_mktsegment").alias("value")),
+                   F.struct(F.when(F.col("c_custkey") % 2 == 0, F.lit("")).otherwise(F.lit("nation")).alias("key"),
+                            F.col("c_nationkey").cast("string").alias("value")))
+    return c.select(
+        name.alias("name"), F.concat(F.lit("id-"), F.col("c_custkey").cast("string")).alias("id"),
+        F.when(k == 0, F.lit("FOUNDATION_MODEL_API")).alias("endpoint_type"),
+        F.when(k.isin(4, 7), F.lit("agent/v1/responses")).when(k == 2, F.lit("llm/v1/chat")).alias("task"),
+        F.concat(F.lit("user"), F.col("c_nationkey").cast("string"), F.lit("@example.com")).alias("creator"),
+        (F.lit(1704067200000) + F.col("c_custkey") * 60000).alias("creation_timestamp"),
+        (F.lit(1704067200000) + F.col("c_custkey") * 120000).alias("last_updated_timestamp"),
+        F.struct(F.when(F.col("c_acctbal") >= 0, "READY").otherwise("NOT_READY").alias("ready"),
+                 F.lit("NOT_UPDATING").alias("config_update")).alias("state"),
+        F.when(F.col("c_custkey") % 11 == 0, F.lit(None)).otherwise(tags).alias("tags"),
+        F.when(k == 7, F.struct(F.concat(F.lit("tile-"), F.col("c_custkey").cast("string")).alias("tile_id"),
+                                F.concat(F.lit("tile model "), seg).alias("tile_model_name"),
+                                _pick(PROBLEM_TYPES, F.col("c_nationkey") % 4).alias("problem_type")))
+        .alias("tile_endpoint_metadata"),
+        config.alias("config"))
+
+
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tile records: two versions per tile endpoint (the later fetch wins),
+    plus tiles whose endpoint does not exist."""
+    c = Tables(spark, sf_dir).customer.filter(F.col("c_custkey") % 8 == 7)
+    seg = F.lower("c_mktsegment")
+    ep = F.concat(F.lit("ep-"), seg, F.lit("-"), F.col("c_custkey").cast("string"))
+    base = [F.concat(F.lit("t"), F.col("c_custkey").cast("string")).alias("tile_id"),
+            _pick(["KA", "MAS", "KIE", "MS"], F.col("c_nationkey") % 4).alias("tile_type")]
+    v1 = c.select(*base, F.concat(F.lit("old "), seg).alias("name"), ep.alias("serving_endpoint_name"),
+                  F.lit(1).alias("fetch_order"))
+    v2 = c.select(*base, F.concat(F.lit("tile "), seg, F.lit(" "), F.col("c_custkey").cast("string")).alias("name"),
+                  ep.alias("serving_endpoint_name"), F.lit(2).alias("fetch_order"))
+    orphan = c.select(*base, F.lit("orphan").alias("name"),
+                      F.concat(F.lit("gone-"), F.col("c_custkey").cast("string")).alias("serving_endpoint_name"),
+                      F.lit(3).alias("fetch_order"))
+    return v1.unionByName(v2).unionByName(orphan)
+
+
+def assistants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assistant records, one per supplier (list-API shape)."""
+    s = Tables(spark, sf_dir).supplier
+    kb = F.array_repeat(F.struct(F.lit("volume").alias("type"), F.col("s_name").alias("source")),
+                        (F.col("s_suppkey") % 3).cast("int"))
+    return s.select(
+        F.concat(F.lit("ka-"), F.col("s_suppkey").cast("string")).alias("id"),
+        F.when(F.col("s_suppkey") % 5 != 0, F.col("s_name")).alias("display_name"),
+        F.concat(F.lit("assistant_"), F.col("s_suppkey").cast("string")).alias("name"),
+        F.when(F.col("s_suppkey") % 4 != 0, F.concat(F.lit("Answers questions for "), F.col("s_name")))
+        .alias("description"),
+        F.concat(F.lit("Use the filings of "), F.col("s_name"), F.lit(" to answer. "),
+                 F.repeat(F.lit("Cite sources. "), (F.col("s_suppkey") % 12).cast("int"))).alias("instructions"),
+        F.concat(F.lit("ka-ep-"), F.col("s_suppkey").cast("string")).alias("endpoint_name"),
+        kb.alias("knowledge_bases"))
+
+
+# --- spans, expected tools, responses (traces and tests) ----------------------------------------
+
+# Fixed values for the derived spans: tool and agent span names.
+TOOL_NAMES = ["get_valuation_score", "compare_peers_tool", "get_growth_trajectory", "get_risk_summary",
+              "query_knowledge_assistant", "execute_genie_space"]
+AGENT_NAMES = ["mcp_genie_call", "supervisor", "planner", "tool_router"]
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trace spans from events: trace = user, type and name by event type."""
+    e = Tables(spark, sf_dir).events
+    t = F.col("event_type")
+    span_type = (F.when(t == "view", "LLM").when(t.isin("click", "purchase"), "TOOL").when(t == "error", "AGENT")
+                 .otherwise("CHAT_MODEL"))
+    name = (F.when(t.isin("click", "purchase"), _pick(TOOL_NAMES, F.col("event_id") % 6))
+            .when(t == "error", _pick(AGENT_NAMES, F.col("event_id") % 4))
+            .otherwise(F.lit("chat_completion")))
+    start = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    return e.select(
+        F.col("user_id").alias("trace_id"), F.col("event_id").alias("span_id"), name.alias("name"),
+        span_type.alias("span_type"), F.col("props").alias("inputs"),
+        F.concat(F.col("props"), F.repeat(F.lit("."), (F.col("event_id") % 700).cast("int"))).alias("outputs"),
+        start.alias("start_time_ns"), (start + F.round(F.col("value") * 1e6).cast("bigint")).alias("end_time_ns"),
+        F.when(t == "error", "ERROR").otherwise("OK").alias("status"), F.col("ts"))
+
+
+# Expected tool sets of the agent test cases.
+EXPECTED_SETS = [["genie"], ["valuation_score", "compare_peers"], ["knowledge_assistant", "risk_summary"]]
+
+
+def expected_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One test case per trace (+ one unknown trace per ten users)."""
+    u = Tables(spark, sf_dir).events.select("user_id").distinct()
+    sets = F.array(*[F.array(*[F.lit(x) for x in s]) for s in EXPECTED_SETS])
+    known = u.select(F.col("user_id").alias("trace_id"), F.element_at(sets, (F.col("user_id") % 3 + 1).cast("int"))
+                     .alias("expected_tools"))
+    unknown = u.filter(F.col("user_id") % 10 == 0).select((F.col("user_id") + 100000).alias("trace_id"),
+                                                         F.array(F.lit("genie")).alias("expected_tools"))
+    return known.unionByName(unknown)
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agent responses (JSON) for assistant turns, each paired with the
+    phrases its case expects (the first two words of the previous user turn)."""
+    c = Tables(spark, sf_dir).conversations
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    prev_user = F.lag("text").over(w)
+    txt = F.when(F.col("conv_id") % 7 == 3, F.concat(F.lit("Error: "), F.col("text"))).otherwise(F.col("text"))
+    msg = F.struct(F.lit("message").alias("type"),
+                   F.array(F.struct(F.lit("output_text").alias("type"), txt.alias("text")),
+                           F.struct(F.lit("refusal").alias("type"), F.lit("n/a").alias("text"))).alias("content"))
+    extra = F.struct(F.lit("reasoning").alias("type"),
+                     F.array(F.struct(F.lit("output_text").alias("type"), F.lit("hidden").alias("text"))).alias("content"))
+    out = c.withColumn("prev_user", prev_user).filter(F.col("role") == "assistant")
+    words = F.split(F.regexp_replace(F.coalesce("prev_user", F.lit("")), r"[^\p{L}\s]", ""), r"\s+")
+    return out.select("conv_id", "turn",
+                      F.to_json(F.struct(F.array(extra, msg).alias("output"))).alias("response_json"),
+                      F.slice(F.filter(words, lambda x: x != ""), 1, 2).alias("expected_phrases"))

@@ -248,3 +248,77 @@ def decimal_round(sql: str) -> str:
         out.append(sql[i:j])
         out.append(f"CAST(ROUND(CAST(CAST({inner} AS VARCHAR) AS DECIMAL(38,17)), {scale}) AS DOUBLE)")
         i = k + 1
+
+# --- inventory ---------------------------------------------------------------------------------
+
+_ET = ("CASE k WHEN 0 THEN 'FOUNDATION_MODEL' WHEN 1 THEN 'PT_FOUNDATION_MODEL' WHEN 5 THEN 'EXTERNAL_MODEL' "
+       "WHEN 6 THEN 'FEATURE_SPEC' ELSE 'UC_MODEL' END")
+_PROV = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'openai' WHEN 'BUILDING' THEN 'anthropic' "
+         "WHEN 'FURNITURE' THEN 'custom' WHEN 'HOUSEHOLD' THEN 'google' WHEN 'MACHINERY' THEN 'cohere' END")
+_PT = ("CASE c_nationkey % 4 WHEN 0 THEN 'KNOWLEDGE_ASSISTANT' WHEN 1 THEN 'MULTI_AGENT_SUPERVISOR' "
+       "WHEN 2 THEN 'INFORMATION_EXTRACTION' ELSE 'MODEL_SPECIALIZATION' END")
+
+EP = f"""ep0 AS (
+  SELECT *, c_custkey % 8 AS k, lower(c_mktsegment) AS seg, c_custkey % 16 = 9 AS legacy,
+         c_custkey % 25 = 0 AS noconf FROM customer),
+ep AS (
+  SELECT *,
+    CASE WHEN k = 0 THEN 'databricks-' || seg || '-' || CAST(c_custkey % 3 + 1 AS VARCHAR)
+         ELSE 'ep-' || seg || '-' || CAST(c_custkey AS VARCHAR) END AS name,
+    CASE WHEN k IN (4, 7) THEN 'agent/v1/responses' WHEN k = 2 THEN 'llm/v1/chat' END AS task,
+    CASE WHEN noconf THEN 'unknown' WHEN legacy THEN 'SERVED_MODEL' ELSE {_ET} END AS entity_type,
+    CASE WHEN noconf OR legacy THEN NULL WHEN k = 5 THEN {_PROV} WHEN k IN (0, 1) THEN 'databricks' END AS model_provider,
+    CASE WHEN k = 7 THEN {_PT} END AS problem_type
+  FROM ep0),
+flat AS (
+  SELECT name, 'id-' || CAST(c_custkey AS VARCHAR) AS id,
+    CASE WHEN k = 0 THEN 'FOUNDATION_MODEL_API' END AS endpoint_type, task,
+    'user' || CAST(c_nationkey AS VARCHAR) || '@example.com' AS creator,
+    make_timestamp((1704067200000 + c_custkey * 60000) * 1000) AS created_at,
+    make_timestamp((1704067200000 + c_custkey * 120000) * 1000) AS updated_at,
+    CASE WHEN c_acctbal >= 0 THEN 'READY' ELSE 'NOT_READY' END AS state_ready, 'NOT_UPDATING' AS config_update,
+    entity_type,
+    CASE WHEN noconf THEN NULL WHEN legacy THEN 'legacy-' || seg WHEN k = 2 THEN 'system.ai.' || seg
+         WHEN k IN (3, 4, 7) THEN 'main.models.' || seg END AS entity_name,
+    CASE WHEN noconf THEN NULL WHEN legacy THEN '2' WHEN k IN (2, 3, 4, 7) THEN CAST(c_custkey % 5 + 1 AS VARCHAR) END
+      AS entity_version,
+    CASE WHEN noconf THEN '' WHEN legacy THEN 'legacy-' || seg WHEN k = 5 THEN 'ext-' || seg || '-' || CAST(c_custkey % 4 AS VARCHAR)
+         WHEN k IN (0, 1) THEN 'fm-' || seg WHEN k = 2 THEN 'system.ai.' || seg WHEN k IN (3, 4, 7) THEN 'main.models.' || seg
+         ELSE '' END AS model_name,
+    model_provider,
+    CASE WHEN noconf THEN NULL WHEN legacy THEN true ELSE c_custkey % 2 = 0 END AS scale_to_zero,
+    CASE WHEN noconf THEN NULL WHEN legacy THEN 'Small'
+         ELSE CASE c_custkey % 3 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' ELSE 'Large' END END AS workload_size,
+    CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 2 END AS tag_count,
+    CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS segment_tag,
+    CASE WHEN k = 7 THEN 'tile-' || CAST(c_custkey AS VARCHAR) END AS tile_id, problem_type,
+    CASE WHEN task LIKE '%agent%' THEN 'agent'
+         WHEN noconf THEN CASE WHEN k = 0 THEN 'foundation_model' ELSE 'unknown' END
+         WHEN legacy THEN 'custom_model'
+         WHEN k = 5 THEN 'external_model' WHEN k IN (0, 1) THEN 'foundation_model' WHEN k = 6 THEN 'feature_serving'
+         WHEN k IN (2, 3, 4, 7) THEN 'custom_model' ELSE 'unknown' END AS endpoint_category,
+    CASE WHEN problem_type = 'KNOWLEDGE_ASSISTANT' THEN 'AGENT_BRICKS_KA'
+         WHEN problem_type = 'MULTI_AGENT_SUPERVISOR' THEN 'AGENT_BRICKS_MAS'
+         WHEN problem_type = 'INFORMATION_EXTRACTION' THEN 'AGENT_BRICKS_KIE'
+         WHEN problem_type = 'MODEL_SPECIALIZATION' THEN 'AGENT_BRICKS_MS'
+         WHEN entity_type = 'FOUNDATION_MODEL' AND starts_with(name, 'databricks-') THEN 'DATABRICKS_FM_PPT'
+         WHEN entity_type = 'PT_FOUNDATION_MODEL' THEN 'DATABRICKS_FM_PT'
+         WHEN entity_type = 'UC_MODEL' AND k = 2 THEN 'DATABRICKS_FM_UC_SYSTEM_AI'
+         WHEN entity_type = 'UC_MODEL' AND COALESCE(task, '') = '' THEN 'DATABRICKS_CLASSIC_ML'
+         WHEN entity_type = 'UC_MODEL' THEN 'DATABRICKS_FM_UC_AGENTS'
+         WHEN entity_type = 'EXTERNAL_MODEL' AND model_provider = 'custom' THEN 'FM_EXTERNAL_MODEL_CUSTOM'
+         WHEN entity_type = 'EXTERNAL_MODEL' THEN 'FM_EXTERNAL_MODEL'
+         WHEN entity_type = 'FEATURE_SPEC' THEN 'FEATURE_SPEC' ELSE 'UNCLASSIFIED' END AS model_type,
+    CASE WHEN noconf OR c_custkey % 3 = 1 THEN false ELSE c_custkey % 3 = 0 END AS usage_tracking_enabled,
+    CASE WHEN noconf OR c_custkey % 3 = 1 THEN NULL ELSE 'main' END AS inference_table_catalog,
+    CASE WHEN noconf OR c_custkey % 3 = 1 THEN NULL ELSE seg END AS inference_table_schema,
+    CASE WHEN noconf THEN 0 ELSE CAST(c_custkey % 3 AS INTEGER) END AS rate_limits_count,
+    CASE WHEN noconf THEN false ELSE c_custkey % 4 = 0 END AS guardrails_enabled
+  FROM ep)"""
+
+FAMILY = """CASE WHEN model_type IN ('DATABRICKS_FM_PPT', 'DATABRICKS_FM_PT', 'DATABRICKS_FM_UC_SYSTEM_AI') THEN 'foundation'
+  WHEN model_type IN ('FM_EXTERNAL_MODEL', 'FM_EXTERNAL_MODEL_CUSTOM') THEN 'external'
+  WHEN model_type IN ('AGENT_BRICKS_KA', 'AGENT_BRICKS_MAS', 'AGENT_BRICKS_KIE', 'AGENT_BRICKS_MS',
+                      'DATABRICKS_FM_UC_AGENTS') THEN 'agent'
+  WHEN model_type = 'DATABRICKS_CLASSIC_ML' THEN 'classic' WHEN model_type = 'FEATURE_SPEC' THEN 'feature'
+  ELSE 'unclassified' END"""

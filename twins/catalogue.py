@@ -416,3 +416,78 @@ SELECT *, rows >= 1 AS ok FROM (
   UNION ALL SELECT 'stock_performance', (SELECT COUNT(*) FROM daily)
   UNION ALL SELECT 'revenue_breakdown', (SELECT COUNT(*) FROM seg_mart) + (SELECT COUNT(*) FROM geo_mart))""",
    OVERVIEW, SEGMENTS, SEG_MART, GEOS, GEO_MART)
+
+
+# --- inventory ------------------------------------------------------------------------------------
+from twins import EP, FAMILY  # noqa: E402
+
+
+def iw(name, body):
+    b = body.lstrip()
+    twin(name, "WITH " + EP + ",\n" + b[5:] if b.startswith("WITH ") else W(EP, body=body))
+
+
+FLATC = ("name, id, endpoint_type, task, creator, created_at, updated_at, state_ready, config_update, entity_type, "
+         "entity_name, entity_version, model_name, model_provider, scale_to_zero, workload_size, tag_count, tile_id, "
+         "problem_type, endpoint_category, model_type")
+iw("flatten_endpoints", f"SELECT {FLATC}, segment_tag, usage_tracking_enabled, inference_table_catalog, "
+                        "rate_limits_count, guardrails_enabled FROM flat")
+iw("model_type", "SELECT name, model_type FROM flat")
+iw("model_type_fast", "SELECT name, model_type FROM flat WHERE model_type <> 'UNCLASSIFIED'")
+iw("endpoint_category", "SELECT name, entity_type, endpoint_category FROM flat")
+iw("gateway_settings", "SELECT name, usage_tracking_enabled, inference_table_catalog, inference_table_schema, "
+                       "rate_limits_count, guardrails_enabled FROM flat")
+iw("inventory_summary", """
+WITH f AS (SELECT *, CASE WHEN length(model_name) > 2 THEN regexp_replace(NULLIF(model_name, ''), '-[0-9]$', '')
+                          ELSE NULLIF(model_name, '') END AS model_family FROM flat),
+l AS (SELECT 'model_type' AS field, model_type AS value FROM f UNION ALL SELECT 'endpoint_category', endpoint_category FROM f
+  UNION ALL SELECT 'entity_type', entity_type FROM f UNION ALL SELECT 'state_ready', state_ready FROM f
+  UNION ALL SELECT 'task', task FROM f UNION ALL SELECT 'model_provider', model_provider FROM f
+  UNION ALL SELECT 'model_family', model_family FROM f)
+SELECT field, COALESCE(NULLIF(trim(value), ''), 'unknown') AS value, COUNT(*) AS count FROM l GROUP BY 1, 2""")
+iw("family_slice", f"""
+WITH f AS (SELECT *, {FAMILY} AS family FROM flat)
+SELECT family, model_type, COUNT(*) AS count, COUNT(*) FILTER (WHERE state_ready = 'READY') AS ready,
+  list_sort((list(name ORDER BY name))[1:3]) AS sample_names
+FROM f GROUP BY 1, 2""")
+iw("health", """
+WITH nr AS (SELECT * FROM flat WHERE COALESCE(state_ready, '') <> 'READY')
+SELECT COALESCE(NULLIF(trim(entity_type), ''), 'unknown') AS entity_type, COUNT(*) AS count FROM nr GROUP BY 1
+UNION ALL SELECT 'ALL', COUNT(*) FROM nr""")
+iw("providers", """
+SELECT model_provider, COUNT(*) AS count, 'all' AS scope FROM flat WHERE model_provider IS NOT NULL AND model_provider <> ''
+GROUP BY 1
+UNION ALL
+SELECT model_provider, COUNT(*), 'external' FROM flat
+WHERE model_provider IS NOT NULL AND model_provider <> '' AND model_provider <> 'databricks' GROUP BY 1""")
+iw("class_listing", "SELECT model_type, name, state_ready FROM flat")
+iw("frequency", """
+SELECT COALESCE(NULLIF(trim(model_name), ''), 'unknown') AS model_name, COUNT(*) AS count FROM flat
+GROUP BY 1 ORDER BY count DESC, model_name LIMIT 20""")
+iw("class_counts", """
+SELECT COUNT(*) FILTER (WHERE endpoint_category = 'foundation_model') AS foundation,
+  COUNT(*) FILTER (WHERE endpoint_category = 'external_model') AS external,
+  COUNT(*) FILTER (WHERE endpoint_category = 'agent') AS agent, COUNT(*) FILTER (WHERE state_ready = 'READY') AS ready,
+  COUNT(*) FILTER (WHERE usage_tracking_enabled) AS tracking_enabled, COUNT(*) FILTER (WHERE guardrails_enabled) AS guardrails
+FROM flat""")
+iw("has_prefix", """
+SELECT name, starts_with(name, 'databricks-') AS pay_per_token, contains(lower(task), 'agent') AS mentions_agent FROM flat""")
+iw("strip_version", """
+SELECT name, CASE WHEN length(name) > 2 THEN regexp_replace(name, '-[0-9]$', '') ELSE name END AS family FROM flat""")
+iw("nest", """
+SELECT name, state_ready AS ready, entity_type, model_type, state_ready = 'READY' AS is_ready,
+  CASE WHEN length(model_name) > 2 THEN regexp_replace(model_name, '-[0-9]$', '') ELSE model_name END AS model_family
+FROM flat""")
+iw("filter_by", """
+SELECT name, endpoint_category FROM flat WHERE state_ready = 'READY' AND endpoint_category IN ('agent', 'external_model')""")
+iw("tags_map", """
+SELECT name, CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 2 END AS n_tags, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END AS n_keyed,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM ep""")
+iw("first_of", """
+SELECT name, CASE WHEN noconf OR legacy THEN 'none' ELSE entity_type END AS first_type,
+  CASE WHEN noconf OR legacy THEN '' ELSE CASE c_custkey % 3 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' ELSE 'Large' END END
+    AS first_size FROM ep""")
+iw("enrich_tiles", """
+SELECT f.name, COALESCE(tile_id, CASE WHEN k = 7 THEN 't' || CAST(c_custkey AS VARCHAR) END) AS tile_id, model_type,
+  CASE WHEN k = 7 THEN 'tile ' || seg || ' ' || CAST(c_custkey AS VARCHAR) END AS tile_name
+FROM flat f JOIN ep e ON f.id = 'id-' || CAST(e.c_custkey AS VARCHAR)""")
