@@ -15,6 +15,7 @@ from stratum.operators import timeseries as ts
 from stratum.plans import marts as M
 from stratum.sources import fixtures as fx
 from stratum.sources.tables import Tables
+from stratum.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -281,11 +282,11 @@ def _silver(spark, d):
 
 
 def _reg(spark, d):
-    return M.company_registry(_silver(spark, d))
+    return M.company_registry(fx.silver_filings(spark, d, breakdowns=False))
 
 
 def _fin(spark, d):
-    s = _silver(spark, d)
+    s = fx.silver_filings(spark, d, breakdowns=False)
     return M.company_financials(s, M.company_registry(s))
 
 
@@ -772,3 +773,115 @@ def q_run_summary(spark, d):
     res = r.select(((S.error_free(t) == 1) & (F.size(S.missing_phrases(t, "expected_phrases")) == 0)).alias("passed"),
                    (F.size("expected_phrases") > 0).alias("validated"), (F.length(t) / 1000.0).alias("duration_s"))
     return A.run_summary(res)
+
+
+# --- documents, pages, conversations: B16, D21, J1-J3, J5-J7, I1, I2, I5, A1, A2, A15 ------------
+
+from stratum.operators import documents as D  # noqa: E402
+from stratum.streaming import streams as ST  # noqa: E402
+
+
+@query("parse_docs")
+def q_parse_docs(spark, d):
+    p = D.parse_docs(Tables(spark, d).pages)
+    return p.select("page_id", "title", "parsed_content", "n_chars", F.size("elements").alias("n_elements"))
+
+
+@query("classify")
+def q_classify(spark, d):
+    docs = Tables(spark, d).documents
+    return docs.select("doc_id", D.classify("text", D.DOC_TYPE_LABELS).alias("document_type"),
+                       D.classify("text", D.SECTOR_LABELS).alias("industry_sector"))
+
+
+@query("extract")
+def q_extract(spark, d):
+    docs = Tables(spark, d).documents
+    v = D.extract("text")
+    return docs.select("doc_id", v.alias("m")).select(
+        "doc_id", F.variant_get("m", "$.response.title", "string").alias("title"),
+        F.variant_get("m", "$.response.n_words", "int").alias("n_words"),
+        F.variant_get("m", "$.response.emails", "array<string>").alias("emails"),
+        F.variant_get("m", "$.response.license_line", "string").alias("license_line"),
+        F.variant_get("m", "$.response.n_years", "int").alias("n_years"),
+        F.variant_get("m", "$.response.has_license", "boolean").alias("has_license"))
+
+
+@query("file_stem")
+def q_file_stem(spark, d):
+    docs = Tables(spark, d).documents
+    name = F.concat(F.col("source"), F.lit("_"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    return docs.select("doc_id", name.alias("file_name"), S.file_stem(name).alias("company_key"))
+
+
+def _doc_files(spark, d):
+    docs = Tables(spark, d).documents
+    return docs.select(F.concat(F.lit("/docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+                       .alias("path"), "doc_id", "n_chars")
+
+
+@query("sync_source")
+def q_sync_source(spark, d):
+    files = _doc_files(spark, d)
+    manifest = files.filter(F.col("doc_id") % 3 == 0)
+    new, _ = D.sync_source(files, manifest)
+    return new.select("path", "status")
+
+
+@query("index_status")
+def q_index_status(spark, d):
+    files = _doc_files(spark, d)
+    _, totals = D.sync_source(files, files.filter(F.col("doc_id") % 3 == 0))
+    return totals
+
+
+@query("manifest_check")
+def q_manifest_check(spark, d):
+    files = _doc_files(spark, d).select(F.col("path").alias("name"), F.col("n_chars").alias("length"))
+    expected = Tables(spark, d).labels.select(
+        F.concat(F.lit("/docs/src"), (F.col("doc_id") % 20).cast("string"), F.lit("/"), F.col("doc_id").cast("string"),
+                 F.lit(".txt")).alias("name"))
+    return CK.manifest_check(files, expected, suffix=".txt")
+
+
+@query("retrieve")
+def q_retrieve(spark, d):
+    t = Tables(spark, d)
+    return D.retrieve(t.benchmark, t.documents, k=3)
+
+
+@query("with_history")
+def q_with_history(spark, d):
+    h = D.with_history(Tables(spark, d).conversations)
+    return h.select("conv_id", "turn", "role", F.size("messages").alias("n_history"),
+                    F.transform("messages", lambda m: m["role"]).alias("roles"))
+
+
+@query("stream_bronze")
+def q_stream_bronze(spark, d):
+    """I1 run as a triggered stream; the result is read back from its sink."""
+    out = ST.stream_bronze(spark, d)
+    return spark.read.parquet(out).select("doc_id", "document_type", "industry_sector")
+
+
+@query("stream_silver")
+def q_stream_silver(spark, d):
+    """I1 then I2 as triggered streams (stage -> stage)."""
+    out = ST.stream_silver(spark, ST.stream_bronze(spark, d))
+    return spark.read.parquet(out).select(
+        "doc_id", F.variant_get("extracted_metrics", "$.response.n_words", "int").alias("n_words"))
+
+
+@query("dedup_stream")
+def q_dedup_stream(spark, d):
+    """Exact-copy documents dropped by a streaming dropDuplicates on the
+    text hash, run twice over the same input (the second run adds nothing)."""
+    root = shared_dir(spark, "dedup")
+    schema = spark.read.parquet(f"{d}/documents.parquet").schema
+
+    def once():
+        src = ST.stream_table(spark, d, schema, "documents.parquet")
+        keyed = src.select(F.sha2("text", 256).alias("text_hash"), "doc_id")
+        ST.run_available(ST.dedup_stream(keyed, ["text_hash"]), f"{root}/data", f"{root}/_checkpoint")
+    ST.run_graph([once, once])
+    return spark.read.parquet(f"{root}/data").select("text_hash")

@@ -84,7 +84,7 @@ def _bn(c: Column) -> Column:
     return c.cast("double") / 1e6
 
 
-def silver_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_filings(spark: SparkSession, sf_dir: str, breakdowns: bool = True) -> DataFrame:
     """Silver extracted metrics: one filing per (supplier, fiscal year).
 
     Shape of the reference's silver table: file_name, company_key,
@@ -111,10 +111,11 @@ def silver_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("cash_and_equivalents_billions"),
         F.round((rev - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2).alias("revenue_growth_yoy_pct"),
     )
-    segs = _segments(t)
-    geo = _geography(t)
-    filings = (base.join(segs, ["l_suppkey", "fiscal_year"], "left")
-               .join(geo, ["l_suppkey", "fiscal_year"], "left"))
+    if breakdowns:
+        filings = (base.join(_segments(t), ["l_suppkey", "fiscal_year"], "left")
+                   .join(_geography(t), ["l_suppkey", "fiscal_year"], "left"))
+    else:  # identity and totals only: no segment / region joins
+        filings = base.withColumn("business_segments", F.lit(None)).withColumn("geographic_revenue", F.lit(None))
     key = ticker_of(F.col("l_suppkey"))
     response = F.struct(
         F.col("s_name").alias("company_name"),

@@ -491,3 +491,69 @@ iw("enrich_tiles", """
 SELECT f.name, COALESCE(tile_id, CASE WHEN k = 7 THEN 't' || CAST(c_custkey AS VARCHAR) END) AS tile_id, model_type,
   CASE WHEN k = 7 THEN 'tile ' || seg || ' ' || CAST(c_custkey AS VARCHAR) END AS tile_name
 FROM flat f JOIN ep e ON f.id = 'id-' || CAST(e.c_custkey AS VARCHAR)""")
+
+
+# --- documents -------------------------------------------------------------------------------------
+TOK = "list_filter(string_split_regex(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
+
+
+def toks(x):
+    return TOK.format(x=x)
+
+
+def classify_sql(x, labels):
+    names = list(labels)
+    scores = [f"len(list_filter({toks(x)}, lambda t: list_contains({list(kws)!r}, t)))" if kws else "0"
+              for kws in labels.values()]
+    best = f"greatest({', '.join(scores)})"
+    return (f"CASE WHEN {best} = 0 THEN '{names[-1]}' "
+            + " ".join(f"WHEN {s} = {best} THEN '{n}'" for n, s in zip(names, scores)) + " END")
+
+
+def _labels():
+    from stratum.operators.documents import DOC_TYPE_LABELS, SECTOR_LABELS
+    return DOC_TYPE_LABELS, SECTOR_LABELS
+
+
+_DT, _SEC = _labels()
+twin("classify", f"""
+SELECT doc_id, {classify_sql('text', _DT)} AS document_type, {classify_sql('text', _SEC)} AS industry_sector
+FROM documents""")
+twin("file_stem", """
+SELECT doc_id, source || '_' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name,
+  regexp_extract(source || '_' || CAST(doc_id AS VARCHAR) || '.txt', '^([^_\\.]+)', 1) AS company_key FROM documents""")
+FILES = """files AS (SELECT '/docs/' || source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, doc_id, n_chars
+  FROM documents), new AS (SELECT *, CASE WHEN n_chars IS NULL OR n_chars = 0 THEN 'failed'
+  WHEN n_chars < 50 THEN 'skipped' ELSE 'success' END AS status FROM files WHERE doc_id % 3 <> 0)"""
+twin("sync_source", W(FILES, body="SELECT path, status FROM new"))
+twin("index_status", W(FILES, body="""
+SELECT COUNT(*) AS total_files, COUNT(*) FILTER (WHERE status = 'success') AS success,
+  COUNT(*) FILTER (WHERE status = 'skipped') AS skipped, COUNT(*) FILTER (WHERE status = 'failed') AS failed FROM new"""))
+twin("manifest_check", W(FILES, body="""
+SELECT path AS name, n_chars AS size, 'present' AS state FROM files WHERE path LIKE '%.txt'
+UNION ALL
+SELECT e.name, CAST(NULL AS BIGINT), 'missing' FROM (SELECT '/docs/src' || CAST(doc_id % 20 AS VARCHAR) || '/'
+  || CAST(doc_id AS VARCHAR) || '.txt' AS name FROM labels) e WHERE e.name NOT IN (SELECT path FROM files)"""))
+twin("with_history", """
+SELECT conv_id, turn, role, COALESCE(len(list(role) OVER w), 0) AS n_history, COALESCE(list(role) OVER w, []) AS roles
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+twin("retrieve", f"""
+WITH ch AS (
+  SELECT doc_id, unnest(range(len(parts))) AS chunk_id, unnest(parts) AS chunk
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)),
+ch2 AS (SELECT * FROM ch WHERE trim(chunk) <> ''),
+ct AS (SELECT doc_id, chunk_id, term, COUNT(*) AS tf FROM (SELECT doc_id, chunk_id, unnest({toks('chunk')}) AS term FROM ch2)
+  GROUP BY ALL),
+idf AS (SELECT term, ln((SELECT COUNT(*) FROM ch2) / COUNT(*)) AS idf FROM ct GROUP BY term),
+qt AS (SELECT item_id, term, COUNT(*) AS qtf FROM (SELECT item_id, unnest({toks('text')}) AS term FROM benchmark) GROUP BY ALL),
+sc AS (SELECT item_id, doc_id, chunk_id, ROUND(SUM(tf * qtf * idf * idf), 9) AS score
+  FROM qt JOIN idf USING (term) JOIN ct USING (term) WHERE idf > 0 GROUP BY ALL)
+SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, chunk_id) AS rank FROM sc)
+WHERE rank <= 3""")
+twin("extract", f"""
+SELECT doc_id, NULLIF(trim(split_part(text, chr(10), 1)), '') AS title, CAST(len({toks('text')}) AS INTEGER) AS n_words,
+  regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}') AS emails,
+  NULLIF(regexp_extract(text, '(?i)(?:licen[cs]e[^\\n]*)'), '') AS license_line,
+  CAST(len(regexp_extract_all(text, '\\b(?:19|20)[0-9]{{2}}\\b')) AS INTEGER) AS n_years,
+  regexp_matches(text, '(?i)(?:licen[cs]e[^\\n]*)') AS has_license
+FROM documents""")
