@@ -221,3 +221,25 @@ def map_batches(df: DataFrame, fn, schema: T.StructType | str) -> DataFrame:
         for pdf in it:
             yield fn(pdf)
     return df.mapInPandas(run, schema)
+
+
+def confusion(df: DataFrame, label: str, pred: str, classes=(0, 1, 2)) -> DataFrame:
+    """Confusion matrix label x predicted (pivot on the known classes)."""
+    return df.groupBy(label).pivot(pred, list(classes)).count().fillna(0)
+
+
+def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """Per class seen in the data: precision, recall, F1, support
+    (zero division -> 0), plus the overall accuracy on every row."""
+    seen = df.select(F.col(label).alias("cls")).union(df.select(F.col(pred).alias("cls"))).distinct()
+    tp = df.groupBy(F.col(label).alias("cls")).agg(
+        F.count_if(F.col(label) == F.col(pred)).alias("tp"), F.count(F.lit(1)).alias("support"))
+    pp = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("predicted"))
+    acc = df.agg((F.count_if(F.col(label) == F.col(pred)) / F.count(F.lit(1))).alias("accuracy"))
+    j = seen.join(tp, "cls", "left").join(pp, "cls", "left").fillna(0, ["tp", "support", "predicted"])
+    prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
+    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
+    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
+    out = j.select("cls", F.round(prec, 6).alias("precision"), F.round(rec, 6).alias("recall"),
+                   F.round(f1, 6).alias("f1"), "support")
+    return out.crossJoin(F.broadcast(acc)).withColumn("accuracy", F.round("accuracy", 6))  # one row

@@ -885,3 +885,94 @@ def q_dedup_stream(spark, d):
         ST.run_available(ST.dedup_stream(keyed, ["text_hash"]), f"{root}/data", f"{root}/_checkpoint")
     ST.run_graph([once, once])
     return spark.read.parquet(f"{root}/data").select("text_hash")
+
+
+# --- sources / sinks, price checks, incremental load, models: A3-A10, A13, D1, D2, D11, D16, H3, H13-H15, I4
+
+from stratum.sources import io as IO  # noqa: E402
+
+
+@query("read_table")
+def q_read_table(spark, d):
+    """A3 + A10: tables registered as temporary views, queried by SQL."""
+    Tables(spark, d).register_views()
+    return spark.sql("SELECT n_name, COUNT(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey "
+                     "GROUP BY n_name")
+
+
+@query("fetch_by_key")
+def q_fetch_by_key(spark, d):
+    """A4 offline twin: per distinct supplier key a fetched registry row;
+    the fetch fails for every 17th key, which is skipped."""
+    def fetch(k):
+        if k % 17 == 0:
+            raise RuntimeError(f"fetch failed for {k}")
+        return __import__("pandas").DataFrame({"ticker": [f"S{k}"], "suppkey": [int(k)],
+                                               "exchange": ["NYSE" if k % 2 else "NASDAQ"]})
+    return IO.fetch_by_key(Tables(spark, d).lineitem.select(F.col("l_suppkey").alias("suppkey")), "suppkey", fetch,
+                           "ticker string, suppkey long, exchange string")
+
+
+@query("price_profile")
+def q_price_profile(spark, d):
+    return A.price_profile(_daily(spark, d), "ticker", "close_price")
+
+
+@query("count_distinct")
+def q_count_distinct(spark, d):
+    return A.count_distinct(fx.raw_prices(spark, d), "ticker", "tickers")
+
+
+@query("high_water")
+def q_high_water(spark, d):
+    return ts.high_water(_dedup(spark, d), "ticker", "trade_date")
+
+
+@query("incremental")
+def q_incremental(spark, d):
+    """I4: target = history before 2000 minus every 9th ticker (new keys);
+    the refresh brings later rows of known keys and the last 30 days of new ones."""
+    raw = _dedup(spark, d)
+    target = raw.filter((F.year("trade_date") < 2000)
+                        & (F.substring("ticker", 2, 10).cast("int") % 9 != 0))
+    return ts.incremental(raw, target, "ticker", "trade_date", "1999-12-31").select("ticker", "trade_date",
+                                                                                     "close_price")
+
+
+@query("confusion")
+def q_confusion(spark, d):
+    s = TR.scored(Mo.tip_category(_trips(spark, d)))
+    p = s.withColumn("pred", F.when(F.col("predicted_tip_category") == Mo.TIP_LABELS[0], 0)
+                     .when(F.col("predicted_tip_category") == Mo.TIP_LABELS[1], 1).otherwise(2))
+    return Mo.confusion(p, "tip_category", "pred").select(
+        "tip_category", F.col("0").alias("pred_0"), F.col("1").alias("pred_1"), F.col("2").alias("pred_2"))
+
+
+@query("class_report")
+def q_class_report(spark, d):
+    s = TR.scored(Mo.tip_category(_trips(spark, d)))
+    p = s.withColumn("pred", F.when(F.col("predicted_tip_category") == Mo.TIP_LABELS[0], 0)
+                     .when(F.col("predicted_tip_category") == Mo.TIP_LABELS[1], 1).otherwise(2))
+    return Mo.class_report(p, "tip_category", "pred")
+
+
+@query("train_fare")
+def q_train_fare(spark, d):
+    """Forest regressor (100 trees, depth 10, leaf >= 5, seed 42) and
+    its hold-out metrics (MAE, RMSE, R^2)."""
+    _, metrics, importance = Mo.train_fare(_trips(spark, d))
+    return metrics
+
+
+@query("train_tip")
+def q_train_tip(spark, d):
+    """H14 + H3: classifier on a stratified split, class names and probabilities."""
+    _, pred = Mo.train_tip(_trips(spark, d))
+    return Mo.with_class_probs(pred).select("trip_id", "tip_category", "class_id", "class_name", "probabilities")
+
+
+@query("cache_predictions")
+def q_cache_predictions(spark, d):
+    """Scored trips written once to shared storage and read back."""
+    return IO.cache_predictions(TR.scored(_trips(spark, d)).select("trip_id", "predicted_fare", "predicted_tip_category"),
+                                shared_dir(spark, "predictions"))

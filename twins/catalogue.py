@@ -557,3 +557,42 @@ SELECT doc_id, NULLIF(trim(split_part(text, chr(10), 1)), '') AS title, CAST(len
   CAST(len(regexp_extract_all(text, '\\b(?:19|20)[0-9]{{2}}\\b')) AS INTEGER) AS n_years,
   regexp_matches(text, '(?i)(?:licen[cs]e[^\\n]*)') AS has_license
 FROM documents""")
+
+
+# --- sources, checks, incremental, confusion --------------------------------------------------------
+twin("read_table", "SELECT n_name, COUNT(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name")
+twin("fetch_by_key", """
+SELECT DISTINCT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker, l_suppkey AS suppkey,
+  CASE WHEN l_suppkey % 2 = 1 THEN 'NYSE' ELSE 'NASDAQ' END AS exchange FROM lineitem WHERE l_suppkey % 17 <> 0""")
+twin("price_profile", W(*PRICES, body="""
+SELECT ticker, COUNT(*) AS rows, MIN(close_price) AS min_value, MAX(close_price) AS max_value,
+  ROUND(AVG(close_price), 2) AS avg_value FROM daily GROUP BY ticker"""))
+twin("count_distinct", W(RAW_PRICES, body="SELECT COUNT(DISTINCT ticker) AS tickers FROM raw_prices"))
+twin("high_water", W(RAW_PRICES, DEDUP, body="SELECT ticker, MAX(trade_date) AS latest_date FROM dedup GROUP BY ticker"))
+twin("incremental", W(RAW_PRICES, DEDUP, body="""
+SELECT s.ticker, s.trade_date, s.close_price FROM dedup s
+LEFT JOIN (SELECT ticker, MAX(trade_date) AS hw FROM dedup
+           WHERE year(trade_date) < 2000 AND CAST(substr(ticker, 2, 10) AS INTEGER) % 9 <> 0 GROUP BY ticker) h
+  ON s.ticker = h.ticker
+WHERE s.trade_date > COALESCE(h.hw, DATE '1999-12-31' - 31) AND s.trade_date <= DATE '1999-12-31'"""))
+CONF = """p AS (SELECT s.*, CASE WHEN tip_amount IS NULL OR tip_amount <= th.q33 THEN 0 WHEN tip_amount <= th.q67 THEN 1
+  ELSE 2 END AS tip_category, CASE predicted_tip_category WHEN 'Low Tip' THEN 0 WHEN 'Medium Tip' THEN 1 ELSE 2 END
+  AS pred FROM scored s CROSS JOIN th)"""
+twin("confusion", W(*T, CONF, body="""
+SELECT tip_category, COUNT(*) FILTER (WHERE pred = 0) AS pred_0, COUNT(*) FILTER (WHERE pred = 1) AS pred_1,
+  COUNT(*) FILTER (WHERE pred = 2) AS pred_2 FROM p GROUP BY tip_category"""))
+twin("class_report", W(*T, CONF, body="""
+SELECT c.cls, ROUND(CASE WHEN COALESCE(pp.n, 0) > 0 THEN COALESCE(tp.tp, 0) / pp.n ELSE 0.0 END, 6) AS precision,
+  ROUND(CASE WHEN COALESCE(tp.support, 0) > 0 THEN tp.tp / tp.support ELSE 0.0 END, 6) AS recall,
+  ROUND(CASE WHEN (CASE WHEN COALESCE(pp.n, 0) > 0 THEN COALESCE(tp.tp, 0) / pp.n ELSE 0.0 END)
+                + (CASE WHEN COALESCE(tp.support, 0) > 0 THEN tp.tp / tp.support ELSE 0.0 END) > 0
+    THEN 2 * (CASE WHEN COALESCE(pp.n, 0) > 0 THEN COALESCE(tp.tp, 0) / pp.n ELSE 0.0 END)
+           * (CASE WHEN COALESCE(tp.support, 0) > 0 THEN tp.tp / tp.support ELSE 0.0 END)
+         / ((CASE WHEN COALESCE(pp.n, 0) > 0 THEN COALESCE(tp.tp, 0) / pp.n ELSE 0.0 END)
+           + (CASE WHEN COALESCE(tp.support, 0) > 0 THEN tp.tp / tp.support ELSE 0.0 END)) ELSE 0.0 END, 6) AS f1,
+  COALESCE(tp.support, 0) AS support,
+  ROUND((SELECT COUNT(*) FILTER (WHERE tip_category = pred) / COUNT(*) FROM p), 6) AS accuracy
+FROM (SELECT tip_category AS cls FROM p UNION SELECT pred FROM p) c
+LEFT JOIN (SELECT tip_category AS cls, COUNT(*) FILTER (WHERE tip_category = pred) AS tp, COUNT(*) AS support
+           FROM p GROUP BY 1) tp ON c.cls = tp.cls
+LEFT JOIN (SELECT pred AS cls, COUNT(*) AS n FROM p GROUP BY 1) pp ON c.cls = pp.cls"""))
