@@ -596,3 +596,93 @@ FROM (SELECT tip_category AS cls FROM p UNION SELECT pred FROM p) c
 LEFT JOIN (SELECT tip_category AS cls, COUNT(*) FILTER (WHERE tip_category = pred) AS tp, COUNT(*) AS support
            FROM p GROUP BY 1) tp ON c.cls = tp.cls
 LEFT JOIN (SELECT pred AS cls, COUNT(*) AS n FROM p GROUP BY 1) pp ON c.cls = pp.cls"""))
+
+
+# --- traces and responses ---------------------------------------------------------------------------
+SPANS = """spans AS (
+  SELECT user_id AS trace_id, event_id AS span_id,
+    CASE WHEN event_type IN ('click', 'purchase') THEN
+           ['get_valuation_score', 'compare_peers_tool', 'get_growth_trajectory', 'get_risk_summary',
+            'query_knowledge_assistant', 'execute_genie_space'][event_id % 6 + 1]
+         WHEN event_type = 'error' THEN ['mcp_genie_call', 'supervisor', 'planner', 'tool_router'][event_id % 4 + 1]
+         ELSE 'chat_completion' END AS name,
+    CASE WHEN event_type = 'view' THEN 'LLM' WHEN event_type IN ('click', 'purchase') THEN 'TOOL'
+         WHEN event_type = 'error' THEN 'AGENT' ELSE 'CHAT_MODEL' END AS span_type,
+    props || repeat('.', CAST(event_id % 700 AS INTEGER)) AS outputs,
+    CAST(ROUND(value * 1e6) AS BIGINT) AS dur_ns,
+    CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'OK' END AS status, ts
+  FROM events),
+calls AS (
+  SELECT trace_id, name, span_type, COALESCE(substr(outputs, 1, 500), '') AS outputs, dur_ns / 1e6 AS duration_ms,
+    COALESCE(status, 'UNKNOWN') AS status
+  FROM spans WHERE span_type = 'TOOL'
+    OR (span_type = 'AGENT' AND regexp_matches(lower(name), 'genie|query_|get_|compare_|mcp|tool')))"""
+CAT = """CASE WHEN regexp_matches(lower(name), 'genie|mcp.*genie|execute_genie|query_space_|poll_response_') THEN 'genie'
+  WHEN regexp_matches(lower(name), 'query_knowledge_assistant|ka|knowledge') THEN 'knowledge_assistant'
+  WHEN regexp_matches(lower(name), 'get_valuation_score|valuation') THEN 'valuation_score'
+  WHEN regexp_matches(lower(name), 'compare_peers|peer') THEN 'compare_peers'
+  WHEN regexp_matches(lower(name), 'get_growth_trajectory|growth') THEN 'growth_trajectory'
+  WHEN regexp_matches(lower(name), 'get_risk_summary|risk') THEN 'risk_summary' ELSE name END"""
+TOTALS = """tot AS (
+  SELECT l.trace_id, l.llm_calls, COALESCE(c.total_duration_ms, 0.0) AS total_duration_ms
+  FROM (SELECT trace_id, COUNT(*) FILTER (WHERE span_type IN ('LLM', 'CHAT_MODEL')) AS llm_calls FROM spans GROUP BY 1) l
+  LEFT JOIN (SELECT trace_id, SUM(duration_ms) AS total_duration_ms FROM calls GROUP BY 1) c ON l.trace_id = c.trace_id)"""
+EXPECTED = """expected AS (
+  SELECT DISTINCT user_id AS trace_id, [['genie'], ['valuation_score', 'compare_peers'],
+    ['knowledge_assistant', 'risk_summary']][user_id % 3 + 1] AS expected_tools FROM events
+  UNION ALL SELECT DISTINCT user_id + 100000, ['genie'] FROM events WHERE user_id % 10 = 0),
+found AS (SELECT trace_id, list_sort(list(DISTINCT cat)) AS tools_found
+  FROM (SELECT trace_id, """ + CAT + """ AS cat FROM calls) GROUP BY 1),
+val AS (
+  SELECT e.trace_id, COALESCE(f.tools_found, []) AS tools_found, list_sort(list_distinct(e.expected_tools)) AS expected_tools,
+    list_sort(list_filter(list_distinct(e.expected_tools), lambda x: NOT list_contains(COALESCE(f.tools_found, []), x)))
+      AS missing_tools,
+    list_sort(list_filter(COALESCE(f.tools_found, []), lambda x: NOT list_contains(e.expected_tools, x))) AS unexpected_tools,
+    COALESCE(t.total_duration_ms, 0.0) AS total_duration_ms, CAST(COALESCE(t.llm_calls, 0) AS BIGINT) AS llm_calls
+  FROM expected e LEFT JOIN found f ON e.trace_id = f.trace_id LEFT JOIN tot t ON e.trace_id = t.trace_id)"""
+twin("tool_calls", W(SPANS, body="SELECT * FROM calls"))
+twin("categorize", W(SPANS, body=f"SELECT span_id, name, {CAT} AS category FROM spans"))
+twin("trace_totals", W(SPANS, TOTALS, body="SELECT * FROM tot"))
+twin("tools_vs_expected", W(SPANS, TOTALS, EXPECTED, body="""
+SELECT trace_id, tools_found, expected_tools, missing_tools, unexpected_tools, len(missing_tools) = 0 AS success,
+  total_duration_ms, llm_calls FROM val"""))
+twin("validate_traces", W(SPANS, TOTALS, EXPECTED, body="""
+SELECT trace_id, len(missing_tools) = 0 AS success, CAST(len(missing_tools) AS INTEGER) AS n_missing,
+  CAST(len(unexpected_tools) AS INTEGER) AS n_unexpected, llm_calls FROM val"""))
+twin("latest_trace", W(SPANS, body="""
+SELECT CAST(ts AS DATE) AS day, arg_max(trace_id, (ts, trace_id)) AS trace_id, MAX(ts) AS ts FROM spans
+WHERE ts <= CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 12 HOUR
+  AND ts >= CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 11 HOUR + INTERVAL 55 MINUTE
+GROUP BY 1"""))
+RESP = """resp AS (
+  SELECT conv_id, turn, CASE WHEN conv_id % 7 = 3 THEN 'Error: ' || text ELSE text END AS t,
+    list_filter(string_split_regex(regexp_replace(COALESCE(prev_user, ''), '[^\\p{L}\\s]', '', 'g'), '\\s+'),
+                lambda x: x <> '')[1:2] AS expected_phrases
+  FROM (SELECT *, LAG(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_user FROM conversations)
+  WHERE role = 'assistant')"""
+twin("response_text", W(RESP, body="SELECT conv_id, turn, t AS text, t AS first_text FROM resp"))
+twin("missing_phrases", W(RESP, body="""
+SELECT conv_id, turn, list_sort(list_filter(expected_phrases, lambda e: NOT contains(lower(t), lower(e)))) AS missing,
+  len(list_filter(expected_phrases, lambda e: NOT contains(lower(t), lower(e)))) = 0 AS ok FROM resp"""))
+twin("score_responses", W(RESP, body="""
+SELECT COUNT(*) AS n, ROUND(AVG(length(t)), 4) AS mean_length,
+  ROUND(AVG(CASE WHEN starts_with(t, 'Error:') THEN 0 ELSE 1 END), 4) AS mean_no_error FROM resp"""))
+twin("run_summary", W(RESP, body="""
+SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE ok) AS passed, COUNT(*) FILTER (WHERE NOT ok) AS failed,
+  COUNT(*) FILTER (WHERE len(expected_phrases) > 0) AS validated, ROUND(SUM(length(t) / 1000.0), 3) AS total_seconds
+FROM (SELECT *, NOT starts_with(t, 'Error:')
+  AND len(list_filter(expected_phrases, lambda e: NOT contains(lower(t), lower(e)))) = 0 AS ok FROM resp)"""))
+twin("ellipsis", """
+SELECT 'ka-' || CAST(s_suppkey AS VARCHAR) AS id,
+  CASE WHEN length(i) > 50 THEN substr(i, 1, 50) || '...' ELSE i END AS i50,
+  CASE WHEN length(i) > 80 THEN substr(i, 1, 80) || '...' ELSE i END AS i80
+FROM (SELECT s_suppkey, 'Use the filings of ' || s_name || ' to answer. ' || repeat('Cite sources. ', CAST(s_suppkey % 12 AS INTEGER))
+  AS i FROM supplier)""")
+twin("with_details", """
+SELECT 'ka-' || CAST(s_suppkey AS VARCHAR) AS id, 'assistant_' || CAST(s_suppkey AS VARCHAR) AS name,
+  CASE WHEN s_suppkey % 3 <> 0 THEN 'success' ELSE 'error' END AS status,
+  CASE WHEN s_suppkey % 3 <> 0 THEN NULL ELSE 'NOT_FOUND' END AS error_code,
+  CASE WHEN s_suppkey % 3 <> 0 THEN NULL ELSE 'no detail for ka-' || CAST(s_suppkey AS VARCHAR) END AS error_message,
+  CASE WHEN s_suppkey % 3 <> 0 AND s_suppkey % 4 <> 0 THEN 'Answers questions for ' || s_name END AS description,
+  CASE WHEN s_suppkey % 3 <> 0 THEN 'ka-ep-' || CAST(s_suppkey AS VARCHAR) END AS endpoint_name
+FROM supplier""")
