@@ -68,10 +68,14 @@ def parse_docs(df: DataFrame, html: str = "html", key: str = "page_id") -> DataF
 
 # --- J2 classify -----------------------------------------------------------------------------------
 
-def classify(text, labels: Mapping[str, Sequence[str]]) -> Column:
+def classify(text, labels: Mapping[str, Sequence[str]], tokenized: bool = False) -> Column:
     """Label with the most keyword hits in the tokenised text; ties go
-    to the earlier label; no hit -> the last label (the catch-all)."""
-    toks = tokens(text)
+    to the earlier label; no hit -> the last label (the catch-all).
+
+    With ``tokenized=True`` ``text`` is an array of tokens computed once in
+    an earlier projection (see :func:`with_tokens`), so several classifiers
+    share one tokenisation of the whole text."""
+    toks = _c(text) if tokenized else tokens(text)
     names = list(labels)
 
     def hits(kws: Sequence[str]) -> Column:
@@ -87,6 +91,12 @@ def classify(text, labels: Mapping[str, Sequence[str]]) -> Column:
     return out
 
 
+def with_tokens(df: DataFrame, text: str, out: str = "_tokens") -> DataFrame:
+    """Tokenise once into a column (an expensive alias used by several later
+    expressions is not inlined again by the optimizer)."""
+    return df.withColumn(out, tokens(text))
+
+
 # Document-type and sector labels, and the keywords of our
 # keyword classifier (drawn from words that occur in the corpus).
 DOC_TYPE_LABELS = {

@@ -789,9 +789,9 @@ def q_parse_docs(spark, d):
 
 @query("classify")
 def q_classify(spark, d):
-    docs = Tables(spark, d).documents
-    return docs.select("doc_id", D.classify("text", D.DOC_TYPE_LABELS).alias("document_type"),
-                       D.classify("text", D.SECTOR_LABELS).alias("industry_sector"))
+    docs = D.with_tokens(Tables(spark, d).documents.select("doc_id", "text"), "text")
+    return docs.select("doc_id", D.classify("_tokens", D.DOC_TYPE_LABELS, tokenized=True).alias("document_type"),
+                       D.classify("_tokens", D.SECTOR_LABELS, tokenized=True).alias("industry_sector"))
 
 
 @query("extract")

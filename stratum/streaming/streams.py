@@ -41,9 +41,11 @@ def run_available(df: DataFrame, out: str, ckpt: str) -> None:
 def bronze(docs: DataFrame) -> DataFrame:
     """I1 body (batch and stream): parse once, then two classifications that
     reuse the parsed column."""
-    parsed = docs.select("doc_id", "source", "lang", D.html_text("text").alias("parsed_content"))
-    return parsed.select("*", D.classify("parsed_content", D.DOC_TYPE_LABELS).alias("document_type"),
-                         D.classify("parsed_content", D.SECTOR_LABELS).alias("industry_sector"),
+    parsed = D.with_tokens(docs.select("doc_id", "source", "lang", D.html_text("text").alias("parsed_content")),
+                           "parsed_content")
+    return parsed.select("doc_id", "source", "lang", "parsed_content",
+                         D.classify("_tokens", D.DOC_TYPE_LABELS, tokenized=True).alias("document_type"),
+                         D.classify("_tokens", D.SECTOR_LABELS, tokenized=True).alias("industry_sector"),
                          F.current_timestamp().alias("_ingested_at"))
 
 

@@ -246,7 +246,12 @@ def fw(name, body, *extra):
 
 
 def sw(name, body, *extra):
-    twin(name, W(*PRICES, *FINS, STOCK, *extra, body=body))
+    b = body.lstrip()
+    if b.startswith("WITH "):
+        twin(name, W(*PRICES, *FINS, STOCK, *extra, b[5:].split("\nSELECT v.ticker", 1)[0],
+                     body="SELECT v.ticker" + b.split("\nSELECT v.ticker", 1)[1]))
+    else:
+        twin(name, W(*PRICES, *FINS, STOCK, *extra, body=body))
 
 
 fw("company_registry", "SELECT * FROM registry")
@@ -686,3 +691,34 @@ SELECT 'ka-' || CAST(s_suppkey AS VARCHAR) AS id, 'assistant_' || CAST(s_suppkey
   CASE WHEN s_suppkey % 3 <> 0 AND s_suppkey % 4 <> 0 THEN 'Answers questions for ' || s_name END AS description,
   CASE WHEN s_suppkey % 3 <> 0 THEN 'ka-ep-' || CAST(s_suppkey AS VARCHAR) END AS endpoint_name
 FROM supplier""")
+
+
+# --- remaining string / assistant / recommendation twins --------------------------------------------
+twin("sanitize", """
+WITH a AS (SELECT 'ka-' || CAST(s_suppkey AS VARCHAR) AS id,
+  '  ' || COALESCE(CASE WHEN s_suppkey % 5 <> 0 THEN s_name END, '') || ' -- KA #' AS n FROM supplier),
+b AS (SELECT id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(n, ' ', '_', 'g'),
+  '[^a-zA-Z0-9_-]', '_', 'g'), '[_-]{2,}', '_', 'g'), '^[_-]+|[_-]+$', '', 'g') AS s FROM a)
+SELECT id, COALESCE(NULLIF(s, ''), 'knowledge_assistant') AS safe_name FROM b""")
+twin("source_name", """
+SELECT page_id, translate(string_split(regexp_replace(regexp_extract(url, '^https?://[^/]+(/[^?#]*)', 1), '/+$', ''),
+  '/')[-1], ' .', '__') AS source_name FROM pages""")
+twin("format_assistants", """
+SELECT 'ka-' || CAST(s_suppkey AS VARCHAR) AS id,
+  COALESCE(CASE WHEN s_suppkey % 5 <> 0 THEN s_name END, 'assistant_' || CAST(s_suppkey AS VARCHAR), '') AS display_name,
+  COALESCE(CASE WHEN s_suppkey % 4 <> 0 THEN 'Answers questions for ' || s_name END, '') AS description,
+  'ka-ep-' || CAST(s_suppkey AS VARCHAR) AS endpoint_name, CAST(s_suppkey % 3 AS INTEGER) AS knowledge_base_count,
+  CASE WHEN length(i) > 100 THEN substr(i, 1, 100) || '...' ELSE i END AS instructions_preview
+FROM (SELECT *, 'Use the filings of ' || s_name || ' to answer. ' || repeat('Cite sources. ', CAST(s_suppkey % 12 AS INTEGER))
+  AS i FROM supplier)""")
+sw("recommend", f"""
+WITH v AS (SELECT f.ticker, f.fiscal_year, CAST({PE} + {GR} + {MG} AS INTEGER) AS valuation_score
+           FROM fin f JOIN stock s ON f.ticker = s.ticker),
+o AS (SELECT ticker, SUM(valuation_score) AS s, COUNT(valuation_score) AS n FROM v GROUP BY ticker),
+t AS (SELECT SUM(valuation_score) AS s, COUNT(valuation_score) AS n FROM v),
+p AS (SELECT o.ticker, (t.s - COALESCE(o.s, 0)) / NULLIF(t.n - o.n, 0) AS pa FROM o CROSS JOIN t)
+SELECT v.ticker, v.fiscal_year, v.valuation_score,
+  CASE WHEN v.valuation_score >= 70 THEN 'BUY' WHEN v.valuation_score >= 40 THEN 'HOLD' ELSE 'SELL' END AS recommendation,
+  CASE WHEN v.valuation_score > p.pa THEN 'ABOVE' ELSE 'BELOW' END AS versus_peer,
+  ROUND(abs(v.valuation_score - p.pa), 2) AS peer_diff
+FROM v JOIN p ON v.ticker = p.ticker""")
