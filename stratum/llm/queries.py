@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import documents, ship
+from stratum.session import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.packing import pack_documents
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", end_id=2, capacity=4096)
+
+
+def op3_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.simple8b import read_token_files, write_token_files
+    docs = _table(spark, sf_dir, "documents")
+    path = shared_dir(spark, "token-files")
+    write_token_files(docs, path, tokenizer="byte_bpe_50k.json", end_id=0)
+    return read_token_files(spark.read.parquet(path))
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.topk import top_k
     return top_k(_table(spark, sf_dir, "embeddings"), k=10, scale=1024.0, every=100)
@@ -34,6 +48,8 @@ def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cost_packing": op1_cost_packing,
+    "op3_simple8b_tokens": op3_simple8b_tokens,
     "op4_exact_topk": op4_exact_topk,
     "op7_embedding_neardup": op7_embedding_neardup,
     "op9_simhash_neardup": op9_simhash_neardup,
