@@ -34,6 +34,12 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), k=10, scale=1024.0, every=100)
 
 
+def op6_column_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.substrings import remove_repeats
+    found = remove_repeats(_table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.neardup import near_vectors
     found = near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
@@ -51,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cost_packing": op1_cost_packing,
     "op3_simple8b_tokens": op3_simple8b_tokens,
     "op4_exact_topk": op4_exact_topk,
+    "op6_column_bwt_dedup": op6_column_bwt_dedup,
     "op7_embedding_neardup": op7_embedding_neardup,
     "op9_simhash_neardup": op9_simhash_neardup,
 }
