@@ -11,12 +11,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum.session import shared_dir
 
 # The white space that separates words, as bytes.
+LAST_ID = (1 << 63) - 1  # stands for a null doc_id in keys
 WORD_BREAKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
@@ -44,6 +45,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns k and twin that tell its rows apart and order them by doc_id.
+
+    k is the doc_id, or the largest long for a null one.  twin is 0 where no
+    doc_id repeats or is null, else the row's number among those of its doc_id,
+    by text hash; the returned key columns then include it.
+    """
+    ids = docs.select("doc_id")
+    k = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("k")
+    if ids.where("doc_id IS NULL").isEmpty() and ids.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.select("*", k, F.lit(0).cast("long").alias("twin")), ["k"]
+    place = F.row_number().over(Window.partitionBy("k").orderBy(F.xxhash64("text"), "text"))
+    return docs.select("*", k).withColumn("twin", place.cast("long")), ["k", "twin"]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
@@ -91,6 +107,44 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def lower_ascii() -> np.ndarray:
+    """Table that lower-cases A-Z in UTF-8 bytes."""
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] += 32
+    return table
+
+
+_POWERS: dict[tuple[int, int], np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 ... base^(n-1) modulo 2^64, kept for the worker."""
+    size = 1 << max(10, (n - 1).bit_length())
+    if (base, size) not in _POWERS:
+        out = np.full(size, base, np.uint64)
+        out[0] = 1
+        _POWERS[base, size] = np.multiply.accumulate(out)
+    return _POWERS[base, size][:n]
+
+
+HASH_BASE = 0x9E3779B97F4A7C15
+HASH_INVERSE = pow(HASH_BASE, -1, 1 << 64)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit hash of each slice of ``data``; equal slices hash alike wherever they lie."""
+    n = len(data)
+    prefix = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(HASH_BASE, n), dtype=np.uint64, out=prefix[1:])
+    h = (prefix[ends] - prefix[starts]) * powers(HASH_INVERSE, n + 1)[starts]
+    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A spanning star for each component of the links (u, v): (node, smallest node) for all other nodes."""
     nodes, flat = np.unique(np.concatenate([u, v]), return_inverse=True)

@@ -21,6 +21,12 @@ def op1_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", end_id=2, capacity=4096)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.lines import dedup_lines
+    found = dedup_lines(_table(spark, sf_dir, "documents"), min_chars=40)
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op3_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.simple8b import read_token_files, write_token_files
     docs = _table(spark, sf_dir, "documents")
@@ -34,6 +40,13 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), k=10, scale=1024.0, every=100)
 
 
+def op5_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.classify import resample
+    scored, last = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    kept = F.col("key").isNotNull() if last is None else F.coalesce(F.col("key") >= F.lit(last), F.lit(False))
+    return scored.select("doc_id", "log_weight", "key", kept.alias("kept"))
+
+
 def op6_column_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.substrings import remove_repeats
     found = remove_repeats(_table(spark, sf_dir, "documents"), length=100)
@@ -46,6 +59,12 @@ def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.mixing import mix
+    found = mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0)
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
 def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.simhash import simhash_components
     ship(spark)
@@ -53,14 +72,14 @@ def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_cost_packing": op1_cost_packing,
-    "op3_simple8b_tokens": op3_simple8b_tokens,
-    "op4_exact_topk": op4_exact_topk,
-    "op6_column_bwt_dedup": op6_column_bwt_dedup,
-    "op7_embedding_neardup": op7_embedding_neardup,
-    "op9_simhash_neardup": op9_simhash_neardup,
-}
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.chunks import dedup_chunks
+    return dedup_chunks(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_cost_packing, op2_line_dedup, op3_simple8b_tokens, op4_exact_topk, op5_quality_resampling, op6_column_bwt_dedup,
+    op7_embedding_neardup, op8_pivotal_mix, op9_simhash_neardup, op10_chunk_dedup)}
 
 _VALID = """embedding IS NOT NULL AND NOT list_contains(list_transform(embedding,
               x -> x IS NULL OR isnan(x) OR isinf(x)), true)"""

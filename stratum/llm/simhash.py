@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import components, forest, text_slices, word_bounds, written
+from stratum.llm.common import components, forest, lower_ascii, text_slices, word_bounds, written
 
 SAMPLE = 2000      # fingerprints behind the choice of parts; affects cost only
 BUCKET = 2048      # a signature with more fingerprints is compared in blocks of this size
@@ -35,8 +35,7 @@ def _simhash(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int) ->
     import xxhash
     n_docs = len(offsets) - 1
     out = np.zeros(n_docs, np.uint64)
-    lower = np.arange(256, dtype=np.uint8)
-    lower[65:91] += 32
+    lower = lower_ascii()
     lower[9:14] = 32
     data = lower[data]
     starts, ends, doc = word_bounds(data, offsets)

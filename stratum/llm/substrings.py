@@ -21,7 +21,7 @@ Every byte covered by a string of ``length`` bytes that also starts earlier
 
 Defined cases: a null or empty text has no bytes; null doc_ids come after all
 others; rows of one doc_id follow each other by text hash; of identical rows one
-is the first and the others are repeats; an empty table gives no rows.
+is the first and the others repeat it; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,29 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import text_slices, written
+from stratum.llm.common import HASH_BASE, LAST_ID, keyed, mix, span_hashes, text_slices, written
 
 KMER = 32
 HOT = 4096
 SLICE = 4 << 20       # bytes of text whose equal segments are combined before the shuffle
 RUN = 1 << 15         # segments whose columns are built together, unless one anchor has more
 _STEP = 1 << 19
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_LAST = (1 << 63) - 1
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
-
-
 def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Runs of windows with one anchor: (document, first window, last window, anchor, anchor hash, segment hash).
 
@@ -65,17 +49,15 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     """
     width = length - KMER + 1
     found: list[tuple[np.ndarray, ...]] = []
-    up, down = _powers(_BASE, _STEP + length + 1), _powers(_INVERSE, _STEP + length + 1)
     for lo in range(0, max(0, len(data) - length + 1), _STEP):
         part = data[lo:lo + _STEP + length - 1]
         if len(part) < length:
             break
-        h, w, b = part.astype(np.uint64) + np.uint64(1), 1, int(_BASE)
-        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:len(h)], dtype=np.uint64)])
+        h, w, b = part.astype(np.uint64) + np.uint64(1), 1, HASH_BASE
         while w < KMER:
             h = h[:-w] * np.uint64(b) + h[w:]
             w, b = 2 * w, b * b % (1 << 64)
-        h = _mix(h)
+        h = mix(h)
         tag = (h & ~np.uint64((1 << 20) - 1)) | np.arange(len(h), dtype=np.uint64)
         w = 1
         while 2 * w <= width:
@@ -91,8 +73,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
         new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
         first = np.flatnonzero(new & fine)
         stop = np.flatnonzero(fine & np.append((new | ~fine)[1:], True))
-        seg = (prefix[stop + length] - prefix[first]) * down[first]
-        seg = _mix(seg + (stop - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        seg = span_hashes(part, first, stop + length)
         found.append((doc[first], first + lo, stop + lo, at[first] + lo, h[at[first]], seg))
     if not found:
         z = np.zeros(0, np.int64)
@@ -101,40 +82,39 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
 
 
 _MARKS = "k long, twin long, a long, b long"
-_ROWS = "hash long, seg long, k long, twin long, pos long, last int, lead int"
+ROWS = "hash long, seg long, k long, twin long, pos long, last int, lead int"
+
+
+def combine(h: np.ndarray, seg: np.ndarray, k: np.ndarray, twin: np.ndarray, pos: np.ndarray, size: np.ndarray,
+            lead: np.ndarray, length: int) -> pa.RecordBatch:
+    """Rows as in ROWS: the first of each equal (h, seg) of a slice, and the joined spans of its later copies (last -1, seg the end)."""
+    order = np.lexsort((pos, twin, k, seg, h))
+    h, seg, k, twin, pos, size, lead = (x[order] for x in (h, seg, k, twin, pos, size, lead))
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (seg[1:] != seg[:-1])
+    later = ~new
+    a, b, dk, dt = joined(k[later], twin[later], pos[later], (pos + size)[later] + length)
+    none = np.full(len(a), -1, np.int64)
+    cols = [np.concatenate([h[new].view(np.int64), mix((a * 31 + dk).view(np.uint64)).view(np.int64)]),
+            np.concatenate([seg[new].view(np.int64), b]), np.concatenate([k[new], dk]), np.concatenate([twin[new], dt]),
+            np.concatenate([pos[new], a]), np.concatenate([size[new], none]), np.concatenate([lead[new], 0 * none])]
+    kinds = [np.int64] * 5 + [np.int32] * 2
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, kinds)],
+                                      names=["hash", "seg", "k", "twin", "pos", "last", "lead"])
 
 
 def _scan(length: int):
-    """Segments of each slice: one row for each different segment, and the spans of its later copies."""
+    """Segments of each slice, equal ones combined."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_slices(batches, limit=SLICE):
             doc, first, stop, at, h, seg = segments(data, offsets, length)
-            if not len(doc):
-                continue
-            k = rows.column(0).to_numpy()[doc]
-            twin = rows.column(1).to_numpy()[doc]
-            pos = first - offsets[doc]
-            order = np.lexsort((pos, twin, k, seg, h))
-            h, seg, k, twin, pos, doc, first, stop, at = (x[order] for x in (h, seg, k, twin, pos, doc, first, stop, at))
-            lead = np.ones(len(h), bool)
-            lead[1:] = (h[1:] != h[:-1]) | (seg[1:] != seg[:-1])
-            head = np.flatnonzero(lead)[np.cumsum(lead) - 1]
-            later = ~lead & ((k != k[head]) | (twin != twin[head]) | (pos != pos[head]))
-            a, b, dk, dt = _joined(k[later], twin[later], pos[later], (stop - offsets[doc])[later] + length)
-            m = len(a)
-            none = np.full(m, -1, np.int32)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([h[lead].view(np.int64), a * 31 + dk])),
-                pa.array(np.concatenate([seg[lead].view(np.int64), b])),
-                pa.array(np.concatenate([k[lead], dk])), pa.array(np.concatenate([twin[lead], dt])),
-                pa.array(np.concatenate([pos[lead], a])),
-                pa.array(np.concatenate([(stop - first)[lead].astype(np.int32), none])),
-                pa.array(np.concatenate([(at - first)[lead].astype(np.int32), np.zeros(m, np.int32)]))],
-                names=["hash", "seg", "k", "twin", "pos", "last", "lead"])
+            if len(doc):
+                k, twin = (rows.column(i).to_numpy()[doc] for i in (0, 1))
+                yield combine(h, seg, k, twin, first - offsets[doc], stop - first, at - first, length)
     return run
 
 
-def _joined(k: np.ndarray, twin: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+def joined(k: np.ndarray, twin: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     """Overlapping or touching spans of each document as one: (from, to, k, twin)."""
     if not len(a):
         return a, b, k, twin
@@ -151,7 +131,7 @@ def _joined(k: np.ndarray, twin: np.ndarray, a: np.ndarray, b: np.ndarray) -> tu
     return a[first], reach[np.append(first[1:], len(a)) - 1], k[first], twin[first]
 
 
-def _sift(length: int):
+def sift(length: int):
     """Rows sorted by (hash, seg, k, twin, pos): spans of later copies, and the first of each segment whose anchor has others.
 
     Output rows have kind 0 (a span: pos, last as its end) or 1 (a segment).
@@ -290,7 +270,7 @@ def _columns(length: int):
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for k, raw, spans, copies in zip(*(c.to_pylist() for c in batch.columns)):
+        for k, raw, spans in zip(*(c.to_pylist() for c in batch.columns)):
             merged: list[list[int]] = []
             for s in sorted((s["a"], s["b"]) for s in spans or []):
                 if merged and s[0] <= merged[-1][1]:
@@ -316,29 +296,22 @@ def remove_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFr
     ``spans`` are the removed runs as (a, b), byte positions from a up to b;
     ``length`` must be over 32.
     """
-    ids = docs.select("doc_id")
-    single = ids.where("doc_id IS NULL").isEmpty() and ids.groupBy("doc_id").count().where("count > 1").isEmpty()
-    # the twin tells rows of one doc_id apart; without such rows it is a constant
-    twin = F.lit(0).cast("long") if single else F.xxhash64("text")
-    base = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("k"), twin.alias("twin"),
-                       F.coalesce("text", F.lit("")).alias("text"))
-    rows = base.mapInArrow(_scan(length), _ROWS)
+    base, keys = keyed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    base = base.select("k", "twin", "text")
+    rows = base.mapInArrow(_scan(length), ROWS)
     rows = rows.repartition("hash").sortWithinPartitions("hash", "seg", "k", "twin", "pos")
-    sifted = written(rows.mapInArrow(_sift(length), "kind long, hash long, k long, twin long, pos long, last long, lead long"),
+    sifted = written(rows.mapInArrow(sift(length), "kind long, hash long, k long, twin long, pos long, last long, lead long"),
                      "repeats-anchors")
     spans = sifted.where("kind = 0").select("k", "twin", F.col("pos").alias("a"), F.col("last").alias("b"))
     need = sifted.where("kind = 1")
     many = written(need.groupBy("hash").count().where(F.col("count") > hot).select("hash", F.lit(True).alias("hot")), "repeats-hot")
     need = need.join(many, "hash", "left")
-    keys = ["k"] if single else ["k", "twin"]
     wanted = need.groupBy(*keys).agg(F.collect_list(F.struct("hash", "pos", "last", "lead", "hot")).alias("want"))
     texts = base.select(*keys, F.col("text").cast("binary").alias("raw"))
-    if not single:
-        texts = texts.groupBy(*keys).agg(F.first("raw").alias("raw"), F.count("*").alias("copies"))
     cut = texts.join(wanted, keys).select(*keys, F.explode(F.transform("want", lambda x: F.struct(
         x["hash"].alias("hash"), x["pos"].alias("pos"), x["lead"].cast("long").alias("lead"), x["hot"].alias("hot"),
         F.substring(F.col("raw"), (x["pos"] + 1).cast("int"), (x["last"] + length).cast("int")).alias("bytes")))).alias("x"))
-    cut = written(cut.select("k", F.lit(0).cast("long").alias("twin") if single else F.col("twin"), "x.*"), "repeats-segments")
+    cut = written(cut.select("k", F.col("twin") if "twin" in keys else F.lit(0).cast("long").alias("twin"), "x.*"), "repeats-segments")
     plain = cut.where("hot IS NULL").select("hash", "k", "twin", "pos", "lead", "bytes")
     marks = plain.repartition("hash").sortWithinPartitions("hash").mapInArrow(_columns(length), _MARKS)
     # windows of anchors with very many segments
@@ -352,16 +325,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFr
         .select("k", "twin", "a", (F.col("a") + length).alias("b"))
     marks = written(spans.union(marks).union(later), "repeats-marks")
     per = marks.groupBy(*keys).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    rows = texts.join(per, keys, "left").select("k", "raw", "spans", F.lit(1).alias("copies") if single else "copies")
+    rows = texts.join(per, keys, "left").select("k", "raw", "spans")
     kind = "k long, n_bytes long, n_removed long, spans array<struct<a: long, b: long>>, kept_sha256 string"
-    doc_id = F.when(F.col("k") != _LAST, F.col("k")).alias("doc_id")
-    if single:
-        return rows.mapInArrow(_finish, kind).select(doc_id, "n_bytes", "n_removed", "spans", "kept_sha256")
-    out = rows.mapInArrow(_finish, kind)
-    again = rows.where("copies > 1").select("k", F.length("raw").cast("long").alias("n"), "raw", F.explode(F.sequence(F.lit(2), F.col("copies"))))
-    whole = F.col("n") >= length
-    again = again.select("k", F.col("n").alias("n_bytes"), F.when(whole, F.col("n")).otherwise(0).alias("n_removed"),
-                         F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))))
-                         .otherwise(F.array().cast("array<struct<a: long, b: long>>")).alias("spans"),
-                         F.sha2(F.when(whole, F.lit(b"")).otherwise(F.col("raw")), 256).alias("kept_sha256"))
-    return out.union(again).select(doc_id, "n_bytes", "n_removed", "spans", "kept_sha256")
+    return rows.mapInArrow(_finish, kind).select(F.when(F.col("k") != LAST_ID, F.col("k")).alias("doc_id"),
+                                                 "n_bytes", "n_removed", "spans", "kept_sha256")
