@@ -154,10 +154,11 @@ def fill_defaults(df: DataFrame, spec: Mapping[str, object], numeric: Sequence[s
         df = df.withColumn(c, F.col(c).try_cast("double"))
     med_cols = [c for c, v in spec.items() if v == "median"]
     if med_cols:
-        meds = df.agg(*[F.median(c).alias(f"_med_{c}") for c in med_cols])
-        df = df.crossJoin(F.broadcast(meds))  # one row: bounded
+        from stratum.operators.timeseries import exact_quantiles
         for c in med_cols:
-            df = df.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}"))).drop(f"_med_{c}")
+            med = exact_quantiles(df, c, [0.5]).withColumnRenamed("q0", "_med")
+            df = df.crossJoin(F.broadcast(med))  # one row: bounded
+            df = df.withColumn(c, F.coalesce(F.col(c), F.col("_med"))).drop("_med")
     consts = {c: v for c, v in spec.items() if v != "median"}
     for c, v in consts.items():
         df = df.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
@@ -281,7 +282,9 @@ def tags_map(tags) -> Column:
     """List of {key, value} -> map; entries without a key are dropped
     (a repeated key keeps its last value)."""
     kept = F.filter(_c(tags), lambda t: t["key"].isNotNull() & (t["key"] != ""))
-    return F.map_from_entries(F.transform(kept, lambda t: F.struct(t["key"].alias("key"),
+    keys = F.transform(kept, lambda t: t["key"])
+    last = F.filter(kept, lambda t, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), t["key"]))
+    return F.map_from_entries(F.transform(last, lambda t: F.struct(t["key"].alias("key"),
                                                                       t["value"].alias("value"))))
 
 
@@ -311,18 +314,21 @@ RESPONSE_DDL = ("struct<output:array<struct<type:string,"
 
 def response_text(js, first_only: bool = False) -> Column:
     """Texts of ``output_text`` parts of ``message`` items of a response
-    JSON, joined with a newline (``first_only``: the first such text)."""
+    JSON, joined with a newline (``first_only``: the first such text). Without
+    any such text the raw output, or the whole answer if it has none."""
     parsed = F.from_json(_c(js), RESPONSE_DDL)
     msgs = F.filter(parsed["output"], lambda o: o["type"] == "message")
     texts = F.flatten(F.transform(msgs, lambda m: F.transform(
-        F.filter(m["content"], lambda c: c["type"] == "output_text"), lambda c: c["text"])))
-    return F.get(texts, 0) if first_only else F.array_join(texts, "\n")
+        F.filter(m["content"], lambda c: c["type"] == "output_text"), lambda c: F.coalesce(c["text"], F.lit("")))))
+    found = F.get(texts, 0) if first_only else F.array_join(texts, "\n")
+    raw = F.coalesce(F.get_json_object(_c(js), "$.output"), _c(js), F.lit(""))
+    return F.when(F.size(texts) > 0, found).otherwise(raw)
 
 
 def missing_phrases(text, expected) -> Column:
-    """Expected phrases not contained in text (case-insensitive)."""
-    t = F.lower(_c(text))
-    return F.filter(_c(expected), lambda e: ~F.contains(t, F.lower(e)))
+    """Expected phrases not contained in text (case-insensitive); a NULL text contains none."""
+    t = F.lower(F.coalesce(_c(text), F.lit("")))
+    return F.filter(F.coalesce(_c(expected), F.array().cast("array<string>")), lambda e: ~F.contains(t, F.lower(e)))
 
 
 def error_free(text) -> Column:

@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.operators.timeseries import exact_quantiles
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -131,25 +133,23 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75),
               by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles (linear interpolation) and the median.
 
-    ``percentile`` is exact; at very large scale use ``percentile_approx``
-    (bounded memory per group) by passing ``approx=True`` to ``quantiles_approx``."""
-    g = df.groupBy(*by) if by else df.groupBy()
-    return g.agg(F.median(col).alias("median"),
-                 *[F.percentile(col, q).alias(f"q{int(round(q * 100)):02d}") for q in qs])
-
-
-def quantiles_approx(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75),
-                     accuracy: int = 10000) -> DataFrame:
-    """D14 (scale form): bounded-memory approximate quantiles."""
-    return df.agg(F.percentile_approx(col, list(qs), accuracy).alias("quantiles"))
+    Over all rows by distributed counting (:func:`exact_quantiles`), per group
+    by the exact ``percentile`` aggregate, whose state is the group's distinct
+    values."""
+    names = [f"q{int(round(q * 100)):02d}" for q in qs]
+    if by:
+        return df.groupBy(*by).agg(F.median(col).alias("median"), *[F.percentile(col, q).alias(n) for q, n in zip(qs, names)])
+    row = exact_quantiles(df, col, [0.5, *qs])
+    return row.select(F.col("q0").alias("median"), *[F.col(f"q{i + 1}").alias(n) for i, n in enumerate(names)])
 
 
 def run_summary(results: DataFrame, passed: str = "passed", validated: str = "validated",
                 seconds: str = "duration_s") -> DataFrame:
-    """Total / passed / failed / validated / total seconds (one row)."""
+    """Total / passed / failed / validated / total seconds (one row); a
+    result without a verdict has failed."""
     return results.agg(F.count(F.lit(1)).alias("total"),
                        F.count_if(F.col(passed)).alias("passed"),
-                       F.count_if(~F.col(passed)).alias("failed"),
+                       (F.count(F.lit(1)) - F.count_if(F.col(passed))).alias("failed"),
                        F.count_if(F.col(validated)).alias("validated"),
                        F.round(F.sum(seconds), 3).alias("total_seconds"))
 

@@ -147,14 +147,10 @@ def extract(text, rules: Mapping[str, tuple[str, str]] | None = None) -> Column:
 # --- J5 sync ------------------------------------------------------------------------------------
 
 def sync_source(files: DataFrame, manifest: DataFrame, key: str = "path",
-                min_chars: int = 50) -> tuple[DataFrame, DataFrame]:
-    """Files not yet in the processed ``manifest`` (left anti join) with a
-    status (success / skipped when shorter than ``min_chars`` / failed
-    when empty), and the D21 status totals."""
-    new = files.join(manifest.select(key), key, "left_anti")
-    status = (F.when(F.col("n_chars").isNull() | (F.col("n_chars") == 0), "failed")
-              .when(F.col("n_chars") < min_chars, "skipped").otherwise("success"))
-    new = new.withColumn("status", status)
+                status: str = "status") -> tuple[DataFrame, DataFrame]:
+    """Files not yet in the processed ``manifest`` (left anti join) with the
+    status their index run gave them, and the D21 status totals."""
+    new = files.join(manifest.select(key), key, "left_anti").withColumnRenamed(status, "status")
     return new, A.index_status(new)
 
 
@@ -194,8 +190,13 @@ def retrieve(questions: DataFrame, docs: DataFrame, k: int = 3, qkey: str = "ite
 
 # --- J7 history ---------------------------------------------------------------------------------------
 
-def with_history(conv: DataFrame, key: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Every turn with the list of all earlier turns (role, content)."""
-    w = Window.partitionBy(key).orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
-    hist = F.collect_list(F.struct(F.col(turn).alias("turn"), F.col("role"), F.col("text").alias("content"))).over(w)
-    return conv.select(key, turn, "role", F.coalesce(hist, F.array()).alias("messages"))
+def with_history(conv: DataFrame, key: str = "conv_id", turn: str = "turn", block: int = 256) -> DataFrame:
+    """One row per block of ``block`` turns of a conversation, its messages
+    in order as (turn, role, content), and ``earlier``, the number of turns
+    before the block. A turn's history is the blocks before its own and the
+    messages before it in its block: the output grows with the turns, and a
+    very long conversation is many rows. Turns are numbered in order of ``turn``."""
+    placed = conv.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(turn)) - 1)
+    return placed.groupBy(key, F.floor(F.col("_n") / block).alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(turn).alias("turn"), F.col("role"), F.col("text").alias("content")))).alias("messages"),
+        F.min("_n").cast("bigint").alias("earlier"))

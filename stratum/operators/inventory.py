@@ -57,16 +57,17 @@ def endpoint_category(entity_type: Column, ent: Column, has_legacy: Column, endp
 
 
 def model_type(problem_type: Column, entity_type: Column, name: Column, entity_name: Column,
-               task: Column, provider: Column) -> Column:
+               model_name: Column, task: Column, provider: Column) -> Column:
     """K2: the model_type ladder (tile problem type first, then entity type)."""
     out = None
     for pt, label in TILE_MODEL_TYPES.items():
         out = F.when(problem_type == pt, label) if out is None else out.when(problem_type == pt, label)
     has_task = F.coalesce(task, F.lit("")) != ""
+    system_ai = S.has_prefix(F.coalesce(entity_name, F.lit("")), SYSTEM_AI_PREFIX) | \
+        S.has_prefix(F.coalesce(model_name, F.lit("")), SYSTEM_AI_PREFIX)
     return (out.when((entity_type == "FOUNDATION_MODEL") & name.startswith(PAY_PER_TOKEN_PREFIX), FM_PPT)
             .when(entity_type == "PT_FOUNDATION_MODEL", FM_PT)
-            .when((entity_type == "UC_MODEL") & F.coalesce(entity_name, F.lit("")).startswith(SYSTEM_AI_PREFIX),
-                  UC_SYSTEM_AI)
+            .when((entity_type == "UC_MODEL") & system_ai, UC_SYSTEM_AI)
             .when((entity_type == "UC_MODEL") & ~has_task, CLASSIC_ML)
             .when(entity_type == "UC_MODEL", UC_AGENTS)
             .when((entity_type == "EXTERNAL_MODEL") & (F.coalesce(provider, F.lit("")) == "custom"), EXT_CUSTOM)
@@ -76,14 +77,16 @@ def model_type(problem_type: Column, entity_type: Column, name: Column, entity_n
 
 
 def gateway_settings(gw: Column) -> Column:
-    """K4: tracking flag, inference table catalog / schema, rate-limit count,
-    guardrails flag, from the gateway sub-object (absent -> defaults)."""
+    """K4: tracking flag, inference table catalog / schema, rate limits and
+    their count, guardrails flag, from the gateway sub-object (absent ->
+    defaults; guardrails without any setting are off)."""
     return F.struct(
         F.coalesce(gw["inference_table_config"]["enabled"], F.lit(False)).alias("usage_tracking_enabled"),
         gw["inference_table_config"]["catalog_name"].alias("inference_table_catalog"),
         gw["inference_table_config"]["schema_name"].alias("inference_table_schema"),
         S.list_size(gw["rate_limits"]).alias("rate_limits_count"),
-        gw["guardrails"].isNotNull().alias("guardrails_enabled"))
+        F.coalesce(gw["rate_limits"], F.array()).alias("rate_limits"),
+        (F.coalesce(F.to_json(gw["guardrails"]), F.lit("{}")) != "{}").alias("guardrails_enabled"))
 
 
 def flatten_endpoints(raw: DataFrame, fast: bool = False) -> DataFrame:
@@ -97,8 +100,17 @@ def flatten_endpoints(raw: DataFrame, fast: bool = False) -> DataFrame:
         .when(legacy.isNotNull(), F.lit("SERVED_MODEL")).otherwise(F.lit("unknown"))
     provider = F.when(ent["external_model"].isNotNull(), ent["external_model"]["provider"]) \
         .when(ent["foundation_model"].isNotNull() | (et == "PT_FOUNDATION_MODEL"), F.lit("databricks"))
-    model_name = F.coalesce(ent["external_model"]["name"], ent["foundation_model"]["name"], ent["entity_name"],
-                            legacy["model_name"], F.lit(""))
+    # a type that names its kind of model decides where the name stands; other types are told by what is there
+    named = (F.when(et == "EXTERNAL_MODEL", ent["external_model"]["name"])
+             .when(et.isin("FOUNDATION_MODEL", "PT_FOUNDATION_MODEL"), ent["foundation_model"]["name"])
+             .when(et.isin("CUSTOM_MODEL", "FEATURE_SPEC"), ent["name"])
+             .when(ent["external_model"].isNotNull(), ent["external_model"]["name"])
+             .when(ent["foundation_model"].isNotNull(), ent["foundation_model"]["name"])
+             .when(legacy.isNotNull(), legacy["name"]))
+    model_name = F.coalesce(named, F.lit(""))
+    has_own = et.isin("CUSTOM_MODEL", "FEATURE_SPEC") | (~et.isin("EXTERNAL_MODEL", "FOUNDATION_MODEL", "PT_FOUNDATION_MODEL")
+                                                         & ent["external_model"].isNull() & ent["foundation_model"].isNull())
+    registered = F.when(ent.isNotNull() & has_own, ent["entity_name"]).when(ent.isNull(), legacy["model_name"])
     gw = gateway_settings(F.col("config.ai_gateway"))
     flat = raw.select(
         "name", "id", "endpoint_type", "task", "creator",
@@ -107,7 +119,8 @@ def flatten_endpoints(raw: DataFrame, fast: bool = False) -> DataFrame:
         F.col("state.ready").alias("state_ready"), F.col("state.config_update").alias("config_update"),
         et.alias("entity_type"), F.coalesce(ent["entity_name"], legacy["model_name"]).alias("entity_name"),
         F.coalesce(ent["entity_version"], legacy["model_version"]).alias("entity_version"),
-        model_name.alias("model_name"), provider.alias("model_provider"),
+        model_name.alias("model_name"), F.coalesce(registered, F.lit("")).alias("registered_model_name"),
+        provider.alias("model_provider"),
         F.coalesce(ent["scale_to_zero_enabled"], legacy["scale_to_zero_enabled"]).alias("scale_to_zero"),
         F.coalesce(ent["workload_size"], legacy["workload_size"]).alias("workload_size"),
         S.tags_map("tags").alias("tags"), S.list_size("tags").alias("tag_count"),
@@ -115,7 +128,7 @@ def flatten_endpoints(raw: DataFrame, fast: bool = False) -> DataFrame:
         F.col("tile_endpoint_metadata.problem_type").alias("problem_type"),
         endpoint_category(et, ent, legacy.isNotNull(), F.col("endpoint_type"), F.col("task")).alias("endpoint_category"),
         model_type(F.col("tile_endpoint_metadata.problem_type"), et, F.col("name"),
-                   ent["entity_name"], F.col("task"), provider).alias("model_type"),
+                   ent["entity_name"], model_name, F.col("task"), provider).alias("model_type"),
         gw.alias("gateway"))
     if fast:
         flat = flat.withColumn("model_type", F.when(F.col("model_type") != UNCLASSIFIED, F.col("model_type"))) \
@@ -136,19 +149,25 @@ def nest(flat: DataFrame) -> DataFrame:
                  S.strip_version("model_name").alias("model_family")).alias("derived"))
 
 
-SUMMARY_FIELDS = ["model_type", "endpoint_category", "entity_type", "state_ready", "task", "model_provider",
+SUMMARY_FIELDS = ["model_type", "endpoint_category", "endpoint_type", "entity_type", "state_ready", "task", "model_provider",
                   "model_family"]
 
 
 def summary(flat: DataFrame, fields: Sequence[str] = SUMMARY_FIELDS) -> DataFrame:
     """K5: (field, value, count) for every summary field in one pass: the
-    fields are unpivoted, then grouped once (D12 per field). model_family is
-    the version-normalised model name (B19); empty values count as 'unknown'."""
+    fields are unpivoted, then grouped once (D12 per field). Empty values count
+    as 'unknown', but model_family (the version-normalised model name, B19)
+    leaves out endpoints without a name. total_count, usage_tracking_enabled and
+    scale_to_zero_enabled are rows with the value 'all'."""
     f = flat.withColumn("model_family", S.strip_version(F.nullif(F.col("model_name"), F.lit(""))))
-    long = f.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"))
-                                        for c in fields])).alias("kv")).select("kv.*")
-    v = F.coalesce(F.nullif(F.trim("value"), F.lit("")), F.lit("unknown"))
-    return long.groupBy("field", v.alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    rows = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in fields]
+    flags = {"total_count": F.lit(True), "usage_tracking_enabled": F.col("gateway.usage_tracking_enabled"),
+             "scale_to_zero_enabled": F.col("scale_to_zero")}
+    rows += [F.struct(F.when(cond, F.lit(name)).alias("field"), F.lit("all").alias("value")) for name, cond in flags.items()]
+    long = f.select(F.explode(F.array(*rows)).alias("kv")).select("kv.*")
+    v = F.nullif(F.trim("value"), F.lit(""))
+    long = long.where(F.col("field").isNotNull() & ((F.col("field") != "model_family") | v.isNotNull()))
+    return long.groupBy("field", F.coalesce(v, F.lit("unknown")).alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
 def family_of(mt: Column) -> Column:
@@ -193,15 +212,14 @@ def class_listing(flat: DataFrame) -> DataFrame:
 
 
 def format_assistants(raw: DataFrame) -> DataFrame:
-    """K9: list-only assistant rows with defaults and the raw record kept."""
-    return raw.select(
-        F.coalesce("id", F.lit("")).alias("id"),
-        F.coalesce("display_name", "name", F.lit("")).alias("display_name"),
-        F.coalesce("description", F.lit("")).alias("description"),
-        F.coalesce("endpoint_name", F.lit("")).alias("endpoint_name"),
-        S.list_size("knowledge_bases").alias("knowledge_base_count"),
-        S.ellipsis(F.coalesce("instructions", F.lit("")), 100).alias("instructions_preview"),
-        F.to_json(F.struct(*[F.col(c) for c in raw.columns])).alias("raw"))
+    """K9: list-only assistant rows, empty text for what is missing, whole
+    instructions, the number of knowledge bases and the raw record."""
+    fields = {"id": "id", "name": "display_name", "resource_name": "name", "description": "description",
+              "instructions": "instructions", "endpoint_name": "endpoint_name", "creator": "creator",
+              "create_time": "create_time", "experiment_id": "experiment_id"}
+    return raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(n) for n, c in fields.items()],
+                      S.list_size("knowledge_bases").alias("knowledge_base_count"),
+                      F.to_json(F.struct(*[F.col(c) for c in raw.columns])).alias("raw"))
 
 
 # --- traces ------------------------------------------------------------------------------------
@@ -219,34 +237,44 @@ TOOL_PATTERNS = {
 }
 
 
-def tool_calls(spans: DataFrame, cut: int = 500) -> DataFrame:
-    """TOOL spans, plus AGENT spans whose name has a tool keyword;
-    output text cut to ``cut`` characters, duration in ms."""
-    kw = "|".join(TOOL_KEYWORDS)
-    is_tool = (F.col("span_type") == "TOOL") | ((F.col("span_type") == "AGENT") & F.lower("name").rlike(kw))
-    return spans.filter(is_tool).select(
-        "trace_id", "name", "span_type",
-        F.coalesce(F.substring("outputs", 1, cut), F.lit("")).alias("outputs"),
-        ((F.col("end_time_ns") - F.col("start_time_ns")) / 1e6).alias("duration_ms"),
+def is_tool_call() -> Column:
+    """TOOL spans, and AGENT spans whose name has a tool keyword."""
+    return (F.col("span_type") == "TOOL") | ((F.col("span_type") == "AGENT") & F.lower("name").rlike("|".join(TOOL_KEYWORDS)))
+
+
+def duration_ms() -> Column:
+    """Span duration; 0 while a span has no start or end."""
+    return F.coalesce((F.col("end_time_ns") - F.col("start_time_ns")) / 1e6, F.lit(0.0))
+
+
+def tool_calls(spans: DataFrame) -> DataFrame:
+    """Tool calls with whole inputs and outputs, duration in ms, status."""
+    return spans.filter(is_tool_call()).select(
+        "trace_id", "name", "span_type", F.coalesce("inputs", F.lit("")).alias("inputs"),
+        F.coalesce("outputs", F.lit("")).alias("outputs"), duration_ms().alias("duration_ms"),
         F.coalesce("status", F.lit("UNKNOWN")).alias("status"))
 
 
+def _totals() -> list[Column]:
+    return [F.count_if(F.col("span_type").isin("LLM", "CHAT_MODEL")).alias("llm_calls"),
+            F.coalesce(F.sum(F.when(is_tool_call(), duration_ms())), F.lit(0.0)).alias("total_duration_ms")]
+
+
 def trace_totals(spans: DataFrame) -> DataFrame:
-    """Per trace, total tool duration (ms) and model-call count."""
-    calls = tool_calls(spans).groupBy("trace_id").agg(F.sum("duration_ms").alias("total_duration_ms"))
-    llm = spans.groupBy("trace_id").agg(F.count_if(F.col("span_type").isin("LLM", "CHAT_MODEL")).alias("llm_calls"))
-    return llm.join(calls, "trace_id", "left").fillna({"total_duration_ms": 0.0})
+    """Per trace, model-call count and total tool duration (ms), in one aggregate."""
+    return spans.groupBy("trace_id").agg(*_totals())
 
 
 def tools_vs_expected(spans: DataFrame, expected: DataFrame) -> DataFrame:
     """D19 + K11: per expected trace, categories found vs expected -> missing,
-    unexpected, success; a trace without spans fails with all missing.
+    unexpected, success; a trace without spans fails with all missing. The
+    spans are read once; a trace's list holds each category or unmatched name
+    once.
 
     ``expected``: (trace_id, expected_tools array<string>)."""
-    cats = tool_calls(spans).select("trace_id", S.categorize("name", TOOL_PATTERNS).alias("category"))
-    found = cats.groupBy("trace_id").agg(F.array_sort(F.collect_set("category")).alias("tools_found"))
-    tot = trace_totals(spans)
-    j = expected.join(found, "trace_id", "left").join(tot, "trace_id", "left")
+    category = F.when(is_tool_call(), S.categorize("name", TOOL_PATTERNS))
+    found = spans.groupBy("trace_id").agg(F.array_sort(F.collect_set(category)).alias("tools_found"), *_totals())
+    j = expected.join(found, "trace_id", "left")
     tf = F.coalesce(F.col("tools_found"), F.array().cast("array<string>"))
     exp = F.array_sort(F.array_distinct("expected_tools"))
     return j.select(
@@ -260,11 +288,17 @@ def tools_vs_expected(spans: DataFrame, expected: DataFrame) -> DataFrame:
 
 def latest_trace(traces: DataFrame, as_of, minutes: int = 5, ts_col: str = "ts") -> DataFrame:
     """The newest trace started within ``minutes`` before ``as_of``."""
-    since = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(mins=F.lit(minutes))
-    w = traces.filter((F.col(ts_col) >= since) & (F.col(ts_col) <= F.lit(as_of).cast("timestamp_ntz")))
+    end = F.lit(as_of).cast("timestamp_ntz")
+    since = end - F.make_dt_interval(mins=F.lit(minutes))
+    w = traces.filter((F.col(ts_col) >= since) & (F.col(ts_col) <= end))
     return w.agg(F.max_by("trace_id", F.struct(ts_col, "trace_id")).alias("trace_id"), F.max(ts_col).alias(ts_col))
 
 
-def filter_fields(df: DataFrame, conds: Mapping[str, object]) -> DataFrame:
-    """B29 re-export for inventory users."""
-    return S.filter_by(df, **conds)
+def latest_trace_per_day(traces: DataFrame, hour: int = 12, minutes: int = 5, ts_col: str = "ts") -> DataFrame:
+    """K12 for every day at once: the newest trace within ``minutes`` before
+    ``hour`` o'clock. A filter on the time of day and one partial aggregate."""
+    day = F.to_date(ts_col)
+    end = day.cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hour))
+    w = traces.filter((F.col(ts_col) <= end) & (F.col(ts_col) >= end - F.make_dt_interval(mins=F.lit(minutes))))
+    return w.groupBy(day.alias("day")).agg(F.max_by("trace_id", F.struct(ts_col, "trace_id")).alias("trace_id"),
+                                           F.max(ts_col).alias(ts_col))

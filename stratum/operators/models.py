@@ -15,6 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from stratum.operators.timeseries import exact_quantiles
 
 FEATURES = ["trip_distance", "passenger_count", "hour_of_day", "day_of_week", "is_rush_hour", "is_weekend"]
 # Defaults for missing model inputs (passengers, hour, day, rush, weekend).
@@ -38,15 +41,16 @@ def fare_rule(distance, passengers=None, hour=None, dow=None, rush=None, weekend
 def tip_thresholds(trips: DataFrame, tip: str = "tip_amount") -> DataFrame:
     """B15 fit: one row (q33, q67) of exact tip quantiles; when they nearly
     coincide (< 0.01 apart) the fixed cut points 5 / 15 are used instead."""
-    q = trips.agg(F.percentile(tip, 0.33).alias("q33"), F.percentile(tip, 0.67).alias("q67"))
+    q = exact_quantiles(trips, tip, [0.33, 0.67]).select(F.col("q0").alias("q33"), F.col("q1").alias("q67"))
     close = F.abs(F.col("q67") - F.col("q33")) < 0.01
     return q.select(F.when(close, F.lit(5.0)).otherwise(F.col("q33")).alias("q33"),
                     F.when(close, F.lit(15.0)).otherwise(F.col("q67")).alias("q67"))
 
 
-def tip_category(trips: DataFrame, tip: str = "tip_amount", out: str = "tip_category") -> DataFrame:
+def tip_category(trips: DataFrame, tip: str = "tip_amount", out: str = "tip_category",
+                 thresholds: DataFrame | None = None) -> DataFrame:
     """Right-closed bins (-inf,q33] -> 0, (q33,q67] -> 1, above -> 2; NULL -> 0."""
-    th = tip_thresholds(trips, tip)
+    th = tip_thresholds(trips, tip) if thresholds is None else thresholds
     t = F.col(tip)
     return (trips.crossJoin(F.broadcast(th))  # one row
             .withColumn(out, F.when(t.isNull() | (t <= F.col("q33")), 0)
@@ -65,13 +69,16 @@ def tip_rule(fare, q33: Column, q67: Column) -> Column:
             .otherwise(TIP_LABELS[2]))
 
 
+def with_fares(trips: DataFrame) -> DataFrame:
+    """The fare model's output as a column; needs no thresholds."""
+    return trips.withColumn("predicted_fare", fare_rule("trip_distance", rush="is_rush_hour"))
+
+
 def with_predictions(trips: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
-    """Model outputs as columns, usable by later filters and groups."""
+    """Both models' outputs as columns, usable by later filters and groups."""
     th = thresholds if thresholds is not None else tip_thresholds(trips)
-    out = trips.crossJoin(F.broadcast(th))  # one row
-    return (out.withColumn("predicted_fare", fare_rule("trip_distance", rush="is_rush_hour"))
-               .withColumn("predicted_tip_category", tip_rule("actual_fare", F.col("q33"), F.col("q67")))
-               .drop("q33", "q67"))
+    out = with_fares(trips).crossJoin(F.broadcast(th))  # one row
+    return out.withColumn("predicted_tip_category", tip_rule("actual_fare", F.col("q33"), F.col("q67"))).drop("q33", "q67")
 
 
 def prediction_json(df: DataFrame) -> Column:
@@ -133,7 +140,7 @@ def train_fare(trips: DataFrame, num_trees: int = 100, max_depth: int = 10, seed
     ev = RegressionEvaluator(labelCol="fare_amount", predictionCol="prediction")
     spark = trips.sparkSession
     metrics = spark.createDataFrame(
-        [(ev.setMetricName(m).evaluate(pred) if True else 0.0, m) for m in ("mae", "rmse", "r2")],
+        [(ev.setMetricName(m).evaluate(pred), m) for m in ("mae", "rmse", "r2")],
         "value double, metric string")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     importance = spark.createDataFrame(list(zip(FEATURES, imp)), "feature string, importance double") \
@@ -144,21 +151,25 @@ def train_fare(trips: DataFrame, num_trees: int = 100, max_depth: int = 10, seed
 def class_weights(df: DataFrame, label: str = "tip_category") -> DataFrame:
     """Balanced weights n / (k * n_class) per row (k = classes seen)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = df.agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_k"))
+    tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     w = counts.crossJoin(F.broadcast(tot)).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias("weight"))
-    return df.join(F.broadcast(w), label)  # one row per class: bounded by the label set
+    return df.join(w, label)
 
 
-def stratified_split(df: DataFrame, label: str, frac: float = 0.8, seed: int = 42,
-                     min_class: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Per-class hash split (stratified); plain random split when a
-    class has fewer than ``min_class`` rows."""
-    smallest = df.groupBy(label).count().agg(F.min("count")).first()[0]
-    if smallest is None or smallest < min_class:
-        a, b = df.randomSplit([frac, 1 - frac], seed=seed)
-        return a, b
-    u = F.rand(seed)
-    return df.filter(u < frac), df.filter(u >= frac)
+def stratified_split(df: DataFrame, label: str, key: str = "trip_id", frac: float = 0.8,
+                     seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Stratified split: within each class the rows with the lowest hashes
+    of ``key``, ``frac`` of the class, are for training. The hash bound of a
+    class is its exact quantile of 1024 hash steps, so a class of any size is
+    split alike and no row is in both parts or in neither."""
+    step = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1024))
+    rows = df.withColumn("_step", step)
+    steps = rows.groupBy(label, "_step").agg(F.count(F.lit(1)).alias("_n"))  # at most 1024 rows a class
+    upto = Window.partitionBy(label).orderBy("_step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(label)
+    steps = steps.withColumn("_train", F.sum("_n").over(upto) <= F.ceil(F.lit(frac) * F.sum("_n").over(whole)))
+    rows = rows.join(steps.select(label, "_step", "_train"), [label, "_step"]).drop("_step")
+    return rows.filter("_train").drop("_train"), rows.filter("NOT _train").drop("_train")
 
 
 def train_tip(trips: DataFrame, num_trees: int = 100, max_depth: int = 10, seed: int = 42):
@@ -199,22 +210,6 @@ def load_model(path: str):
 
 # --- Python-only models: Arrow batches, never per row (H11) ------------------------------------
 
-def pandas_scorer(predict, out_type: str = "double"):
-    """Wrap ``predict(pdf) -> array`` over FEATURES as an Arrow-batched pandas UDF."""
-    @F.pandas_udf(out_type)
-    def score(*cols: pd.Series) -> pd.Series:
-        pdf = pd.concat(cols, axis=1)
-        pdf.columns = FEATURES[:len(cols)]
-        return pd.Series(predict(pdf))
-    return score
-
-
-def fare_rule_pandas(pdf: pd.DataFrame):
-    """Pandas twin of :func:`fare_rule` (for the pandas UDF path and tests)."""
-    rush = pdf["is_rush_hour"].fillna(0) if "is_rush_hour" in pdf else 0
-    return (2.5 + 3.5 * pdf["trip_distance"] + 2 * rush).clip(lower=0.0)
-
-
 def map_batches(df: DataFrame, fn, schema: T.StructType | str) -> DataFrame:
     """Iterator-of-frames transform over partitions (``mapInPandas``)."""
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,13 +225,16 @@ def confusion(df: DataFrame, label: str, pred: str, classes=(0, 1, 2)) -> DataFr
 
 def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per class seen in the data: precision, recall, F1, support
-    (zero division -> 0), plus the overall accuracy on every row."""
-    seen = df.select(F.col(label).alias("cls")).union(df.select(F.col(pred).alias("cls"))).distinct()
-    tp = df.groupBy(F.col(label).alias("cls")).agg(
-        F.count_if(F.col(label) == F.col(pred)).alias("tp"), F.count(F.lit(1)).alias("support"))
-    pp = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("predicted"))
-    acc = df.agg((F.count_if(F.col(label) == F.col(pred)) / F.count(F.lit(1))).alias("accuracy"))
-    j = seen.join(tp, "cls", "left").join(pp, "cls", "left").fillna(0, ["tp", "support", "predicted"])
+    (zero division -> 0), plus the overall accuracy on every row. One pass over
+    the rows counts (label, predicted) pairs; the rest reads those few."""
+    pairs = df.groupBy(F.col(label).alias("l"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    sides = pairs.select(F.explode(F.array(F.struct(F.col("l").alias("cls"), F.lit(True).alias("is_label"), "p", "l", "n"),
+                                           F.struct(F.col("p").alias("cls"), F.lit(False).alias("is_label"), "p", "l", "n"))).alias("x")).select("x.*")
+    j = sides.groupBy("cls").agg(
+        F.coalesce(F.sum(F.when(F.col("is_label") & (F.col("l") == F.col("p")), F.col("n"))), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum(F.when(F.col("is_label"), F.col("n"))), F.lit(0)).alias("support"),
+        F.coalesce(F.sum(F.when(~F.col("is_label"), F.col("n"))), F.lit(0)).alias("predicted"))
+    acc = j.agg((F.sum("tp") / F.sum("support")).alias("accuracy"))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)

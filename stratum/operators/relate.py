@@ -29,10 +29,11 @@ def score_inputs(left: DataFrame, right: DataFrame, key: str, where: Column | No
     return j.filter(where) if where is not None else j
 
 
-def cross_one(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Cross join of two one-row sets (e.g. a company row x peer means).
-    Both inputs must be single-row aggregates, so the product has one row."""
-    return a.crossJoin(F.broadcast(b))
+def cross_one(a: DataFrame, b: DataFrame, of_a: Sequence[Column], of_b: Sequence[Column]) -> DataFrame:
+    """Aggregates ``of_a`` over ``a`` beside aggregates ``of_b`` over ``b``
+    (e.g. a company row x peer means). Both sides are aggregated here, so
+    either has one row and so has the product."""
+    return a.agg(*of_a).crossJoin(F.broadcast(b.agg(*of_b)))
 
 
 def missing_from(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

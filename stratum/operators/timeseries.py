@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from stratum.session import written
+
 Cols = Sequence[str | Column]
 
 
@@ -54,10 +56,19 @@ def moving_average(df: DataFrame, key: Cols, order: Cols, col: str, n: int,
     and its rounding are exact (money columns), instead of binary floating
     point, whose ties round differently from engine to engine.
     """
-    w = (Window.partitionBy(*[_c(k) for k in key]).orderBy(*[_c(o) for o in order])
-         .rowsBetween(-(n - 1), Window.currentRow))
-    v = F.col(col) if exact_scale is None else F.col(col).cast(f"decimal(18,{exact_scale})")
-    return df.withColumn(out or f"sma_{n}", F.round(F.avg(v).over(w), scale).cast("double"))
+    w = Window.partitionBy(*[_c(k) for k in key]).orderBy(*[_c(o) for o in order])
+    name = out or f"sma_{n}"
+    if exact_scale is None:
+        return df.withColumn(name, F.round(F.avg(F.col(col)).over(w.rowsBetween(-(n - 1), Window.currentRow)), scale)
+                             .cast("double"))
+    # exact sums allow one running sum and a difference instead of n additions a row
+    v = F.col(col).cast(f"decimal(18,{exact_scale})")
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.withColumn("_sum", F.sum(v).over(running)).withColumn("_cnt", F.count(v).over(running))
+    total = F.col("_sum") - F.coalesce(F.lag("_sum", n).over(w), F.lit(0))
+    rows = F.col("_cnt") - F.coalesce(F.lag("_cnt", n).over(w), F.lit(0))
+    mean = total.cast(f"decimal(28,{exact_scale})") / F.nullif(rows, F.lit(0)).cast("decimal(9,0)")
+    return df.withColumn(name, F.round(mean, scale).cast("double")).drop("_sum", "_cnt")
 
 
 def rolling_stddev(df: DataFrame, key: Cols, order: Cols, col: str, n: int,
@@ -118,11 +129,14 @@ def top_n_per_key(df: DataFrame, key: Cols, order: Cols, n: int, rank_col: str |
 def rank_peers(df: DataFrame, orderings: dict[str, Column]) -> DataFrame:
     """RANK over all rows for several orderings (e.g. growth NULLS LAST).
 
-    A global rank needs one ordered pass over all rows. It is meant for marts
-    (one row per company); each ordering is its own sort.
+    ``orderings``: rank name -> (column, sort expression). Per ordering the
+    rows get a dense position along it (E11, no single-task sort); the rank is
+    the smallest position of the rows with the same value.
     """
-    for name, order in orderings.items():
-        df = df.withColumn(name, F.rank().over(Window.orderBy(order)))
+    for name, (value, order) in orderings.items():
+        placed = with_row_id(df, [order], "_place")
+        least = placed.groupBy(F.col(value).alias("_value")).agg(F.min("_place").cast("int").alias(name))
+        df = placed.join(least, F.col(value).eqNullSafe(F.col("_value"))).drop("_place", "_value")
     return df
 
 
@@ -135,43 +149,76 @@ def rank_in_key(df: DataFrame, keys: Cols, order: Cols, out: str = "rank") -> Da
 def with_row_id(df: DataFrame, order: Cols, out: str = "row_id") -> DataFrame:
     """Dense surrogate id 1..N along a global order, without a single-task sort.
 
-    Rows are range-partitioned and sorted by ``order``; each partition's
-    offset is the count of the partitions before it (a tiny per-partition
-    count table, broadcast), and the id is offset + position in partition.
+    Rows are range-partitioned and sorted by ``order`` once and written, with
+    their partition and position as plain columns, to the shared folder. The
+    id is the count of the partitions before plus the position; both come from
+    that one table, so no second shuffle can deal the rows differently.
     """
     cols = [_c(o) for o in order]
-    sorted_df = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-    part = F.spark_partition_id()
-    with_pos = sorted_df.withColumn("_p", part).withColumn("_i", F.monotonically_increasing_id())
-    counts = with_pos.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_i0"))
+    placed = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+              .withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()))
+    placed = written(placed, "row-id")
+    counts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_i0"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)))
     # One row per partition: bounded by the partition count, safe to broadcast.
-    return (with_pos.join(F.broadcast(offsets.select("_p", "_off", "_i0")), "_p")
+    return (placed.join(F.broadcast(offsets.select("_p", "_off", "_i0")), "_p")
             .withColumn(out, (F.col("_off") + F.col("_i") - F.col("_i0") + 1).cast("bigint"))
             .drop("_p", "_i", "_off", "_i0"))
 
 
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> DataFrame:
+    """One row (q0, q1, ...) of exact quantiles with linear interpolation; NULLs are left out.
+
+    Equal values are counted first, then the distinct values are range
+    partitioned and their counts cumulated per partition and over the
+    partitions; the two neighbours of each quantile come from a filter on the
+    cumulative count. No task holds all values.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    placed = written(counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("_p", F.spark_partition_id()),
+                     "quantiles")
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_p").agg(F.sum("n").alias("_n"))  # one row per partition
+    parts = parts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_p", "_off")
+    inside = Window.partitionBy("_p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = placed.join(F.broadcast(parts), "_p").select("v", "n", (F.col("_off") + F.sum("n").over(inside)).alias("upto"))
+    total = placed.agg(F.sum("n").alias("total"))
+    at = cum.crossJoin(F.broadcast(total))  # one row
+    exprs = []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("total") - 1)
+        for name, k in ((f"lo{i}", F.floor(pos)), (f"hi{i}", F.ceil(pos))):
+            exprs.append(F.max(F.when((F.col("upto") - F.col("n") <= k) & (k < F.col("upto")), F.col("v"))).alias(name))
+        exprs.append(F.max(pos - F.floor(pos)).alias(f"f{i}"))
+    row = at.agg(*exprs)
+    return row.select(*[(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"f{i}")).alias(f"q{i}")
+                        for i in range(len(qs))])
+
+
 def high_water(df: DataFrame, key: str, date: str, out: str = "latest_date") -> DataFrame:
     """max(date) per key, kept as a DataFrame to join (never collected)."""
     return df.groupBy(key).agg(F.max(date).alias(out))
 
 
 def incremental(source: DataFrame, target: DataFrame, key: str, date: str, as_of,
-                new_key_days: int = 30, only_key: str | None = None) -> DataFrame:
+                new_key_days: int = 30, only_key: str | None = None, dry_run: bool = False) -> DataFrame:
     """I4: rows of ``source`` that a refresh appends to ``target``.
 
     Per key, rows later than the key's high-water mark in ``target``; keys
     new to ``target`` bring their last ``new_key_days`` days (date after
     as_of - new_key_days - 1); up-to-date keys bring nothing. ``only_key``
-    restricts the refresh to one key. A dry run is simply not writing it.
+    restricts the refresh to one key. ``dry_run`` reports, per key, how many
+    rows would be appended and their first and last date.
     """
     hw = high_water(target, key, date, "_hw")
     if only_key is not None:
         source = source.filter(F.col(key) == only_key)
     floor = F.date_sub(F.lit(as_of).cast("date"), new_key_days + 1)
-    return (source.join(hw, key, "left")
-            .filter(F.col(date) > F.coalesce(F.col("_hw"), floor))
-            .filter(F.col(date) <= F.lit(as_of).cast("date"))
-            .drop("_hw"))
+    new = (source.join(hw, key, "left")
+           .filter(F.col(date) > F.coalesce(F.col("_hw"), floor))
+           .filter(F.col(date) <= F.lit(as_of).cast("date"))
+           .drop("_hw"))
+    return new.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.min(date).alias("first_date"),
+                                F.max(date).alias("last_date")) if dry_run else new

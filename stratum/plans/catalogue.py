@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from stratum.operators import timeseries as ts
 from stratum.plans import marts as M
 from stratum.sources import fixtures as fx
+from stratum.sources.fixtures import ticker_of
 from stratum.sources.tables import Tables
-from stratum.session import shared_dir
+from stratum.session import shared_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -98,8 +99,8 @@ def q_top_n_per_key(spark, d):
 
 @query("stock_summary")
 def q_stock_summary(spark, d):
-    silver = fx.silver_filings(spark, d)
-    return M.stock_summary(_daily(spark, d), M.company_registry(silver), M.DEFAULT_AS_OF)
+    """The flagship: one pass over the prices, one over the filing totals."""
+    return M.stock_summary(_daily(spark, d), _reg(spark, d), M.DEFAULT_AS_OF, market=fx.market(spark, d))
 
 
 # --- trips: scalars B5-B15, B24, B25, aggregates D3-D9, D14-D15, D20, F1-F3, H1-H5, H12 ----------
@@ -201,7 +202,7 @@ def q_date_parts(spark, d):
 
 @query("abs_error")
 def q_abs_error(spark, d):
-    s = TR.scored(_trips(spark, d))
+    s = TR.fared(_trips(spark, d))
     return s.select("trip_id", S.abs_error("actual_fare", "predicted_fare").alias("absolute_error"),
                     S.pct_error("actual_fare", "predicted_fare").alias("error_pct"),
                     F.round(F.sqrt(F.pow(F.col("actual_fare") - F.col("predicted_fare"), 2)), 2).alias("rms_part"))
@@ -244,8 +245,8 @@ def q_as_json(spark, d):
 
 @query("with_row_id")
 def q_with_row_id(spark, d):
-    t = _trips(spark, d).select("trip_id", "fare_amount")
-    return ts.with_row_id(t, [F.col("fare_amount").desc(), F.col("trip_id")])
+    """All columns of the trips along the fare."""
+    return ts.with_row_id(_trips(spark, d), [F.col("fare_amount").desc(), F.col("trip_id")])
 
 
 @query("quantiles")
@@ -266,7 +267,7 @@ def q_profile(spark, d):
 
 @query("error_metrics")
 def q_error_metrics(spark, d):
-    s = TR.scored(_trips(spark, d))
+    s = TR.fared(_trips(spark, d))
     return A.error_metrics(s, "actual_fare", "predicted_fare", by=["is_rush_hour"], scale=4)
 
 
@@ -291,7 +292,7 @@ def _fin(spark, d):
 
 
 def _stock(spark, d):
-    return M.stock_summary(_daily(spark, d), _reg(spark, d), M.DEFAULT_AS_OF)
+    return M.stock_summary(_daily(spark, d), _reg(spark, d), M.DEFAULT_AS_OF, market=fx.market(spark, d))
 
 
 @query("company_registry")
@@ -306,46 +307,44 @@ def q_company_financials(spark, d):
 
 @query("revenue_by_segment")
 def q_revenue_by_segment(spark, d):
-    s = _silver(spark, d)
-    return M.revenue_by_segment(s, M.company_registry(s))
+    return M.Marts(spark, d)["revenue_by_segment"]
 
 
 @query("revenue_by_geography")
 def q_revenue_by_geography(spark, d):
-    s = _silver(spark, d)
-    return M.revenue_by_geography(s, M.company_registry(s))
+    return M.Marts(spark, d)["revenue_by_geography"]
 
 
 @query("company_overview")
 def q_company_overview(spark, d):
-    return M.company_overview(_fin(spark, d), _stock(spark, d))
+    return M.Marts(spark, d)["company_overview"]
 
 
 @query("peer_comparison")
 def q_peer_comparison(spark, d):
-    return M.peer_comparison(M.company_overview(_fin(spark, d), _stock(spark, d)))
+    return M.Marts(spark, d)["peer_comparison"]
 
 
 @query("stock_performance")
 def q_stock_performance(spark, d):
-    return M.stock_performance(_daily(spark, d), _fin(spark, d))
+    return M.Marts(spark, d)["stock_performance"]
 
 
 @query("revenue_breakdown")
 def q_revenue_breakdown(spark, d):
-    s = _silver(spark, d)
-    r = M.company_registry(s)
-    return M.revenue_breakdown(M.revenue_by_segment(s, r), M.revenue_by_geography(s, r))
+    return M.Marts(spark, d)["revenue_breakdown"]
 
 
 @query("valuation_score")
 def q_valuation_score(spark, d):
-    return SF.valuation_scores(_fin(spark, d), _stock(spark, d))
+    m = M.Marts(spark, d)
+    return SF.valuation_scores(m["company_financials"], m["stock_summary"])
 
 
 @query("compare_peers")
 def q_compare_peers(spark, d):
-    return SF.compare_peers_all(_fin(spark, d))
+    m = M.Marts(spark, d)
+    return SF.compare_peers_all(m["company_financials"])
 
 
 @query("investment_thesis")
@@ -360,7 +359,8 @@ def q_growth_trajectory(spark, d):
 
 @query("risk_summary")
 def q_risk_summary(spark, d):
-    return SF.risk_summaries(_fin(spark, d), _stock(spark, d))
+    m = M.Marts(spark, d)
+    return SF.risk_summaries(m["company_financials"], m["stock_summary"])
 
 
 @query("first_known")
@@ -396,7 +396,8 @@ def q_pct(spark, d):
 
 @query("null_as")
 def q_null_as(spark, d):
-    return _stock(spark, d).select("ticker", *M.VALUATION_COLS)
+    """Registry rows with the typed placeholders of the valuation columns."""
+    return _reg(spark, d).select("ticker", *[S.null_as("double").alias(c) for c in M.VALUATION_COLS])
 
 
 @query("above")
@@ -420,7 +421,10 @@ def q_present(spark, d):
 
 @query("sentence")
 def q_sentence(spark, d):
-    return SF.investment_theses(_fin(spark, d))
+    """One line per daily price; the first price of a ticker has no return, so no line."""
+    return _daily(spark, d).select("ticker", "trade_date", S.sentence(
+        F.col("ticker"), F.lit(" closed at "), S.num_text("close_price", 2), F.lit(" ("),
+        S.num_text("daily_return_pct", 2), F.lit("%)")).alias("line"))
 
 
 @query("parse_array")
@@ -448,9 +452,10 @@ def q_score_inputs(spark, d):
 
 @query("cross_one")
 def q_cross_one(spark, d):
-    f = _fin(spark, d).agg(F.round(F.avg("gross_margin_pct"), 4).alias("avg_margin"), F.count(F.lit(1)).alias("filings"))
-    s = _stock(spark, d).agg(F.count(F.lit(1)).alias("tickers"), F.max("current_price").alias("max_price"))
-    return R.cross_one(f, s)
+    m = M.Marts(spark, d)
+    return R.cross_one(m["company_financials"], m["stock_summary"],
+                       [F.round(F.avg("gross_margin_pct"), 4).alias("avg_margin"), F.count(F.lit(1)).alias("filings")],
+                       [F.count(F.lit(1)).alias("tickers"), F.max("current_price").alias("max_price")])
 
 
 @query("explode_items")
@@ -464,10 +469,10 @@ def q_explode_items(spark, d):
 
 @query("missing_from")
 def q_missing_from(spark, d):
-    """Tickers with prices but no registry entry and the reverse."""
-    prices = fx.raw_prices(spark, d).select("ticker")
-    reg = _reg(spark, d).select("ticker")
-    return R.missing_from(reg, prices, ["ticker"])
+    """Customers and order keys: customers without an order, and the reverse."""
+    t = Tables(spark, d)
+    return R.missing_from(t.customer.select(F.col("c_custkey").alias("custkey")),
+                          t.orders.select(F.col("o_custkey").alias("custkey")), ["custkey"])
 
 
 @query("peer_average")
@@ -477,14 +482,16 @@ def q_peer_average(spark, d):
 
 @query("rank_peers")
 def q_rank_peers(spark, d):
-    return M.peer_comparison(M.company_overview(_fin(spark, d), _stock(spark, d))).select(
-        "ticker", "fiscal_year", "revenue_rank", "margin_rank", "growth_rank", "pe_rank")
+    """Orders ranked by price and by date over the whole table."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_day"))
+    return ts.rank_peers(o, {"price_rank": ("o_totalprice", F.col("o_totalprice").desc_nulls_last()),
+                             "day_rank": ("o_day", F.col("o_day").asc_nulls_last())})
 
 
 @query("rank_in_key")
 def q_rank_in_key(spark, d):
-    s = _silver(spark, d)
-    return M.revenue_by_segment(s, M.company_registry(s), by_year=True).select(
+    m = M.Marts(spark, d)
+    return M.revenue_by_segment(m["silver_filings"], m["company_registry"], by_year=True).select(
         "ticker", "fiscal_year", "segment_name", "segment_rank")
 
 
@@ -514,15 +521,15 @@ def q_unique_by(spark, d):
 
 @query("build_marts")
 def q_build_marts(spark, d):
-    """A12 + A14: every mart built, then the row-count gate over them."""
-    marts = M.build_marts(spark, d)
-    return CK.row_gate(marts)
+    """A12 + A14: every mart built and written, then the row-count gate over them."""
+    return CK.row_gate(M.Marts(spark, d).build_marts())
 
 
 @query("build_views")
 def q_build_views(spark, d):
-    """A11 + A14: the four views over the marts, gated on row counts."""
-    return CK.row_gate(M.build_views(M.build_marts(spark, d)))
+    """A11 + A14: the four views over the written marts, queried by name through SQL."""
+    M.Marts(spark, d).build_views()
+    return CK.row_gate({v: spark.sql(f"SELECT * FROM {v}") for v in M.Marts.VIEWS})
 
 
 # --- inventory and traces: B17-B22, B26-B33, C6, C7, D12, D13, D17-D19, F4, K1-K12 ---------------
@@ -535,7 +542,8 @@ def _flat(spark, d):
 
 
 FLAT_COLS = ["name", "id", "endpoint_type", "task", "creator", "created_at", "updated_at", "state_ready",
-             "config_update", "entity_type", "entity_name", "entity_version", "model_name", "model_provider",
+             "config_update", "entity_type", "entity_name", "entity_version", "model_name", "registered_model_name",
+             "model_provider",
              "scale_to_zero", "workload_size", "tag_count", "tile_id", "problem_type", "endpoint_category",
              "model_type"]
 
@@ -567,7 +575,7 @@ def q_endpoint_category(spark, d):
 
 @query("gateway_settings")
 def q_gateway_settings(spark, d):
-    return _flat(spark, d).select("name", "gateway.*")
+    return _flat(spark, d).select("name", "gateway.*").withColumn("rate_limits", F.to_json("rate_limits"))
 
 
 @query("inventory_summary")
@@ -725,13 +733,7 @@ def q_validate_traces(spark, d):
 @query("latest_trace")
 def q_latest_trace(spark, d):
     """Newest trace per day within the 5 minutes before 12:00 of that day."""
-    s = fx.spans(spark, d).select("trace_id", "ts")
-    days = s.select(F.to_date("ts").alias("day")).distinct()
-    win = days.join(s, F.to_date(s["ts"]) == days["day"]).filter(
-        (F.col("ts") <= F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(12)))
-        & (F.col("ts") >= F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(11), mins=F.lit(55))))
-    return win.groupBy("day").agg(F.max_by("trace_id", F.struct("ts", "trace_id")).alias("trace_id"),
-                                  F.max("ts").alias("ts"))
+    return K.latest_trace_per_day(fx.spans(spark, d), hour=12, minutes=5)
 
 
 @query("response_text")
@@ -758,7 +760,8 @@ def q_score_responses(spark, d):
 
 @query("recommend")
 def q_recommend(spark, d):
-    v = SF.valuation_scores(_fin(spark, d), _stock(spark, d))
+    m = M.Marts(spark, d)
+    v = SF.valuation_scores(m["company_financials"], m["stock_summary"])
     peer = A.peer_average(v, "ticker", ["valuation_score"])
     return v.join(peer, "ticker").select(
         "ticker", "fiscal_year", "valuation_score", S.recommend("valuation_score").alias("recommendation"),
@@ -817,7 +820,10 @@ def q_file_stem(spark, d):
 def _doc_files(spark, d):
     docs = Tables(spark, d).documents
     return docs.select(F.concat(F.lit("/docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
-                       .alias("path"), "doc_id", "n_chars")
+                       .alias("path"), "doc_id", "n_chars",
+                       # what an index run reports: by language, so that every status occurs
+                       F.when(F.col("lang") == "de", "skipped").when(F.coalesce("n_chars", F.lit(0)) == 0, "failed")
+                       .otherwise("success").alias("status"))
 
 
 @query("sync_source")
@@ -852,9 +858,9 @@ def q_retrieve(spark, d):
 
 @query("with_history")
 def q_with_history(spark, d):
-    h = D.with_history(Tables(spark, d).conversations)
-    return h.select("conv_id", "turn", "role", F.size("messages").alias("n_history"),
-                    F.transform("messages", lambda m: m["role"]).alias("roles"))
+    h = D.with_history(Tables(spark, d).conversations, block=2)
+    return h.select("conv_id", "block", "earlier", F.transform("messages", lambda m: m["role"]).alias("roles"),
+                    F.transform("messages", lambda m: m["content"]).alias("texts"))
 
 
 @query("stream_bronze")
@@ -874,16 +880,12 @@ def q_stream_silver(spark, d):
 
 @query("dedup_stream")
 def q_dedup_stream(spark, d):
-    """Exact-copy documents dropped by a streaming dropDuplicates on the
-    text hash, run twice over the same input (the second run adds nothing)."""
+    """Exact-copy documents dropped on the text hash by a stream that runs
+    twice over the same input with fresh checkpoints (the second run adds nothing)."""
     root = shared_dir(spark, "dedup")
-    schema = spark.read.parquet(f"{d}/documents.parquet").schema
-
-    def once():
-        src = ST.stream_table(spark, d, schema, "documents.parquet")
-        keyed = src.select(F.sha2("text", 256).alias("text_hash"), "doc_id")
-        ST.run_available(ST.dedup_stream(keyed, ["text_hash"]), f"{root}/data", f"{root}/_checkpoint")
-    ST.run_graph([once, once])
+    for run in (1, 2):
+        keyed = ST.stream_documents(spark, d).select(F.sha2("text", 256).alias("text_hash"), "doc_id")
+        ST.dedup_stream(keyed, ["text_hash"], f"{root}/data", f"{root}/_checkpoint{run}", run)
     return spark.read.parquet(f"{root}/data").select("text_hash")
 
 
@@ -902,15 +904,14 @@ def q_read_table(spark, d):
 
 @query("fetch_by_key")
 def q_fetch_by_key(spark, d):
-    """A4 offline twin: per distinct supplier key a fetched registry row;
-    the fetch fails for every 17th key, which is skipped."""
-    def fetch(k):
-        if k % 17 == 0:
-            raise RuntimeError(f"fetch failed for {k}")
-        return __import__("pandas").DataFrame({"ticker": [f"S{k}"], "suppkey": [int(k)],
-                                               "exchange": ["NYSE" if k % 2 else "NASDAQ"]})
-    return IO.fetch_by_key(Tables(spark, d).lineitem.select(F.col("l_suppkey").alias("suppkey")), "suppkey", fetch,
-                           "ticker string, suppkey long, exchange string")
+    """A4: a registry answer per distinct supplier key of the line items; the
+    suppliers' answers are derived as JSON, some cut off, some missing."""
+    t = Tables(spark, d)
+    k = F.col("s_suppkey")
+    body = F.to_json(F.struct(ticker_of(k).alias("ticker"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")))
+    answers = t.supplier.where(k % 13 != 0).select(k.alias("suppkey"), F.when(k % 17 == 0, F.substring(body, 1, 9)).otherwise(body).alias("body"))
+    return IO.fetch_by_key(t.lineitem.select(F.col("l_suppkey").alias("suppkey")), "suppkey", answers,
+                           "ticker string, name string, nation long")
 
 
 @query("price_profile")
@@ -930,18 +931,34 @@ def q_high_water(spark, d):
 
 @query("incremental")
 def q_incremental(spark, d):
-    """I4: target = history before 2000 minus every 9th ticker (new keys);
-    the refresh brings later rows of known keys and the last 30 days of new ones."""
+    """I4: the target holds the history before 2000 without every 9th ticker;
+    the refresh, as of the last day in the source, brings the later rows of
+    known tickers and the last 30 days of new ones."""
+    raw = _dedup(spark, d)
+    target = raw.filter((F.year("trade_date") < 2000) & (F.substring("ticker", 2, 10).cast("int") % 9 != 0))
+    as_of = raw.agg(F.max("trade_date")).first()[0]
+    return ts.incremental(raw, target, "ticker", "trade_date", as_of).select("ticker", "trade_date", "close_price")
+
+
+@query("incremental_dry_run")
+def q_incremental_dry_run(spark, d):
+    """I4 dry run: what the refresh would append, per ticker."""
     raw = _dedup(spark, d)
-    target = raw.filter((F.year("trade_date") < 2000)
-                        & (F.substring("ticker", 2, 10).cast("int") % 9 != 0))
-    return ts.incremental(raw, target, "ticker", "trade_date", "1999-12-31").select("ticker", "trade_date",
-                                                                                     "close_price")
+    target = raw.filter((F.year("trade_date") < 2000) & (F.substring("ticker", 2, 10).cast("int") % 9 != 0))
+    as_of = raw.agg(F.max("trade_date")).first()[0]
+    return ts.incremental(raw, target, "ticker", "trade_date", as_of, dry_run=True)
+
+
+def _classed(spark, d):
+    """Trips with the true and the predicted tip class; the thresholds are fitted once."""
+    t = _trips(spark, d)
+    th = written(Mo.tip_thresholds(t), "tip-thresholds")
+    return Mo.with_predictions(Mo.tip_category(t, thresholds=th), th)
 
 
 @query("confusion")
 def q_confusion(spark, d):
-    s = TR.scored(Mo.tip_category(_trips(spark, d)))
+    s = _classed(spark, d)
     p = s.withColumn("pred", F.when(F.col("predicted_tip_category") == Mo.TIP_LABELS[0], 0)
                      .when(F.col("predicted_tip_category") == Mo.TIP_LABELS[1], 1).otherwise(2))
     return Mo.confusion(p, "tip_category", "pred").select(
@@ -950,7 +967,7 @@ def q_confusion(spark, d):
 
 @query("class_report")
 def q_class_report(spark, d):
-    s = TR.scored(Mo.tip_category(_trips(spark, d)))
+    s = _classed(spark, d)
     p = s.withColumn("pred", F.when(F.col("predicted_tip_category") == Mo.TIP_LABELS[0], 0)
                      .when(F.col("predicted_tip_category") == Mo.TIP_LABELS[1], 1).otherwise(2))
     return Mo.class_report(p, "tip_category", "pred")
@@ -958,10 +975,11 @@ def q_class_report(spark, d):
 
 @query("train_fare")
 def q_train_fare(spark, d):
-    """Forest regressor (100 trees, depth 10, leaf >= 5, seed 42) and
-    its hold-out metrics (MAE, RMSE, R^2)."""
+    """Forest regressor (100 trees, depth 10, leaf >= 5, seed 42): hold-out
+    metrics (MAE, RMSE, R^2) and feature importances."""
     _, metrics, importance = Mo.train_fare(_trips(spark, d))
-    return metrics
+    return metrics.select(F.lit("metric").alias("kind"), F.col("metric").alias("name"), "value").unionByName(
+        importance.select(F.lit("importance").alias("kind"), F.col("feature").alias("name"), F.col("importance").alias("value")))
 
 
 @query("train_tip")
@@ -976,3 +994,108 @@ def q_cache_predictions(spark, d):
     """Scored trips written once to shared storage and read back."""
     return IO.cache_predictions(TR.scored(_trips(spark, d)).select("trip_id", "predicted_fare", "predicted_tip_category"),
                                 shared_dir(spark, "predictions"))
+
+
+@query("first_n")
+def q_first_n(spark, d):
+    """the first 100 trips by id."""
+    return _trips(spark, d).select("trip_id", "pickup_ts", "fare_amount").orderBy("trip_id").limit(100)
+
+
+@query("map_batches")
+def q_map_batches(spark, d):
+    """A model that only exists in Python, over Arrow batches of a partition."""
+    t = _trips(spark, d).select("trip_id", "trip_distance", "is_rush_hour")
+
+    def score(pdf):
+        fare = (2.5 + 3.5 * pdf["trip_distance"] + 2 * pdf["is_rush_hour"].fillna(0)).clip(lower=0.0)
+        return pdf[["trip_id"]].assign(predicted_fare=fare)
+    return Mo.map_batches(t, score, "trip_id long, predicted_fare double")
+
+
+@query("save_model")
+def q_save_model(spark, d):
+    """A trained forest saved, loaded again and applied: the loaded model
+    must score every trip as the trained one does."""
+    t = _trips(spark, d)
+    model, _, _ = Mo.train_fare(t, num_trees=10, max_depth=5)
+    path = shared_dir(spark, "model")
+    Mo.save_model(model, {"version": Mo.MODEL_VERSION, "features": ",".join(Mo.FEATURES)}, path)
+    loaded, meta = Mo.load_model(path)
+    a = model.transform(t).select("trip_id", F.col("prediction").alias("trained"))
+    b = loaded.transform(t).select("trip_id", F.col("prediction").alias("loaded"))
+    return a.join(b, "trip_id").groupBy(F.lit(meta["version"]).alias("version")).agg(
+        F.count(F.lit(1)).alias("trips"), F.count_if(F.col("trained") == F.col("loaded")).alias("equal"))
+
+
+# sinks: written, read back, compared by content
+
+@query("write_full")
+def q_write_full(spark, d):
+    """A second full refresh replaces the first, data and schema."""
+    path = shared_dir(spark, "full")
+    IO.write_full(Tables(spark, d).supplier.select("s_suppkey"), path)
+    IO.write_full(_reg(spark, d), path)
+    return spark.read.parquet(path)
+
+
+@query("append_evolving")
+def q_append_evolving(spark, d):
+    """History without a volume column, then a refresh that brings one."""
+    path = shared_dir(spark, "evolving")
+    raw = _dedup(spark, d).select("ticker", "trade_date", "close_price", "volume")
+    IO.append_evolving(raw.filter(F.year("trade_date") < 2000).drop("volume"), path)
+    IO.append_evolving(raw.filter(F.year("trade_date") >= 2000), path)
+    return IO.read_evolving(spark, path).select("ticker", "trade_date", "close_price", "volume")
+
+
+@query("export_by")
+def q_export_by(spark, d):
+    """Endpoints exported per model type and those not ready, read back."""
+    path = shared_dir(spark, "export")
+    f = _flat(spark, d).select("name", "model_type", "state_ready")
+    IO.export_by(f, "model_type", f"{path}/by", F.coalesce("state_ready", F.lit("")) != "READY", f"{path}/not_ready")
+    schema = "name string, model_type string, state_ready string"
+    by = spark.read.schema(schema + ", category string").json(f"{path}/by").select(F.col("category").alias("part"), "name", "state_ready")
+    return by.unionByName(spark.read.schema(schema).json(f"{path}/not_ready").select(F.lit("not ready").alias("part"), "name", "state_ready"))
+
+
+@query("write_snapshot")
+def q_write_snapshot(spark, d):
+    """Two snapshots; the latest one is read back with its own schema."""
+    path = shared_dir(spark, "snapshot")
+    rows = _reg(spark, d).select("ticker", "company_name", F.lit(None).cast("string").alias("note"),
+                                 F.to_date(F.lit("2001-12-31")).alias("as_of"))
+    IO.write_snapshot(rows.where("false"), path, "20011230T000000")
+    IO.write_snapshot(rows, path, "20011231T000000")
+    return IO.read_latest(spark, path, rows.schema)
+
+
+@query("read_inventory")
+def q_read_inventory(spark, d):
+    """A5: endpoint records as list files and legacy wrapper files, by nation."""
+    path = shared_dir(spark, "inventory")
+    e = fx.endpoints(spark, d)
+    part = F.pmod(F.xxhash64("id"), F.lit(64))
+    body = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*e.columns))), ","), F.lit("]"))
+    files = e.groupBy(part.alias("part")).agg(body.alias("body"))
+    files = files.select("part", F.when(F.col("part") % 2 == 0, F.col("body"))
+                         .otherwise(F.concat(F.lit('{"endpoints":'), "body", F.lit("}"))).alias("value"))
+    files.repartition("part").write.partitionBy("part").text(path)
+    return K.flatten_endpoints(IO.read_inventory(spark, path, e.schema)).select("name", "id", "model_type", "model_name")
+
+
+@query("stream_binary")
+def q_stream_binary(spark, d):
+    """A1 + I1: documents landed as files, streamed as binary files into bronze."""
+    path = shared_dir(spark, "landing")
+    ST.land_files(Tables(spark, d).documents, path)
+    return spark.read.parquet(ST.stream_binary_bronze(spark, path)).select("doc_id", "source", "document_type", "industry_sector")
+
+
+@query("run_graph")
+def q_run_graph(spark, d):
+    """The order of the steps follows from what they read."""
+    done = ST.run_graph({"silver": (["bronze"], lambda b: ST.stream_silver(spark, b)),
+                         "bronze": ([], lambda: ST.stream_bronze(spark, d))})
+    return spark.read.parquet(done["silver"]).select("doc_id", "document_type")

@@ -1,7 +1,7 @@
 """Gold marts and analytic views of the filing and price pipeline.
 
-Each mart is a function of its inputs returning a lazy DataFrame; ``build_marts``
-wires them in dependency order. ``as_of`` replaces the reference's current date.
+Each mart is a function of its inputs returning a lazy DataFrame; :class:`Marts`
+builds and writes them in dependency order. ``as_of`` replaces the reference's current date.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from stratum.functions import scalars as S
 from stratum.operators import timeseries as ts
+from stratum.session import written
 from stratum.sources import fixtures as fx
 
 DEFAULT_AS_OF = "2001-12-31"
@@ -133,14 +134,21 @@ def stock_summary(daily: DataFrame, registry: DataFrame, as_of: str = DEFAULT_AS
     """Gold stock summary: latest row, 52-week range, period returns, 10-day
     volume, trend (E5 E6 E7 E8 C2 B8). ``market`` optionally supplies the
     valuation columns (ticker + any of VALUATION_COLS); otherwise NULL."""
-    latest = ts.latest_per_key(daily, ["ticker"], ["trade_date"])
-    rng = ts.year_range(daily, "ticker", "trade_date", "close_price", as_of)
-    per = ts.period_prices(daily, "ticker", "trade_date", "close_price", as_of, strict=strict)
-    vol = (ts.top_n_per_key(daily.select("ticker", "trade_date", "volume"), ["ticker"], ["trade_date"], 10)
-           .groupBy("ticker").agg(F.round(F.avg("volume"), 0).alias("avg_volume_10d")))
-    reg = registry.select("ticker", F.col("company_name").alias("_company"))
-    j = (latest.join(rng, "ticker", "left").join(per, "ticker", "left")
-         .join(vol, "ticker", "left").join(reg, "ticker", "left"))
+    since = F.date_sub(F.lit(as_of).cast("date"), 365)
+    recent, in_year = F.col("trade_date") >= since, F.col("trade_date") >= F.trunc(F.lit(as_of).cast("date"), "year")
+    w = Window.partitionBy("ticker").orderBy(F.col("trade_date").desc())
+    when = lambda cond, c: F.when(cond, F.col(c))
+    # the windows of ``daily`` already lie by ticker: one aggregate, no further shuffle
+    last = F.max_by(F.struct("close_price", "trade_date", "sma_50", "sma_200"), "trade_date")
+    first = F.min_by(when(recent & in_year, "close_price"), when(recent & in_year, "trade_date"))
+    year_ago = (F.max_by if strict else F.min_by)(when(recent, "close_price"), when(recent, "trade_date"))
+    g = daily.withColumn("_rn", F.row_number().over(w)).groupBy("ticker").agg(
+        last.alias("_last"), F.min(when(recent, "close_price")).alias("fifty_two_week_low"),
+        F.max(when(recent, "close_price")).alias("fifty_two_week_high"),
+        (F.min_by(when(recent, "close_price"), when(recent, "trade_date")) if strict else first).alias("year_start_price"),
+        year_ago.alias("one_year_ago_price"), F.round(F.avg(when(F.col("_rn") <= 10, "volume")), 0).alias("avg_volume_10d"))
+    g = g.select("*", "_last.*").drop("_last")
+    j = g.join(registry.select("ticker", F.col("company_name").alias("_company")), "ticker", "left")
     if market is not None:
         j = j.join(market, "ticker", "left")
     vals = [F.col(c).cast("double").alias(c) if market is not None and c in market.columns
@@ -190,10 +198,10 @@ def peer_comparison(overview: DataFrame) -> DataFrame:
                            "gross_margin_pct", "operating_margin_pct", "net_margin_pct", "pe_ratio",
                            "price_to_sales", "ev_to_revenue")
     return ts.rank_peers(base, {
-        "revenue_rank": F.col("total_revenue_billions").desc(),
-        "margin_rank": F.col("net_margin_pct").desc(),
-        "growth_rank": F.col("revenue_growth_yoy_pct").desc_nulls_last(),
-        "pe_rank": F.col("pe_ratio").asc_nulls_last(),
+        "revenue_rank": ("total_revenue_billions", F.col("total_revenue_billions").desc_nulls_last()),
+        "margin_rank": ("net_margin_pct", F.col("net_margin_pct").desc_nulls_last()),
+        "growth_rank": ("revenue_growth_yoy_pct", F.col("revenue_growth_yoy_pct").desc_nulls_last()),
+        "pe_rank": ("pe_ratio", F.col("pe_ratio").asc_nulls_last()),
     })
 
 
@@ -230,23 +238,73 @@ def revenue_breakdown(segments: DataFrame, geography: DataFrame) -> DataFrame:
     return seg.unionByName(geo)
 
 
-def build_marts(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> dict[str, DataFrame]:
-    """Every mart of the pipeline in dependency order (lazy plans)."""
-    silver = fx.silver_filings(spark, sf_dir)
-    registry = company_registry(silver)
-    daily = daily_prices(fx.raw_prices(spark, sf_dir))
-    fin = company_financials(silver, registry)
-    stock = stock_summary(daily, registry, as_of)
-    seg = revenue_by_segment(silver, registry)
-    geo = revenue_by_geography(silver, registry)
-    return {"silver_filings": silver, "company_registry": registry, "stock_daily_prices": daily,
-            "company_financials": fin, "stock_summary": stock, "revenue_by_segment": seg,
-            "revenue_by_geography": geo}
-
-
-def build_views(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The four analytic views over the marts."""
-    ov = company_overview(marts["company_financials"], marts["stock_summary"])
-    return {"company_overview": ov, "peer_comparison": peer_comparison(ov),
-            "stock_performance": stock_performance(marts["stock_daily_prices"], marts["company_financials"]),
-            "revenue_breakdown": revenue_breakdown(marts["revenue_by_segment"], marts["revenue_by_geography"])}
+class Marts:
+    """The pipeline's tables, each built from the ones before it and
+    written to the shared folder the first time it is asked for."""
+
+    TABLES = ["silver_filings", "company_registry", "stock_daily_prices", "company_financials", "stock_summary",
+              "revenue_by_segment", "revenue_by_geography"]
+    VIEWS = ["company_overview", "peer_comparison", "stock_performance", "revenue_breakdown"]
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF):
+        self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = getattr(self, f"_{name}")() if name in self.VIEWS else \
+                written(getattr(self, f"_{name}")(), f"mart-{name}")
+        return self._made[name]
+
+    def _silver(self) -> DataFrame:
+        """The filings for marts without breakdowns: the full table if it is there, else identity and totals alone."""
+        return self["silver_filings"] if "silver_filings" in self._made else self["silver_basic"]
+
+    def _silver_filings(self):
+        return fx.silver_filings(self.spark, self.sf_dir)
+
+    def _silver_basic(self):
+        return fx.silver_filings(self.spark, self.sf_dir, breakdowns=False)
+
+    def _company_registry(self):
+        return company_registry(self._silver())
+
+    def _stock_daily_prices(self):
+        return daily_prices(fx.raw_prices(self.spark, self.sf_dir))
+
+    def _company_financials(self):
+        return company_financials(self._silver(), self["company_registry"])
+
+    def _stock_summary(self):
+        return stock_summary(self["stock_daily_prices"], self["company_registry"], self.as_of,
+                             market=fx.market(self.spark, self.sf_dir))
+
+    def _revenue_by_segment(self):
+        return revenue_by_segment(self["silver_filings"], self["company_registry"])
+
+    def _revenue_by_geography(self):
+        return revenue_by_geography(self["silver_filings"], self["company_registry"])
+
+    def _company_overview(self):
+        return company_overview(self["company_financials"], self["stock_summary"])
+
+    def _peer_comparison(self):
+        return peer_comparison(self["company_overview"])
+
+    def _stock_performance(self):
+        return stock_performance(self["stock_daily_prices"], self["company_financials"])
+
+    def _revenue_breakdown(self):
+        return revenue_breakdown(self["revenue_by_segment"], self["revenue_by_geography"])
+
+    def build_marts(self) -> dict[str, DataFrame]:
+        """Every mart, written, in dependency order."""
+        return {name: self[name] for name in self.TABLES}
+
+    def build_views(self) -> dict[str, DataFrame]:
+        """The four views over the written marts, registered for SQL users."""
+        self.build_marts()
+        views = {name: self[name] for name in self.VIEWS}
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return views

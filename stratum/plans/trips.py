@@ -22,9 +22,15 @@ def mean(col, scale: int = 2) -> Column:
 
 
 def scored(trips: DataFrame) -> DataFrame:
+    """Both models' outputs (fits the tip thresholds)."""
     return Mo.with_predictions(trips)
 
 
+def fared(trips: DataFrame) -> DataFrame:
+    """The fare model's output alone."""
+    return Mo.with_fares(trips)
+
+
 def trip_totals(trips: DataFrame) -> DataFrame:
     """D3: one-row global aggregate."""
     return trips.agg(F.count(F.lit(1)).alias("total_trips"), mean("trip_distance").alias("avg_distance"),
@@ -33,7 +39,7 @@ def trip_totals(trips: DataFrame) -> DataFrame:
 
 def fares_for_all(trips: DataFrame) -> DataFrame:
     """Every trip with period, day name, prediction and error."""
-    s = scored(trips)
+    s = fared(trips)
     return s.select("trip_id", "trip_distance", "passenger_count",
                     S.time_period("hour_of_day").alias("time_period"), S.day_name("day_of_week").alias("day_name"),
                     "actual_fare", F.round("predicted_fare", 2).alias("predicted_fare"),
@@ -52,7 +58,7 @@ def tip_class_for_all(trips: DataFrame) -> DataFrame:
 
 def fares_by_period(trips: DataFrame) -> DataFrame:
     """Group by the long time-period label, ordered by predicted fare."""
-    s = scored(trips)
+    s = fared(trips)
     return (s.groupBy(S.time_period("hour_of_day", long=True).alias("time_period"))
             .agg(F.count(F.lit(1)).alias("trip_count"), mean("trip_distance").alias("avg_distance_miles"),
                  mean("actual_fare").alias("avg_actual_fare"), mean("predicted_fare").alias("avg_predicted_fare"))
@@ -70,7 +76,7 @@ def tips_by_day_type(trips: DataFrame) -> DataFrame:
 
 def rush_hour_impact(trips: DataFrame) -> DataFrame:
     """Per rush status, averages and mean signed error."""
-    s = scored(trips)
+    s = fared(trips)
     return (s.groupBy(S.flag_label("is_rush_hour", "Rush Hour", "Non-Rush Hour").alias("rush_status"))
             .agg(F.count(F.lit(1)).alias("trip_count"), mean("trip_distance").alias("avg_distance"),
                  mean("actual_fare").alias("avg_actual_fare"), mean("predicted_fare").alias("avg_predicted_fare"),
@@ -80,7 +86,7 @@ def rush_hour_impact(trips: DataFrame) -> DataFrame:
 
 def accuracy_metrics(trips: DataFrame) -> DataFrame:
     """MAE, RMSE, min / max prediction over all trips."""
-    s = scored(trips)
+    s = fared(trips)
     e = F.col("actual_fare") - F.col("predicted_fare")
     return s.agg(F.count(F.lit(1)).alias("total_trips"), mean(F.abs(e)).alias("mean_absolute_error"),
                  F.round(F.sqrt(F.avg(F.pow(e.cast("decimal(18,4)"), 2))), 2).alias("root_mean_squared_error"),
@@ -90,7 +96,7 @@ def accuracy_metrics(trips: DataFrame) -> DataFrame:
 
 def largest_errors(trips: DataFrame, k: int = 5) -> DataFrame:
     """Top-k trips by absolute error (ties by trip id)."""
-    s = scored(trips)
+    s = fared(trips)
     out = s.select("trip_id", "trip_distance", "passenger_count", "actual_fare",
                    F.round("predicted_fare", 2).alias("predicted_fare"),
                    S.abs_error("actual_fare", "predicted_fare").alias("absolute_error"),
@@ -101,7 +107,7 @@ def largest_errors(trips: DataFrame, k: int = 5) -> DataFrame:
 
 def per_mile_by_passengers(trips: DataFrame) -> DataFrame:
     """Ratio of averages (fare per mile) per passenger count."""
-    s = scored(trips)
+    s = fared(trips)
     d = F.avg(F.col("trip_distance").cast("decimal(18,4)"))
     return (s.groupBy("passenger_count")
             .agg(F.count(F.lit(1)).alias("trip_count"), mean("trip_distance").alias("avg_distance"),
@@ -115,7 +121,7 @@ def per_mile_by_passengers(trips: DataFrame) -> DataFrame:
 
 def daily_summary(trips: DataFrame) -> DataFrame:
     """Per weekday."""
-    s = scored(trips)
+    s = fared(trips)
     return (s.groupBy("day_of_week")
             .agg(F.count(F.lit(1)).alias("trips"), mean("trip_distance", 1).alias("avg_miles"),
                  mean("actual_fare").alias("avg_actual"), mean("predicted_fare").alias("avg_predicted"))
@@ -132,7 +138,7 @@ def tip_distribution(trips: DataFrame) -> DataFrame:
 
 def hourly_trend(trips: DataFrame) -> DataFrame:
     """Per hour with rush period label."""
-    s = scored(trips)
+    s = fared(trips)
     h = F.col("hour_of_day")
     period = F.when(h.between(7, 9), "Morning Rush").when(h.between(17, 19), "Evening Rush").otherwise("Normal")
     return (s.groupBy("hour_of_day").agg(F.count(F.lit(1)).alias("trips"),
@@ -164,7 +170,7 @@ def filter_then_score(trips: DataFrame) -> DataFrame:
 
 def error_by_rush(trips: DataFrame) -> DataFrame:
     """Two-step CTE shape: errors per trip, then per period."""
-    s = scored(trips)
+    s = fared(trips)
     e = s.select("is_rush_hour", S.abs_error("actual_fare", "predicted_fare", None).alias("absolute_error"),
                  ((F.col("actual_fare") - F.col("predicted_fare")) / F.nullif(F.col("actual_fare"), F.lit(0.0)) * 100)
                  .alias("error_percentage"))
@@ -198,7 +204,7 @@ def typical_class(trips: DataFrame) -> DataFrame:
 
 def high_predicted_fares(trips: DataFrame, threshold: float = 30.0) -> DataFrame:
     """Filter on a model output column."""
-    s = scored(trips)
+    s = fared(trips)
     return s.filter(F.col("predicted_fare") > threshold).select(
         "trip_id", "trip_distance", "actual_fare", F.round("predicted_fare", 2).alias("predicted_fare"))
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job relies on; each is applied only when the session leaves it unset
 # would be wrong for our semantics (UTC for date/hour functions, AQE for runtime
@@ -49,14 +49,25 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
-    The location is read from ``spark.checkpoint.dir``. Only when the session
-    has none (local tests) is a local temporary folder created and recorded in
-    the session, so every later call in that session shares it.
+    The location is read from ``spark.checkpoint.dir``. Only a session on a
+    ``local[...]`` master may do without it (tests): it gets a temporary folder,
+    recorded in the session so that later calls share it. On a cluster a
+    machine's own folder would be invisible to the others, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder: evaluated once, and safe from lost executors."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

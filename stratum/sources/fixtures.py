@@ -168,6 +168,18 @@ def _geography(t: Tables) -> DataFrame:
             _bn(F.col("r")).alias("region_revenue_billions")))).alias("geographic_revenue"))
 
 
+def market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market data per ticker, one row per supplier: P/E from 5 up, by supplier
+    key (every 11th has none), capitalisation from the account balance."""
+    s = Tables(spark, sf_dir).supplier
+    k = F.col("s_suppkey")
+    return s.select(ticker_of(k).alias("ticker"),
+                    F.when(k % 11 != 0, (5 + (k * 7) % 70).cast("double")).alias("pe_ratio"),
+                    (F.abs(F.col("s_acctbal").cast("decimal(12,2)")) / 100).cast("double").alias("market_cap_billions"),
+                    ((k % 20).cast("double") / 4).alias("price_to_sales"),
+                    ((k % 30).cast("double") / 8).alias("ev_to_revenue"))
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Taxi trips from events (one trip per event).
 
@@ -214,18 +226,20 @@ def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = (F.when(k == 0, F.concat(F.lit("databricks-"), seg, F.lit("-"), (F.col("c_custkey") % 3 + 1).cast("string")))
             .otherwise(F.concat(F.lit("ep-"), seg, F.lit("-"), F.col("c_custkey").cast("string"))))
     provider = F.coalesce(*[F.when(F.col("c_mktsegment") == s, F.lit(p)) for s, p in PROVIDERS.items()])
+    system_fm = (k == 3) & (F.col("c_custkey") % 3 == 0)  # a UC model that wraps a system foundation model
     entity = F.struct(
-        et.alias("type"),
+        et.alias("type"), F.concat(F.lit("served-"), seg).alias("name"),
         F.when(k == 2, F.concat(F.lit("system.ai."), seg)).when(k.isin(3, 4, 7), F.concat(F.lit("main.models."), seg))
         .alias("entity_name"),
         F.when(k.isin(2, 3, 4, 7), (F.col("c_custkey") % 5 + 1).cast("string")).alias("entity_version"),
         (F.col("c_custkey") % 2 == 0).alias("scale_to_zero_enabled"),
         _pick(["Small", "Medium", "Large"], F.col("c_custkey") % 3).alias("workload_size"),
         F.when(k.isin(0, 1), F.struct(F.concat(F.lit("fm-"), seg).alias("name"), F.lit("1").alias("version")))
+        .when(system_fm, F.struct(F.concat(F.lit("system.ai."), seg).alias("name"), F.lit("1").alias("version")))
         .alias("foundation_model"),
         F.when(k == 5, F.struct(F.concat(F.lit("ext-"), seg, F.lit("-"), (F.col("c_custkey") % 4).cast("string")).alias("name"),
                                 provider.alias("provider"))).alias("external_model"))
-    legacy = F.struct(F.concat(F.lit("legacy-"), seg).alias("model_name"), F.lit("2").alias("model_version"),
+    legacy = F.struct(F.concat(F.lit("served-"), seg).alias("name"), F.concat(F.lit("legacy-"), seg).alias("model_name"), F.lit("2").alias("model_version"),
                       F.lit(True).alias("scale_to_zero_enabled"), F.lit("Small").alias("workload_size"))
     use_legacy = F.col("c_custkey") % 16 == 9
     no_config = F.col("c_custkey") % 25 == 0
@@ -235,14 +249,17 @@ def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      seg.alias("schema_name"))).alias("inference_table_config"),
         F.array_repeat(F.struct(F.lit(100).alias("calls"), F.lit("minute").alias("renewal_period")),
                        (F.col("c_custkey") % 3).cast("int")).alias("rate_limits"),
-        F.when(F.col("c_custkey") % 4 == 0, F.struct(F.lit(True).alias("pii"))).alias("guardrails"))
+        F.when(F.col("c_custkey") % 4 == 0, F.struct(F.lit(True).alias("pii")))
+        .when(F.col("c_custkey") % 4 == 2, F.struct(F.lit(None).cast("boolean").alias("pii"))).alias("guardrails"))
     config = F.when(~no_config, F.struct(
         F.when(~use_legacy, F.array(entity)).alias("served_entities"),
         F.when(use_legacy, F.array(legacy)).alias("served_models"),
         gw.alias("ai_gateway")))
     tags = F.array(F.struct(F.lit("segment").alias("key"), F.col("c_mktsegment").alias("value")),
                    F.struct(F.when(F.col("c_custkey") % 2 == 0, F.lit("")).otherwise(F.lit("nation")).alias("key"),
-                            F.col("c_nationkey").cast("string").alias("value")))
+                            F.col("c_nationkey").cast("string").alias("value")),
+                   F.struct(F.when(F.col("c_custkey") % 7 == 0, F.lit("segment")).alias("key"),
+                            F.lit("again").alias("value")))
     return c.select(
         name.alias("name"), F.concat(F.lit("id-"), F.col("c_custkey").cast("string")).alias("id"),
         F.when(k == 0, F.lit("FOUNDATION_MODEL_API")).alias("endpoint_type"),
@@ -292,6 +309,9 @@ def assistants(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Use the filings of "), F.col("s_name"), F.lit(" to answer. "),
                  F.repeat(F.lit("Cite sources. "), (F.col("s_suppkey") % 12).cast("int"))).alias("instructions"),
         F.concat(F.lit("ka-ep-"), F.col("s_suppkey").cast("string")).alias("endpoint_name"),
+        F.concat(F.lit("user"), F.col("s_nationkey").cast("string"), F.lit("@example.com")).alias("creator"),
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("s_suppkey") % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z")).alias("create_time"),
+        F.when(F.col("s_suppkey") % 6 != 0, F.concat(F.lit("exp-"), F.col("s_suppkey").cast("string"))).alias("experiment_id"),
         kb.alias("knowledge_bases"))
 
 
@@ -337,8 +357,9 @@ def expected_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Agent responses (JSON) for assistant turns, each paired with the
-    phrases its case expects (the first two words of the previous user turn)."""
+    """Agent responses (JSON) for assistant turns, each paired with the phrases
+    its case expects: every two neighbouring words of the previous user turn.
+    Some answers are no JSON, some are missing."""
     c = Tables(spark, sf_dir).conversations
     w = Window.partitionBy("conv_id").orderBy("turn")
     prev_user = F.lag("text").over(w)
@@ -350,6 +371,10 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.array(F.struct(F.lit("output_text").alias("type"), F.lit("hidden").alias("text"))).alias("content"))
     out = c.withColumn("prev_user", prev_user).filter(F.col("role") == "assistant")
     words = F.split(F.regexp_replace(F.coalesce("prev_user", F.lit("")), r"[^\p{L}\s]", ""), r"\s+")
+    js = F.to_json(F.struct(F.array(extra, msg).alias("output")))
+    kept = F.filter(words, lambda x: x != "")
+    pairs = F.transform(F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1))), lambda w, i: F.concat(F.get(kept, i), F.lit(" "), w))
     return out.select("conv_id", "turn",
-                      F.to_json(F.struct(F.array(extra, msg).alias("output"))).alias("response_json"),
-                      F.slice(F.filter(words, lambda x: x != ""), 1, 2).alias("expected_phrases"))
+                      F.when(F.col("conv_id") % 23 == 5, F.lit(None)).when(F.col("conv_id") % 29 == 5, F.lit("no json: timeout"))
+                      .otherwise(js).alias("response_json"),
+                      F.array_distinct(pairs).alias("expected_phrases"))

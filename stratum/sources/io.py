@@ -6,44 +6,33 @@ paths come from the caller, normally under the cluster's shared storage.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def fetch_by_key(keys: DataFrame, key: str, fetch: Callable[[object], pd.DataFrame | None],
-                 schema: T.StructType | str) -> DataFrame:
-    """One fetched row set per distinct key, in parallel.
-
-    Distinct keys are hash-partitioned by the key (no single partition) and
-    each task calls ``fetch(key)`` for its keys; a key whose fetch raises or
-    returns nothing is skipped and the rest continue. No rows -> an empty
-    frame of ``schema``."""
-    distinct = keys.select(key).distinct().repartition(key)
-    cols = schema.fieldNames() if isinstance(schema, T.StructType) else None
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            parts = []
-            for k in b[key].tolist():
-                try:
-                    got = fetch(k)
-                except Exception:  # noqa: BLE001 - a failing key is skipped
-                    continue
-                if got is not None and len(got):
-                    parts.append(got)
-            if parts:
-                out = pd.concat(parts, ignore_index=True)
-                yield out[cols] if cols else out
-    return distinct.mapInPandas(run, schema)
+def fetch_by_key(keys: DataFrame, key: str, responses: DataFrame, schema: str, body: str = "body") -> DataFrame:
+    """A4: the answer of a source for every distinct key -> (key, status, error, the fields of ``schema``).
+
+    ``responses`` (key, body) holds the raw answers as they came in; the keys
+    meet them in a join, so a source of any size is read in parallel. A key
+    without an answer has status 'not_found', an answer that does not parse
+    'failed' with the text as its error; both keep their row, so nothing is
+    lost silently."""
+    asked = keys.select(key).distinct()
+    got = asked.join(responses.select(key, F.col(body).alias("_body")), key, "left")
+    parsed = got.withColumn("_r", F.from_json("_body", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
+    bad = F.col("_r").isNull() | F.col("_r._corrupt").isNotNull()
+    fields = [c.strip().split()[0] for c in schema.split(",")]
+    status = F.when(F.col("_body").isNull(), "not_found").when(bad, "failed").otherwise("success")
+    return parsed.select(key, status.alias("status"), F.when(status == "failed", F.col("_body")).alias("error"),
+                         *[F.when(status == "success", F.col(f"_r.{f}")).alias(f) for f in fields])
 
 
 def read_inventory(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A5: JSON inventory - a top-level list of records, or the legacy
-    object ``{"endpoints": [...]}``; both give one row per record."""
+    """A5: JSON inventory - files with a top-level list of records, or the legacy
+    object ``{"endpoints": [...]}``; both give one row per record. A file is
+    parsed whole by one task; an inventory of many files is read in parallel."""
     wrapped = T.StructType([T.StructField("endpoints", T.ArrayType(schema))])
     raw = spark.read.schema(T.StructType(schema.fields + wrapped.fields)).option("multiLine", True).json(path)
     legacy = raw.filter(F.col("endpoints").isNotNull()).select(F.explode("endpoints").alias("e")).select("e.*")
@@ -66,20 +55,29 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def export_by(df: DataFrame, col: str, path: str, not_ready: F.Column | None = None) -> None:
+def export_by(df: DataFrame, col: str, path: str, not_ready: F.Column | None = None,
+              not_ready_path: str | None = None) -> None:
     """One JSON file set per lower-cased category value (categories with
-    no rows produce nothing), plus the not-ready subset."""
+    no rows produce nothing), plus the not-ready subset in a folder of its own."""
     df.withColumn("category", F.lower(F.col(col))).write.mode("overwrite").partitionBy("category").json(path)
     if not_ready is not None:
-        df.filter(not_ready).write.mode("overwrite").json(f"{path}/not_ready")
+        df.filter(not_ready).write.mode("overwrite").json(not_ready_path or f"{path.rstrip('/')}-not-ready")
+
+
+def write_snapshot(df: DataFrame, path: str, run_ts: str) -> str:
+    """The rows as JSON under a folder of their own, and the name of that
+    folder as the latest one. The pointer is a one-row table that is written
+    after the data, so a reader sees the old snapshot or the whole new one."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/ts={run_ts}")
+    (df.sparkSession.range(1).select(F.lit(run_ts).alias("run_ts"), F.current_timestamp().alias("at"))
+     .write.mode("append").parquet(f"{path}/latest"))
+    return f"{path}/ts={run_ts}"
 
 
-def write_snapshot(df: DataFrame, path: str, run_ts: str) -> tuple[str, str]:
-    """The same rows under a timestamped path and under ``latest``."""
-    snap, latest = f"{path}/ts={run_ts}", f"{path}/latest"
-    df.write.mode("overwrite").json(snap)
-    df.sparkSession.read.json(snap).write.mode("overwrite").json(latest)
-    return snap, latest
+def read_latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A9 read side: the newest snapshot with the schema it was written with."""
+    run_ts = spark.read.parquet(f"{path}/latest").agg(F.max_by("run_ts", "at")).first()[0]
+    return spark.read.schema(schema).json(f"{path}/ts={run_ts}")
 
 
 def cache_predictions(df: DataFrame, path: str) -> DataFrame:

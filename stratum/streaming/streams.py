@@ -10,7 +10,8 @@ restarted driver or lost executor resumes from the last committed batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from stratum.session import shared_dir
 
 
 def stream_binary(spark: SparkSession, src: str, glob: str = "*") -> DataFrame:
-    """A1: new files of a folder as (path, content, file_name, file_size)."""
-    return (spark.readStream.format("binaryFile").option("pathGlobFilter", glob).load(src)
+    """A1: new files of a folder and those below it as (path, content, file_name, file_size)."""
+    return (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+            .option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(src)
             .select("path", "content", F.col("_metadata.file_name").alias("file_name"),
                     F.col("_metadata.file_size").alias("file_size")))
 
@@ -31,6 +33,12 @@ def stream_table(spark: SparkSession, src: str, schema, glob: str = "*.parquet")
     return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(src)
 
 
+def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table as a stream, be it one file or a folder of them."""
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parquet*")
+
+
 def run_available(df: DataFrame, out: str, ckpt: str) -> None:
     """Append everything available now to ``out`` and wait for it."""
     q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
@@ -58,9 +66,7 @@ def silver(bronze_df: DataFrame) -> DataFrame:
 def stream_bronze(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     """Documents table as a file stream -> bronze parquet. Returns the output path."""
     root = root or shared_dir(spark, "bronze")
-    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
-    src = stream_table(spark, sf_dir, schema, "documents.parquet")
-    run_available(bronze(src), f"{root}/data", f"{root}/_checkpoint")
+    run_available(bronze(stream_documents(spark, sf_dir)), f"{root}/data", f"{root}/_checkpoint")
     return f"{root}/data"
 
 
@@ -72,13 +78,58 @@ def stream_silver(spark: SparkSession, bronze_path: str, root: str | None = None
     return f"{root}/data"
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Idempotent re-runs: a key seen before (in this or an earlier batch,
-    per the state store) is dropped."""
-    return df.dropDuplicates(list(keys))
+def land_files(docs: DataFrame, path: str, per_file: int = 1000) -> None:
+    """Documents as text files of one JSON record a line, by source: the files
+    a crawl would leave. ``per_file`` bounds a file, which a reader holds whole."""
+    (docs.select("source", F.to_json(F.struct("doc_id", "lang", "text")).alias("value"))
+     .write.option("maxRecordsPerFile", per_file).partitionBy("source").text(path))
+
+
+def binary_documents(files: DataFrame) -> DataFrame:
+    """Rows (doc_id, source, lang, text, file_name) of streamed binary files."""
+    line = F.explode(F.split(F.col("content").cast("string"), "\n"))
+    rec = F.from_json("line", "doc_id long, lang string, text string")
+    return (files.select("file_name", F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), line.alias("line"))
+            .where("line <> ''").select("file_name", "source", rec.alias("r"))
+            .select("r.doc_id", "source", "r.lang", "r.text", "file_name"))
+
+
+def stream_binary_bronze(spark: SparkSession, src: str, root: str | None = None) -> str:
+    """A1 + I1: bronze from binary files of a folder. Returns the output path."""
+    root = root or shared_dir(spark, "bronze-binary")
+    run_available(bronze(binary_documents(stream_binary(spark, src, "*.txt"))), f"{root}/data", f"{root}/_checkpoint")
+    return f"{root}/data"
+
+
+def dedup_stream(df: DataFrame, keys: Sequence[str], out: str, ckpt: str, run: int = 1) -> None:
+    """Idempotent re-runs: a key written by an earlier batch or run is dropped.
+
+    The state is the sink itself: each micro-batch is reduced to one row per
+    key and anti-joined with the keys already written, so nothing has to be
+    held between batches. A batch owns a folder and overwrites it, so a retried
+    batch leaves no second copy. ``run`` numbers the runs that share the sink."""
+    schema = df.schema
+    df.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(f"{out}/run={run}/batch=-1")
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        found = batch.sparkSession.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, run long, batch long")
+        earlier = (F.col("run") < run) | ((F.col("run") == run) & (F.col("batch") < batch_id))
+        seen = found.parquet(out).where(earlier).select(*keys)
+        fresh = batch.dropDuplicates(list(keys)).join(seen, list(keys), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/run={run}/batch={batch_id}")
+
+    q = df.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+Step = tuple[Sequence[str], Callable[..., object]]
 
 
-def run_graph(steps: Sequence[Callable[[], object]]) -> list[object]:
-    """Triggered refresh of a pipeline: run the steps in dependency order,
-    each to completion."""
-    return [step() for step in steps]
+def run_graph(steps: Mapping[str, Step]) -> dict[str, object]:
+    """Triggered refresh of a pipeline. ``steps``: name -> (names it reads,
+    function of their results); the order follows from the reads."""
+    done: dict[str, object] = {}
+    for name in TopologicalSorter({n: reads for n, (reads, _) in steps.items()}).static_order():
+        reads, fn = steps[name]
+        done[name] = fn(*[done[r] for r in reads])
+    return done

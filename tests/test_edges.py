@@ -39,9 +39,10 @@ def test_sanitize_and_strip_version(spark):
     assert r[0].s == "My_KA_v2" and r[1].s == "knowledge_assistant" and r[0].v == "llama"
 
 
-def test_tags_map_drops_keyless(spark):
-    df = spark.createDataFrame([([("a", "1"), ("", "2"), (None, "3")],)], "tags array<struct<key:string,value:string>>")
-    assert df.select(S.tags_map("tags").alias("m")).first().m == {"a": "1"}
+def test_tags_map_drops_keyless_and_keeps_the_last(spark):
+    df = spark.createDataFrame([([("a", "1"), ("", "2"), (None, "3"), ("b", "4"), ("a", "5")],), ([],), (None,)],
+                               "tags array<struct<key:string,value:string>>")
+    assert [r.m for r in df.select(S.tags_map("tags").alias("m")).collect()] == [{"a": "5", "b": "4"}, {}, None]
 
 
 def test_keep_latest_ties_are_deterministic(spark):
@@ -61,6 +62,95 @@ def test_missing_phrases_and_response_text(spark):
     assert r.t == "Hello World" and r.m == ["Mars"]
 
 
+def test_unreadable_answers(spark):
+    js = ['{"output":[{"type":"reasoning","content":[]}]}', "timeout", None,
+          '{"output":[{"type":"message","content":[{"type":"output_text","text":null}]}]}']
+    df = spark.createDataFrame([(j, ["World", "out"]) for j in js], "j string, e array<string>")
+    t = S.response_text("j")
+    got = [(r.t, r.m) for r in df.select(t.alias("t"), S.missing_phrases(t, "e").alias("m")).collect()]
+    assert got == [('[{"type":"reasoning","content":[]}]', ["World", "out"]), ("timeout", ["World"]), ("", ["World", "out"]),
+                   ("", ["World", "out"])]
+    none = spark.createDataFrame([(None, ["a"]), ("x", None)], "t string, e array<string>")
+    assert [r.m for r in none.select(S.missing_phrases("t", "e").alias("m")).collect()] == [["a"], []]
+
+
+def test_run_summary_counts_a_missing_verdict_as_failed(spark):
+    df = spark.createDataFrame([(True, True, 1.0), (False, None, 2.0), (None, True, 0.5)],
+                               "passed boolean, validated boolean, duration_s double")
+    r = A.run_summary(df).first()
+    assert (r.total, r.passed, r.failed, r.validated, r.total_seconds) == (3, 1, 2, 2, 3.5)
+
+
+def test_row_ids_lose_no_row_whatever_the_width(spark):
+    rows = [(i, i * 7 % 100, "x" * (i % 50) * 20, float(i)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "id long, v int, pad string, f double")
+    for n in (3, 8, 40):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = ts.with_row_id(df, [F.col("v").desc(), F.col("id")]).select("id", "row_id", "pad").collect()
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        want = {r[0]: i + 1 for i, r in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
+        assert {r.id: r.row_id for r in got} == want and len(got) == 5000
+
+
+def test_ranks_of_ties_and_nulls(spark):
+    df = spark.createDataFrame([("a", 5), ("b", 7), ("c", 5), ("d", None), ("e", None), ("f", 1)], "k string, v int")
+    got = {r.k: r.r for r in ts.rank_peers(df, {"r": ("v", F.col("v").desc_nulls_last())}).collect()}
+    assert got == {"b": 1, "a": 2, "c": 2, "f": 4, "d": 5, "e": 5}
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+    values = [None, 3.0, 3.0, 3.0, -1.5, 10.0, 0.25, 7.0] * 3 + [99.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    qs = [0.0, 0.1, 0.33, 0.5, 0.67, 1.0]
+    got = ts.exact_quantiles(df, "x", qs).first()
+    assert np.allclose(list(got), np.quantile([v for v in values if v is not None], qs))
+    assert list(ts.exact_quantiles(df.where("x is null"), "x", [0.5]).first()) == [None]
+
+
+def test_stratified_split_is_a_partition(spark):
+    df = spark.createDataFrame([(i, i % 7 == 0) for i in range(3000)] + [(9999, None)], "trip_id long, c boolean") \
+        .select("trip_id", F.when(F.col("c"), 2).otherwise(0).alias("tip_category"))
+    a, b = Mo.stratified_split(df, "tip_category")
+    ids = [r.trip_id for r in a.collect()] + [r.trip_id for r in b.collect()]
+    assert sorted(ids) == sorted([*range(3000), 9999])
+    share = {r.tip_category: r["count"] for r in a.groupBy("tip_category").count().collect()}
+    assert abs(share[2] / 429 - 0.8) < 0.03 and abs(share[0] / 2572 - 0.8) < 0.01
+
+
+def test_snapshot_keeps_types_and_empty_columns(spark, tmp_path):
+    from stratum.sources import io as IO
+    import datetime as dt
+    df = spark.createDataFrame([("a", None, dt.date(2020, 1, 1))], "k string, n int, d date")
+    IO.write_snapshot(df, str(tmp_path), "1")
+    assert IO.read_latest(spark, str(tmp_path), df.schema).collect() == df.collect()
+
+
+def test_fetch_keeps_failed_and_missing_keys(spark):
+    from stratum.sources import io as IO
+    keys = spark.createDataFrame([(1,), (1,), (2,), (3,)], "k long")
+    answers = spark.createDataFrame([(1, '{"x":"a"}'), (2, '{"x'), (9, '{"x":"z"}')], "k long, body string")
+    got = {tuple(r) for r in IO.fetch_by_key(keys, "k", answers, "x string").collect()}
+    assert got == {(1, "success", None, "a"), (2, "failed", '{"x', None), (3, "not_found", None, None)}
+
+
+def test_graph_order_follows_reads():
+    from stratum.streaming import streams as ST
+    seen = []
+    out = ST.run_graph({"c": (["a", "b"], lambda a, b: seen.append("c") or a + b), "b": (["a"], lambda a: seen.append("b") or a * 2),
+                        "a": ([], lambda: seen.append("a") or 1)})
+    assert seen == ["a", "b", "c"] and out == {"a": 1, "b": 2, "c": 3}
+
+
+def test_shared_dir_needs_a_location_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from stratum.session import shared_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared_dir(cluster, "x")
+
+
 def test_peer_average_excludes_self(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("b", None), ("c", 5.0)], "t string, x double")
     got = {r.t: r.peer_avg_x for r in A.peer_average(df, "t", ["x"]).collect()}
@@ -86,18 +176,24 @@ def test_classify_default_label(spark):
     assert r[0].c == "Other_Financial_Document" and r[1].c == "SEC_10K_Annual_Report"
 
 
-def test_table_functions_match_bulk_forms(spark):
-    fin, stock = C._fin(spark, SF_SMALL), C._stock(spark, SF_SMALL)
+def test_table_functions_match_bulk_forms_for_every_ticker(spark):
+    fin, stock = C._fin(spark, SF_SMALL).cache(), C._stock(spark, SF_SMALL).cache()
     SF.register_sql_functions(spark, fin, stock)
-    ticker = fin.select("ticker").orderBy("ticker").first().ticker
-    sql_rows = SF.call_table_function(spark, "valuation_score", ticker).collect()
-    bulk = SF.valuation_scores(fin, stock).filter(F.col("ticker") == ticker).collect()
-    assert sorted(r.valuation_score for r in sql_rows) == sorted(r.valuation_score for r in bulk)
-    g = SF.call_table_function(spark, "growth_trajectory", ticker).count()
-    assert g == 3 * fin.filter(F.col("ticker") == ticker).count()
-    thesis = spark.sql("SELECT investment_thesis(:t) AS x", args={"t": ticker}).first().x
-    bulk_thesis = SF.investment_theses(fin).filter(F.col("ticker") == ticker).first().thesis
-    assert thesis == bulk_thesis
+    bulk = {"valuation_score": SF.valuation_scores(fin, stock), "compare_peers": SF.compare_peers_all(fin),
+            "growth_trajectory": SF.growth_trajectories(fin), "risk_summary": SF.risk_summaries(fin, stock)}
+    tickers = [r.ticker for r in fin.select("ticker").distinct().collect()]
+    assert tickers
+    for name, df in bulk.items():
+        rows = {}
+        for r in df.collect():
+            rows.setdefault(r.ticker, []).append(r.asDict())
+        for t in tickers:
+            got = [r.asDict() for r in SF.call_table_function(spark, name, t).collect()]
+            want = [{c: r[c] for c in got[0]} for r in rows[t]]
+            assert sorted(map(repr, got)) == sorted(map(repr, want))
+    theses = {r.ticker: r.thesis for r in SF.investment_theses(fin).collect()}
+    for t in tickers:
+        assert spark.sql("SELECT investment_thesis(:t) AS x", args={"t": t}).first().x == theses[t]
 
 
 def test_stream_equals_batch(spark):

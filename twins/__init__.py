@@ -148,13 +148,19 @@ vol AS (
   SELECT ticker, ROUND(AVG(volume), 0) AS avg_volume_10d FROM (
     SELECT ticker, volume, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rn FROM daily)
   WHERE rn <= 10 GROUP BY ticker),
+market AS (
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS ticker,
+         CASE WHEN s_suppkey % 11 <> 0 THEN CAST(5 + (s_suppkey * 7) % 70 AS DOUBLE) END AS pe_ratio,
+         CAST(abs(CAST(s_acctbal AS DECIMAL(12,2))) / 100 AS DOUBLE) AS market_cap_billions,
+         CAST(s_suppkey % 20 AS DOUBLE) / 4 AS price_to_sales, CAST(s_suppkey % 30 AS DOUBLE) / 8 AS ev_to_revenue
+  FROM supplier),
 stock AS (
   SELECT l.ticker, COALESCE(r.company_name, l.ticker) AS company, l.close_price AS current_price,
          l.trade_date AS price_date,
-         CAST(NULL AS DOUBLE) AS market_cap_billions, CAST(NULL AS DOUBLE) AS pe_ratio,
+         m.market_cap_billions, m.pe_ratio,
          CAST(NULL AS DOUBLE) AS forward_pe, CAST(NULL AS DOUBLE) AS peg_ratio,
-         CAST(NULL AS DOUBLE) AS price_to_sales, CAST(NULL AS DOUBLE) AS price_to_book,
-         CAST(NULL AS DOUBLE) AS enterprise_value_billions, CAST(NULL AS DOUBLE) AS ev_to_revenue,
+         m.price_to_sales, CAST(NULL AS DOUBLE) AS price_to_book,
+         CAST(NULL AS DOUBLE) AS enterprise_value_billions, m.ev_to_revenue,
          CAST(NULL AS DOUBLE) AS ev_to_ebitda, CAST(NULL AS DOUBLE) AS dividend_yield_pct,
          CAST(NULL AS DOUBLE) AS beta,
          g.fifty_two_week_high, g.fifty_two_week_low,
@@ -167,7 +173,8 @@ stock AS (
               WHEN l.close_price < l.sma_50 AND l.close_price < l.sma_200 THEN 'Bearish'
               ELSE 'Neutral' END AS trend_signal
   FROM latest l LEFT JOIN rng g ON l.ticker = g.ticker LEFT JOIN per p ON l.ticker = p.ticker
-       LEFT JOIN vol v ON l.ticker = v.ticker LEFT JOIN registry r ON l.ticker = r.ticker)"""
+       LEFT JOIN vol v ON l.ticker = v.ticker LEFT JOIN registry r ON l.ticker = r.ticker
+       LEFT JOIN market m ON l.ticker = m.ticker)"""
 
 
 def sql() -> dict[str, str]:
@@ -267,7 +274,9 @@ ep AS (
          ELSE 'ep-' || seg || '-' || CAST(c_custkey AS VARCHAR) END AS name,
     CASE WHEN k IN (4, 7) THEN 'agent/v1/responses' WHEN k = 2 THEN 'llm/v1/chat' END AS task,
     CASE WHEN noconf THEN 'unknown' WHEN legacy THEN 'SERVED_MODEL' ELSE {_ET} END AS entity_type,
-    CASE WHEN noconf OR legacy THEN NULL WHEN k = 5 THEN {_PROV} WHEN k IN (0, 1) THEN 'databricks' END AS model_provider,
+    NOT noconf AND NOT legacy AND k = 3 AND c_custkey % 3 = 0 AS sysfm,
+    CASE WHEN noconf OR legacy THEN NULL WHEN k = 5 THEN {_PROV}
+         WHEN k IN (0, 1) OR (k = 3 AND c_custkey % 3 = 0) THEN 'databricks' END AS model_provider,
     CASE WHEN k = 7 THEN {_PT} END AS problem_type
   FROM ep0),
 flat AS (
@@ -282,20 +291,23 @@ flat AS (
          WHEN k IN (3, 4, 7) THEN 'main.models.' || seg END AS entity_name,
     CASE WHEN noconf THEN NULL WHEN legacy THEN '2' WHEN k IN (2, 3, 4, 7) THEN CAST(c_custkey % 5 + 1 AS VARCHAR) END
       AS entity_version,
-    CASE WHEN noconf THEN '' WHEN legacy THEN 'legacy-' || seg WHEN k = 5 THEN 'ext-' || seg || '-' || CAST(c_custkey % 4 AS VARCHAR)
-         WHEN k IN (0, 1) THEN 'fm-' || seg WHEN k = 2 THEN 'system.ai.' || seg WHEN k IN (3, 4, 7) THEN 'main.models.' || seg
+    CASE WHEN noconf THEN '' WHEN legacy THEN 'served-' || seg
+         WHEN k = 5 THEN 'ext-' || seg || '-' || CAST(c_custkey % 4 AS VARCHAR)
+         WHEN k IN (0, 1) THEN 'fm-' || seg WHEN k = 6 THEN 'served-' || seg WHEN sysfm THEN 'system.ai.' || seg
          ELSE '' END AS model_name,
+    CASE WHEN noconf THEN '' WHEN legacy THEN 'legacy-' || seg WHEN k = 2 THEN 'system.ai.' || seg
+         WHEN k IN (3, 4, 7) AND NOT sysfm THEN 'main.models.' || seg ELSE '' END AS registered_model_name,
     model_provider,
     CASE WHEN noconf THEN NULL WHEN legacy THEN true ELSE c_custkey % 2 = 0 END AS scale_to_zero,
     CASE WHEN noconf THEN NULL WHEN legacy THEN 'Small'
          ELSE CASE c_custkey % 3 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' ELSE 'Large' END END AS workload_size,
-    CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 2 END AS tag_count,
-    CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS segment_tag,
+    CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 3 END AS tag_count,
+    CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'again' ELSE c_mktsegment END AS segment_tag,
     CASE WHEN k = 7 THEN 'tile-' || CAST(c_custkey AS VARCHAR) END AS tile_id, problem_type,
     CASE WHEN task LIKE '%agent%' THEN 'agent'
          WHEN noconf THEN CASE WHEN k = 0 THEN 'foundation_model' ELSE 'unknown' END
          WHEN legacy THEN 'custom_model'
-         WHEN k = 5 THEN 'external_model' WHEN k IN (0, 1) THEN 'foundation_model' WHEN k = 6 THEN 'feature_serving'
+         WHEN k = 5 THEN 'external_model' WHEN k IN (0, 1) OR sysfm THEN 'foundation_model' WHEN k = 6 THEN 'feature_serving'
          WHEN k IN (2, 3, 4, 7) THEN 'custom_model' ELSE 'unknown' END AS endpoint_category,
     CASE WHEN problem_type = 'KNOWLEDGE_ASSISTANT' THEN 'AGENT_BRICKS_KA'
          WHEN problem_type = 'MULTI_AGENT_SUPERVISOR' THEN 'AGENT_BRICKS_MAS'
@@ -303,7 +315,7 @@ flat AS (
          WHEN problem_type = 'MODEL_SPECIALIZATION' THEN 'AGENT_BRICKS_MS'
          WHEN entity_type = 'FOUNDATION_MODEL' AND starts_with(name, 'databricks-') THEN 'DATABRICKS_FM_PPT'
          WHEN entity_type = 'PT_FOUNDATION_MODEL' THEN 'DATABRICKS_FM_PT'
-         WHEN entity_type = 'UC_MODEL' AND k = 2 THEN 'DATABRICKS_FM_UC_SYSTEM_AI'
+         WHEN entity_type = 'UC_MODEL' AND (k = 2 OR sysfm) THEN 'DATABRICKS_FM_UC_SYSTEM_AI'
          WHEN entity_type = 'UC_MODEL' AND COALESCE(task, '') = '' THEN 'DATABRICKS_CLASSIC_ML'
          WHEN entity_type = 'UC_MODEL' THEN 'DATABRICKS_FM_UC_AGENTS'
          WHEN entity_type = 'EXTERNAL_MODEL' AND model_provider = 'custom' THEN 'FM_EXTERNAL_MODEL_CUSTOM'
@@ -313,6 +325,8 @@ flat AS (
     CASE WHEN noconf OR c_custkey % 3 = 1 THEN NULL ELSE 'main' END AS inference_table_catalog,
     CASE WHEN noconf OR c_custkey % 3 = 1 THEN NULL ELSE seg END AS inference_table_schema,
     CASE WHEN noconf THEN 0 ELSE CAST(c_custkey % 3 AS INTEGER) END AS rate_limits_count,
+    '[' || CASE WHEN noconf THEN '' ELSE rtrim(repeat('{{"calls":100,"renewal_period":"minute"}},', CAST(c_custkey % 3 AS INTEGER)), ',') END
+      || ']' AS rate_limits,
     CASE WHEN noconf THEN false ELSE c_custkey % 4 = 0 END AS guardrails_enabled
   FROM ep)"""
 

@@ -208,7 +208,7 @@ FROM trips2 GROUP BY 1, 2""")
 tw("as_json", """
 SELECT trip_id, to_json({'trip_distance': trip_distance, 'passenger_count': passenger_count,
   'when': {'hour_of_day': hour_of_day, 'day_of_week': day_of_week}})::VARCHAR AS js FROM trips2""")
-tw("with_row_id", "SELECT trip_id, fare_amount, ROW_NUMBER() OVER (ORDER BY fare_amount DESC, trip_id) AS row_id FROM trips2")
+tw("with_row_id", "SELECT *, ROW_NUMBER() OVER (ORDER BY fare_amount DESC, trip_id) AS row_id FROM trips2")
 tw("quantiles", """
 SELECT median(fare_amount) AS median, quantile_cont(fare_amount, 0.25) AS q25, quantile_cont(fare_amount, 0.33) AS q33,
   quantile_cont(fare_amount, 0.67) AS q67, quantile_cont(fare_amount, 0.75) AS q75 FROM trips2""")
@@ -273,14 +273,16 @@ sw("company_overview", "SELECT * FROM overview", OVERVIEW)
 PEERS = """peers AS (
   SELECT company, ticker, fiscal_year, total_revenue_billions, market_cap_billions, revenue_growth_yoy_pct,
     ytd_return_pct, gross_margin_pct, operating_margin_pct, net_margin_pct, pe_ratio, price_to_sales, ev_to_revenue,
-    RANK() OVER (ORDER BY total_revenue_billions DESC) AS revenue_rank,
-    RANK() OVER (ORDER BY net_margin_pct DESC NULLS FIRST) AS margin_rank,
+    RANK() OVER (ORDER BY total_revenue_billions DESC NULLS LAST) AS revenue_rank,
+    RANK() OVER (ORDER BY net_margin_pct DESC NULLS LAST) AS margin_rank,
     RANK() OVER (ORDER BY revenue_growth_yoy_pct DESC NULLS LAST) AS growth_rank,
     RANK() OVER (ORDER BY pe_ratio ASC NULLS LAST) AS pe_rank
   FROM overview)"""
 sw("peer_comparison", "SELECT * FROM peers", OVERVIEW, PEERS)
-sw("rank_peers", "SELECT ticker, fiscal_year, revenue_rank, margin_rank, growth_rank, pe_rank FROM peers",
-   OVERVIEW, PEERS)
+twin("rank_peers", """
+SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_day,
+  RANK() OVER (ORDER BY o_totalprice DESC NULLS LAST) AS price_rank,
+  RANK() OVER (ORDER BY CAST(o_orderdate AS DATE) ASC NULLS LAST) AS day_rank FROM orders""")
 twin("stock_performance", W(*PRICES, *FINS, body="""
 SELECT d.ticker, c.company, d.trade_date, d.close_price, d.volume, d.daily_return_pct, d.sma_20, d.sma_50, d.sma_200,
   d.volatility_20d,
@@ -339,7 +341,10 @@ SELECT ticker, company || ' (' || ticker || ') Summary: ' || 'Revenue $' || {num
   || 'Growth ' || {num1('revenue_growth_yoy_pct')} || '%, ' || 'Margin ' || {num1('gross_margin_pct')} || '%' AS thesis
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC) AS rn FROM fin) WHERE rn = 1"""
 fw("investment_thesis", THESIS)
-fw("sentence", THESIS)
+twin("sentence", W(*PRICES, body="""
+SELECT ticker, trade_date, ticker || ' closed at '
+  || CAST(ROUND(CAST(CAST(close_price AS VARCHAR) AS DECIMAL(38,17)), 2) AS DECIMAL(38,2))::VARCHAR || ' ('
+  || CAST(ROUND(CAST(CAST(daily_return_pct AS VARCHAR) AS DECIMAL(38,17)), 2) AS DECIMAL(38,2))::VARCHAR || '%)' AS line FROM daily"""))
 fw("growth_trajectory", """
 SELECT f.ticker, f.fiscal_year, s.year_offset, ROUND(f.total_revenue_billions * s.m, 1) AS projected_revenue,
   s.growth_rate
@@ -365,7 +370,7 @@ SELECT file_name, fiscal_year, total_revenue_billions AS revenue, CAST(NULL AS V
 fw("pct", """
 SELECT ticker, fiscal_year, gross_margin_pct, operating_margin_pct, net_margin_pct, CAST(NULL AS DOUBLE) AS zero_div
 FROM fin""")
-sw("null_as", f"SELECT ticker, {', '.join(VALS)} FROM stock")
+fw("null_as", f"SELECT ticker, {', '.join('CAST(NULL AS DOUBLE) AS ' + v for v in VALS)} FROM registry")
 twin("above", W(*PRICES, body="""
 SELECT ticker, trade_date, close_price > sma_50 AS above_sma_50, close_price > sma_200 AS above_sma_200 FROM daily"""))
 twin("trend_signal", W(*PRICES, body="""
@@ -388,10 +393,10 @@ CROSS JOIN (SELECT COUNT(*) AS tickers, MAX(current_price) AS max_price FROM sto
 fw("explode_items", """
 SELECT f.file_name, g.region, g.region_revenue_billions AS revenue
 FROM filings f JOIN geos g ON f.l_suppkey = g.l_suppkey AND f.fiscal_year = g.fiscal_year""", GEOS)
-twin("missing_from", W(RAW_PRICES, *FINS, body="""
-SELECT ticker, 'missing' AS side FROM (SELECT ticker FROM registry EXCEPT SELECT ticker FROM raw_prices)
+twin("missing_from", """
+SELECT custkey, 'missing' AS side FROM (SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders)
 UNION ALL
-SELECT ticker, 'unexpected' FROM (SELECT ticker FROM raw_prices EXCEPT SELECT ticker FROM registry)"""))
+SELECT custkey, 'unexpected' FROM (SELECT o_custkey AS custkey FROM orders EXCEPT SELECT c_custkey FROM customer)""")
 fw("rank_in_key", """
 SELECT f.ticker, f.fiscal_year, g.segment_name,
   ROW_NUMBER() OVER (PARTITION BY f.ticker, f.fiscal_year ORDER BY g.segment_revenue_billions DESC, g.segment_name)
@@ -433,7 +438,7 @@ def iw(name, body):
 
 
 FLATC = ("name, id, endpoint_type, task, creator, created_at, updated_at, state_ready, config_update, entity_type, "
-         "entity_name, entity_version, model_name, model_provider, scale_to_zero, workload_size, tag_count, tile_id, "
+         "entity_name, entity_version, model_name, registered_model_name, model_provider, scale_to_zero, workload_size, tag_count, tile_id, "
          "problem_type, endpoint_category, model_type")
 iw("flatten_endpoints", f"SELECT {FLATC}, segment_tag, usage_tracking_enabled, inference_table_catalog, "
                         "rate_limits_count, guardrails_enabled FROM flat")
@@ -441,14 +446,18 @@ iw("model_type", "SELECT name, model_type FROM flat")
 iw("model_type_fast", "SELECT name, model_type FROM flat WHERE model_type <> 'UNCLASSIFIED'")
 iw("endpoint_category", "SELECT name, entity_type, endpoint_category FROM flat")
 iw("gateway_settings", "SELECT name, usage_tracking_enabled, inference_table_catalog, inference_table_schema, "
-                       "rate_limits_count, guardrails_enabled FROM flat")
+                       "rate_limits_count, rate_limits, guardrails_enabled FROM flat")
 iw("inventory_summary", """
 WITH f AS (SELECT *, CASE WHEN length(model_name) > 2 THEN regexp_replace(NULLIF(model_name, ''), '-[0-9]$', '')
                           ELSE NULLIF(model_name, '') END AS model_family FROM flat),
 l AS (SELECT 'model_type' AS field, model_type AS value FROM f UNION ALL SELECT 'endpoint_category', endpoint_category FROM f
+  UNION ALL SELECT 'endpoint_type', endpoint_type FROM f
   UNION ALL SELECT 'entity_type', entity_type FROM f UNION ALL SELECT 'state_ready', state_ready FROM f
   UNION ALL SELECT 'task', task FROM f UNION ALL SELECT 'model_provider', model_provider FROM f
-  UNION ALL SELECT 'model_family', model_family FROM f)
+  UNION ALL SELECT 'model_family', model_family FROM f WHERE NULLIF(trim(model_family), '') IS NOT NULL
+  UNION ALL SELECT 'total_count', 'all' FROM f
+  UNION ALL SELECT 'usage_tracking_enabled', 'all' FROM f WHERE usage_tracking_enabled
+  UNION ALL SELECT 'scale_to_zero_enabled', 'all' FROM f WHERE scale_to_zero)
 SELECT field, COALESCE(NULLIF(trim(value), ''), 'unknown') AS value, COUNT(*) AS count FROM l GROUP BY 1, 2""")
 iw("family_slice", f"""
 WITH f AS (SELECT *, {FAMILY} AS family FROM flat)
@@ -486,8 +495,9 @@ FROM flat""")
 iw("filter_by", """
 SELECT name, endpoint_category FROM flat WHERE state_ready = 'READY' AND endpoint_category IN ('agent', 'external_model')""")
 iw("tags_map", """
-SELECT name, CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 2 END AS n_tags, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END AS n_keyed,
-  CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM ep""")
+SELECT name, CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 3 END AS n_tags,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END AS n_keyed,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'again' ELSE c_mktsegment END AS segment FROM ep""")
 iw("first_of", """
 SELECT name, CASE WHEN noconf OR legacy THEN 'none' ELSE entity_type END AS first_type,
   CASE WHEN noconf OR legacy THEN '' ELSE CASE c_custkey % 3 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' ELSE 'Large' END END
@@ -527,9 +537,9 @@ FROM documents""")
 twin("file_stem", """
 SELECT doc_id, source || '_' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name,
   regexp_extract(source || '_' || CAST(doc_id AS VARCHAR) || '.txt', '^([^_\\.]+)', 1) AS company_key FROM documents""")
-FILES = """files AS (SELECT '/docs/' || source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, doc_id, n_chars
-  FROM documents), new AS (SELECT *, CASE WHEN n_chars IS NULL OR n_chars = 0 THEN 'failed'
-  WHEN n_chars < 50 THEN 'skipped' ELSE 'success' END AS status FROM files WHERE doc_id % 3 <> 0)"""
+FILES = """files AS (SELECT '/docs/' || source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, doc_id, n_chars,
+  CASE WHEN lang = 'de' THEN 'skipped' WHEN COALESCE(n_chars, 0) = 0 THEN 'failed' ELSE 'success' END AS status
+  FROM documents), new AS (SELECT * FROM files WHERE doc_id % 3 <> 0)"""
 twin("sync_source", W(FILES, body="SELECT path, status FROM new"))
 twin("index_status", W(FILES, body="""
 SELECT COUNT(*) AS total_files, COUNT(*) FILTER (WHERE status = 'success') AS success,
@@ -540,8 +550,8 @@ UNION ALL
 SELECT e.name, CAST(NULL AS BIGINT), 'missing' FROM (SELECT '/docs/src' || CAST(doc_id % 20 AS VARCHAR) || '/'
   || CAST(doc_id AS VARCHAR) || '.txt' AS name FROM labels) e WHERE e.name NOT IN (SELECT path FROM files)"""))
 twin("with_history", """
-SELECT conv_id, turn, role, COALESCE(len(list(role) OVER w), 0) AS n_history, COALESCE(list(role) OVER w, []) AS roles
-FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+SELECT conv_id, n // 2 AS block, MIN(n) AS earlier, list(role ORDER BY turn) AS roles, list(text ORDER BY turn) AS texts
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n FROM conversations) GROUP BY 1, 2""")
 twin("retrieve", f"""
 WITH ch AS (
   SELECT doc_id, unnest(range(len(parts))) AS chunk_id, unnest(parts) AS chunk
@@ -567,19 +577,24 @@ FROM documents""")
 # --- sources, checks, incremental, confusion --------------------------------------------------------
 twin("read_table", "SELECT n_name, COUNT(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name")
 twin("fetch_by_key", """
-SELECT DISTINCT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker, l_suppkey AS suppkey,
-  CASE WHEN l_suppkey % 2 = 1 THEN 'NYSE' ELSE 'NASDAQ' END AS exchange FROM lineitem WHERE l_suppkey % 17 <> 0""")
+SELECT k AS suppkey, CASE WHEN k % 13 = 0 OR s_suppkey IS NULL THEN 'not_found' WHEN k % 17 = 0 THEN 'failed' ELSE 'success' END AS status,
+  CASE WHEN k % 13 <> 0 AND k % 17 = 0 THEN '{"ticker"' END AS error,
+  CASE WHEN k % 13 <> 0 AND k % 17 <> 0 THEN 'S' || CAST(s_suppkey AS VARCHAR) END AS ticker,
+  CASE WHEN k % 13 <> 0 AND k % 17 <> 0 THEN s_name END AS name,
+  CASE WHEN k % 13 <> 0 AND k % 17 <> 0 THEN CAST(s_nationkey AS BIGINT) END AS nation
+FROM (SELECT DISTINCT l_suppkey AS k FROM lineitem) LEFT JOIN supplier ON k = s_suppkey""")
 twin("price_profile", W(*PRICES, body="""
 SELECT ticker, COUNT(*) AS rows, MIN(close_price) AS min_value, MAX(close_price) AS max_value,
   ROUND(AVG(close_price), 2) AS avg_value FROM daily GROUP BY ticker"""))
 twin("count_distinct", W(RAW_PRICES, body="SELECT COUNT(DISTINCT ticker) AS tickers FROM raw_prices"))
 twin("high_water", W(RAW_PRICES, DEDUP, body="SELECT ticker, MAX(trade_date) AS latest_date FROM dedup GROUP BY ticker"))
-twin("incremental", W(RAW_PRICES, DEDUP, body="""
-SELECT s.ticker, s.trade_date, s.close_price FROM dedup s
-LEFT JOIN (SELECT ticker, MAX(trade_date) AS hw FROM dedup
-           WHERE year(trade_date) < 2000 AND CAST(substr(ticker, 2, 10) AS INTEGER) % 9 <> 0 GROUP BY ticker) h
-  ON s.ticker = h.ticker
-WHERE s.trade_date > COALESCE(h.hw, DATE '1999-12-31' - 31) AND s.trade_date <= DATE '1999-12-31'"""))
+NEW_ROWS = """h AS (SELECT ticker, MAX(trade_date) AS hw FROM dedup
+  WHERE year(trade_date) < 2000 AND CAST(substr(ticker, 2, 10) AS INTEGER) % 9 <> 0 GROUP BY ticker),
+new AS (SELECT s.ticker, s.trade_date, s.close_price FROM dedup s LEFT JOIN h ON s.ticker = h.ticker
+  WHERE s.trade_date > COALESCE(h.hw, (SELECT MAX(trade_date) FROM dedup) - 31))"""
+twin("incremental", W(RAW_PRICES, DEDUP, NEW_ROWS, body="SELECT * FROM new"))
+twin("incremental_dry_run", W(RAW_PRICES, DEDUP, NEW_ROWS, body="""
+SELECT ticker, COUNT(*) AS rows, MIN(trade_date) AS first_date, MAX(trade_date) AS last_date FROM new GROUP BY ticker"""))
 CONF = """p AS (SELECT s.*, CASE WHEN tip_amount IS NULL OR tip_amount <= th.q33 THEN 0 WHEN tip_amount <= th.q67 THEN 1
   ELSE 2 END AS tip_category, CASE predicted_tip_category WHEN 'Low Tip' THEN 0 WHEN 'Medium Tip' THEN 1 ELSE 2 END
   AS pred FROM scored s CROSS JOIN th)"""
@@ -613,12 +628,13 @@ SPANS = """spans AS (
          ELSE 'chat_completion' END AS name,
     CASE WHEN event_type = 'view' THEN 'LLM' WHEN event_type IN ('click', 'purchase') THEN 'TOOL'
          WHEN event_type = 'error' THEN 'AGENT' ELSE 'CHAT_MODEL' END AS span_type,
-    props || repeat('.', CAST(event_id % 700 AS INTEGER)) AS outputs,
+    props AS inputs, props || repeat('.', CAST(event_id % 700 AS INTEGER)) AS outputs,
     CAST(ROUND(value * 1e6) AS BIGINT) AS dur_ns,
     CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'OK' END AS status, ts
   FROM events),
 calls AS (
-  SELECT trace_id, name, span_type, COALESCE(substr(outputs, 1, 500), '') AS outputs, dur_ns / 1e6 AS duration_ms,
+  SELECT trace_id, name, span_type, COALESCE(inputs, '') AS inputs, COALESCE(outputs, '') AS outputs,
+    COALESCE(dur_ns / 1e6, 0.0) AS duration_ms,
     COALESCE(status, 'UNKNOWN') AS status
   FROM spans WHERE span_type = 'TOOL'
     OR (span_type = 'AGENT' AND regexp_matches(lower(name), 'genie|query_|get_|compare_|mcp|tool')))"""
@@ -659,12 +675,15 @@ SELECT CAST(ts AS DATE) AS day, arg_max(trace_id, (ts, trace_id)) AS trace_id, M
 WHERE ts <= CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 12 HOUR
   AND ts >= CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 11 HOUR + INTERVAL 55 MINUTE
 GROUP BY 1"""))
-RESP = """resp AS (
-  SELECT conv_id, turn, CASE WHEN conv_id % 7 = 3 THEN 'Error: ' || text ELSE text END AS t,
-    list_filter(string_split_regex(regexp_replace(COALESCE(prev_user, ''), '[^\\p{L}\\s]', '', 'g'), '\\s+'),
-                lambda x: x <> '')[1:2] AS expected_phrases
+RESP = """words AS (
+  SELECT *, list_filter(string_split_regex(regexp_replace(COALESCE(prev_user, ''), '[^\\p{L}\\s]', '', 'g'), '\\s+'), lambda x: x <> '') AS w
   FROM (SELECT *, LAG(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_user FROM conversations)
-  WHERE role = 'assistant')"""
+  WHERE role = 'assistant'),
+resp AS (
+  SELECT conv_id, turn, CASE WHEN conv_id % 23 = 5 THEN '' WHEN conv_id % 29 = 5 THEN 'no json: timeout'
+    WHEN conv_id % 7 = 3 THEN 'Error: ' || text ELSE text END AS t,
+    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS expected_phrases
+  FROM words)"""
 twin("response_text", W(RESP, body="SELECT conv_id, turn, t AS text, t AS first_text FROM resp"))
 twin("missing_phrases", W(RESP, body="""
 SELECT conv_id, turn, list_sort(list_filter(expected_phrases, lambda e: NOT contains(lower(t), lower(e)))) AS missing,
@@ -704,13 +723,15 @@ twin("source_name", """
 SELECT page_id, translate(string_split(regexp_replace(regexp_extract(url, '^https?://[^/]+(/[^?#]*)', 1), '/+$', ''),
   '/')[-1], ' .', '__') AS source_name FROM pages""")
 twin("format_assistants", """
-SELECT 'ka-' || CAST(s_suppkey AS VARCHAR) AS id,
-  COALESCE(CASE WHEN s_suppkey % 5 <> 0 THEN s_name END, 'assistant_' || CAST(s_suppkey AS VARCHAR), '') AS display_name,
-  COALESCE(CASE WHEN s_suppkey % 4 <> 0 THEN 'Answers questions for ' || s_name END, '') AS description,
-  'ka-ep-' || CAST(s_suppkey AS VARCHAR) AS endpoint_name, CAST(s_suppkey % 3 AS INTEGER) AS knowledge_base_count,
-  CASE WHEN length(i) > 100 THEN substr(i, 1, 100) || '...' ELSE i END AS instructions_preview
-FROM (SELECT *, 'Use the filings of ' || s_name || ' to answer. ' || repeat('Cite sources. ', CAST(s_suppkey % 12 AS INTEGER))
-  AS i FROM supplier)""")
+SELECT 'ka-' || CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 5 <> 0 THEN s_name ELSE '' END AS name,
+  'assistant_' || CAST(s_suppkey AS VARCHAR) AS resource_name,
+  CASE WHEN s_suppkey % 4 <> 0 THEN 'Answers questions for ' || s_name ELSE '' END AS description,
+  'Use the filings of ' || s_name || ' to answer. ' || repeat('Cite sources. ', CAST(s_suppkey % 12 AS INTEGER)) AS instructions,
+  'ka-ep-' || CAST(s_suppkey AS VARCHAR) AS endpoint_name, 'user' || CAST(s_nationkey AS VARCHAR) || '@example.com' AS creator,
+  '2024-01-' || lpad(CAST(s_suppkey % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z' AS create_time,
+  CASE WHEN s_suppkey % 6 <> 0 THEN 'exp-' || CAST(s_suppkey AS VARCHAR) ELSE '' END AS experiment_id,
+  CAST(s_suppkey % 3 AS INTEGER) AS knowledge_base_count
+FROM supplier""")
 sw("recommend", f"""
 WITH v AS (SELECT f.ticker, f.fiscal_year, CAST({PE} + {GR} + {MG} AS INTEGER) AS valuation_score
            FROM fin f JOIN stock s ON f.ticker = s.ticker),
@@ -722,3 +743,41 @@ SELECT v.ticker, v.fiscal_year, v.valuation_score,
   CASE WHEN v.valuation_score > p.pa THEN 'ABOVE' ELSE 'BELOW' END AS versus_peer,
   ROUND(abs(v.valuation_score - p.pa), 2) AS peer_diff
 FROM v JOIN p ON v.ticker = p.ticker""")
+
+
+# --- sinks, streams, models -------------------------------------------------------------------------
+fw("write_full", "SELECT * FROM registry")
+twin("append_evolving", W(RAW_PRICES, DEDUP, body="""
+SELECT ticker, trade_date, close_price, CASE WHEN year(trade_date) >= 2000 THEN volume END AS volume FROM dedup"""))
+iw("export_by", """
+SELECT lower(model_type) AS part, name, state_ready FROM flat
+UNION ALL SELECT 'not ready', name, state_ready FROM flat WHERE COALESCE(state_ready, '') <> 'READY'""")
+fw("write_snapshot", """
+SELECT ticker, company_name, CAST(NULL AS VARCHAR) AS note, DATE '2001-12-31' AS as_of FROM registry""")
+iw("read_inventory", "SELECT name, id, model_type, model_name FROM flat")
+tw("first_n", "SELECT trip_id, pickup_ts, fare_amount FROM trips2 ORDER BY trip_id LIMIT 100")
+tw("map_batches", "SELECT trip_id, predicted_fare FROM scored")
+tw("save_model", "SELECT '1.0.0' AS version, COUNT(*) AS trips, COUNT(*) AS equal FROM trips2")
+tw("cache_predictions", "SELECT trip_id, predicted_fare, predicted_tip_category FROM scored")
+
+
+def html_text(x):
+    for pat in ("(?s)<script\\b.*?</script>", "(?s)<style\\b.*?</style>", "(?s)<!--.*?-->", "<[^>]*>"):
+        x = f"regexp_replace({x}, '{pat}', ' ', 'g')"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{ent}', '{ch}')"
+    return f"trim(regexp_replace({x}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
+
+
+_TAGS = " + ".join(f"len(regexp_extract_all(html, '(?s)<{t}\\b[^>]*>.*?</{t}>'))" for t in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li"))
+twin("parse_docs", f"""
+SELECT page_id, trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) AS title, {html_text('html')} AS parsed_content,
+  CAST(length({html_text('html')}) AS INTEGER) AS n_chars, CAST({_TAGS} AS INTEGER) AS n_elements FROM pages""")
+BRONZE = f"""bronze AS (
+  SELECT doc_id, source, text, {classify_sql('text', _DT)} AS document_type, {classify_sql('text', _SEC)} AS industry_sector
+  FROM (SELECT doc_id, source, {html_text('text')} AS text FROM documents))"""
+twin("stream_bronze", W(BRONZE, body="SELECT doc_id, document_type, industry_sector FROM bronze"))
+twin("stream_binary", W(BRONZE, body="SELECT doc_id, source, document_type, industry_sector FROM bronze"))
+twin("run_graph", W(BRONZE, body="SELECT doc_id, document_type FROM bronze"))
+twin("stream_silver", W(BRONZE, body=f"SELECT doc_id, CAST(len({toks('text')}) AS INTEGER) AS n_words FROM bronze"))
+twin("dedup_stream", "SELECT DISTINCT sha256(text) AS text_hash FROM documents")
