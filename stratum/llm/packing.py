@@ -24,9 +24,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from stratum.llm.tokens import encoder, groups_by_size
+from stratum.llm.common import text_slices
+from stratum.llm.tokens import encoder
 
 WINDOW = 1 << 20      # tokens that are packed together; bounds a task's memory
+SLICE = 3 << 20       # bytes of text that are encoded together
 SEQUENCE_BITS = 40    # sequences of one partition that an id can tell apart
 
 
@@ -106,16 +108,16 @@ def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id
         base = TaskContext.get().partitionId() << SEQUENCE_BITS
         held: list[tuple[int | None, bytes]] = []
         tokens = 0
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in groups_by_size(texts):
-                for i, b in zip(ids[lo:hi], enc.encode_all(texts[lo:hi])):
-                    held.append((i, b + end))
-                    tokens += len(b) // 4 + 1
-                    if tokens >= WINDOW:
-                        out, base = emit(held, base)
-                        held, tokens = [], 0
-                        yield out
+        for rows, data, offsets in text_slices(batches, limit=SLICE):
+            ids, edge = enc.encode(data, offsets)
+            raw = ids.astype("<u4").tobytes()
+            for i, a, b in zip(rows.column(0).to_pylist(), edge[:-1].tolist(), edge[1:].tolist()):
+                held.append((i, raw[4 * a:4 * b] + end))
+                tokens += b - a + 1
+                if tokens >= WINDOW:
+                    out, base = emit(held, base)
+                    held, tokens = [], 0
+                    yield out
         if held:
             yield emit(held, base)[0]
 

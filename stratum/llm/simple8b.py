@@ -28,14 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import written
-from stratum.llm.tokens import encoder, groups_by_size
+from stratum.llm.common import text_slices, written
+from stratum.llm.tokens import encoder
 
 # Bits of a value and values of a word, by selector.
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 COUNTS = 60 // WIDTHS
 BLOCK = 256
 SEGMENT = 1 << 20  # ids after which a segment ends, with its last document
+SLICE = 3 << 20    # bytes of text that are encoded together
 _MAGIC = b"S8B1"
 
 
@@ -174,31 +175,30 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k
     text is empty; null doc_ids come first; rows of one doc_id follow each other
     by text; documents never cross segments, so a very long one makes a large one.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.uint32(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         size = 0
 
         def segment() -> pa.RecordBatch:
-            blob = encode(np.frombuffer(b"".join(parts), "<u4"))
+            blob = encode(np.concatenate(parts))
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int64()), pa.array([seq], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([[len(p) // 4 for p in parts]], pa.list_(pa.int64())), pa.array([blob], pa.binary())],
+                 pa.array([[len(p) for p in parts]], pa.list_(pa.int64())), pa.array([blob], pa.binary())],
                 names=["shard", "segment", "doc_ids", "n_tokens", "ids"])
 
-        for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in groups_by_size(texts):
-                for i, b in zip(names[lo:hi], enc.encode_all(texts[lo:hi])):
-                    ids.append(i)
-                    parts.append(b + end)
-                    size += len(b) // 4 + 1
-                    if size >= SEGMENT:
-                        yield segment()
-                        seq, ids, parts, size = seq + 1, [], [], 0
+        for rows, data, offsets in text_slices(batches, limit=SLICE):
+            tokens, edge = enc.encode(data, offsets)
+            for i, a, b in zip(rows.column(0).to_pylist(), edge[:-1].tolist(), edge[1:].tolist()):
+                ids.append(i)
+                parts.append(np.append(tokens[a:b], end))
+                size += b - a + 1
+                if size >= SEGMENT:
+                    yield segment()
+                    seq, ids, parts, size = seq + 1, [], [], 0
         if parts:
             yield segment()
 

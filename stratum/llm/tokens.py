@@ -1,29 +1,35 @@
 """Whole-text encoding with a public tokenizer, fast enough for a corpus.
 
-The library spends its time merging the same words again and again.  A text is
-therefore cut where both vocabularies start a new pre-token whatever surrounds
-the cut: at single spaces between two non-space characters, and inside a word
-between letters, digits, marks and a line feed.  The library encodes each
-distinct piece and a bounded memory per worker keeps the result.  The ids of
-the pieces, joined, are the ids of the whole text (tests compare both).
+The library spends its time merging the same words again and again.  Texts are
+therefore cut, as bytes and many texts at once, at places where both
+vocabularies start a new pre-token whatever surrounds the cut:
+
+* before a single space, and around a single line feed, between characters that
+  are no white space;
+* before a full stop or comma that follows a letter.
+
+The library encodes every different span once; a table of bounded size in each
+worker keeps what it said, and the ids of the spans, laid end to end, are the ids
+of the whole texts (tests compare both).
 """
 
 from __future__ import annotations
 
-import gc
 import os
-import re
 
 import numpy as np
 
-# Words and pieces remembered per worker: they bound memory, not results.
-KNOWN_WORDS = 350_000
-KNOWN_PIECES = 500_000
-_INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_UNEVEN = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]")
-_LETTERS, _MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-&(-/:-@\[-`{-~"
-_PLAIN = re.compile(f"[{_LETTERS}0-9{_MARKS}]+(?:\n[{_LETTERS}0-9{_MARKS}]+)*")
-_PIECES = re.compile(f"[{_LETTERS}]+|[0-9]+|[{_MARKS}]+|\n")
+from stratum.llm.common import span_hashes
+
+KNOWN = 800_000   # spans remembered per worker: this bounds memory, not results
+LONGEST = 64      # longer spans are encoded each time
+
+_SPACE = np.zeros(256, bool)   # ASCII white space and the separators 1C-1F
+_SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+_OPEN = ~_SPACE                # may follow a cut: no white space, nor the first byte of any outside ASCII
+_OPEN[[0xC2, 0xE1, 0xE2, 0xE3]] = False
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
 def tokenizer_path(name: str) -> str:
@@ -34,72 +40,104 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
-    """``encode(text)``: little-endian unsigned 32-bit ids of the whole text.
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where the bytes of texts may be cut, besides where a text starts."""
+    n = len(data)
+    pad = np.concatenate([np.zeros(3, np.uint8), data, np.zeros(1, np.uint8)])
+    prev, prev2, prev3, after = pad[2:n + 2], pad[1:n + 1], pad[:n], pad[4:]
+    ascii_prev = prev < 0x80
+    # a last byte of white space outside ASCII: U+0085, U+00A0 (C2 ..) or three bytes from E1 to E3
+    odd = ~ascii_prev & ((prev2 == 0xC2) | ((prev3 >= 0xE1) & (prev3 <= 0xE3)))
+    between = ~_SPACE[prev] & ~odd & _OPEN[after]
+    line = (data == 0x0A) & between
+    latin = ~ascii_prev & (prev2 >= 0xC3) & (prev2 <= 0xC9) & ~((prev2 == 0xC3) & ((prev == 0x97) | (prev == 0xB7)))
+    mark = ((data == 0x2E) | (data == 0x2C)) & (_ASCII_LETTER[prev] | latin)
+    cut = ((data == 0x20) & between) | line | mark
+    cut[1:] |= line[:-1]
+    return cut
 
-    ``None`` counts as the empty text, which has no ids.  Special-token strings
-    inside a text are ordinary text.
-    """
+
+class Encoder:
+    """Ids of whole texts.  Special-token strings inside a text are ordinary text."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(tokenizer_path(path))
         self.tok.encode_special_tokens = True
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _ids(self, words: list[str], prefix: str) -> dict[str, bytes]:
-        """Ids of distinct words, each with ``prefix`` before it."""
-        cut = []
-        for w in words:
-            if _PLAIN.fullmatch(w):
-                p = _PIECES.findall(w)
-                p[0] = prefix + p[0]
-            else:
-                p = [prefix + w]
-            cut.append(p)
-        new = list({x for p in cut for x in p if x not in self.pieces})
-        enc = self.tok.encode_batch_fast(new, add_special_tokens=False)
-        known = self.pieces
-        if len(known) + len(new) > KNOWN_PIECES:
-            known = {x: known[x] for p in cut for x in p if x in known}
-        known.update((x, np.array(e.ids, dtype="<u4").tobytes()) for x, e in zip(new, enc))
-        return {w: known[p[0]] if len(p) == 1 else b"".join([known[x] for x in p]) for w, p in zip(words, cut)}
-
-    def _lookup(self, words: list[str], known: dict[str, bytes], prefix: str) -> dict[str, bytes]:
-        """A mapping that holds every word; what goes beyond the bound serves this batch only."""
-        distinct = set(words)
-        new = self._ids([w for w in distinct if w not in known], prefix)
-        if len(known) + len(new) <= KNOWN_WORDS:
-            known.update(new)
-            return known
-        new.update((w, known[w]) for w in distinct if w in known)
-        return new
+        z = np.zeros(0, np.uint64)
+        # of each known span, in order of its hash: hash, length and outer bytes, place and number of its ids
+        self.known = [z, z.astype(np.int64), z, z, z.astype(np.int64), z.astype(np.int64)]
+        self.ids = np.zeros(0, np.uint32)
+
+    def _ask(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of spans, laid end to end, and how many each has."""
+        raw = data.tobytes()
+        said = self.tok.encode_batch_fast([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())],
+                                          add_special_tokens=False)
+        ids = [e.ids for e in said]
+        return (np.fromiter((i for x in ids for i in x), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts ``data[offsets[i]:offsets[i + 1]]``, laid end to end, and where each text's ids start."""
+        n = len(data)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        cut = cuts(data)
+        cut[offsets[:-1][offsets[:-1] < n]] = True
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], n)
+        size = ends - starts
+        # what tells a span apart, besides its hash: its first and last eight bytes
+        pad = np.zeros(n + 16, np.uint8)
+        pad[8:-8] = data
+        words = np.ndarray((n + 9,), "<u8", pad.data, strides=(1,))
+        keep = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * np.maximum(0, 8 - size).astype(np.uint64) % np.uint64(64))
+        front, back = words[starts + 8] & keep, np.where(size >= 8, words[ends], np.uint64(0))
+        h = span_hashes(data, starts, ends)
+        uniq, first, place = np.unique(h, return_index=True, return_inverse=True)
+        same = (size == size[first][place]) & (front == front[first][place]) & (back == back[first][place])
+        if not same.all():  # equal hashes of different spans: those get entries of their own
+            odd = np.flatnonzero(~same)
+            first = np.concatenate([first, odd])
+            place[odd] = len(uniq) + np.arange(len(odd))
+        kh, ks, kf, kb, kat, kn = self.known
+        at = np.minimum(np.searchsorted(kh, h[first]), max(0, len(kh) - 1))
+        hit = np.zeros(len(first), bool)
+        if len(kh):
+            hit = (kh[at] == h[first]) & (ks[at] == size[first]) & (kf[at] == front[first]) & (kb[at] == back[first])
+        where, count = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        where[hit], count[hit] = kat[at[hit]], kn[at[hit]]
+        ids = self.ids
+        new = np.flatnonzero(~hit)
+        if len(new):
+            said, number = self._ask(data, starts[first[new]], ends[first[new]])
+            where[new], count[new] = len(ids) + np.cumsum(number) - number, number
+            ids = np.concatenate([ids, said])
+            self._learn(new[(size[first[new]] <= LONGEST) & (new < len(uniq))], first, h, size, front, back, where, count, ids)
+        number = count[place]
+        edge = np.concatenate([[0], np.cumsum(number)])
+        out = ids[np.repeat(where[place] - edge[:-1], number) + np.arange(edge[-1])]
+        return out, edge[np.searchsorted(starts, offsets)]
+
+    def _learn(self, new, first, h, size, front, back, where, count, ids) -> None:
+        kh = self.known[0]
+        fresh = new[kh[np.minimum(np.searchsorted(kh, h[first[new]]), len(kh) - 1)] != h[first[new]]] if len(kh) else new
+        if len(kh) + len(fresh) > KNOWN:
+            return
+        f = first[fresh]
+        added = [h[f], size[f], front[f], back[f], where[fresh], count[fresh]]
+        joined = [np.concatenate(x) for x in zip(self.known, added)]
+        order = np.argsort(joined[0], kind="stable")
+        self.known = [x[order] for x in joined]
+        self.ids = ids
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        gc.disable()  # nothing here forms a cycle; the many short lists would start the collector again and again
-        try:
-            return self._encode_all(texts)
-        finally:
-            gc.enable()
-
-    def _encode_all(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for t in texts:
-            if not t:
-                split.append([])
-            elif _UNEVEN.search(t):
-                split.append(_INNER_SPACE.split(t))
-            else:
-                split.append(t.split(" "))
-        head = self._lookup([p[0] for p in split if p], self.heads, "").__getitem__
-        tail = self._lookup([w for p in split for w in p[1:]], self.tails, " ").__getitem__
-        return [head(p[0]) + b"".join(map(tail, p[1:])) if p else b"" for p in split]
-
-    def encode(self, text: str | None) -> bytes:
-        return self.encode_all([text])[0]
+        """Little-endian unsigned 32-bit ids of each text; a null text has none."""
+        raw = [(t or "").encode() for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        ids, edge = self.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -110,15 +148,3 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
-
-
-def groups_by_size(texts: list[str | None], limit: int = 4 << 20):
-    """Index ranges of a batch whose texts together hold about ``limit`` characters."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= limit:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
