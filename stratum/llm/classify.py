@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.common import lower_ascii, mix, span_hashes, text_slices, word_bounds, written
@@ -72,9 +72,10 @@ def fit(docs: DataFrame, good: DataFrame, buckets: int = BUCKETS, smoothing: flo
 
 
 def with_key(docs: DataFrame, ratio: np.ndarray, sharpness: float = SHARPNESS, seed: int = 0) -> DataFrame:
-    """All columns of ``docs``, the mean log ratio ``log_weight`` and the sampling key (null without words)."""
-    names, buckets = docs.columns, len(ratio)
+    """(row, log_weight, key): each row of ``docs`` whole, its mean log ratio and sampling key (null without words)."""
+    buckets = len(ratio)
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    names = ["row", "text", "u", "log_weight"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -83,12 +84,13 @@ def with_key(docs: DataFrame, ratio: np.ndarray, sharpness: float = SHARPNESS, s
             n = np.bincount(doc, minlength=rows.num_rows)
             total = np.bincount(doc, weights=table[b], minlength=rows.num_rows)
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([*rows.columns, mean], names=[*names, "log_weight"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, mean], names=names)
 
-    scored = docs.mapInArrow(score, docs.select("*", F.lit(0.0).alias("log_weight")).schema)
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed)), 11) + 0.5) / F.lit(2.0 ** 53)
-    key = F.col("log_weight") * F.lit(sharpness) - F.log(-F.log(u))
-    return scored.withColumn("key", F.round(key * F.lit(_STEPS)) / F.lit(_STEPS))
+    rows = docs.select(F.struct("*").alias("row"), "text", u.alias("u"))
+    scored = rows.mapInArrow(score, rows.select("*", F.lit(None).cast("double").alias("log_weight")).schema)
+    key = F.col("log_weight") * F.lit(sharpness) - F.log(-F.log("u"))
+    return scored.select("row", "log_weight", (F.round(key * F.lit(_STEPS)) / F.lit(_STEPS)).alias("key"))
 
 
 def kth_largest(keys: DataFrame, k: int) -> float | None:
@@ -121,17 +123,16 @@ def good_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 
 def resample(docs: DataFrame, labels: DataFrame, sharpness: float = SHARPNESS, sample: int = SAMPLE,
-             seed: int = 0) -> tuple[DataFrame, float | None]:
-    """``docs`` with log_weight and key, and the key of the last document taken (None: take all with a key)."""
-    ratio = fit(docs, good_sample(labels, sample))
-    scored = with_key(docs, ratio, sharpness, seed)
-    keys = written(scored.select("doc_id", "log_weight", "key"), "quality-keys")
+             seed: int = 0) -> tuple[DataFrame, Column]:
+    """(row, log_weight, key) of every document, and the condition under which it is taken."""
+    scored = with_key(docs, fit(docs, good_sample(labels, sample)), sharpness, seed)
+    keys = written(scored.select("key"), "quality-keys")
     k = round(good_share(labels) * keys.count())
-    return scored, kth_largest(keys, k) if k else float("inf")
+    last = kth_largest(keys, k) if k else float("inf")
+    return scored, F.col("key").isNotNull() if last is None else F.coalesce(F.col("key") >= F.lit(last), F.lit(False))
 
 
 def taken(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that the resampling takes, with their own columns."""
-    scored, last = resample(docs, labels, **options)
-    chosen = scored.where("key IS NOT NULL") if last is None else scored.where(F.col("key") >= F.lit(last))
-    return chosen.select(*docs.columns)
+    scored, keep = resample(docs, labels, **options)
+    return scored.where(keep).select("row.*")

@@ -58,8 +58,11 @@ def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All columns of ``docs`` with later copies of line runs deleted from ``text``, and n_lines, n_removed."""
-    base, keys = keyed(docs)
+    """All columns of ``docs`` with later copies of line runs deleted from ``text``, and n_lines, n_removed.
+
+    Columns of ``docs`` with those two names give way.
+    """
+    base, keys = keyed(docs.select(F.struct("*").alias("row"), "doc_id", "text"))
     spans = repeated_runs(base.select("k", "twin", "text"), min_chars)
     # join overlapping spans of a document
     order = Window.partitionBy(*keys).orderBy("a", "b")
@@ -67,14 +70,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     spans = spans.groupBy(*keys, "a").agg(F.max("b").alias("b")).withColumn("new", (F.col("a") > F.coalesce(reach, F.lit(-1))).cast("int"))
     spans = spans.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     runs = spans.groupBy(*keys, "run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    runs = written(runs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("_runs")), "lines-runs")
-    out = base.join(runs, keys, "left")
-    lines = F.split("text", "\n")
-    runs_ = F.coalesce("_runs", F.array().cast("array<struct<a: bigint, b: bigint>>"))
-    gaps = F.arrays_zip(F.concat(F.array(F.lit(0).cast("long")), F.transform(runs_, lambda r: r["b"])).alias("x"),
-                        F.concat(F.transform(runs_, lambda r: r["a"]), F.array(F.size(lines).cast("long"))).alias("y"))
-    kept = F.flatten(F.transform(gaps, lambda g: F.slice(F.col("_lines"), (g["x"] + 1).cast("int"), (g["y"] - g["x"]).cast("int"))))
-    removed = F.aggregate(runs_, F.lit(0).cast("long"), lambda s, r: s + r["b"] - r["a"])
-    out = out.withColumn("_lines", lines).withColumn("n_lines", F.size("_lines").cast("long")).withColumn("n_removed", removed)
-    text = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return out.withColumn("text", text).select(*docs.columns, F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).alias("n_lines"), "n_removed")
+    runs = written(runs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs")), "lines-runs")
+    out = base.select(*keys, "row").join(runs, keys, "left").select(
+        "row", F.coalesce("runs", F.array().cast("array<struct<a: bigint, b: bigint>>")).alias("runs"),
+        F.split("row.text", "\n").alias("lines"))
+    gaps = F.arrays_zip(F.concat(F.array(F.lit(0).cast("long")), F.transform("runs", lambda r: r["b"])).alias("x"),
+                        F.concat(F.transform("runs", lambda r: r["a"]), F.array(F.size("lines").cast("long"))).alias("y"))
+    kept = F.flatten(F.transform(gaps, lambda g: F.slice(F.col("lines"), (g["x"] + 1).cast("int"), (g["y"] - g["x"]).cast("int"))))
+    text = F.when(F.size("runs") == 0, F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    own = [F.col(f"row.`{c}`") if c.lower() != "text" else text.alias(c) for c in docs.columns
+           if c.lower() not in ("n_lines", "n_removed")]
+    return out.select(*own, F.when(F.col("row.text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+                      F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + r["b"] - r["a"]).alias("n_removed"))

@@ -8,7 +8,8 @@ is 0 or 1; a coin weighted so that every expectation stays decides the
 direction.  The other goes on to the next document.  Small groups are rounded
 each on its own and hand on their one open fraction; the open fractions of the
 groups are rounded likewise, level by level, until one is left in each source.
-So a source's words differ from its target by one document's at most.
+The last one of a source is rounded to the nearer side, so a source's words differ
+from its target by half of one document's at most.
 
 All of it is DataFrame code.  Defined cases: a null text has size 0 and is never
 taken; a null source is a source of its own, last in order; repeated rows are
@@ -101,14 +102,13 @@ def pivotal(units: DataFrame, seed: int = 0, group: int = GROUP) -> DataFrame:
         taken = closed if taken is None else taken.union(closed)
         level = done.select("source", F.col("x.open.id").alias("id"), F.xxhash64("source", "g", F.lit(i)).alias("h"),
                             F.col("x.open.size").alias("size"), F.col("x.open.f").alias("f"))
-    last = level.select("id", F.when(_uniform(F.col("h"), F.lit(seed), F.lit(-1)) < F.col("f"), 1).otherwise(0).alias("took"))
+    last = level.select("id", F.when(F.col("f") >= 0.5, 1).otherwise(0).alias("took"))
     return taken.union(last)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0, seed: int = 0, group: int = GROUP) -> DataFrame:
     """(doc_id, h, size, source_size, target, copies) for every row; h is a hash of all the row's columns."""
-    h = F.xxhash64(*[F.col(c) for c in docs.columns if c != "text"], F.col("text"), F.lit(seed))
-    rows = written(docs.select("doc_id", "source", h.alias("h"), word_count(F.col("text")).alias("size"))
+    rows = written(docs.select("doc_id", "source", _row_hash(seed).alias("h"), word_count(F.col("text")).alias("size"))
                    .withColumn("id", F.monotonically_increasing_id()), "mixing-sizes")
     plan = written(targets(rows, weights, cap), "mixing-targets")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -120,12 +120,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0, s
     return rows.join(took, "id", "left").select("doc_id", "h", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
+def _row_hash(seed: int) -> Column:
+    return F.xxhash64(F.struct("*"), F.lit(seed))
+
+
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0, seed: int = 0) -> DataFrame:
     """The mix itself: every document with all its columns, as often as it is taken."""
-    copies = mix(docs, weights, cap, seed).groupBy("h").agg(F.sum("copies").alias("_copies"), F.first("doc_id").alias("_id")) \
-        .where("_copies > 0").withColumnRenamed("h", "_h")
-    h = F.xxhash64(*[F.col(c) for c in docs.columns if c != "text"], F.col("text"), F.lit(seed))
-    once = F.row_number().over(Window.partitionBy("_h").orderBy("doc_id"))
-    rows = docs.withColumn("_h", h).withColumn("_n", once).where("_n = 1")
-    out = rows.join(copies, "_h").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return out.select(*docs.columns)
+    copies = mix(docs, weights, cap, seed).groupBy("h").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    once = F.row_number().over(Window.partitionBy("h").orderBy(F.lit(1)))  # rows of one hash are equal
+    rows = docs.select(F.struct("*").alias("row"), _row_hash(seed).alias("h")).withColumn("n", once).where("n = 1")
+    out = rows.join(copies, "h").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return out.select("row.*")

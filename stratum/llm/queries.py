@@ -42,9 +42,8 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.classify import resample
-    scored, last = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    kept = F.col("key").isNotNull() if last is None else F.coalesce(F.col("key") >= F.lit(last), F.lit(False))
-    return scored.select("doc_id", "log_weight", "key", kept.alias("kept"))
+    scored, keep = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", "log_weight", "key", keep.alias("kept"))
 
 
 def op6_column_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,17 +72,16 @@ def _simhash(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int) ->
     return out
 
 
-def with_fingerprint(docs: DataFrame, shingle: int = 3, seed: int = 42, column: str = "fp") -> DataFrame:
-    """All columns of ``docs`` and the fingerprint of ``text`` as a signed long."""
+def with_fingerprint(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """All columns of ``docs`` and the fingerprint of ``text`` as a signed long ``fp``, which must not be there yet."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_slices(batches):
             fp = pa.array(_simhash(data, offsets, shingle, seed).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*rows.columns, fp], names=[*names, column])
+            yield pa.RecordBatch.from_arrays([*rows.columns, fp], names=[*names, "fp"])
 
-    schema = docs.select("*", F.lit(0).cast("long").alias(column)).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.select("*", F.lit(0).cast("long").alias("fp")).schema)
 
 
 def choose_parts(sample: np.ndarray, n: float, distance: int) -> list[tuple[list[int], int]]:
@@ -246,11 +245,10 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     of repeated rows the one whose text hashes lowest stays.
     """
     rows, label = _labelled(docs, shingle, distance, BUCKET)
-    keep = (label.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"),
-                                                      F.coalesce("rep", F.lit(0)).alias("id"), "fp")).alias("x"))
-            .select(F.col("x.none").alias("_none"), F.col("x.id").alias("_id"), F.col("x.fp").alias("_fp")))
-    texts = with_fingerprint(docs, shingle, column="_fp").select(
-        "*", F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"))
-    names = ["_none", "_id", "_fp"]
+    keep = label.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"),
+                                                     F.coalesce("rep", F.lit(0)).alias("id"), "fp")).alias("x")).select("x.*")
+    texts = with_fingerprint(docs.select(F.struct("*").alias("row"), "text", F.col("doc_id").isNull().alias("none"),
+                                         F.coalesce("doc_id", F.lit(0)).alias("id")), shingle)
+    names = ["none", "id", "fp"]
     first = F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("text")))
-    return texts.join(keep, names, "left_semi").withColumn("_n", first).where("_n = 1").drop("_n", *names)
+    return texts.join(keep, names, "left_semi").withColumn("n", first).where("n = 1").select("row.*")
