@@ -80,32 +80,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_cost_packing, op2_line_dedup, op3_simple8b_tokens, op4_exact_topk, op5_quality_resampling, op6_column_bwt_dedup,
     op7_embedding_neardup, op8_pivotal_mix, op9_simhash_neardup, op10_chunk_dedup)}
 
+# --- the same results in DuckDB's SQL, where SQL can express them ------------------------------
+
 _VALID = """embedding IS NOT NULL AND NOT list_contains(list_transform(embedding,
-              x -> x IS NULL OR isnan(x) OR isinf(x)), true)"""
+              lambda x: x IS NULL OR isnan(x) OR isinf(x)), true)"""
+
+_ISLANDS = """
+    m AS (SELECT *, max(b) OVER (PARTITION BY doc_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM spans),
+    g AS (SELECT *, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY a, b) AS island FROM m),
+    runs AS (SELECT doc_id, island, min(a) AS a, max(b) AS b FROM g GROUP BY 1, 2),
+    per AS (SELECT doc_id, list({'a': a, 'b': b} ORDER BY a) AS runs FROM runs GROUP BY 1)"""
 
 SQL: dict[str, str] = {
+    "op2_line_dedup": f"""
+    WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+    w AS (SELECT doc_id, i, width, lines[i + 1:i + width] AS run FROM (
+            SELECT doc_id, lines, width, unnest(range(0, len(lines) - width + 1)) AS i
+            FROM d, (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS width) WHERE len(lines) >= width)),
+    f AS (SELECT run, min((doc_id, i)) AS first FROM w GROUP BY run HAVING count(*) > 1),
+    spans AS (SELECT doc_id, i AS a, i + width AS b FROM w JOIN f USING (run)
+              WHERE (doc_id, i) <> first AND length(array_to_string(run, '')) >= 40),
+    {_ISLANDS}
+    SELECT doc_id, coalesce(len(lines), 0) AS n_lines,
+      CAST(coalesce(list_sum(list_transform(runs, lambda r: r.b - r.a)), 0) AS BIGINT) AS n_removed,
+      CASE WHEN runs IS NULL THEN text ELSE array_to_string(list_filter(lines, lambda x, i:
+           NOT list_contains(list_transform(runs, lambda r: i - 1 >= r.a AND i - 1 < r.b), true)), chr(10)) END AS text
+    FROM d LEFT JOIN per USING (doc_id)""",
+    "op6_column_bwt_dedup": f"""
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (
+            SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d)),
+    f AS (SELECT s, min((doc_id, i)) AS first FROM w GROUP BY s HAVING count(*) > 1),
+    spans AS (SELECT doc_id, i AS a, i + 100 AS b FROM w JOIN f USING (s) WHERE (doc_id, i) <> first),
+    {_ISLANDS}
+    SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(list_sum(list_transform(runs, lambda r: r.b - r.a)), 0) AS BIGINT) AS n_removed,
+      coalesce(len(runs), 0) AS n_spans,
+      sha256(unhex(CASE WHEN runs IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(runs) + 1), lambda j:
+        substr(h, 2 * coalesce(runs[j].b, 0) + 1, 2 * (coalesce(runs[j + 1].a, length(h) // 2) - coalesce(runs[j].b, 0)))), '') END)) AS kept_sha256
+    FROM d LEFT JOIN per USING (doc_id)""",
     "op4_exact_topk": f"""
-        WITH v AS (SELECT vec_id, row_number() OVER () AS rid,
-                          list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
-                   FROM embeddings WHERE {_VALID}),
-             s AS (SELECT q.vec_id AS query_id, q.rid, c.vec_id,
-                          CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
-                   FROM v q JOIN v c ON q.rid <> c.rid AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
-        SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s)
-        WHERE n <= 10""",
+    WITH v AS (SELECT vec_id, row_number() OVER () AS rid,
+                      list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+               FROM embeddings WHERE {_VALID}),
+    s AS (SELECT q.vec_id AS query_id, q.rid, c.vec_id,
+                 CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.rid <> c.rid AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s) WHERE n <= 10""",
     "op7_embedding_neardup": f"""
-        WITH RECURSIVE n AS (
-               SELECT vec_id, embedding, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-             u AS (SELECT vec_id, list_transform(e, x -> x / sqrt(list_sum(list_transform(e, y -> y * y)))) AS e
-                   FROM n WHERE {_VALID} AND list_contains(list_transform(e, x -> x <> 0), true)),
-             l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
-                   ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
-                   AND list_sum(list_transform(list_zip(a.e, b.e), p -> p[1] * p[2])) >= 0.9),
-             r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
-             c AS (SELECT a, least(a, min(b)) AS m FROM r GROUP BY a),
-             d AS (SELECT a, count(*) AS k FROM l GROUP BY a)
-        SELECT n.vec_id, coalesce(d.k, 0) AS n_links, coalesce(c.m, n.vec_id) AS component_id,
-               coalesce(c.m, n.vec_id) = n.vec_id AS kept
-        FROM n LEFT JOIN c ON c.a = n.vec_id LEFT JOIN d ON d.a = n.vec_id""",
+    WITH RECURSIVE n AS (SELECT vec_id, row_number() OVER () AS rid, embedding, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    u AS (SELECT rid, vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS e
+          FROM n WHERE {_VALID} AND list_contains(list_transform(e, lambda x: x <> 0), true)),
+    l AS (SELECT a.rid AS a, b.rid AS b FROM u a JOIN u b ON a.rid <> b.rid AND len(a.e) = len(b.e)
+          AND list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) >= 0.9),
+    r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+    c AS (SELECT r.a, min(v.vec_id) AS m FROM r JOIN n v ON v.rid = r.b GROUP BY r.a),
+    k AS (SELECT a, count(*) AS k FROM l GROUP BY a)
+    SELECT vec_id, coalesce(k, 0) AS n_links, least(coalesce(m, vec_id), vec_id) AS component_id,
+           least(coalesce(m, vec_id), vec_id) = vec_id AS kept
+    FROM n LEFT JOIN c ON c.a = rid LEFT JOIN k ON k.a = rid""",
 }
