@@ -118,6 +118,6 @@ def dedup_chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: in
     later = rows.mapInArrow(sift(0), "kind long, hash long, k long, twin long, pos long, last long, lead long")
     later = written(later.where("kind = 0").select("k", "twin", F.col("pos").alias("a"), F.col("last").alias("b")), "chunk-copies")
     per = later.groupBy(*keys).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    texts = base.select(*keys, F.col("text").cast("binary").alias("raw")).join(per, keys, "left").select("k", "raw", "spans")
+    texts = base.select(*keys, F.col("text").cast("binary").alias("raw")).join(per.hint("merge"), keys, "left").select("k", "raw", "spans")
     out = texts.mapInArrow(_finish(run), "k long, n_bytes long, n_removed long, n_spans long, text string")
     return out.select(F.when(F.col("k") != LAST_ID, F.col("k")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "text")

@@ -71,7 +71,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     spans = spans.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     runs = spans.groupBy(*keys, "run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
     runs = written(runs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs")), "lines-runs")
-    out = base.select(*keys, "row").join(runs, keys, "left").select(
+    out = base.select(*keys, "row").join(runs.hint("merge"), keys, "left").select(
         "row", F.coalesce("runs", F.array().cast("array<struct<a: bigint, b: bigint>>")).alias("runs"),
         F.split("row.text", "\n").alias("lines"))
     gaps = F.arrays_zip(F.concat(F.array(F.lit(0).cast("long")), F.transform("runs", lambda r: r["b"])).alias("x"),

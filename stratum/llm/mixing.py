@@ -129,5 +129,5 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0,
     copies = mix(docs, weights, cap, seed).groupBy("h").agg(F.sum("copies").alias("copies")).where("copies > 0")
     once = F.row_number().over(Window.partitionBy("h").orderBy(F.lit(1)))  # rows of one hash are equal
     rows = docs.select(F.struct("*").alias("row"), _row_hash(seed).alias("h")).withColumn("n", once).where("n = 1")
-    out = rows.join(copies, "h").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    out = rows.join(copies.hint("merge"), "h").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select("row.*")

@@ -251,4 +251,4 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
                                          F.coalesce("doc_id", F.lit(0)).alias("id")), shingle)
     names = ["none", "id", "fp"]
     first = F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("text")))
-    return texts.join(keep, names, "left_semi").withColumn("n", first).where("n = 1").select("row.*")
+    return texts.join(keep.hint("merge"), names, "left_semi").withColumn("n", first).where("n = 1").select("row.*")
