@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 from stratum.operators import aggregate as A
 from stratum.operators import timeseries as ts
+from stratum.session import written
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -163,29 +164,59 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def retrieve(questions: DataFrame, docs: DataFrame, k: int = 3, qkey: str = "item_id", qtext: str = "text",
-             dkey: str = "doc_id", dtext: str = "text") -> DataFrame:
+             dkey: str = "doc_id", dtext: str = "text", probe_terms: int = 10) -> DataFrame:
     """Top-k chunks per question by tf-idf, citing document and chunk.
 
     score(q, c) = sum over shared terms of tf(t, c) * qtf(t, q) * idf(t)^2,
-    idf = ln(N / df) over N chunks. The join runs on the term (an inverted
-    index); terms in every chunk have idf 0 and are dropped exactly.
-    Scores are rounded to 9 decimals, then ranked with (doc, chunk) as
-    tie-break; the row_number <= k filter is limited map-side."""
-    ch = chunks(docs, dkey, dtext)
-    ct = ch.select(dkey, "chunk_id", F.explode(tokens("chunk")).alias("term")) \
-        .groupBy(dkey, "chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    n = ch.agg(F.count(F.lit(1)).alias("n_chunks"))
-    df_ = ct.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df_.crossJoin(F.broadcast(n)).select("term", F.log(F.col("n_chunks") / F.col("df")).alias("idf")) \
-        .filter(F.col("idf") > 0)
+    idf = ln(N / df) over N chunks; scores rounded to 9 decimals, ties by
+    (doc, chunk). Exact, but without scoring every chunk that shares a common
+    term:
+
+    1. postings of the questions' terms are counted once and written;
+    2. likely chunks (best by the ``probe_terms`` rarest terms, or with the most
+       of some term) are scored in full; no answer can fall below the k-th;
+    3. the commonest terms get a cap each, the count that nearly all their
+       postings stay within, as long as all caps together stay below that
+       bound. A chunk in which no other term occurs and every capped term stays
+       within its cap cannot be an answer: only chunks with a rarer term, or
+       with unusually many of a common one, are candidates and scored in full.
+    """
     qt = questions.select(qkey, F.explode(tokens(qtext)).alias("term")).groupBy(qkey, "term") \
         .agg(F.count(F.lit(1)).alias("qtf"))
-    qw = qt.join(idf, "term")
-    scored = (qw.join(ct, "term")
-              .groupBy(qkey, dkey, "chunk_id")
-              .agg(F.round(F.sum(F.col("tf") * F.col("qtf") * F.col("idf") * F.col("idf")), 9).alias("score")))
-    ranked = ts.top_n_per_key(scored, [qkey], [F.col("score").desc(), F.col(dkey), F.col("chunk_id")], k, "rank")
-    return ranked
+    ch = chunks(docs, dkey, dtext)
+    n = ch.agg(F.count(F.lit(1)).alias("n_chunks"))
+    post = ch.select(dkey, "chunk_id", F.explode(tokens("chunk")).alias("term")) \
+        .join(qt.select("term").distinct(), "term", "left_semi") \
+        .groupBy(dkey, "chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    post = written(post, "postings")
+    idf = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.percentile_approx("tf", 0.999).alias("usual")) \
+        .crossJoin(F.broadcast(n)).withColumn("idf", F.log(F.col("n_chunks") / F.col("df"))).filter(F.col("idf") > 0)
+    rarest = Window.partitionBy(qkey).orderBy("df", "term")
+    weights = qt.join(idf, "term").select(qkey, "term", (F.col("qtf") * F.col("idf") * F.col("idf")).alias("w"), "df", "usual")
+    weights = written(weights.withColumn("place", F.row_number().over(rarest)), "question-terms")
+
+    def full_scores(pairs: DataFrame) -> DataFrame:
+        return pairs.join(post, [dkey, "chunk_id"]).join(weights.select(qkey, "term", "w"), [qkey, "term"]) \
+            .groupBy(qkey, dkey, "chunk_id").agg(F.sum(F.col("tf") * F.col("w")).alias("score"))
+
+    partial = weights.filter(F.col("place") <= probe_terms).join(post, "term") \
+        .groupBy(qkey, dkey, "chunk_id").agg(F.sum(F.col("tf") * F.col("w")).alias("score"))
+    likely = ts.top_n_per_key(partial, [qkey], [F.col("score").desc()], 10 * k).select(qkey, dkey, "chunk_id")
+    heavy = ts.top_n_per_key(post, ["term"], [F.col("tf").desc()], 2 * k).join(weights, "term").select(qkey, dkey, "chunk_id")
+    probed = full_scores(likely.union(heavy).distinct())
+    bound = ts.top_n_per_key(probed, [qkey], [F.col("score").desc()], k).groupBy(qkey) \
+        .agg(F.when(F.count(F.lit(1)) >= k, F.min("score") * (1 - 1e-9) - 1e-6).otherwise(F.lit(0.0)).alias("bound"))
+    common = Window.partitionBy(qkey).orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spent = F.sum(F.col("w") * F.col("usual")).over(common)
+    caps = weights.withColumn("_spent", spent).join(bound, qkey) \
+        .select(qkey, "term", F.when(F.col("_spent") < F.col("bound"), F.col("usual")).otherwise(0).alias("cap"))
+    caps = written(caps, "term-caps")
+    # postings within every question's cap drop out before the questions meet them
+    over = post.join(caps.groupBy("term").agg(F.min("cap").alias("_least")), "term").filter(F.col("tf") > F.col("_least"))
+    candidates = over.join(caps, "term").filter(F.col("tf") > F.col("cap")).select(qkey, dkey, "chunk_id").distinct()
+    candidates = written(candidates, "candidates")
+    scored = full_scores(candidates).withColumn("score", F.round("score", 9))
+    return ts.top_n_per_key(scored, [qkey], [F.col("score").desc(), F.col(dkey), F.col("chunk_id")], k, "rank")
 
 
 # --- J7 history ---------------------------------------------------------------------------------------
