@@ -75,11 +75,11 @@ def with_key(docs: DataFrame, ratio: np.ndarray, sharpness: float = SHARPNESS, s
     """(row, log_weight, key): each row of ``docs`` whole, its mean log ratio and sampling key (null without words)."""
     buckets = len(ratio)
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
-    names = ["row", "text", "u", "log_weight"]
+    names = ["row", "u", "log_weight"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        for rows, data, offsets in text_slices(batches):
+        for rows, data, offsets in text_slices(batches, "row.text"):
             b, doc = ngram_buckets(data, offsets, buckets)
             n = np.bincount(doc, minlength=rows.num_rows)
             total = np.bincount(doc, weights=table[b], minlength=rows.num_rows)
@@ -87,7 +87,7 @@ def with_key(docs: DataFrame, ratio: np.ndarray, sharpness: float = SHARPNESS, s
             yield pa.RecordBatch.from_arrays([*rows.columns, mean], names=names)
 
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed)), 11) + 0.5) / F.lit(2.0 ** 53)
-    rows = docs.select(F.struct("*").alias("row"), "text", u.alias("u"))
+    rows = docs.select(F.struct("*").alias("row"), u.alias("u"))
     scored = rows.mapInArrow(score, rows.select("*", F.lit(None).cast("double").alias("log_weight")).schema)
     key = F.col("log_weight") * F.lit(sharpness) - F.log(-F.log("u"))
     return scored.select("row", "log_weight", (F.round(key * F.lit(_STEPS)) / F.lit(_STEPS)).alias("key"))

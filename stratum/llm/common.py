@@ -21,9 +21,18 @@ LAST_ID = (1 << 63) - 1  # stands for a null doc_id in keys
 WORD_BREAKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once a session; on a cluster they don't have it."""
+    """Send this package to the executors' Python, once a session; on a cluster they don't have it.
+
+    Also bounds the batches that go to Python: a task holds one on its way there
+    and one on its way back, outside the heap.
+    """
     sc = spark.sparkContext
+    for name, most in BATCH.items():
+        spark.conf.set(name, most)
     if getattr(sc, "_stratum_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -61,12 +70,15 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
     """Rows in runs of about ``limit`` bytes of text, with their UTF-8 bytes laid end to end.
 
     Yields (rows, bytes, offsets); a null text has no bytes.  A text longer
-    than ``limit`` comes alone and whole.
+    than ``limit`` comes alone and whole. ``column`` may be a field of a struct.
     """
+    outer, _, inner = column.partition(".")
     for batch in batches:
         if not batch.num_rows:
             continue
-        col = batch.column(batch.schema.get_field_index(column))
+        col = batch.column(batch.schema.get_field_index(outer))
+        if inner:
+            col = pc.struct_field(col, inner)
         col = pc.fill_null(col.cast(pa.large_string()), "")
         offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
         raw = col.buffers()[2]
@@ -106,17 +118,16 @@ def lower_ascii() -> np.ndarray:
     return table
 
 
-_POWERS: dict[tuple[int, int], np.ndarray] = {}
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base^0 ... base^(n-1) modulo 2^64, kept for the worker."""
-    size = 1 << max(10, (n - 1).bit_length())
-    if (base, size) not in _POWERS:
-        out = np.full(size, base, np.uint64)
+    """base^0 ... base^(n-1) modulo 2^64; the worker keeps the longest run it has needed."""
+    if base not in _POWERS or len(_POWERS[base]) < n:
+        out = np.full(max(n, 1 << 16), base, np.uint64)
         out[0] = 1
-        _POWERS[base, size] = np.multiply.accumulate(out)
-    return _POWERS[base, size][:n]
+        _POWERS[base] = np.multiply.accumulate(out)
+    return _POWERS[base][:n]
 
 
 HASH_BASE = 0x9E3779B97F4A7C15

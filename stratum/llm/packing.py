@@ -28,7 +28,7 @@ from stratum.llm.common import text_slices
 from stratum.llm.tokens import encoder
 
 WINDOW = 1 << 20      # tokens that are packed together; bounds a task's memory
-SLICE = 3 << 20       # bytes of text that are encoded together
+SLICE = 2 << 20       # bytes of text that are encoded together
 SEQUENCE_BITS = 40    # sequences of one partition that an id can tell apart
 
 

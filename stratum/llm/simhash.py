@@ -72,12 +72,13 @@ def _simhash(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int) ->
     return out
 
 
-def with_fingerprint(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """All columns of ``docs`` and the fingerprint of ``text`` as a signed long ``fp``, which must not be there yet."""
+def with_fingerprint(docs: DataFrame, shingle: int = 3, seed: int = 42, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and the fingerprint of ``text`` (a column or a field of a struct) as a signed long
+    ``fp``, which must not be there yet."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_slices(batches):
+        for rows, data, offsets in text_slices(batches, text):
             fp = pa.array(_simhash(data, offsets, shingle, seed).view(np.int64))
             yield pa.RecordBatch.from_arrays([*rows.columns, fp], names=[*names, "fp"])
 
@@ -247,8 +248,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     rows, label = _labelled(docs, shingle, distance, BUCKET)
     keep = label.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"),
                                                      F.coalesce("rep", F.lit(0)).alias("id"), "fp")).alias("x")).select("x.*")
-    texts = with_fingerprint(docs.select(F.struct("*").alias("row"), "text", F.col("doc_id").isNull().alias("none"),
-                                         F.coalesce("doc_id", F.lit(0)).alias("id")), shingle)
+    texts = with_fingerprint(docs.select(F.struct("*").alias("row"), F.col("doc_id").isNull().alias("none"),
+                                         F.coalesce("doc_id", F.lit(0)).alias("id")), shingle, text="row.text")
     names = ["none", "id", "fp"]
-    first = F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("text")))
+    first = F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("row.text")))
     return texts.join(keep.hint("merge"), names, "left_semi").withColumn("n", first).where("n = 1").select("row.*")

@@ -36,7 +36,7 @@ WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 COUNTS = 60 // WIDTHS
 BLOCK = 256
 SEGMENT = 1 << 20  # ids after which a segment ends, with its last document
-SLICE = 3 << 20    # bytes of text that are encoded together
+SLICE = 2 << 20    # bytes of text that are encoded together
 _MAGIC = b"S8B1"
 
 
