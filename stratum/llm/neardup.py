@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.common import components, forest, written
-from stratum.llm.vectors import in_blocks, matrix, unit, usable
+from stratum.llm.vectors import in_blocks, unit, usable
 
-BLOCK = 2048
+BLOCK = 4096
 SLACK = 1e-4  # single-precision rounding of the estimates
 
 
@@ -46,15 +46,26 @@ def encode(m: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(r > 0, axis=1), np.abs(r).sum(1) / math.sqrt(m.shape[1])
 
 
+def _raw(column: pa.ChunkedArray) -> bytes:
+    """Components end to end, in single precision where they came so: blocks travel to every block near them."""
+    values = column.combine_chunks().flatten()
+    return values.to_numpy(zero_copy_only=False).astype("<f4" if pa.types.is_float32(values.type) else "<f8").tobytes()
+
+
+def _units(raw: bytes, dim: int, rows: int) -> np.ndarray:
+    wide = len(raw) == 8 * dim * rows
+    return unit(np.frombuffer(raw, "<f8" if wide else "<f4").reshape(-1, dim).astype(np.float64))
+
+
 def _pack(rows: pa.Table) -> pa.Table:
     dim = rows.column("dim")[0].as_py()
     order = rows.column("id").combine_chunks().to_numpy().argsort()
     rows = rows.take(pa.array(order))
-    m = unit(matrix(rows.column("v"), dim))
+    m = _units(raw := _raw(rows.column("v")), dim, rows.num_rows)
     codes, f = encode(m)
     centre = unit(m.mean(0)[None, :])[0]
     far = float(np.arccos(np.clip(m @ centre, -1, 1)).max())
-    blob = [m.tobytes(), codes.tobytes(), f.tobytes(), rows.column("id").combine_chunks().to_numpy().astype("<i8").tobytes(),
+    blob = [raw, codes.tobytes(), f.tobytes(), rows.column("id").combine_chunks().to_numpy().astype("<i8").tobytes(),
             rows.column("members").combine_chunks().to_numpy().astype("<i8").tobytes()]
     names = ["block", "dim", "centre", "radius", "m", "codes", "f", "ids", "members"]
     cols = [pa.array([rows.column("block")[0].as_py()]), pa.array([dim], pa.int32()),
@@ -69,7 +80,7 @@ _BLOCK_SCHEMA = ("block long, dim int, centre array<double>, radius double, m bi
 def _links(a: dict, b: dict, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of the links between two blocks, some rows of the first at a time."""
     dim = a["dim"]
-    ma, mb = (np.frombuffer(x["m"]).reshape(-1, dim) for x in (a, b))
+    ma, mb = (_units(x["m"], dim, len(x["ids"]) // 8) for x in (a, b))
     codes = np.unpackbits(np.frombuffer(b["codes"], np.uint8).reshape(len(mb), -1), axis=1, count=dim)
     signs = ((codes.astype(np.float32) * 2 - 1) / math.sqrt(dim)).T
     f = np.frombuffer(b["f"])

@@ -33,12 +33,12 @@ def good(v):
     return v is not None and all(x is not None and math.isfinite(x) for x in v)
 
 
-@pytest.mark.parametrize("block", [16, 2048])
-def test_near_vectors(spark, block):
+@pytest.mark.parametrize("block, kind", [(16, "float"), (2048, "double")])
+def test_near_vectors(spark, block, kind):
     rows = vectors()
-    got = Counter(tuple(r) for r in neardup.near_vectors(table(spark, rows), 0.9, block).collect())
-    fine = [(i, np.array(v, np.float32).astype(float)) for i, v, *_ in rows]if False else \
-        [(n, np.array(r[1], np.float32).astype(float)) for n, r in enumerate(rows) if good(r[1]) and any(r[1])]
+    got = Counter(tuple(r) for r in neardup.near_vectors(table(spark, rows, kind), 0.9, block).collect())
+    fine = [(n, np.array(r[1], np.float32 if kind == "float" else float).astype(float)) for n, r in enumerate(rows)
+            if good(r[1]) and any(r[1])]
     links = [(a, b) for x, (a, u) in enumerate(fine) for b, w in fine[:x]
              if len(u) == len(w) and u @ w / np.linalg.norm(u) / np.linalg.norm(w) >= 0.9]
     count, root = Counter([x for p in links for x in p]), roots(len(rows), links)
