@@ -1,21 +1,24 @@
 """Quality by importance resampling over hashed n-grams.
 
 Two bag models over hashed words and word pairs: the target from documents that
-are labelled good and not toxic, the raw model from all documents.  A document's
+are labelled good and not toxic, the raw model from all documents.  Each different
+text counts once, however many rows hold it, and all its copies are taken or none:
+else a large group of copies would sink its own weight and fill the rejections.  A document's
 log importance weight is the mean log ratio of the two over its n-grams, times
 ``sharpness`` (a mean, or long documents would all sink or swim by length).
 Gumbel noise on the log weights and the k largest sums draw k documents without
-replacement, each in proportion to its weight; k is the share of good documents
-among the labelled ones, times the number of documents.
+replacement, each in proportion to its weight; k is the share of good ones among
+the different labelled texts, times the number of different texts.
 
 The target is fitted on at most ``sample`` labelled documents, the lowest hashes
 of doc_id.  Raw counts, weights and the choice of the k-th largest cover all
-documents.  Noise comes from a hash of the row, so reruns agree.
+documents.  Noise comes from a hash of the text, so reruns and copies agree.
 
 Defined cases: a text that is null or has no words has no weight and is not
 taken; without good labels every weight is 1; without labels every document with
 words is taken; ties at the k-th place are all taken; an empty table gives no
-rows; a null label is no label; the columns of ``docs`` are kept.
+rows; a null label, or one of a doc_id that ``docs`` lacks, is no label; a text is good
+if one of its copies is labelled so; the columns of ``docs`` are kept.
 """
 
 from __future__ import annotations
@@ -48,7 +51,7 @@ def ngram_buckets(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[
 def fit(docs: DataFrame, good: DataFrame, buckets: int = BUCKETS, smoothing: float = 0.5) -> np.ndarray:
     """Log ratio of the target to the raw model for every bucket; ``good`` (doc_id) is of bounded size."""
     flagged = docs.select("doc_id", "text").join(F.broadcast(good.select("doc_id", F.lit(True).alias("good"))), "doc_id", "left") \
-        .select("text", F.col("good").isNotNull().alias("good"))
+        .groupBy("text").agg(F.max(F.col("good").isNotNull()).alias("good"))  # combined before the shuffle
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, buckets), np.int64)
@@ -86,7 +89,7 @@ def with_key(docs: DataFrame, ratio: np.ndarray, sharpness: float = SHARPNESS, s
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
             yield pa.RecordBatch.from_arrays([*rows.columns, mean], names=names)
 
-    u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed)), 11) + 0.5) / F.lit(2.0 ** 53)
+    u = (F.shiftrightunsigned(F.xxhash64(F.xxhash64("text"), F.lit(seed)), 11) + 0.5) / F.lit(2.0 ** 53)
     rows = docs.select(F.struct("*").alias("row"), u.alias("u"))
     scored = rows.mapInArrow(score, rows.select("*", F.lit(None).cast("double").alias("log_weight")).schema)
     key = F.col("log_weight") * F.lit(sharpness) - F.log(-F.log("u"))
@@ -112,8 +115,15 @@ def kth_largest(keys: DataFrame, k: int) -> float | None:
     return (prefix - (1 << 63)) / _STEPS
 
 
-def good_share(labels: DataFrame) -> float:
-    r = labels.where("quality IS NOT NULL").agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
+def digest(text: str) -> list[Column]:
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text, F.lit("")).alias("h2")]
+
+
+def good_share(docs: DataFrame, labels: DataFrame) -> float:
+    """Share of good ones among the different labelled texts."""
+    known = labels.where("quality IS NOT NULL").select("doc_id", (F.col("quality") == 1).alias("good"))
+    texts = docs.select("doc_id", *digest("text")).join(known, "doc_id").groupBy("h1", "h2").agg(F.max("good").alias("good"))
+    r = texts.agg(F.avg(F.col("good").cast("double"))).first()[0]
     return 1.0 if r is None else r
 
 
@@ -126,8 +136,8 @@ def resample(docs: DataFrame, labels: DataFrame, sharpness: float = SHARPNESS, s
              seed: int = 0) -> tuple[DataFrame, Column]:
     """(row, log_weight, key) of every document, and the condition under which it is taken."""
     scored = with_key(docs, fit(docs, good_sample(labels, sample)), sharpness, seed)
-    keys = written(scored.select("key"), "quality-keys")
-    k = round(good_share(labels) * keys.count())
+    keys = written(scored.groupBy(*digest("row.text")).agg(F.max("key").alias("key")).select("key"), "quality-keys")
+    k = round(good_share(docs, labels) * keys.count())
     last = kth_largest(keys, k) if k else float("inf")
     return scored, F.col("key").isNotNull() if last is None else F.coalesce(F.col("key") >= F.lit(last), F.lit(False))
 

@@ -65,6 +65,26 @@ def test_resampling_of_awkward_tables(spark):
     assert Counter(map(tuple, first)) == Counter(map(tuple, again))
 
 
+@pytest.mark.parametrize("quality, labelled", [(1, False), (0, False), (0, True)])
+def test_a_large_group_of_copies_leaves_the_rest_alone(spark, quality, labelled):
+    """A third of all rows are copies of one document: they share one decision, and junk still goes."""
+    sf = SF_SMALL.replace("sf0.001", "sf0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    known = {r.doc_id: r for r in labels.collect()}
+    one = min(i for i, r in known.items() if r.quality == quality and r.toxic == 0)
+    copies = spark.range(10 ** 6, 10 ** 6 + docs.count() // 2).select(F.col("id").alias("doc_id")).crossJoin(
+        docs.where(F.col("doc_id") == one).drop("doc_id"))
+    rows = docs.unionByName(copies.select(docs.columns))
+    marked = labels.unionByName(copies.where(F.lit(labelled) & (F.col("doc_id") % 3 == 0)).selectExpr("doc_id", f"{quality} AS quality", "0 AS toxic"))
+    scored, keep = classify.resample(rows, marked.selectExpr("doc_id", "CAST(quality AS INT) quality", "CAST(toxic AS INT) toxic"))
+    kept = {r.doc_id: r.kept for r in scored.select("row.doc_id", keep.alias("kept")).collect()}
+    same = [k for i, k in kept.items() if i >= 10 ** 6 or i == one]
+    good, bad = ([kept[i] for i, r in known.items() if r.quality == q and r.toxic == 0 and i != one] for q in (1, 0))
+    print(f"copies kept {np.mean(same):.3f}, clean kept {sum(good)} of {len(good)}, junk kept {sum(bad)} of {len(bad)}")
+    assert len(same) == docs.count() // 2 + 1 and len(set(same)) == 1
+    assert np.mean(good) > 0.95 and np.mean(bad) < 0.2
+
+
 # --- op 8 ---------------------------------------------------------------------------------------
 
 def true_targets(size, weights=(5, 2, 1), cap=3.0):
