@@ -4,12 +4,16 @@ Every line gets the id of its class of equal lines.  A round doubles the
 compared length: the class of the 2^k lines from a place and that of the next
 2^k name the class of 2^(k+1).  A class is an interval of the suffix array whose
 common prefix has that many lines; its name is its first member, so only places
-that still share their prefix go into the next round, and the rounds end when no
-run of that length repeats.  The intervals cover every maximal repeated run.
+that still share their prefix go into the next round.
 
-A place that shares 2^k lines, of ``min_chars`` characters or more together, with an
-earlier one (smaller doc_id, or further up) starts a later copy; those lines are
-deleted.  Short lines therefore go only as part of a longer repeated run.
+Deleted is every line of a run, of any number of lines and ``min_chars`` characters or
+more together, that also starts at an earlier place (smaller doc_id, or further up).
+Short lines therefore go only as part of a longer repeated run.  The union of these
+runs is that of the shortest ones of ``min_chars`` characters that start or end at
+some line: a line of a longer run lies in the shortest that starts the run, or in the
+shortest that ends at the line.  Such a run of w lines, 2^k <= w < 2^(k+1), has an equal one
+where the classes of its first 2^k lines and of its last 2^k lines are equal.  The
+rounds end with the longest of these.
 
 All of it is DataFrame code.  Defined cases: a null text stays null; an empty text
 is one empty line; null doc_ids come last; rows of one doc_id follow each other
@@ -37,17 +41,45 @@ def _classes(rows: DataFrame, by: list[str], purpose: str) -> DataFrame:
     return written(rows.join(classes, by).select("k", "twin", "i", "n", "first"), purpose)
 
 
+def _shortest_runs(rows: DataFrame, min_chars: int) -> DataFrame:
+    """(k, twin, i, w): the shortest runs of repeated lines with ``min_chars`` characters from or up to every line."""
+    place = F.row_number().over(Window.partitionBy("k", "twin").orderBy("i"))
+    rows = rows.select("k", "twin", "i", "n", (F.col("i") - place).alias("stretch"))
+    per = Window.partitionBy("k", "twin", "stretch")
+    end = F.sum("n").over(per.orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("e", end).select("*", (F.col("e") - F.col("n")).alias("s"),
+                                            F.max("e").over(per).alias("total"), F.min("i").over(per).alias("low"))
+    below = F.count("*").over(per.orderBy("s").rangeBetween(Window.unboundedPreceding, min_chars - 1)) + F.col("low")
+    rows = rows.withColumn("to", F.greatest(below, F.col("i") + 1))
+    above = F.count("*").over(per.orderBy("e").rangeBetween(Window.unboundedPreceding, -min_chars)) + F.col("low")
+    rows = rows.withColumn("from", F.least(above, F.col("i")))
+    first = rows.where(F.col("total") - F.col("s") >= min_chars).select("k", "twin", "i", (F.col("to") - F.col("i")).alias("w"))
+    last = rows.where(F.col("e") >= min_chars).select("k", "twin", F.col("from").alias("i"), (F.col("i") + 1 - F.col("from")).alias("w"))
+    return first.union(last).distinct()
+
+
 def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(k, twin, a, b): lines a up to b of a document are a later copy; ``docs`` has k, twin and text."""
     lines = docs.select("k", "twin", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     rows = lines.select("k", "twin", F.col("i").cast("long").alias("i"), F.length("line").cast("long").alias("n"),
                         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", F.lit("")).alias("h2"))
     rows = _classes(rows, ["h1", "h2"], "lines-1")
+    runs = written(_shortest_runs(rows, min_chars), "lines-shortest")
+    longest = runs.agg(F.max("w")).first()[0] or 0
+    later = F.struct("k", "twin", "i") != F.col("first")
     width, found = 1, None
     while True:
-        later = F.struct("k", "twin", "i") != F.col("first")
-        spans = rows.where(later & (F.col("n") >= min_chars)).select("k", "twin", F.col("i").alias("a"), (F.col("i") + width).alias("b"))
+        spans = rows.join(runs.where(F.col("w") == width), ["k", "twin", "i"]).where(later)
+        spans = spans.select("k", "twin", F.col("i").alias("a"), (F.col("i") + width).alias("b"))
         found = spans if found is None else found.union(spans)
+        if width > 1:
+            ends = runs.where(F.col("w").between(width + 1, 2 * width - 1)).withColumn("j", F.col("i") + F.col("w") - width)
+            ends = ends.join(rows.select("k", "twin", "i", F.col("first").alias("one")), ["k", "twin", "i"])
+            ends = ends.join(rows.select("k", "twin", F.col("i").alias("j"), F.col("first").alias("then")), ["k", "twin", "j"])
+            equal = _classes(ends.select("k", "twin", "i", F.col("w").alias("n"), "one", "then"), ["n", "one", "then"], f"lines-{width}-runs")
+            found = found.union(equal.where(later).select("k", "twin", F.col("i").alias("a"), (F.col("i") + F.col("n")).alias("b")))
+        if longest < 2 * width:
+            return found
         follow = rows.select("k", "twin", (F.col("i") - width).alias("i"), F.col("n").alias("n2"), F.col("first").alias("then"))
         pairs = rows.join(follow, ["k", "twin", "i"]).select("k", "twin", "i", (F.col("n") + F.col("n2")).alias("n"), "first", "then")
         pairs = pairs.withColumnRenamed("first", "one")

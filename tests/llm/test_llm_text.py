@@ -147,6 +147,41 @@ def test_line_dedup_with_awkward_rows(spark):
     assert lines.dedup_lines(frame(spark, [])).collect() == []
 
 
+def brute_runs(rows, min_chars):
+    """Like brute_lines, with runs of every number of lines."""
+    texts = [t.split("\n") if t is not None else [] for _, t, *_ in rows]
+    gone = [[False] * len(t) for t in texts]
+    live, width = [(d, a) for d, t in enumerate(texts) for a in range(len(t))], 1
+    while live:
+        run = {(d, a): tuple(texts[d][a:a + width]) for d, a in live if a + width <= len(texts[d])}
+        count, seen = Counter(run.values()), set()
+        for (d, a), r in run.items():
+            if r in seen and sum(map(len, r)) >= min_chars:
+                gone[d][a:a + width] = [True] * width
+            seen.add(r)
+        live, width = [p for p in run if count[run[p]] > 1], width + 1
+    return [(r[0], None if r[1] is None else "\n".join(x for x, y in zip(t, g) if not y), len(t), sum(g))
+            for r, t, g in zip(rows, texts, gone)]
+
+
+@pytest.mark.parametrize("min_chars", [0, 1, 9, 40])
+def test_line_runs_of_every_width(spark, min_chars):
+    """Runs of 3, 5, 6, 7 short lines, short lines at the edges of long ones, blank lines."""
+    rng = np.random.default_rng(min_chars)
+    parts = ["\n".join("x" * int(n) + str(i * 10 + j) for j, n in enumerate(rng.integers(0, 14, w))) for i, w in enumerate((3, 5, 6, 7, 3, 11))]
+    parts += ["tail\n" + "long line " * 5 + "\nto\nbe", "\n" * 9, "a\nb\na\nb", "y" * 45]
+    texts = ["\n".join(parts[int(p)] for p in rng.integers(0, len(parts), 4)) + f"\nonly {i}\n" + parts[i % len(parts)] for i in range(40)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    got = [(r.doc_id, r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(frame(spark, rows), min_chars).collect()]
+    assert sorted(got) == sorted(brute_runs(rows, min_chars))
+
+
+def test_line_runs_of_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = [(r.doc_id, r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(docs).collect()]
+    assert sorted(got) == sorted(brute_runs(ordered([tuple(r) for r in docs.collect()]), 40))
+
+
 # --- op 9 ---------------------------------------------------------------------------------------
 
 def brute_fingerprint(text, shingle=3):
