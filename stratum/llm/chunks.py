@@ -2,10 +2,13 @@
 
 A gear hash rolls over the bytes: each step shifts it left by one and adds the
 byte's table value, so in 16 bits it depends on the last 16 bytes only.  A chunk
-ends after white space where the hash's top bits are zero, but not before
-``least`` bytes; where no such place comes within ``most`` bytes it ends there,
-between characters.  Ends depend on the bytes around them, so chunks after an
-insertion soon fall back into step.  Of chunks with one digest the first
+ends where a character does and the hash is the least of all places up to ``least``
+bytes before and after; places after white space go before all others, so those
+decide only in text that has no white space for that long (Chinese, base64).  An end
+depends on the bytes around it alone, not on the ends before it, so chunks after
+an insertion, or of a passage in other surroundings, are in step at once.  Where no
+such place comes within ``most`` bytes (one character repeated) the chunk ends
+there, between characters.  Of chunks with one digest the first
 (smallest doc_id, furthest left) stays.  Runs of later copies are removed if
 they have ``run`` bytes or more, or make up the whole document.
 
@@ -27,14 +30,26 @@ from pyspark.sql import functions as F
 from stratum.llm.common import LAST_ID, WORD_BREAKS, keyed, text_slices, written
 from stratum.llm.substrings import ROWS, SLICE, combine, sift
 
-LEAST, MOST, BITS, RUN = 32, 512, 2, 100
+LEAST, MOST, RUN = 32, 512, 100
+_NEVER = 0xFFFFFFFF
 
 
 def gear_table(seed: int = 0) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 16, 256, dtype=np.uint16)
 
 
-def cut(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, most: int = MOST, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+def _least_of(v: np.ndarray, width: int) -> np.ndarray:
+    """The least of v[i] ... v[i + width - 1] for every i; places beyond the end count as _NEVER."""
+    v = np.concatenate([v, np.full(width, _NEVER, v.dtype)])
+    size = 1
+    while 2 * size <= width:
+        v = np.minimum(v, np.concatenate([v[size:], np.full(size, _NEVER, v.dtype)]))
+        size *= 2
+    n = len(v) - width
+    return np.minimum(v[:n], v[width - size:width - size + n])
+
+
+def cut(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every chunk of the texts, in order."""
     n = len(data)
     h = gear_table()[data]
@@ -42,34 +57,41 @@ def cut(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, most: int = M
         grown = h.copy()
         grown[w:] += h[:-w] << np.uint16(w)
         h = grown
-    ends_here = np.zeros(256, bool)
-    ends_here[list(WORD_BREAKS)] = True
-    places = np.flatnonzero(ends_here[data] & (h >> np.uint16(16 - bits) == 0)) + 1
-    follow = np.searchsorted(places, places + least).tolist()
-    first = np.searchsorted(places, offsets[:-1] + least).tolist()
-    spots, count = places.tolist(), len(places)
-    starts, ends = [], []
-    for lo, hi, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), first):
-        while lo < hi:
-            starts.append(lo)
-            if j < count and spots[j] < hi and spots[j] <= lo + most:
-                lo = spots[j]
-                j = follow[j]
-            elif hi - lo <= most:
-                lo = hi
-            else:
-                lo += most
-                while data[lo] & 0xC0 == 0x80:
-                    lo -= 1
-                j = int(np.searchsorted(places, lo + least))
-            ends.append(lo)
-    return np.array(starts, np.int64), np.array(ends, np.int64)
-
-
-def _scan(least: int, most: int, bits: int):
+    space = np.zeros(256, bool)
+    space[list(WORD_BREAKS)] = True
+    rank = np.full(n + 1, _NEVER, np.uint32)  # of an end before each byte
+    if n:
+        rank[1:n] = h[:-1].astype(np.uint32) + np.where(space[data[:-1]], 0, 1 << 16).astype(np.uint32)
+        rank[:n][data & 0xC0 == 0x80] = _NEVER
+    # near its start a text has no ends: their hashes and neighbours would lie in the text before
+    reach = max(least, 16)
+    near = np.zeros(n + 2, np.int64)
+    np.add.at(near, offsets[:-1], 1)
+    np.add.at(near, np.minimum(offsets[:-1] + reach, n + 1), -1)
+    rank[np.cumsum(near)[:n + 1] > 0] = _NEVER
+    ahead = _least_of(rank, least)
+    before = np.full(n + 1, _NEVER, np.uint32)
+    before[least:] = ahead[:max(0, n + 1 - least)]
+    after = np.full(n + 1, _NEVER, np.uint32)
+    after[:-1] = ahead[1:]
+    places = np.flatnonzero((rank != _NEVER) & (rank < before) & (rank <= after))
+    bounds = np.unique(np.concatenate([places, offsets]))
+    far = np.flatnonzero(np.diff(bounds) > most)
+    extra = []
+    for lo, hi in zip(bounds[far].tolist(), bounds[far + 1].tolist()):
+        while hi - lo > most:
+            lo += most
+            while data[lo] & 0xC0 == 0x80:
+                lo -= 1
+            extra.append(lo)
+    bounds = np.unique(np.concatenate([bounds, np.array(extra, np.int64)]))
+    return bounds[:-1], bounds[1:]
+
+
+def _scan(least: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_slices(batches, limit=SLICE):
-            start, end = cut(data, offsets, least, most, bits)
+            start, end = cut(data, offsets, least, most)
             if not len(start):
                 continue
             raw, digest = data.tobytes(), hashlib.blake2b
@@ -105,7 +127,7 @@ def _finish(run_bytes: int):
     return run
 
 
-def dedup_chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = BITS, run: int = RUN) -> DataFrame:
+def dedup_chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, run: int = RUN) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, text) for every row of (doc_id, text); text is what is left.
 
     Equal chunks of a slice are combined before the one shuffle by digest, so a
@@ -113,7 +135,7 @@ def dedup_chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: in
     """
     base, keys = keyed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     base = base.select("k", "twin", "text")
-    rows = base.mapInArrow(_scan(least, most, bits), ROWS)
+    rows = base.mapInArrow(_scan(least, most), ROWS)
     rows = rows.repartition("hash").sortWithinPartitions("hash", "seg", "k", "twin", "pos")
     later = rows.mapInArrow(sift(0), "kind long, hash long, k long, twin long, pos long, last long, lead long")
     later = written(later.where("kind = 0").select("k", "twin", F.col("pos").alias("a"), F.col("last").alias("b")), "chunk-copies")

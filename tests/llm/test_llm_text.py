@@ -85,6 +85,19 @@ def test_chunks_cover_texts_and_survive_insertions():
     assert len(set(a) - set(b)) <= 3
 
 
+@pytest.mark.parametrize("letters", ["日本語文字列検索中国汉字", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdef0123456789+/"])
+def test_chunks_without_spaces_survive_insertions(letters):
+    text = "".join(np.random.default_rng(5).choice(list(letters), 20000))
+
+    def parts(t):
+        d = np.frombuffer(t.encode(), np.uint8)
+        s, e = chunks.cut(d, np.array([0, len(d)]))
+        assert s[0] == 0 and e[-1] == len(d) and (s[1:] == e[:-1]).all() and (e - s <= chunks.MOST).all()
+        return [t.encode()[x:y].decode() for x, y in zip(s, e)]
+    a, b = parts(text), parts(text[:700] + letters[0] + text[700:])
+    assert len(a) > 100 and len(set(a) - set(b)) <= 3
+
+
 @pytest.mark.parametrize("rows", [corpus(), awkward()], ids=["plain", "awkward"])
 def test_chunk_dedup(spark, rows):
     if rows is not None and any(r[0] is None for r in rows):
