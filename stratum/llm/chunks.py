@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from stratum.llm.common import LAST_ID, WORD_BREAKS, keyed, text_slices, written
 from stratum.llm.substrings import ROWS, SLICE, combine, sift
 
-LEAST, MOST, RUN = 32, 512, 100
+LEAST, MOST, RUN = 16, 512, 100
 _NEVER = 0xFFFFFFFF
 
 

@@ -98,6 +98,25 @@ def test_chunks_without_spaces_survive_insertions(letters):
     assert len(a) > 100 and len(set(a) - set(b)) <= 3
 
 
+def test_passages_of_fifty_words_are_found():
+    """Planted in other surroundings, each of 300 leaves a run of copied chunks that is long enough."""
+    rng = np.random.default_rng(7)
+
+    def prose(n):
+        return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(2, 9)))) for _ in range(n))
+    for _ in range(300):
+        passage, seen, run, best = prose(50), set(), 0, 0
+        for text in (f"{prose(40)} {passage} {prose(40)}".encode() for _ in range(2)):
+            start, end = chunks.cut(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+            parts = [text[x:y] for x, y in zip(start, end)]
+            if seen:
+                for part in parts:
+                    run = run + len(part) if part in seen else 0
+                    best = max(best, run)
+            seen.update(parts)
+        assert best >= chunks.RUN
+
+
 @pytest.mark.parametrize("rows", [corpus(), awkward()], ids=["plain", "awkward"])
 def test_chunk_dedup(spark, rows):
     if rows is not None and any(r[0] is None for r in rows):
