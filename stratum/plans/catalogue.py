@@ -1018,7 +1018,7 @@ def q_save_model(spark, d):
     """A trained forest saved, loaded again and applied: the loaded model
     must score every trip as the trained one does."""
     t = _trips(spark, d)
-    model, _, _ = Mo.train_fare(t, num_trees=10, max_depth=5)
+    model, _, _ = Mo.train_fare(t)
     path = shared_dir(spark, "model")
     Mo.save_model(model, {"version": Mo.MODEL_VERSION, "features": ",".join(Mo.FEATURES)}, path)
     loaded, meta = Mo.load_model(path)

@@ -209,3 +209,14 @@ def test_dedup_stream_is_idempotent(spark):
     df = C.REGISTRY["dedup_stream"](spark, SF_SMALL)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert df.count() == docs.select(F.sha2("text", 256)).distinct().count()
+
+
+def test_save_model_saves_the_production_forest(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from stratum.plans import catalogue
+    made, save = [], catalogue.Mo.save_model
+    monkeypatch.setattr(catalogue.Mo, "save_model", lambda model, *rest: (made.append(model), save(model, *rest))[1])
+    row = catalogue.q_save_model(spark, SF_SMALL).first()
+    forest = next(s for s in made[0].stages if hasattr(s, "getNumTrees")) if hasattr(made[0], "stages") else made[0]
+    assert forest.getNumTrees == 100 and forest.getOrDefault("maxDepth") == 10
+    assert row.trips == row.equal > 0
