@@ -19,10 +19,11 @@ import os
 
 import numpy as np
 
-from stratum.llm.common import span_hashes
+from stratum.llm.common import mix
 
 KNOWN = 800_000   # spans remembered per worker: this bounds memory, not results
-LONGEST = 64      # longer spans are encoded each time
+LONGEST = 32      # bytes; longer spans are encoded anew for each slice of texts
+_WORDS = LONGEST // 8
 
 _SPACE = np.zeros(256, bool)   # ASCII white space and the separators 1C-1F
 _SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
@@ -50,13 +51,50 @@ def cuts(data: np.ndarray) -> np.ndarray:
     odd = ~ascii_prev & ((prev2 == 0xC2) | ((prev3 >= 0xE1) & (prev3 <= 0xE3)))
     between = ~_SPACE[prev] & ~odd & _OPEN[after]
     line = (data == 0x0A) & between
-    latin = ~ascii_prev & (prev2 >= 0xC3) & (prev2 <= 0xC9) & ~((prev2 == 0xC3) & ((prev == 0x97) | (prev == 0xB7)))
+    # U+00C0 to U+024F but for two signs and the capital I with a dot, which lower-casing parts from its dot
+    latin = ((~ascii_prev & (prev2 >= 0xC3) & (prev2 <= 0xC9) & ~((prev2 == 0xC3) & ((prev == 0x97) | (prev == 0xB7))))
+             & ~((prev2 == 0xC4) & (prev == 0xB0)))
     mark = ((data == 0x2E) | (data == 0x2C)) & (_ASCII_LETTER[prev] | latin)
     cut = ((data == 0x20) & between) | line | mark
     cut[1:] |= line[:-1]
     return cut
 
 
+def _different(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One span of each content, which of them every span equals, and the spans' hashes and first LONGEST bytes.
+
+    The hash only brings spans together; spans are taken as equal when all their bytes are.
+    """
+    pad = np.zeros(len(data) + LONGEST, np.uint8)
+    pad[:len(data)] = data
+    view = np.ndarray((len(data) + LONGEST - 7,), "<u8", pad.data, strides=(1,))
+    words = np.zeros((len(starts), _WORDS), np.uint64)
+    h = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    some = np.arange(len(starts))
+    for k in range(_WORDS):
+        some = some[size[some] > 8 * k]
+        left = np.minimum(8, size[some] - 8 * k).astype(np.uint64)
+        words[some, k] = view[starts[some] + 8 * k] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
+        h[some] = mix((h[some] ^ words[some, k]) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(k + 1))
+    uniq, first, place = np.unique(h, return_index=True, return_inverse=True)
+    short = size <= LONGEST
+    same = short & short[first][place] & (size == size[first][place]) & (words == words[first][place]).all(1)
+    # long spans, and spans that share a hash with others, are told apart by their bytes
+    extra, by_bytes, raw = [], {}, data.tobytes()
+    for i in np.flatnonzero(~same).tolist():
+        key = raw[starts[i]:starts[i] + size[i]]
+        if key not in by_bytes:
+            by_bytes[key] = len(uniq) + len(extra)
+            extra.append(i)
+        place[i] = by_bytes[key]
+    if extra:
+        first = np.concatenate([first, np.array(extra, np.int64)])
+        # entries that no span equals any more go
+        used, place = np.unique(place, return_inverse=True)
+        first = first[used]
+    return first, place, h, words
+
+
 class Encoder:
     """Ids of whole texts.  Special-token strings inside a text are ordinary text."""
 
@@ -65,9 +103,9 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(tokenizer_path(path))
         self.tok.encode_special_tokens = True
-        z = np.zeros(0, np.uint64)
-        # of each known span, in order of its hash: hash, length and outer bytes, place and number of its ids
-        self.known = [z, z.astype(np.int64), z, z, z.astype(np.int64), z.astype(np.int64)]
+        z = np.zeros(0, np.int64)
+        # of each known span, in order of its hash: hash, its bytes, length, place and number of its ids
+        self.known = [z.astype(np.uint64), np.zeros((0, _WORDS), np.uint64), z, z, z]
         self.ids = np.zeros(0, np.uint32)
 
     def _ask(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,24 +126,13 @@ class Encoder:
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], n)
         size = ends - starts
-        # what tells a span apart, besides its hash: its first and last eight bytes
-        pad = np.zeros(n + 16, np.uint8)
-        pad[8:-8] = data
-        words = np.ndarray((n + 9,), "<u8", pad.data, strides=(1,))
-        keep = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * np.maximum(0, 8 - size).astype(np.uint64) % np.uint64(64))
-        front, back = words[starts + 8] & keep, np.where(size >= 8, words[ends], np.uint64(0))
-        h = span_hashes(data, starts, ends)
-        uniq, first, place = np.unique(h, return_index=True, return_inverse=True)
-        same = (size == size[first][place]) & (front == front[first][place]) & (back == back[first][place])
-        if not same.all():  # equal hashes of different spans: those get entries of their own
-            odd = np.flatnonzero(~same)
-            first = np.concatenate([first, odd])
-            place[odd] = len(uniq) + np.arange(len(odd))
-        kh, ks, kf, kb, kat, kn = self.known
+        first, place, h, words = _different(data, starts, size)
+        short = size[first] <= LONGEST
+        kh, kw, ks, kat, kn = self.known
         at = np.minimum(np.searchsorted(kh, h[first]), max(0, len(kh) - 1))
         hit = np.zeros(len(first), bool)
         if len(kh):
-            hit = (kh[at] == h[first]) & (ks[at] == size[first]) & (kf[at] == front[first]) & (kb[at] == back[first])
+            hit = short & (kh[at] == h[first]) & (ks[at] == size[first]) & (kw[at] == words[first]).all(1)
         where, count = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
         where[hit], count[hit] = kat[at[hit]], kn[at[hit]]
         ids = self.ids
@@ -114,19 +141,20 @@ class Encoder:
             said, number = self._ask(data, starts[first[new]], ends[first[new]])
             where[new], count[new] = len(ids) + np.cumsum(number) - number, number
             ids = np.concatenate([ids, said])
-            self._learn(new[(size[first[new]] <= LONGEST) & (new < len(uniq))], first, h, size, front, back, where, count, ids)
+            self._learn(new[short[new]], first, h, words, size, where, count, ids)
         number = count[place]
         edge = np.concatenate([[0], np.cumsum(number)])
         out = ids[np.repeat(where[place] - edge[:-1], number) + np.arange(edge[-1])]
         return out, edge[np.searchsorted(starts, offsets)]
 
-    def _learn(self, new, first, h, size, front, back, where, count, ids) -> None:
+    def _learn(self, new, first, h, words, size, where, count, ids) -> None:
         kh = self.known[0]
+        new = new[np.unique(h[first[new]], return_index=True)[1]]  # of different spans with one hash, one is remembered
         fresh = new[kh[np.minimum(np.searchsorted(kh, h[first[new]]), len(kh) - 1)] != h[first[new]]] if len(kh) else new
         if len(kh) + len(fresh) > KNOWN:
             return
         f = first[fresh]
-        added = [h[f], size[f], front[f], back[f], where[fresh], count[fresh]]
+        added = [h[f], words[f], size[f], where[fresh], count[fresh]]
         joined = [np.concatenate(x) for x in zip(self.known, added)]
         order = np.argsort(joined[0], kind="stable")
         self.known = [x[order] for x in joined]

@@ -26,6 +26,24 @@ def test_pieces_give_the_ids_of_whole_texts(name, monkeypatch):
                 assert np.frombuffer(got, "<u4").tolist() == want, t
 
 
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_spans_are_compared_by_their_bytes(name, monkeypatch):
+    """Texts that a polynomial hash modulo 2^64 cannot tell apart, and all hashes equal."""
+    word = _thue_morse(1024)
+    pair = ["q" * 8 + word + "z" * 8, "q" * 8 + word.translate(str.maketrans("ab", "ba")) + "z" * 8]
+    texts = [*pair, pair[0], " ".join(pair), "a bb a ccc bb", "İ. İ, a.", "x" * 32 + " " + "x" * 33 + " " + "x" * 32 + " y" * 40]
+    for mix in (tokens.mix, lambda x: x * np.uint64(0)):
+        monkeypatch.setattr(tokens, "mix", mix)
+        e = tokens.Encoder(name)
+        for _ in range(2):
+            for t, got in zip(texts, e.encode_all(texts)):
+                assert np.frombuffer(got, "<u4").tolist() == e.tok.encode(t, add_special_tokens=False).ids, t[:20]
+
+
 def true_ids(rows, name, end):
     e = tokens.Encoder(name)
     return [e.tok.encode(r[1] or "", add_special_tokens=False).ids + [end] for r in rows]
