@@ -123,12 +123,17 @@ def _leaf_sql(n_chars: str) -> str:
 SQL: dict[str, str] = {
     "op2_line_dedup": f"""
     WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
-    w AS (SELECT doc_id, i, width, lines[i + 1:i + width] AS run FROM (
-            SELECT doc_id, lines, width, unnest(range(0, len(lines) - width + 1)) AS i
-            FROM d, (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS width) WHERE len(lines) >= width)),
-    f AS (SELECT run, min((doc_id, i)) AS first FROM w GROUP BY run HAVING count(*) > 1),
-    spans AS (SELECT doc_id, i AS a, i + width AS b FROM w JOIN f USING (run)
-              WHERE (doc_id, i) <> first AND length(array_to_string(run, '')) >= 40),
+    s AS (SELECT *, upto - length(line) AS before FROM (
+            SELECT doc_id, i, line, CAST(sum(length(line)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS upto
+            FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d))),
+    -- the least run of 40 characters from every line on, and up to every line: what any longer run consists of
+    w AS (SELECT doc_id, a, b, lines[a + 1:b] AS run FROM d JOIN (
+            SELECT s.doc_id, s.i - 1 AS a, e.i AS b FROM s
+            ASOF JOIN (SELECT doc_id, upto, min(i) AS i FROM s GROUP BY ALL) e ON e.doc_id = s.doc_id AND s.before + 40 <= e.upto
+            UNION SELECT s.doc_id, e.i - 1, s.i FROM s
+            ASOF JOIN (SELECT doc_id, before, max(i) AS i FROM s GROUP BY ALL) e ON e.doc_id = s.doc_id AND s.upto - 40 >= e.before) USING (doc_id)),
+    f AS (SELECT run, min((doc_id, a)) AS first FROM w GROUP BY run HAVING count(*) > 1),
+    spans AS (SELECT doc_id, a, b FROM w JOIN f USING (run) WHERE (doc_id, a) <> first),
     {_ISLANDS}
     SELECT doc_id, coalesce(len(lines), 0) AS n_lines,
       CAST(coalesce(list_sum(list_transform(runs, lambda r: r.b - r.a)), 0) AS BIGINT) AS n_removed,
