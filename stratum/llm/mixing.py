@@ -13,7 +13,9 @@ from its target by half of one document's at most.
 
 All of it is DataFrame code.  Defined cases: a null text has size 0 and is never
 taken; a null source is a source of its own, last in order; repeated rows are
-documents of their own; an empty table gives no rows.  Coins and groups depend
+documents of their own, rounded together however many they are; columns beside
+doc_id, source and text enter only the hash of the row, whatever their names; an
+empty table gives no rows.  Coins and groups depend
 on the rows alone, so reruns agree.
 """
 
@@ -25,9 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import written
+from stratum.operators.timeseries import with_row_id
 
 WEIGHTS = (5, 2, 1)
 GROUP = 128  # documents that are rounded in one group, on average
+PIECE = 1024  # copies of one row that a task makes at once
 
 
 def word_count(text: Column) -> Column:
@@ -107,27 +111,49 @@ def pivotal(units: DataFrame, seed: int = 0, group: int = GROUP) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0, seed: int = 0, group: int = GROUP) -> DataFrame:
-    """(doc_id, h, size, source_size, target, copies) for every row; h is a hash of all the row's columns."""
-    rows = written(docs.select("doc_id", "source", _row_hash(seed).alias("h"), word_count(F.col("text")).alias("size"))
+    """(doc_id, h, h2, size, source_size, target, copies) for every row; h and h2 are hashes of all the row's columns.
+
+    n equal rows are rounded as one unit: of n times their fraction the whole part is certain, the rest is open.
+    The first rows of the class, in any order, get the copies.
+    """
+    rows = written(docs.select("doc_id", "source", *_row_hashes(seed), word_count(F.col("text")).alias("size"))
                    .withColumn("id", F.monotonically_increasing_id()), "mixing-sizes")
     plan = written(targets(rows, weights, cap), "mixing-targets")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = plan.withColumn("whole", F.floor(share + 1e-12)).withColumn("f", F.greatest(F.lit(0.0), share - F.col("whole")))
     plan = plan.withColumnRenamed("source", "_source")
-    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    took = pivotal(rows.where("size > 0 AND f > 0"), seed, group)
-    copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("took", F.lit(0))).otherwise(F.lit(0))
-    return rows.join(took, "id", "left").select("doc_id", "h", "size", "source_size", "target", copies.cast("long").alias("copies"))
-
-
-def _row_hash(seed: int) -> Column:
-    return F.xxhash64(F.struct("*"), F.lit(seed))
+    same = ["h", "h2", "size"]
+    classes = rows.groupBy("source", *same).agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    classes = classes.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
+        "sure", F.when(F.col("size") > 0, F.floor(F.col("n") * F.col("f") + 1e-12)).otherwise(F.lit(0)))
+    classes = classes.withColumn("f", F.greatest(F.lit(0.0), F.col("n") * F.col("f") - F.col("sure")))
+    classes = written(classes.withColumn("whole", F.when(F.col("size") > 0, F.col("whole")).otherwise(F.lit(0))), "mixing-classes")
+    took = pivotal(classes.where("size > 0 AND f > 0"), seed, group)
+    told = written(classes.join(took, "id", "left").select(
+        *same, "n", "source_size", "target", "whole", (F.col("sure") + F.coalesce("took", F.lit(0))).alias("more")), "mixing-told")
+    rows = rows.select("doc_id", *same, "id")
+    found = rows.join(told.where("n = 1"), same).withColumn("place", F.lit(1).cast("long"))
+    if not told.where("n > 1").isEmpty():  # number equal rows by one sorted table
+        again = with_row_id(rows.join(told.where("n > 1"), same), [*same, "id"], "at")
+        first = written(again, "mixing-equal").groupBy(*same).agg(F.min("at").alias("first"))
+        again = again.join(first, same).withColumn("place", F.col("at") - F.col("first") + 1)
+        found = found.union(again.select(found.columns))
+    copies = F.col("whole") + F.when(F.col("place") <= F.col("more"), 1).otherwise(0)
+    return found.select("doc_id", "h", "h2", "size", "source_size", "target", copies.cast("long").alias("copies"))
+
+
+def _row_hashes(seed: int) -> tuple[Column, Column]:
+    return F.xxhash64(F.struct("*"), F.lit(seed)).alias("h"), F.xxhash64(F.lit(~seed), F.struct("*")).alias("h2")
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0, seed: int = 0) -> DataFrame:
     """The mix itself: every document with all its columns, as often as it is taken."""
-    copies = mix(docs, weights, cap, seed).groupBy("h").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    once = F.row_number().over(Window.partitionBy("h").orderBy(F.lit(1)))  # rows of one hash are equal
-    rows = docs.select(F.struct("*").alias("row"), _row_hash(seed).alias("h")).withColumn("n", once).where("n = 1")
-    out = rows.join(copies.hint("merge"), "h").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    same = ["h", "h2"]
+    copies = mix(docs, weights, cap, seed).groupBy(*same).agg(F.sum("copies").alias("copies")).where("copies > 0")
+    # pieces of bounded size, so that a class of very many equal rows is many rows of the join
+    copies = copies.select(*same, "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / PIECE))).alias("piece"))
+    copies = copies.select(*same, F.least(F.lit(PIECE), F.col("copies") - F.col("piece") * PIECE).cast("int").alias("times"))
+    once = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(1)))  # rows with the same hashes are equal
+    rows = docs.select(F.struct("*").alias("row"), *_row_hashes(seed)).withColumn("n", once).where("n = 1")
+    out = rows.join(copies.hint("merge"), same).select("row", F.explode(F.sequence(F.lit(1), "times")))
     return out.select("row.*")

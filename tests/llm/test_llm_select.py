@@ -150,3 +150,20 @@ def test_take_repeats_whole_rows(spark):
     out = mixing.take(docs)
     assert out.columns == docs.columns and out.count() == copies
     assert mixing.take(frame(spark, [])).collect() == []
+
+
+def test_many_equal_rows_are_one_unit(spark):
+    """A third of all rows is one row, and another is repeated a million times: targets hold, no document beyond its share."""
+    one = [(1, "three words here", "en", "a", 16)]
+    rows = [(10 + i, "w " * (1 + i % 30), "en", "ab"[i % 2], 1) for i in range(400)]
+    docs = frame(spark, rows).union(frame(spark, one * 200)).union(
+        spark.range(1_000_000).selectExpr("2L", "'five words in this text'", "'en'", "'c'", "23L"))
+    out = mixing.mix(docs)
+    got = out.groupBy("target", "source_size").agg(F.sum(F.col("copies") * F.col("size")).alias("took"), F.max("copies").alias("most"),
+                                                   F.min("copies").alias("least"), F.max("size").alias("size"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in got) == 1_000_600
+    for r in got:
+        assert abs(r.took - r.target) <= r.size / 2 + 1e-6 and r.most - r.least <= 1 and r.most <= 3
+    assert out.where("doc_id = 1").count() == 200
+    taken = mixing.take(docs).groupBy("doc_id").count().where("doc_id = 2").first()["count"]
+    assert taken == out.where("doc_id = 2").agg(F.sum("copies")).first()[0]
