@@ -9,7 +9,9 @@ query to the other shards, and shards searched by one task hand it on.
 Defined cases: vectors that are null or hold null or non-finite components take
 no part, vectors of different lengths are not compared, a null vec_id is no
 query and ranks last among ties, repeated rows are rows of their own, scores
-beyond a long stop at its ends, an empty table gives no rows.
+beyond a long stop at its ends, an empty table gives no rows.  Components so large
+that ``scale`` takes them beyond a double are multiplied as whole numbers; balls
+that hold one are never skipped.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import heapq
 import math
 import pickle
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,16 @@ _LONG = (1 << 63) - 1
 _NONE = _LONG  # stands for a null vec_id inside a shard
 
 
+def whole(y: np.ndarray, x: np.ndarray | None, scale: float) -> list[int]:
+    """The components y = floor(scale * x) as whole numbers, from x where the product left the doubles."""
+    return [int(b) if math.isfinite(b) else math.floor(Fraction(float(x[i])) * Fraction(scale)) for i, b in enumerate(y.tolist())]
+
+
 def build(m: np.ndarray) -> dict:
-    """Ball tree over the rows of m: an order of the rows and nodes as (from, to, left, right) with balls."""
+    """Ball tree over the rows of m: an order of the rows and nodes as (from, to, left, right) with balls.
+
+    A ball that cannot be computed in doubles gets a NaN or infinite bound.
+    """
     order = np.arange(len(m))
     nodes, centres, radii = [], [], []
 
@@ -58,12 +69,19 @@ def build(m: np.ndarray) -> dict:
     return {"order": order, "nodes": nodes, "centres": np.array(centres), "radii": np.array(radii)}
 
 
-def search(tree: dict, q: np.ndarray, k: int, floor: float, skip: int) -> list[tuple[int, int, int]]:
-    """The best k rows as (score, -vec_id, row id), none that scores below ``floor``; ``skip`` is the query's own row id."""
+def search(tree: dict, q: np.ndarray, k: int, floor: float, skip: int, raw: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """The best k rows as (score, -vec_id, row id), none that scores below ``floor``; ``skip`` is the query's own row id.
+
+    ``raw`` is the query before scaling, needed where scaling leaves the doubles.
+    """
     m, ids, rids = tree["m"], tree["ids"], tree["rids"]
-    slack = 1e-9 * (1 + float(np.abs(tree["centres"]).max(initial=0)) + tree["radii"].max(initial=0)) * (1 + np.abs(q).sum())
-    bounds = tree["centres"] @ q + math.sqrt(float(q @ q)) * tree["radii"] + slack
-    exact = float(np.abs(q).sum()) * tree["largest"] < _EXACT
+    with np.errstate(over="ignore", invalid="ignore"):
+        length = float(np.abs(q).sum())
+        slack = 1e-9 * (1 + float(np.abs(tree["centres"]).max(initial=0)) + tree["radii"].max(initial=0)) * (1 + length)
+        bounds = tree["centres"] @ q + np.sqrt(q @ q) * tree["radii"] + slack
+        bounds[~np.isfinite(bounds)] = math.inf
+        exact = bool(length * tree["largest"] < _EXACT)
+    own = None if exact else whole(q, raw, tree.get("scale", 1.0))
     best: list[tuple[int, int, int]] = []
     heap = [(-bounds[0], 0)]
     while heap:
@@ -82,10 +100,9 @@ def search(tree: dict, q: np.ndarray, k: int, floor: float, skip: int) -> list[t
                 if rids[lo + i] != skip:
                     best.append((int(scores[i]), -int(ids[lo + i]), int(rids[lo + i])))
         else:
-            whole = [int(x) for x in q]
             for i in range(lo, hi):
                 if rids[i] != skip:
-                    s = sum(int(x) * y for x, y in zip(m[i], whole))
+                    s = sum(x * y for x, y in zip(whole(m[i], tree["x"][i] if "x" in tree else None, tree.get("scale", 1.0)), own))
                     best.append((max(-_LONG - 1, min(_LONG, s)), -int(ids[i]), int(rids[i])))
         if len(best) >= k:
             best = heapq.nlargest(k, best)
@@ -93,18 +110,23 @@ def search(tree: dict, q: np.ndarray, k: int, floor: float, skip: int) -> list[t
     return heapq.nlargest(k, best)
 
 
-def _shard(rows: pa.Table) -> pa.Table:
-    dim = rows.column("dim")[0].as_py()
-    rows = rows.take(pa.array(rows.column("id").combine_chunks().to_numpy().argsort()))
-    with np.errstate(over="ignore"):
-        m = np.floor(matrix(rows.column("v"), dim))
-    tree = build(m)
-    order = tree.pop("order")
-    tree["m"], tree["largest"] = m[order], float(np.abs(m).max(initial=0))
-    tree["rids"] = rows.column("id").combine_chunks().to_numpy()[order]
-    tree["ids"] = rows.column("vec_id").combine_chunks().fill_null(_NONE).to_numpy()[order]
-    return pa.table([pa.array([rows.column("block")[0].as_py()]), pa.array([dim], pa.int32()),
-                     pa.array([pickle.dumps(tree)], pa.binary())], names=["block", "dim", "tree"])
+def _shard(scale: float):
+    def run(rows: pa.Table) -> pa.Table:
+        dim = rows.column("dim")[0].as_py()
+        rows = rows.take(pa.array(rows.column("id").combine_chunks().to_numpy().argsort()))
+        x = matrix(rows.column("v"), dim)
+        with np.errstate(over="ignore", invalid="ignore"):
+            m = np.floor(x * scale)
+            tree = build(m)
+        order = tree.pop("order")
+        tree["m"], tree["scale"], tree["largest"] = m[order], scale, float(np.abs(m).max(initial=0))
+        if not np.isfinite(m).all():
+            tree["x"] = x[order]
+        tree["rids"] = rows.column("id").combine_chunks().to_numpy()[order]
+        tree["ids"] = rows.column("vec_id").combine_chunks().fill_null(_NONE).to_numpy()[order]
+        return pa.table([pa.array([rows.column("block")[0].as_py()]), pa.array([dim], pa.int32()),
+                         pa.array([pickle.dumps(tree)], pa.binary())], names=["block", "dim", "tree"])
+    return run
 
 
 _FOUND = "query long, query_id long, vec_id long, score long"
@@ -122,12 +144,13 @@ def _own(k: int, every: int):
             for blob in batch.column(batch.schema.get_field_index("tree")):
                 tree = pickle.loads(blob.as_py())
                 ids = tree["ids"]
-                yield _found([(int(tree["rids"][i]), int(ids[i]), search(tree, tree["m"][i], k, -math.inf, int(tree["rids"][i])))
+                yield _found([(int(tree["rids"][i]), int(ids[i]), search(tree, tree["m"][i], k, -math.inf, int(tree["rids"][i]),
+                                                                     tree["x"][i] if "x" in tree else None))
                               for i in np.flatnonzero((ids % every == 0) & (ids != _NONE))])
     return run
 
 
-def _others(k: int):
+def _others(k: int, scale: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared: dict[int, list[int]] = {}  # k best scores of the queries this task has met, bounded by one group of them
         group, at, tree = None, None, {}
@@ -145,7 +168,10 @@ def _others(k: int):
                     floor = x["floor"] if x["floor"] is not None else -math.inf
                     if len(own) == k:
                         floor = max(floor, own[-1])
-                    best = search(tree, np.floor(np.array(x["v"], np.float64)), k, floor, x["query"])
+                    raw = np.array(x["v"], np.float64)
+                    with np.errstate(over="ignore"):
+                        q = np.floor(raw * scale)
+                    best = search(tree, q, k, floor, x["query"], raw)
                     if best:
                         shared[x["query"]] = heapq.nlargest(k, own + [s for s, _, _ in best])
                         out.append((x["query"], x["query_id"], best))
@@ -159,11 +185,11 @@ def top_k(vectors: DataFrame, k: int = 10, scale: float = 1024.0, every: int = 1
 
     Components are floor(scale * x); ties go to the smaller vec_id.
     """
-    rows = written(usable(vectors).withColumn("v", F.transform("v", lambda x: x.cast("double") * scale))
+    rows = written(usable(vectors).withColumn("v", F.transform("v", lambda x: x.cast("double")))
                    .withColumn("id", F.monotonically_increasing_id()), "topk-rows")
     placed, n = in_blocks(rows.select("id", "vec_id", "v", "dim"), shard, "topk-cells")
     placed = written(placed, "topk-placed")
-    trees = written(placed.groupBy("block").applyInArrow(_shard, "block long, dim int, tree binary"), "topk-trees")
+    trees = written(placed.groupBy("block").applyInArrow(_shard(scale), "block long, dim int, tree binary"), "topk-trees")
     own = written(trees.mapInArrow(_own(k, every), _FOUND), "topk-own")
     floors = own.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
     queries = placed.where(F.col("vec_id") % every == 0).join(floors, placed["id"] == floors["query"], "left").select(
@@ -175,6 +201,6 @@ def top_k(vectors: DataFrame, k: int = 10, scale: float = 1024.0, every: int = 1
                .groupBy("dim", "part").agg(F.collect_list(F.struct("query", "query_id", "v", "block", "floor")).alias("queries")))
     meet = written(grouped, "topk-queries").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n - 1, 0)).cast("long"))))
     pairs = meet.join(trees, ["block", "dim"]).select("block", "part", "tree", "queries")
-    found = own.union(pairs.sortWithinPartitions("part", "block").mapInArrow(_others(k), _FOUND))
+    found = own.union(pairs.sortWithinPartitions("part", "block").mapInArrow(_others(k, scale), _FOUND))
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

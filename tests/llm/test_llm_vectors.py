@@ -2,6 +2,7 @@
 
 import math
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -94,6 +95,20 @@ def test_top_k_with_few_rows_and_huge_components(spark):
     assert topk.top_k(table(spark, [])).collect() == []
 
 
+def test_top_k_with_components_beyond_scaling(spark):
+    """floor(1024 * x) of finite doubles up to 1.8e308, against whole numbers."""
+    rng = np.random.default_rng(3)
+    big = [1.7e308, -1.7e308, 1.8e305, 3e305, 1e300, -2.5, 0.0, 1e-300, 7.25]
+    rows = [(i * 25, [float(rng.choice(big)) for _ in range(3)], 0, 0, 0, 0, "") for i in range(60)]
+    m = [[math.floor(Fraction(x) * 1024) for x in r[1]] for r in rows]
+    want = Counter()
+    for i in range(0, 60, 4):
+        s = sorted((-max(-2 ** 63, min(2 ** 63 - 1, sum(a * b for a, b in zip(m[i], m[j])))), rows[j][0]) for j in range(60) if j != i)
+        want.update((rows[i][0], n + 1, j, -x) for n, (x, j) in enumerate(s[:10]))
+    for shard in (8, 2048):
+        assert Counter(tuple(r) for r in topk.top_k(table(spark, rows, "double"), 10, shard=shard).collect()) == want
+
+
 def test_tree_search_is_exact():
     rng = np.random.default_rng(5)
     m = np.floor(rng.standard_normal((700, 8)) * 50)
