@@ -222,8 +222,8 @@ def near_links(fps: DataFrame, distance: int = 3, bucket: int = BUCKET) -> DataF
 
 
 def _labelled(docs: DataFrame, shingle: int, distance: int, bucket: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, fp) and, for every distinct fp, its component's label."""
-    rows = written(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"), "simhash-fp")
+    """Rows of ``docs`` with fp in place of text and, for every distinct fp, its component's label."""
+    rows = written(with_fingerprint(docs, shingle).drop("text"), "simhash-fp")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
     linked = components(near_links(classes.select("fp"), distance, bucket), "simhash-components")
     label = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -233,7 +233,7 @@ def _labelled(docs: DataFrame, shingle: int, distance: int, bucket: int) -> tupl
 
 def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, fp, component_id) for every row: fingerprint and smallest doc_id reachable by links."""
-    rows, label = _labelled(docs, shingle, distance, bucket)
+    rows, label = _labelled(docs.select("doc_id", "text"), shingle, distance, bucket)
     least = label.groupBy("label").agg(F.min("rep").alias("component_id"))
     of = written(label.join(least, "label").select("fp", "component_id"), "simhash-classes")
     return rows.join(of, "fp").select("doc_id", "fp", "component_id")
@@ -245,11 +245,15 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     A component without any doc_id keeps the row with the smallest fingerprint;
     of repeated rows the one whose text hashes lowest stays.
     """
-    rows, label = _labelled(docs, shingle, distance, BUCKET)
+    hashed = F.xxhash64("text").alias("th")
+    rows, label = _labelled(docs.select("doc_id", "text", hashed), shingle, distance, BUCKET)
+    none, number = F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id")
     keep = label.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"),
                                                      F.coalesce("rep", F.lit(0)).alias("id"), "fp")).alias("x")).select("x.*")
-    texts = with_fingerprint(docs.select(F.struct("*").alias("row"), F.col("doc_id").isNull().alias("none"),
-                                         F.coalesce("doc_id", F.lit(0)).alias("id")), shingle, text="row.text")
-    names = ["none", "id", "fp"]
-    first = F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("row.text")))
-    return texts.join(keep.hint("merge"), names, "left_semi").withColumn("n", first).where("n = 1").select("row.*")
+    # the kept row of each component, by what the table itself tells: no fingerprint is computed twice
+    keep = rows.select(none, number, "fp", "th").join(keep, ["none", "id", "fp"]).groupBy("none", "id", "fp").agg(F.min("th").alias("th"))
+    names = ["none", "id", "th"]
+    keep = written(keep.select(*names), "simhash-kept")
+    texts = docs.select(F.struct("*").alias("row"), none, number, hashed)
+    first = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(1)))
+    return texts.join(keep, names, "left_semi").withColumn("n", first).where("n = 1").select("row.*")
