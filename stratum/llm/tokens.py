@@ -60,7 +60,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return cut
 
 
-def _different(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _different(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """One span of each content, which of them every span equals, and the spans' hashes and first LONGEST bytes.
 
     The hash only brings spans together; spans are taken as equal when all their bytes are.
@@ -68,17 +68,23 @@ def _different(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[
     pad = np.zeros(len(data) + LONGEST, np.uint8)
     pad[:len(data)] = data
     view = np.ndarray((len(data) + LONGEST - 7,), "<u8", pad.data, strides=(1,))
-    words = np.zeros((len(starts), _WORDS), np.uint64)
-    h = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    some = np.arange(len(starts))
-    for k in range(_WORDS):
+    left = np.uint64(64) - np.uint64(8) * np.minimum(8, size).astype(np.uint64)
+    words = [view[starts] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> left)]
+    h = mix((size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ words[0]) * np.uint64(0xD6E8FEB86659FD93))
+    some, longer = np.arange(len(starts)), []
+    for k in range(1, _WORDS):
         some = some[size[some] > 8 * k]
-        left = np.minimum(8, size[some] - 8 * k).astype(np.uint64)
-        words[some, k] = view[starts[some] + 8 * k] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
-        h[some] = mix((h[some] ^ words[some, k]) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(k + 1))
+        left = np.uint64(64) - np.uint64(8) * np.minimum(8, size[some] - 8 * k).astype(np.uint64)
+        w = view[starts[some] + 8 * k] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> left)
+        h[some] = mix((h[some] ^ w) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(k))
+        words.append(np.zeros(len(starts), np.uint64))
+        words[k][some] = w
+        longer.append(some)
     uniq, first, place = np.unique(h, return_index=True, return_inverse=True)
-    short = size <= LONGEST
-    same = short & short[first][place] & (size == size[first][place]) & (words == words[first][place]).all(1)
+    like = first[place]
+    same = (size == size[like]) & (words[0] == words[0][like]) & (size <= LONGEST)
+    for w, some in zip(words[1:], longer):  # of equal size, so both are in ``some`` or neither
+        same[some] &= w[some] == w[like[some]]
     # long spans, and spans that share a hash with others, are told apart by their bytes
     extra, by_bytes, raw = [], {}, data.tobytes()
     for i in np.flatnonzero(~same).tolist():
@@ -104,8 +110,8 @@ class Encoder:
         self.tok = Tokenizer.from_file(tokenizer_path(path))
         self.tok.encode_special_tokens = True
         z = np.zeros(0, np.int64)
-        # of each known span, in order of its hash: hash, its bytes, length, place and number of its ids
-        self.known = [z.astype(np.uint64), np.zeros((0, _WORDS), np.uint64), z, z, z]
+        # of each known span, in order of its hash: hash, length, place and number of its ids, its bytes
+        self.known = [z.astype(np.uint64), z, z, z, *[z.astype(np.uint64)] * _WORDS]
         self.ids = np.zeros(0, np.uint32)
 
     def _ask(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,11 +134,13 @@ class Encoder:
         size = ends - starts
         first, place, h, words = _different(data, starts, size)
         short = size[first] <= LONGEST
-        kh, kw, ks, kat, kn = self.known
+        kh, ks, kat, kn, *kw = self.known
         at = np.minimum(np.searchsorted(kh, h[first]), max(0, len(kh) - 1))
         hit = np.zeros(len(first), bool)
         if len(kh):
-            hit = short & (kh[at] == h[first]) & (ks[at] == size[first]) & (kw[at] == words[first]).all(1)
+            hit = short & (kh[at] == h[first]) & (ks[at] == size[first])
+            for k, w in zip(kw, words):
+                hit &= k[at] == w[first]
         where, count = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
         where[hit], count[hit] = kat[at[hit]], kn[at[hit]]
         ids = self.ids
@@ -154,7 +162,7 @@ class Encoder:
         if len(kh) + len(fresh) > KNOWN:
             return
         f = first[fresh]
-        added = [h[f], words[f], size[f], where[fresh], count[fresh]]
+        added = [h[f], size[f], where[fresh], count[fresh], *[w[f] for w in words]]
         joined = [np.concatenate(x) for x in zip(self.known, added)]
         order = np.argsort(joined[0], kind="stable")
         self.known = [x[order] for x in joined]
