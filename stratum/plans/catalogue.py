@@ -782,6 +782,7 @@ def q_run_summary(spark, d):
 # --- documents, pages, conversations: B16, D21, J1-J3, J5-J7, I1, I2, I5, A1, A2, A15 ------------
 
 from stratum.operators import documents as D  # noqa: E402
+from stratum.operators import elements as El  # noqa: E402
 from stratum.streaming import streams as ST  # noqa: E402
 
 
@@ -791,6 +792,39 @@ def q_parse_docs(spark, d):
     return p.select("page_id", "title", "parsed_content", "n_chars", F.size("elements").alias("n_elements"))
 
 
+@query("element_tree")
+def q_element_tree(spark, d):
+    """The elements of every page that have text of their own, in document order."""
+    e = El.parse_elements(Tables(spark, d).pages).select("page_id", F.posexplode(F.filter("elements", lambda e: e["text"] != "")))
+    return e.select("page_id", (F.col("pos") + 1).cast("bigint").alias("n"), F.col("col.type").alias("type"), F.col("col.text").alias("text"))
+
+
+@query("extract_schema")
+def q_extract_schema(spark, d):
+    """Filing texts, parsed and extracted by schema: 16 scalars and the sums over two arrays of objects."""
+    texts = written(fx.filing_texts(fx.silver_filings(spark, d)), "filing-texts")
+    m = written(El.silver_from_texts(texts), "silver-from-texts")
+    kinds = {"string": "string", "integer": "int", "number": "double"}
+    props = El.FILING_SCHEMA["properties"]
+    scalars = [F.variant_get("extracted_metrics", f"$.response.{n}", kinds[s["type"]]).alias(n) for n, s in props.items() if s["type"] != "array"]
+
+    def sums(name: str, first: str, second: str):
+        rows = F.variant_get("extracted_metrics", f"$.response.{name}", f"array<struct<{first}: string, {second}: double>>")
+        total = F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, r: a + F.round(r[second] * 1e8).cast("bigint"))
+        return F.size(rows).cast("bigint").alias(f"n_{name}"), total.alias(f"cents_{name}"), F.array_join(
+            F.array_sort(F.transform(rows, lambda r: r[first])), "|").alias(f"names_{name}")
+    return m.select("file_name", *scalars, *sums("business_segments", "segment_name", "segment_revenue_billions"),
+                    *sums("geographic_revenue", "region", "region_revenue_billions"))
+
+
+@query("financials_from_texts")
+def q_financials_from_texts(spark, d):
+    """The financial mart over silver extracted from filing texts."""
+    texts = written(fx.filing_texts(fx.silver_filings(spark, d)), "filing-texts")
+    silver = written(El.silver_from_texts(texts), "silver-from-texts")
+    return M.company_financials(silver, M.company_registry(silver))
+
+
 @query("classify")
 def q_classify(spark, d):
     docs = D.with_tokens(Tables(spark, d).documents.select("doc_id", "text"), "text")

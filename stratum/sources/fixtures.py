@@ -139,6 +139,35 @@ def silver_filings(spark: SparkSession, sf_dir: str, breakdowns: bool = True) ->
     )
 
 
+def filing_texts(silver: DataFrame) -> DataFrame:
+    """Filings as markup: the scalars as list items "label: value", each breakdown as a table. What is NULL is not written."""
+    def value(name: str, kind: str) -> Column:
+        v = F.variant_get("extracted_metrics", f"$.response.{name}", kind).cast("string")
+        return F.replace(F.replace(v, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+    def item(name: str, kind: str, label: str | None = None) -> Column:
+        label = label or name.replace("_", " ").capitalize()
+        return F.coalesce(F.concat(F.lit(f"<li><b>{label}</b>: "), value(name, kind), F.lit("</li>\n")), F.lit(""))
+
+    def table(name: str, first: str, second: str) -> Column:
+        rows = F.variant_get("extracted_metrics", f"$.response.{name}", f"array<struct<{first}: string, {second}: double>>")
+        lines = F.transform(rows, lambda r: F.concat(F.lit("<tr><td>"), r[first], F.lit("<td>"), r[second].cast("string"), F.lit("</td></tr>")))
+        head = f"<table><tr><th>{first.replace('_', ' ').capitalize()}</th><th>{second.replace('_', ' ').capitalize()}</th></tr>"
+        return F.coalesce(F.concat(F.lit(head), F.array_join(lines, "\n"), F.lit("</table>")), F.lit(""))
+
+    amounts = ["total_revenue", "cost_of_revenue", "gross_profit", "operating_income", "net_income", "total_assets",
+               "total_liabilities", "total_equity", "cash_and_equivalents"]
+    markup = F.concat(
+        F.lit("<html><head><title>"), F.col("file_name"), F.lit("</title><style>p: 1</style></head><body><h1>"), F.col("document_type"),
+        F.lit("</h1><!-- Exchange: none --><section><p>Filed under the rules of the exchange.<ul>\n"),
+        *[item(n, "string") for n in ("company_name", "ticker_symbol", "exchange")], item("fiscal_year", "int"),
+        item("fiscal_year_end_date", "string"), *[item(f"{n}_billions", "double") for n in amounts], item("eps_diluted", "double"),
+        item("revenue_growth_yoy_pct", "double", "Revenue growth YoY (pct)"), F.lit("</ul></section><div><p>Revenue by segment</p>"),
+        table("business_segments", "segment_name", "segment_revenue_billions"), F.lit("</div><div><p>Revenue by region</p>"),
+        table("geographic_revenue", "region", "region_revenue_billions"), F.lit("</div></body></html>"))
+    return silver.select("file_name", "company_key", "document_type", "industry_sector", markup.alias("html"))
+
+
 def _segments(t: Tables) -> DataFrame:
     """Business segments per filing: revenue by part type (bounded: #types)."""
     li = t.lineitem.select("l_suppkey", "l_partkey", F.year("l_shipdate").alias("fiscal_year"),

@@ -774,6 +774,34 @@ _TAGS = " + ".join(f"len(regexp_extract_all(html, '(?s)<{t}\\b[^>]*>.*?</{t}>'))
 twin("parse_docs", f"""
 SELECT page_id, trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) AS title, {html_text('html')} AS parsed_content,
   CAST(length({html_text('html')}) AS INTEGER) AS n_chars, CAST({_TAGS} AS INTEGER) AS n_elements FROM pages""")
+# The text between a block's opening tag and the next block tag, through inline tags.
+twin("element_tree", r"""
+WITH bare AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+                       '(?s)<(?:script|style)\b.*?</(?:script|style)\s*>', '', 'g') AS h FROM pages),
+runs AS (SELECT page_id, unnest(regexp_extract_all(h, r, 1)) AS tag, unnest(regexp_extract_all(h, r, 2)) AS run,
+                unnest(range(0, len(regexp_extract_all(h, r, 1)))) AS i
+         FROM bare, (SELECT '<(p|li|h[1-6]|footer|div|title)\b[^>]*>((?:[^<]|</?(?:a|b|br)\b[^>]*>)*)' AS r)),
+texts AS (SELECT page_id, i, tag, trim(regexp_replace(replace(replace(replace(replace(
+            regexp_replace(replace(run, '<br>', ' '), '<[^>]*>', '', 'g'),
+            '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM runs)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) AS n,
+  CASE WHEN tag = 'p' THEN 'paragraph' WHEN tag = 'li' THEN 'list_item' WHEN tag[1] = 'h' THEN 'heading'
+       WHEN tag = 'title' THEN 'title' ELSE 'section' END AS type, text FROM texts WHERE text <> ''""")
+def _sums(name: str, of: str, amount: str, table: str) -> str:
+    return f"""{name} AS (SELECT l_suppkey, fiscal_year, count(*) AS n, CAST(sum(CAST(round({amount} * 1e8) AS BIGINT)) AS BIGINT) AS cents,
+  string_agg({of}, '|' ORDER BY {of}) AS names FROM {table} GROUP BY ALL)"""
+
+
+fw("extract_schema", """
+SELECT file_name, company AS company_name, ticker AS ticker_symbol, exchange, f.fiscal_year, fiscal_year_end_date, total_revenue_billions,
+  cost_of_revenue_billions, gross_profit_billions, operating_income_billions, net_income_billions, total_assets_billions,
+  total_liabilities_billions, total_equity_billions, cash_and_equivalents_billions, eps_diluted, revenue_growth_yoy_pct,
+  seg.n AS n_business_segments, seg.cents AS cents_business_segments, seg.names AS names_business_segments,
+  geo.n AS n_geographic_revenue, geo.cents AS cents_geographic_revenue, geo.names AS names_geographic_revenue
+FROM filings f LEFT JOIN seg ON seg.l_suppkey = f.l_suppkey AND seg.fiscal_year = f.fiscal_year
+LEFT JOIN geo ON geo.l_suppkey = f.l_suppkey AND geo.fiscal_year = f.fiscal_year""", SEGMENTS, GEOS,
+   _sums("seg", "segment_name", "segment_revenue_billions", "segs"), _sums("geo", "region", "region_revenue_billions", "geos"))
+fw("financials_from_texts", "SELECT * FROM fin")
 BRONZE = f"""bronze AS (
   SELECT doc_id, source, text, {classify_sql('text', _DT)} AS document_type, {classify_sql('text', _SEC)} AS industry_sector
   FROM (SELECT doc_id, source, {html_text('text')} AS text FROM documents))"""
