@@ -781,6 +781,7 @@ def q_run_summary(spark, d):
 
 # --- documents, pages, conversations: B16, D21, J1-J3, J5-J7, I1, I2, I5, A1, A2, A15 ------------
 
+from stratum.operators import bayes as By  # noqa: E402
 from stratum.operators import documents as D  # noqa: E402
 from stratum.operators import elements as El  # noqa: E402
 from stratum.streaming import streams as ST  # noqa: E402
@@ -832,6 +833,28 @@ def q_classify(spark, d):
                        D.classify("_tokens", D.SECTOR_LABELS, tokenized=True).alias("industry_sector"))
 
 
+QUALITY_LABELS = ("junk", "toxic", "good")
+
+
+@query("classify_quality")
+def q_classify_quality(spark, d):
+    """A classifier fitted on the labels of even ids, applied to every document; "good" is the default."""
+    t = Tables(spark, d)
+    judged = t.labels.where("doc_id % 2 = 0").select("doc_id", F.when(F.col("quality") == 0, "junk").when(F.col("toxic") == 1, "toxic")
+                                                     .otherwise("good").alias("label"))
+    docs = t.documents.select("doc_id", "text")
+    model = By.fit_naive_bayes(docs.join(judged, "doc_id"), QUALITY_LABELS)
+    return By.classify_texts(docs, model, out="quality_class")
+
+
+@query("classify_language")
+def q_classify_language(spark, d):
+    """Languages learned from the documents of even ids, told for every document."""
+    docs = Tables(spark, d).documents.select("doc_id", "text", F.col("lang").alias("label"))
+    model = By.fit_naive_bayes(docs.where("doc_id % 2 = 0"), ("de", "es", "fr", "en"))
+    return By.classify_texts(docs.drop("label"), model, out="language")
+
+
 @query("extract")
 def q_extract(spark, d):
     docs = Tables(spark, d).documents

@@ -774,6 +774,30 @@ _TAGS = " + ".join(f"len(regexp_extract_all(html, '(?s)<{t}\\b[^>]*>.*?</{t}>'))
 twin("parse_docs", f"""
 SELECT page_id, trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) AS title, {html_text('html')} AS parsed_content,
   CAST(length({html_text('html')}) AS INTEGER) AS n_chars, CAST({_TAGS} AS INTEGER) AS n_elements FROM pages""")
+def _bayes(labels: tuple[str, ...], judged: str, out: str) -> str:
+    """Naive Bayes over the 65,536 commonest terms of the texts in ``judged`` (doc_id, label)."""
+    order = ", ".join(f"({i}, '{x}')" for i, x in enumerate(labels))
+    return f"""
+WITH names(i, label) AS (VALUES {order}), judged AS ({judged}),
+tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}\\s]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS n FROM tok GROUP BY ALL),
+c AS (SELECT term, i, sum(n) AS n FROM tf JOIN judged USING (doc_id) JOIN names USING (label) GROUP BY ALL),
+top AS (SELECT term FROM c GROUP BY term ORDER BY sum(n) DESC, term LIMIT 65536),
+total AS (SELECT i, sum(n) AS t FROM c JOIN top USING (term) GROUP BY i),
+prior AS (SELECT i, ln(count(*) / sum(count(*)) OVER ()) AS p FROM judged JOIN names USING (label) JOIN documents USING (doc_id) GROUP BY i),
+logs AS (SELECT term, i, ln((coalesce(c.n, 0) + 1.0) / (t + (SELECT count(*) FROM top))) AS w
+         FROM top CROSS JOIN total LEFT JOIN c USING (term, i)),
+s AS (SELECT doc_id, i, p + sum(n * w) AS score FROM tf JOIN logs USING (term) JOIN prior USING (i) GROUP BY doc_id, i, p),
+b AS (SELECT doc_id, label FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS r FROM s) JOIN names USING (i) WHERE r = 1),
+k AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n FROM tf JOIN top USING (term) GROUP BY doc_id)
+SELECT doc_id, coalesce(label, '{labels[-1]}') AS {out}, coalesce(k.n, 0) AS n_known
+FROM documents LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+
+twin("classify_quality", _bayes(("junk", "toxic", "good"), """SELECT doc_id, CASE WHEN quality = 0 THEN 'junk' WHEN toxic = 1 THEN 'toxic'
+  ELSE 'good' END AS label FROM labels WHERE doc_id % 2 = 0""", "quality_class"))
+twin("classify_language", _bayes(("de", "es", "fr", "en"), "SELECT doc_id, lang AS label FROM documents WHERE doc_id % 2 = 0", "language"))
+
 # The text between a block's opening tag and the next block tag, through inline tags.
 twin("element_tree", r"""
 WITH bare AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
