@@ -784,6 +784,7 @@ def q_run_summary(spark, d):
 from stratum.operators import bayes as By  # noqa: E402
 from stratum.operators import documents as D  # noqa: E402
 from stratum.operators import elements as El  # noqa: E402
+from stratum.operators import index as Ix  # noqa: E402
 from stratum.streaming import streams as ST  # noqa: E402
 
 
@@ -914,6 +915,29 @@ def q_retrieve(spark, d):
     return D.retrieve(t.benchmark, t.documents, k=3)
 
 
+def _index_of_syncs(spark, d):
+    """An index after two syncs: first other texts for some documents, some missing and some that go later; then all documents."""
+    docs = Tables(spark, d).documents.select("doc_id", "text")
+    before = docs.where("doc_id % 3 <> 0").withColumn("text", F.when(F.col("doc_id") % 7 == 1, F.concat(
+        F.coalesce("text", F.lit("")), F.lit(" x"))).otherwise(F.col("text")))
+    gone = docs.where("doc_id % 5 = 0").withColumn("doc_id", -1 - F.col("doc_id"))
+    index = Ix.TextIndex(spark)
+    index.sync(before.union(gone))
+    return index, index.sync(docs)
+
+
+@query("sync_index")
+def q_sync_index(spark, d):
+    """What a sync of the text index did, after one with other texts."""
+    return _index_of_syncs(spark, d)[1]
+
+
+@query("retrieve_indexed")
+def q_retrieve_indexed(spark, d):
+    """J6 over an index that syncs have built: segments, tombstones, blocks skipped by their maxima."""
+    return _index_of_syncs(spark, d)[0].retrieve(Tables(spark, d).benchmark, k=3)
+
+
 @query("with_history")
 def q_with_history(spark, d):
     h = D.with_history(Tables(spark, d).conversations, block=2)

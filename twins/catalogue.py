@@ -566,6 +566,13 @@ sc AS (SELECT item_id, doc_id, chunk_id, ROUND(SUM(tf * qtf * idf * idf), 9) AS
   FROM qt JOIN idf USING (term) JOIN ct USING (term) WHERE idf > 0 GROUP BY ALL)
 SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, chunk_id) AS rank FROM sc)
 WHERE rank <= 3""")
+twin("retrieve_indexed", TWINS["retrieve"])
+twin("sync_index", """
+SELECT status, CAST(n AS BIGINT) AS n FROM (
+  SELECT 'added' AS status, count(*) AS n FROM documents WHERE doc_id % 3 = 0
+  UNION ALL SELECT 'changed', count(*) FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 7 = 1
+  UNION ALL SELECT 'kept', count(*) FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 7 <> 1
+  UNION ALL SELECT 'removed', count(*) FROM documents WHERE doc_id % 5 = 0) WHERE n > 0""")
 twin("extract", f"""
 SELECT doc_id, NULLIF(trim(split_part(text, chr(10), 1)), '') AS title, CAST(len({toks('text')}) AS INTEGER) AS n_words,
   regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}') AS emails,
