@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.operators.timeseries import exact_quantiles
+from stratum.operators.timeseries import exact_quantiles, exact_quantiles_by
 
 
 def _c(x) -> Column:
@@ -133,12 +133,12 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75),
               by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles (linear interpolation) and the median.
 
-    Over all rows by distributed counting (:func:`exact_quantiles`), per group
-    by the exact ``percentile`` aggregate, whose state is the group's distinct
-    values."""
+    By distributed counting, over all rows (:func:`exact_quantiles`) or per
+    group (:func:`exact_quantiles_by`): no task holds a group's values."""
     names = [f"q{int(round(q * 100)):02d}" for q in qs]
     if by:
-        return df.groupBy(*by).agg(F.median(col).alias("median"), *[F.percentile(col, q).alias(n) for q, n in zip(qs, names)])
+        rows = exact_quantiles_by(df, by, col, [0.5, *qs])
+        return rows.select(*by, F.col("q0").alias("median"), *[F.col(f"q{i + 1}").alias(n) for i, n in enumerate(names)])
     row = exact_quantiles(df, col, [0.5, *qs])
     return row.select(F.col("q0").alias("median"), *[F.col(f"q{i + 1}").alias(n) for i, n in enumerate(names)])
 

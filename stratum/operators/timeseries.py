@@ -197,6 +197,45 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> DataFrame:
                         for i in range(len(qs))])
 
 
+def exact_quantiles_by(df: DataFrame, by: Sequence[str], col: str, qs: Sequence[float]) -> DataFrame:
+    """(by, q0, q1, ...): exact quantiles of every group with linear interpolation; NULLs are left out, a group of
+    NULLs alone gives NULLs.
+
+    Equal values of a group are counted first; the distinct (group, value) pairs are range partitioned together, so
+    that a group that holds nearly all rows is many partitions, and cumulated within them and over them. The values
+    at the quantiles' places come from a filter on the cumulative counts; no task holds all values of a group.
+    """
+    v = F.col(col).cast("double")
+    groups = [f"_g{i}" for i in range(len(by))]
+    counts = df.groupBy(*[F.col(b).alias(g) for b, g in zip(by, groups)], v.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    placed = counts.where(F.col("v").isNotNull()).repartitionByRange(*groups, "v").sortWithinPartitions(*groups, "v")
+    placed = written(placed.withColumn("_p", F.spark_partition_id()), "quantiles")
+    parts = placed.groupBy(*groups, "_p").agg(F.sum("n").alias("_n"))  # one row for each partition a group is in
+    before = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn(
+        "total", F.sum("_n").over(Window.partitionBy(*groups)))
+    inside = Window.partitionBy("_p", *groups).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups]
+    upto = placed.withColumn("_in", F.sum("n").over(inside)).alias("a").join(
+        parts.alias("b"), [F.col("a._p") == F.col("b._p"), *same]).select(*[F.col(f"a.{g}").alias(g) for g in groups], "v", "n",
+                                                                       (F.col("_off") + F.col("_in")).alias("upto"), "total")
+    exprs = []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("total") - 1)
+        for name, k in ((f"lo{i}", F.floor(pos)), (f"hi{i}", F.ceil(pos))):
+            exprs.append(F.max(F.when((F.col("upto") - F.col("n") <= k) & (k < F.col("upto")), F.col("v"))).alias(name))
+        exprs.append(F.max(pos - F.floor(pos)).alias(f"f{i}"))
+
+    def between(i: int) -> Column:
+        lo, hi, f = F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"f{i}")
+        infinite = F.greatest(F.abs(lo), F.abs(hi)) == float("inf")
+        return F.when((lo == hi) | (f == 0), lo).when(infinite, lo * (1 - f) + hi * f).otherwise(lo + (hi - lo) * f)
+    found = upto.groupBy(*groups).agg(*exprs).select(*groups, *[between(i).alias(f"q{i}") for i in range(len(qs))])
+    every = counts.select(*[F.col(g).alias(f"{g}_") for g in groups]).distinct()
+    out = every.join(found, [F.col(f"{g}_").eqNullSafe(F.col(g)) for g in groups], "left")
+    return out.select(*[F.col(f"{g}_").alias(b) for b, g in zip(by, groups)], *[f"q{i}" for i in range(len(qs))])
+
+
 def high_water(df: DataFrame, key: str, date: str, out: str = "latest_date") -> DataFrame:
     """max(date) per key, kept as a DataFrame to join (never collected)."""
     return df.groupBy(key).agg(F.max(date).alias(out))

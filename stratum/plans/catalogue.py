@@ -255,6 +255,12 @@ def q_quantiles(spark, d):
     return A.quantiles(_trips(spark, d), "fare_amount", (0.25, 0.33, 0.67, 0.75))
 
 
+@query("quantiles_by")
+def q_quantiles_by(spark, d):
+    """D14 by group: fares by hour and passengers."""
+    return A.quantiles(_trips(spark, d), "fare_amount", (0.25, 0.9), by=["hour_of_day", "passenger_count"])
+
+
 @query("value_counts")
 def q_value_counts(spark, d):
     return A.value_counts(_trips(spark, d), "passenger_count")
@@ -476,6 +482,13 @@ def q_missing_from(spark, d):
                           t.orders.select(F.col("o_custkey").alias("custkey")), ["custkey"])
 
 
+@query("missing_from_years")
+def q_missing_from_years(spark, d):
+    """Customers who ordered in 1995 and not in 1996, and the reverse."""
+    o = Tables(spark, d).orders.select(F.col("o_custkey").alias("custkey"), F.year("o_orderdate").alias("y"))
+    return R.missing_from(o.where("y = 1995").select("custkey"), o.where("y = 1996").select("custkey"), ["custkey"])
+
+
 @query("peer_average")
 def q_peer_average(spark, d):
     return A.peer_average(_fin(spark, d), "ticker", ["revenue_growth_yoy_pct", "gross_margin_pct", "net_margin_pct"])
@@ -1203,3 +1216,16 @@ def q_run_graph(spark, d):
     done = ST.run_graph({"silver": (["bronze"], lambda b: ST.stream_silver(spark, b)),
                          "bronze": ([], lambda: ST.stream_bronze(spark, d))})
     return spark.read.parquet(done["silver"]).select("doc_id", "document_type")
+
+
+@query("refresh")
+def q_refresh(spark, d):
+    """A pipeline of SQL and functions, given in no order and without lists of what they read."""
+    from stratum.streaming.refresh import refresh
+    t = Tables(spark, d)
+    done = refresh(spark, {
+        "refresh_report": "SELECT document_type, count(*) AS n, sum(chars) AS chars FROM refresh_silver JOIN refresh_sizes USING (doc_id) GROUP BY 1",
+        "refresh_silver": "SELECT doc_id, document_type FROM refresh_bronze WHERE document_type <> 'Annual_Report'",
+        "refresh_sizes": lambda s: s.table("refresh_bronze").select("doc_id", F.length("parsed_content").alias("chars")),
+        "refresh_bronze": lambda s: ST.bronze(t.documents)})
+    return spark.read.parquet(done["refresh_report"].path)

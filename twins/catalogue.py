@@ -213,6 +213,9 @@ tw("with_row_id", "SELECT *, ROW_NUMBER() OVER (ORDER BY fare_amount DESC, trip_
 tw("quantiles", """
 SELECT median(fare_amount) AS median, quantile_cont(fare_amount, 0.25) AS q25, quantile_cont(fare_amount, 0.33) AS q33,
   quantile_cont(fare_amount, 0.67) AS q67, quantile_cont(fare_amount, 0.75) AS q75 FROM trips2""")
+tw("quantiles_by", """
+SELECT hour_of_day, passenger_count, median(fare_amount) AS median, quantile_cont(fare_amount, 0.25) AS q25,
+  quantile_cont(fare_amount, 0.9) AS q90 FROM trips2 GROUP BY ALL""")
 tw("value_counts", """
 SELECT passenger_count, COUNT(*) AS count, ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM trips2), 2) AS pct
 FROM trips2 GROUP BY 1""")
@@ -398,6 +401,11 @@ twin("missing_from", """
 SELECT custkey, 'missing' AS side FROM (SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders)
 UNION ALL
 SELECT custkey, 'unexpected' FROM (SELECT o_custkey AS custkey FROM orders EXCEPT SELECT c_custkey FROM customer)""")
+twin("missing_from_years", """
+WITH o AS (SELECT o_custkey AS custkey, year(o_orderdate) AS y FROM orders)
+SELECT custkey, 'missing' AS side FROM (SELECT custkey FROM o WHERE y = 1995 EXCEPT SELECT custkey FROM o WHERE y = 1996)
+UNION ALL
+SELECT custkey, 'unexpected' FROM (SELECT custkey FROM o WHERE y = 1996 EXCEPT SELECT custkey FROM o WHERE y = 1995)""")
 fw("rank_in_key", """
 SELECT f.ticker, f.fiscal_year, g.segment_name,
   ROW_NUMBER() OVER (PARTITION BY f.ticker, f.fiscal_year ORDER BY g.segment_revenue_billions DESC, g.segment_name)
@@ -841,3 +849,5 @@ twin("stream_binary", W(BRONZE, body="SELECT doc_id, source, document_type, indu
 twin("run_graph", W(BRONZE, body="SELECT doc_id, document_type FROM bronze"))
 twin("stream_silver", W(BRONZE, body=f"SELECT doc_id, CAST(len({toks('text')}) AS INTEGER) AS n_words FROM bronze"))
 twin("dedup_stream", "SELECT DISTINCT sha256(text) AS text_hash FROM documents")
+twin("refresh", W(BRONZE, body="""
+SELECT document_type, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM bronze WHERE document_type <> 'Annual_Report' GROUP BY 1"""))
