@@ -1190,16 +1190,29 @@ def q_write_snapshot(spark, d):
 
 @query("read_inventory")
 def q_read_inventory(spark, d):
-    """A5: endpoint records as list files and legacy wrapper files, by nation."""
+    """A5: endpoint records as list files and legacy wrapper files of at most 1000 records."""
+    path, schema = _land_inventory(spark, d)
+    return K.flatten_endpoints(IO.read_inventory(spark, path, schema)).select("name", "id", "model_type", "model_name")
+
+
+@query("read_inventory_split")
+def q_read_inventory_split(spark, d):
+    """A5: the same files, each read in parts."""
+    path, schema = _land_inventory(spark, d)
+    return K.flatten_endpoints(IO.read_inventory_split(spark, path, schema)).select("name", "id", "model_type", "model_name")
+
+
+def _land_inventory(spark, d):
+    """Endpoint records in files, every other one a legacy wrapper; the number of files follows the number of records."""
     path = shared_dir(spark, "inventory")
     e = fx.endpoints(spark, d)
-    part = F.pmod(F.xxhash64("id"), F.lit(64))
-    body = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*e.columns))), ","), F.lit("]"))
-    files = e.groupBy(part.alias("part")).agg(body.alias("body"))
+    rows = ts.with_row_id(e.select("id", F.to_json(F.struct(*e.columns)).alias("record")), ["id", "record"], "n")
+    files = rows.groupBy(F.floor((F.col("n") - 1) / 1000).alias("part")).agg(
+        F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("record")), ","), F.lit("]")).alias("body"))  # at most 1000
     files = files.select("part", F.when(F.col("part") % 2 == 0, F.col("body"))
                          .otherwise(F.concat(F.lit('{"endpoints":'), "body", F.lit("}"))).alias("value"))
-    files.repartition("part").write.partitionBy("part").text(path)
-    return K.flatten_endpoints(IO.read_inventory(spark, path, e.schema)).select("name", "id", "model_type", "model_name")
+    files.write.partitionBy("part").text(path)
+    return path, e.schema
 
 
 @query("stream_binary")
