@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators import documents as D
 from stratum.session import shared_dir
+from stratum.streaming.ledger import KeyLedger
 
 
 def stream_binary(spark: SparkSession, src: str, glob: str = "*") -> DataFrame:
@@ -104,19 +105,24 @@ def stream_binary_bronze(spark: SparkSession, src: str, root: str | None = None)
 def dedup_stream(df: DataFrame, keys: Sequence[str], out: str, ckpt: str, run: int = 1) -> None:
     """Idempotent re-runs: a key written by an earlier batch or run is dropped.
 
-    The state is the sink itself: each micro-batch is reduced to one row per
-    key and anti-joined with the keys already written, so nothing has to be
-    held between batches. A batch owns a folder and overwrites it, so a retried
-    batch leaves no second copy. ``run`` numbers the runs that share the sink."""
+    Each micro-batch is reduced to one row per key and anti-joined with the keys
+    already written. Those are kept beside the sink in a :class:`KeyLedger`, whose
+    filters tell which few files can hold a key of the batch, so a batch does
+    not read the history. A batch owns a folder and a part of the ledger and
+    overwrites both, so a retried batch leaves no second copy. ``run`` numbers
+    the runs that share the sink."""
     schema = df.schema
+    ledger_path = f"{out.rstrip('/')}-keys"
     df.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(f"{out}/run={run}/batch=-1")
+    KeyLedger(df.sparkSession, ledger_path, schema, keys).create()
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        found = batch.sparkSession.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, run long, batch long")
-        earlier = (F.col("run") < run) | ((F.col("run") == run) & (F.col("batch") < batch_id))
-        seen = found.parquet(out).where(earlier).select(*keys)
-        fresh = batch.dropDuplicates(list(keys)).join(seen, list(keys), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/run={run}/batch={batch_id}")
+        ledger, name = KeyLedger(batch.sparkSession, ledger_path, schema, keys), f"{run}-{batch_id}"
+        if name not in [n for n, _ in ledger.parts()[1]]:  # not in a retry, whose part must stay apart
+            ledger.merge()
+        path = f"{out}/run={run}/batch={batch_id}"
+        ledger.unseen(batch, name).write.mode("overwrite").parquet(path)
+        ledger.add(name, batch.sparkSession.read.schema(schema).parquet(path))
 
     q = df.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
