@@ -11,9 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.operators.timeseries import with_row_id
 from stratum.session import written
 
 # The white space that separates words, as bytes.
@@ -57,8 +58,13 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     k = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("k")
     if ids.where("doc_id IS NULL").isEmpty() and ids.groupBy("doc_id").count().where("count > 1").isEmpty():
         return docs.select("*", k, F.lit(0).cast("long").alias("twin")), ["k"]
-    place = F.row_number().over(Window.partitionBy("k").orderBy(F.xxhash64("text"), "text"))
-    return docs.select("*", k).withColumn("twin", place.cast("long")), ["k", "twin"]
+    # a doc_id may be that of a third of all rows: they are numbered by one range-partitioned sort
+    rows = docs.select(F.struct("*").alias("row"), k, F.xxhash64("text").alias("h"), F.md5("text").alias("m"),
+                       F.monotonically_increasing_id().alias("id"))
+    rows = with_row_id(rows, ["k", "h", "m", "id"], "at")
+    first = written(rows.groupBy("k").agg(F.min("at").alias("first")), "keyed-first")
+    rows = rows.join(first, "k").withColumn("twin", (F.col("at") - F.col("first") + 1).cast("long"))
+    return rows.select("row.*", "k", "twin"), ["k", "twin"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
