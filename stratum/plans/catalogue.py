@@ -103,6 +103,22 @@ def q_stock_summary(spark, d):
     return M.stock_summary(_daily(spark, d), _reg(spark, d), M.DEFAULT_AS_OF, market=fx.market(spark, d))
 
 
+@query("refresh_marts")
+def q_refresh_marts(spark, d):
+    """The price mart and the summary over it, kept up to date: first from a history in which one ticker has
+    other prices and another is missing, then refreshed to the present one."""
+    from stratum.plans.refreshed import RefreshedMart
+    raw, registry, market = fx.raw_prices(spark, d), written(_reg(spark, d), "registry"), written(fx.market(spark, d), "market")
+    prices, summary = RefreshedMart(spark, "daily_prices"), RefreshedMart(spark, "stock_summary")
+    old = raw.where("ticker <> 'S3'").withColumn("close_price", F.when(F.col("ticker") == "S5", F.col("close_price") * 2)
+                                                 .otherwise(F.col("close_price")))
+    for history in (old, raw):
+        prices.refresh({"raw": history}, lambda raw: M.daily_prices(raw))
+        summary.refresh({"prices": prices, "registry": registry, "market": market},
+                        lambda prices, registry, market: M.stock_summary(prices, registry, M.DEFAULT_AS_OF, market=market))
+    return summary.table()
+
+
 # --- trips: scalars B5-B15, B24, B25, aggregates D3-D9, D14-D15, D20, F1-F3, H1-H5, H12 ----------
 
 from stratum.functions import scalars as S  # noqa: E402

@@ -852,3 +852,4 @@ twin("dedup_stream", "SELECT DISTINCT sha256(text) AS text_hash FROM documents")
 twin("refresh", W(BRONZE, body="""
 SELECT document_type, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM bronze WHERE document_type <> 'Annual_Report' GROUP BY 1"""))
 twin("read_inventory_split", TWINS["read_inventory"])
+twin("refresh_marts", TWINS["stock_summary"])
