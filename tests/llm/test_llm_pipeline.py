@@ -6,7 +6,7 @@ import pytest
 
 from conftest import SF_SMALL
 from llm_cases import shipped  # noqa: F401
-from test_llm_text import brute_fingerprint, brute_lines, ordered
+from test_llm_text import brute_fingerprint, brute_lines, brute_runs, ordered
 from llm_cases import roots
 
 import corpus_pipeline as P
@@ -45,6 +45,12 @@ def test_lines_stage(stages):
     assert {r.doc_id: r.text for r in after} == want and all(r.n_chars == len(r.text) for r in after)
 
 
+def test_lines_stage_with_runs_of_every_width(stages):
+    before, after = stages["lines"]
+    want = {i: t for i, t, _, _ in brute_runs(ordered([(r.doc_id, r.text) for r in before]), 40)}
+    assert {r.doc_id: r.text for r in after} == want
+
+
 def test_near_duplicates_stage(stages):
     before, after = stages["near_duplicates"]
     fps = [brute_fingerprint(r.text) for r in before]
@@ -65,5 +71,5 @@ def test_mixing_and_packing_stages(stages):
 def test_every_operator_is_registered():
     import __spark_entry__ as E
     names = list(E.queries())
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(E.oracle_sql()) <= set(names)
