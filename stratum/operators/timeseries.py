@@ -129,14 +129,21 @@ def top_n_per_key(df: DataFrame, key: Cols, order: Cols, n: int, rank_col: str |
 def rank_peers(df: DataFrame, orderings: dict[str, Column]) -> DataFrame:
     """RANK over all rows for several orderings (e.g. growth NULLS LAST).
 
-    ``orderings``: rank name -> (column, sort expression). Per ordering the
-    rows get a dense position along it (E11, no single-task sort); the rank is
-    the smallest position of the rows with the same value.
+    ``orderings``: rank name -> (column, sort expression over that column). Per
+    ordering the rows are counted by value, so that a value of very many rows is
+    one; the rank is one more than the number of rows with values before it, a
+    running sum over range-partitioned values and over their partitions.
     """
     for name, (value, order) in orderings.items():
-        placed = with_row_id(df, [order], "_place")
-        least = placed.groupBy(F.col(value).alias("_value")).agg(F.min("_place").cast("int").alias(name))
-        df = placed.join(least, F.col(value).eqNullSafe(F.col("_value"))).drop("_place", "_value")
+        counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+        placed = written(counts.repartitionByRange(order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id()), "ranks")
+        parts = placed.groupBy("_p").agg(F.sum("_n").alias("_t"))  # one row a partition
+        offsets = parts.withColumn("_off", F.coalesce(F.sum("_t").over(
+            Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_off")
+        inside = Window.partitionBy("_p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.col("_off") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+        ranks = placed.join(F.broadcast(offsets), "_p").select(F.col(value).alias("_value"), (before + 1).cast("int").alias(name))
+        df = df.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
     return df
 
 

@@ -67,7 +67,25 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a table in the shared folder: evaluated once, and safe from lost executors."""
+    """``df`` as a table in the shared folder: evaluated once, and safe from lost executors.
+
+    The table stays until :func:`release` is called."""
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the intermediate tables that :func:`written` made in this process so far; returns their number.
+
+    For the end of a job, when its results are written elsewhere: data frames that still read those tables break."""
+    conf, paths = spark.sparkContext._jsc.hadoopConfiguration(), list(_WRITTEN)
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+        _WRITTEN.remove(path)
+    return len(paths)

@@ -220,3 +220,23 @@ def test_save_model_saves_the_production_forest(spark, monkeypatch):
     forest = next(s for s in made[0].stages if hasattr(s, "getNumTrees")) if hasattr(made[0], "stages") else made[0]
     assert forest.getNumTrees == 100 and forest.getOrDefault("maxDepth") == 10
     assert row.trips == row.equal > 0
+
+
+def test_ranks_with_ties_and_many_nulls(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else float(i % 12), i % 2) for i in range(300)], "k int, x double, y int")
+    got = ts.rank_peers(df, {"by_x": ("x", F.col("x").desc_nulls_last()), "by_y": ("y", F.col("y").asc())})
+    xs = [r.x for r in df.collect()]
+    for r in got.collect():
+        above = sum(v is not None and (r.x is None or v > r.x) for v in xs)
+        assert r.by_x == above + 1 and r.by_y == (1 if r.y == 0 else 151)
+    assert got.count() == 300 and got.columns == ["k", "x", "y", "by_x", "by_y"]
+
+
+def test_release_deletes_intermediate_tables(spark, monkeypatch):
+    import os
+
+    from stratum import session
+    monkeypatch.setattr(session, "_WRITTEN", [])
+    session.written(spark.range(3), "to-release")
+    path = session._WRITTEN[0].removeprefix("file:")
+    assert os.path.isdir(path) and session.release(spark) == 1 and not os.path.exists(path) and session.release(spark) == 0
