@@ -1257,4 +1257,6 @@ def q_refresh(spark, d):
         "refresh_silver": "SELECT doc_id, document_type FROM refresh_bronze WHERE document_type <> 'Annual_Report'",
         "refresh_sizes": lambda s: s.table("refresh_bronze").select("doc_id", F.length("parsed_content").alias("chars")),
         "refresh_bronze": lambda s: ST.bronze(t.documents)})
+    if done["refresh_report"].status != "written":
+        raise RuntimeError(done["refresh_report"].error)
     return spark.read.parquet(done["refresh_report"].path)

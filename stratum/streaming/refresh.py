@@ -67,12 +67,13 @@ def _refresh(spark: SparkSession, steps: Mapping[str, Step], root: str, at_once:
     def attempt(name: str) -> str | None:
         """Runs a step; returns the name of a step that it misses."""
         step = steps[name]
+        there = {n for n, o in outcomes.items() if o.status == "written"}  # before the analysis: others may end during it
         try:
             df = spark.sql(step) if isinstance(step, str) else step(spark)
             df.schema  # noqa: B018 - analysed here at the latest
         except AnalysisException as e:
             read = of.get((_missing(e) or "").lower())
-            if read is None or outcomes[read].status == "written":
+            if read is None or read in there:
                 raise
             return read
         path = f"{root}/{name}"

@@ -2,8 +2,10 @@
 
 import math
 import threading
+import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stratum.operators import aggregate as A
@@ -50,6 +52,27 @@ def test_independent_steps_run_together(spark):
     assert all(o.status == "written" for o in refresh(spark, {"rf_one": step, "rf_two": step}).values())
 
 
+def test_a_step_that_ends_during_the_analysis_of_its_reader(spark):
+    """The reader misses the table, which is there by the time the miss is looked into: it is analysed again."""
+    missed = threading.Event()
+
+    def slow(s):
+        missed.wait(60)
+        return s.range(3).toDF("id")
+
+    def reader(s):
+        try:
+            return s.table("rf_slow")
+        except AnalysisException:
+            missed.set()
+            while not s.catalog.tableExists("rf_slow"):
+                time.sleep(0.1)
+            time.sleep(1)
+            raise
+    done = refresh(spark, {"rf_reader": reader, "rf_slow": slow})
+    assert {n: o.status for n, o in done.items()} == {"rf_reader": "written", "rf_slow": "written"} and done["rf_reader"].reads == ["rf_slow"]
+
+
 def test_quantiles_of_groups(spark):
     """Ties, NULLs, infinities, NULL groups, a group of NULLs, and a group with nearly all rows."""
     rows = [(None, float(i % 7)) for i in range(20)] + [("a", None), ("a", None), ("b", math.inf), ("b", 1.0), ("b", -math.inf), ("c", 4.5),
