@@ -78,18 +78,21 @@ def classify(text, labels: Mapping[str, Sequence[str]], tokenized: bool = False)
     share one tokenisation of the whole text."""
     toks = _c(text) if tokenized else tokens(text)
     names = list(labels)
-
-    def hits(kws: Sequence[str]) -> Column:
-        if not kws:
-            return F.lit(0)
-        arr = F.array(*[F.lit(k) for k in kws])
-        return F.size(F.filter(toks, lambda t: F.array_contains(arr, t)))
-    scores = [hits(kws) for kws in labels.values()]
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    out = F.when(best == 0, F.lit(names[-1]))
-    for n, s in zip(names, scores):
-        out = out.when(s == best, F.lit(n))
-    return out
+    keywords = sorted({k for kws in labels.values() for k in kws})
+    if not keywords:
+        return F.lit(names[-1])
+
+    def label(hits: Column) -> Column:
+        scores = [F.size(F.filter(hits, lambda t: t.isin(*kws))) if kws else F.lit(0) for kws in labels.values()]
+        best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+        out = F.when(best == 0, F.lit(names[-1]))
+        for n, s in zip(names, scores):
+            out = out.when(s == best, F.lit(n))
+        return out
+
+    # one pass over all tokens; the labels' counts then read the keywords among them
+    found = F.filter(F.coalesce(toks, F.array().cast("array<string>")), lambda t: t.isin(*keywords))
+    return F.element_at(F.transform(F.array(found), label), 1)
 
 
 def with_tokens(df: DataFrame, text: str, out: str = "_tokens") -> DataFrame:
