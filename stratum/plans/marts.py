@@ -136,18 +136,18 @@ def stock_summary(daily: DataFrame, registry: DataFrame, as_of: str = DEFAULT_AS
     valuation columns (ticker + any of VALUATION_COLS); otherwise NULL."""
     since = F.date_sub(F.lit(as_of).cast("date"), 365)
     recent, in_year = F.col("trade_date") >= since, F.col("trade_date") >= F.trunc(F.lit(as_of).cast("date"), "year")
-    w = Window.partitionBy("ticker").orderBy(F.col("trade_date").desc())
+    ten = Window.partitionBy("ticker").orderBy("trade_date").rowsBetween(-9, Window.currentRow)  # in the order ``daily`` has
     when = lambda cond, c: F.when(cond, F.col(c))
     # the windows of ``daily`` already lie by ticker: one aggregate, no further shuffle
-    last = F.max_by(F.struct("close_price", "trade_date", "sma_50", "sma_200"), "trade_date")
+    last = F.max_by(F.struct("close_price", "trade_date", "sma_50", "sma_200", "_volume"), "trade_date")
     first = F.min_by(when(recent & in_year, "close_price"), when(recent & in_year, "trade_date"))
     year_ago = (F.max_by if strict else F.min_by)(when(recent, "close_price"), when(recent, "trade_date"))
-    g = daily.withColumn("_rn", F.row_number().over(w)).groupBy("ticker").agg(
+    g = daily.withColumn("_volume", F.avg("volume").over(ten)).groupBy("ticker").agg(
         last.alias("_last"), F.min(when(recent, "close_price")).alias("fifty_two_week_low"),
         F.max(when(recent, "close_price")).alias("fifty_two_week_high"),
         (F.min_by(when(recent, "close_price"), when(recent, "trade_date")) if strict else first).alias("year_start_price"),
-        year_ago.alias("one_year_ago_price"), F.round(F.avg(when(F.col("_rn") <= 10, "volume")), 0).alias("avg_volume_10d"))
-    g = g.select("*", "_last.*").drop("_last")
+        year_ago.alias("one_year_ago_price"))
+    g = g.select("*", "_last.*", F.round("_last._volume", 0).alias("avg_volume_10d")).drop("_last", "_volume")
     j = g.join(registry.select("ticker", F.col("company_name").alias("_company")), "ticker", "left")
     if market is not None:
         j = j.join(market, "ticker", "left")
