@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from stratum.session import written
 
 MAX_TERMS = 1 << 16
+_EXACT = {"tinyint", "smallint", "int", "bigint", "boolean", "date", "timestamp", "timestamp_ntz", "string", "binary"}
 TERMS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 
 
@@ -66,12 +67,15 @@ def best_label(model: NaiveBayes, sums: Column) -> Column:
 
 def classify_texts(docs: DataFrame, model: NaiveBayes, text: str = "text", out: str = "label") -> DataFrame:
     """The rows of ``docs`` without ``text``, with the label in ``out`` and the number of known tokens in ``n_known``."""
-    rest = [c for c in docs.columns if c != text]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(f"`{text}`").alias("text"),
+    rest = [c for c in docs.schema.fields if c.name != text]
+    rows = docs.select(*[F.col(f"`{c.name}`").alias(f"_r{i}") for i, c in enumerate(rest)], F.col(f"`{text}`").alias("text"),
                        F.monotonically_increasing_id().alias("at"))
-    terms = rows.select("at", "row", F.explode_outer(terms_of(F.col("text"))).alias("term"))
+    # values that are equal only if they are the same go with the key: with them in the sums, Spark would sort all tokens
+    keys = [f"_r{i}" for i, c in enumerate(rest) if c.dataType.simpleString() in _EXACT]
+    held = [f"_r{i}" for i in range(len(rest)) if f"_r{i}" not in keys]
+    terms = rows.select("at", *keys, *held, F.explode_outer(terms_of(F.col("text"))).alias("term"))
     hits = terms.join(F.broadcast(model.terms), "term", "left")  # at most max_terms rows
     sums = [F.coalesce(F.sum(F.get("logs", F.lit(i))), F.lit(0.0)) for i in range(len(model.labels))]
-    told = hits.groupBy("at").agg(F.first("row").alias("row"), F.count("logs").alias("n_known"), F.array(*sums).alias("sums"))
+    told = hits.groupBy("at", *keys).agg(*[F.first(c).alias(c) for c in held], F.count("logs").alias("n_known"), F.array(*sums).alias("sums"))
     label = F.when((F.col("n_known") > 0) & F.lit(any(p is not None for p in model.priors)), best_label(model, F.col("sums")))
-    return told.select("row.*", F.coalesce(label, F.lit(model.labels[-1])).alias(out), "n_known")
+    return told.select(*[F.col(f"_r{i}").alias(c.name) for i, c in enumerate(rest)], F.coalesce(label, F.lit(model.labels[-1])).alias(out), "n_known")

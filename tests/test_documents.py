@@ -120,3 +120,12 @@ def test_held_out_accuracy(spark):
     for label in ("junk", "good"):
         of = [r for r in quality if r.label == label]
         assert sum(r.said == label for r in of) / len(of) > 0.8
+
+
+def test_tokens_are_summed_without_a_sort(spark):
+    model = By.fit_naive_bayes(spark.createDataFrame([("x y", "a"), ("z", "b")], "text string, label string"), ("a", "b"))
+    docs = spark.createDataFrame([(1, "x", "u", 0.0), (1, "x", "u", 0.0), (None, "z z", None, None)], "k bigint, text string, s string, d double")
+    got = By.classify_texts(docs, model)
+    assert sorted((r.k or 0, r.s, r.d, r.label, r.n_known) for r in got.collect())[1:] == [(1, "u", 0.0, "a", 1)] * 2
+    plan = By.classify_texts(docs.select("k", "s", "text"), model)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
