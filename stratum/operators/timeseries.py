@@ -46,7 +46,7 @@ def lag_return(df: DataFrame, key: Cols, order: Cols, price: str,
     return df.withColumn(out, F.round((F.col(price) - prev) / F.nullif(prev, F.lit(0)) * 100, scale))
 
 
-def moving_average(df: DataFrame, key: Cols, order: Cols, col: str, n: int,
+def moving_average(df: DataFrame, key: Cols, order: Cols, col: str, n: int | Sequence[int],
                    out: str | None = None, scale: int = 2,
                    exact_scale: int | None = None) -> DataFrame:
     """Average over ROWS n-1 PRECEDING .. CURRENT ROW, rounded to ``scale``.
@@ -54,21 +54,27 @@ def moving_average(df: DataFrame, key: Cols, order: Cols, col: str, n: int,
     Partial frames at the start are averaged over what exists. With
     ``exact_scale`` the input is read as DECIMAL(18, exact_scale) so the mean
     and its rounding are exact (money columns), instead of binary floating
-    point, whose ties round differently from engine to engine.
+    point, whose ties round differently from engine to engine. Several ``n`` give
+    a column ``sma_n`` each; exact ones share one running sum.
     """
     w = Window.partitionBy(*[_c(k) for k in key]).orderBy(*[_c(o) for o in order])
-    name = out or f"sma_{n}"
+    names = {n: out or f"sma_{n}"} if isinstance(n, int) else {x: f"sma_{x}" for x in n}
     if exact_scale is None:
-        return df.withColumn(name, F.round(F.avg(F.col(col)).over(w.rowsBetween(-(n - 1), Window.currentRow)), scale)
-                             .cast("double"))
+        for x, name in names.items():
+            mean = F.avg(F.col(col)).over(w.rowsBetween(-(x - 1), Window.currentRow))
+            df = df.withColumn(name, F.round(mean, scale).cast("double"))
+        return df
     # exact sums allow one running sum and a difference instead of n additions a row
     v = F.col(col).cast(f"decimal(18,{exact_scale})")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn("_sum", F.sum(v).over(running)).withColumn("_cnt", F.count(v).over(running))
-    total = F.col("_sum") - F.coalesce(F.lag("_sum", n).over(w), F.lit(0))
-    rows = F.col("_cnt") - F.coalesce(F.lag("_cnt", n).over(w), F.lit(0))
-    mean = total.cast(f"decimal(28,{exact_scale})") / F.nullif(rows, F.lit(0)).cast("decimal(9,0)")
-    return df.withColumn(name, F.round(mean, scale).cast("double")).drop("_sum", "_cnt")
+    df = df.withColumns({"_sum": F.sum(v).over(running), "_cnt": F.count(v).over(running)})
+    before = {f"_{c}_{x}": F.coalesce(F.lag(f"_{c}", x).over(w), F.lit(0)) for x in names for c in ("sum", "cnt")}
+    df = df.withColumns(before)
+
+    def mean(x: int) -> Column:
+        total, rows = F.col("_sum") - F.col(f"_sum_{x}"), F.col("_cnt") - F.col(f"_cnt_{x}")
+        return total.cast(f"decimal(28,{exact_scale})") / F.nullif(rows, F.lit(0)).cast("decimal(9,0)")
+    return df.withColumns({name: F.round(mean(x), scale).cast("double") for x, name in names.items()}).drop("_sum", "_cnt", *before)
 
 
 def rolling_stddev(df: DataFrame, key: Cols, order: Cols, col: str, n: int,

@@ -52,9 +52,7 @@ def q_lag_return(spark, d):
 
 @query("moving_average")
 def q_moving_average(spark, d):
-    out = _dedup(spark, d)
-    for n in (20, 50, 200):
-        out = ts.moving_average(out, ["ticker"], ["trade_date"], "close_price", n, exact_scale=2)
+    out = ts.moving_average(_dedup(spark, d), ["ticker"], ["trade_date"], "close_price", (20, 50, 200), exact_scale=2)
     return out.select("ticker", "trade_date", "sma_20", "sma_50", "sma_200")
 
 

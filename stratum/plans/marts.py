@@ -34,8 +34,7 @@ def daily_prices(raw: DataFrame, refresh: DataFrame | None = None,
     dedup = ts.keep_latest(merge_history(raw, refresh), ["ticker", "trade_date"], list(order))
     key, order_by = ["ticker"], ["trade_date"]
     out = ts.lag_return(dedup, key, order_by, "close_price", "daily_return_pct", 4)
-    for n in (20, 50, 200):
-        out = ts.moving_average(out, key, order_by, "close_price", n, f"sma_{n}", 2, exact_scale=2)
+    out = ts.moving_average(out, key, order_by, "close_price", (20, 50, 200), scale=2, exact_scale=2)
     out = ts.rolling_stddev(out, key, order_by, "daily_return_pct", 20, "volatility_20d", 4)
     return out.select("ticker", "trade_date", "open_price", "high_price", "low_price", "close_price",
                       F.col("close_price").alias("adj_close_price"), "volume", "dividends",
@@ -275,8 +274,13 @@ class Marts:
     def _company_financials(self):
         return company_financials(self._silver(), self["company_registry"])
 
+    def _daily(self) -> DataFrame:
+        """The prices for the summary: the written table if it is there, else their plan, whose windows already lie
+        by ticker, so the summary adds no shuffle."""
+        return self["stock_daily_prices"] if "stock_daily_prices" in self._made else self._stock_daily_prices()
+
     def _stock_summary(self):
-        return stock_summary(self["stock_daily_prices"], self["company_registry"], self.as_of,
+        return stock_summary(self._daily(), self["company_registry"], self.as_of,
                              market=fx.market(self.spark, self.sf_dir))
 
     def _revenue_by_segment(self):

@@ -240,3 +240,21 @@ def test_release_deletes_intermediate_tables(spark, monkeypatch):
     session.written(spark.range(3), "to-release")
     path = session._WRITTEN[0].removeprefix("file:")
     assert os.path.isdir(path) and session.release(spark) == 1 and not os.path.exists(path) and session.release(spark) == 0
+
+
+def test_several_moving_averages_share_one_running_sum(spark):
+    rows = [("a", i, None if i % 5 == 3 else i / 4) for i in range(30)] + [("b", 1, None), (None, 1, 2.5), (None, 2, 0.5)]
+    df = spark.createDataFrame(rows, "k string, d int, v double")
+    together = ts.moving_average(df, ["k"], ["d"], "v", (2, 7), exact_scale=2)
+    single = ts.moving_average(ts.moving_average(df, ["k"], ["d"], "v", 2, exact_scale=2), ["k"], ["d"], "v", 7, exact_scale=2)
+    assert sorted(map(repr, together.collect())) == sorted(map(repr, single.collect()))
+    assert together._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 2
+
+
+def test_summary_alone_writes_no_daily_prices(spark):
+    m = C.M.Marts(spark, SF_SMALL)
+    lazy = sorted(map(repr, m["stock_summary"].collect()))
+    assert "stock_daily_prices" not in m._made
+    n = C.M.Marts(spark, SF_SMALL)
+    n["stock_daily_prices"]
+    assert lazy == sorted(map(repr, n["stock_summary"].collect()))
