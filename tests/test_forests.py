@@ -74,3 +74,11 @@ def test_tip_training_reports_metrics_and_importance(models):
     assert abs(m["accuracy"] - sum(r.tip_category == r.prediction for r in rows) / len(rows)) < 1e-9 and 0 <= m["f1"] <= 1
     imp = {r.feature: r.importance for r in importance.collect()}
     assert set(imp) == {"fare_amount", *Mo.FEATURES} and abs(sum(imp.values()) - 1) < 1e-9
+
+
+def test_few_partitions_are_spread_over_the_cores(spark):
+    df = spark.range(1000).coalesce(1)
+    some = Mo.spread(df, rows=200)
+    assert some.rdd.getNumPartitions() == 5 and sorted(r.id for r in some.collect()) == list(range(1000))
+    assert Mo.spread(df, rows=10).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert Mo.spread(df).rdd.getNumPartitions() == 1
