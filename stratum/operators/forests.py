@@ -4,8 +4,8 @@ A fitted Spark ML forest is compiled into flat arrays over all nodes of all
 trees: feature, threshold, left, right, value, and the place of every root. A leaf
 points to itself, so a walk is a fold of fixed length over
 ``node -> features[feature[node]] <= threshold[node] ? left[node] : right[node]``,
-and scoring a row is a transform over the roots. The arrays enter the plan as one
-folded literal: no join, no Python worker, and the same expression is the body
+and scoring a row is a transform over the roots. The arrays enter the plan as
+folded literals: no join, no Python worker, and the same expression is the body
 of the SQL functions. Their size is bounded by the model's parameters (trees x
 2^(depth + 1)), not by any table.
 

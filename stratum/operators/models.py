@@ -180,11 +180,9 @@ def train_tip(trips: DataFrame, num_trees: int = 100, max_depth: int = 10, seed:
     names = ["fare_amount", *FEATURES]
     labelled = class_weights(tip_category(spread(trips)))
     train, test = stratified_split(labelled, "tip_category", seed=seed)
-    train = train.persist(StorageLevel.DISK_ONLY)  # the fit reads it several times
     rf = RandomForestClassifier(featuresCol="features", labelCol="tip_category", weightCol="weight",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed)
     model = Pipeline(stages=[_assembler(names), rf]).fit(train)
-    train.unpersist()
     pred = model.transform(test)
     ev = MulticlassClassificationEvaluator(labelCol="tip_category", predictionCol="prediction")
     known = written(pred.select("tip_category", "prediction"), "tip-predictions")
