@@ -31,7 +31,7 @@ def _c(x) -> Column:
 
 def tokens(text) -> Column:
     """Lower-cased letter/digit runs of the whole text (empty tokens dropped)."""
-    return F.filter(F.split(F.lower(_c(text)), TOKEN_SPLIT), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_c(text)), TOKEN_SPLIT), "")
 
 
 # --- J1 parse ------------------------------------------------------------------------------------

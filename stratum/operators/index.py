@@ -9,6 +9,8 @@ The index is a folder of segments. A segment holds the texts one sync brought:
 
 A sync compares the source with the live texts by key and fingerprint, writes a segment
 of what is new or changed, and a table of tombstones (segment, key) for what went or changed.
+A chunk's terms are counted where the chunk is; postings are shuffled once, in lists of equal
+term and count, and cut into blocks where they arrive. A sync reads its source twice.
 Beyond MERGE segments they are merged into one from their forward tables, without a look at the texts.
 A version of the index is one manifest row that names its tables; it is written last, so a sync
 that fails leaves the version before it in place, and a repeated sync finds nothing to do.
@@ -20,6 +22,11 @@ and scores candidates from the forward table. Its answers are those of ``documen
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,6 +41,89 @@ MERGE = 8    # segments beyond which a sync merges them
 _MANIFEST = "version int, segments array<int>, tombstones array<int>"
 
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _put(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def _term_counts(parts: DataFrame, key_type: str) -> DataFrame:
+    """(key, chunk_id, terms) of chunks (key, chunk_id, chunk): each chunk's terms with their numbers, counted where the chunk is."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = pc.dictionary_encode(batch.column(2).flatten())
+            chunk = pc.list_parent_indices(batch.column(2)).to_numpy().astype("int64")
+            width = max(len(words.dictionary), 1)
+            pairs, tf = np.unique(chunk * width + words.indices.to_numpy(), return_counts=True)
+            starts = np.searchsorted(pairs, np.arange(batch.num_rows + 1, dtype="int64") * width)
+            terms = pa.StructArray.from_arrays([words.dictionary.take(pa.array(pairs % width)), pa.array(tf, pa.int64())], ["term", "tf"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), terms)],
+                                             names=["key", "chunk_id", "terms"])
+
+    return parts.select("key", "chunk_id", tokens("chunk").alias("words")).mapInArrow(
+        run, f"key {key_type}, chunk_id int, terms array<struct<term: string, tf: bigint>>")
+
+
+def _cuts(new: np.ndarray, size: int) -> np.ndarray:
+    """Where pieces begin, and the end: at every true value (the first is one), and after ``size`` rows of a piece."""
+    at = np.arange(len(new))
+    return np.append(np.flatnonzero((at - np.maximum.accumulate(np.where(new, at, 0))) % size == 0), len(new))
+
+
+def _lists(block: int, together: int = 1 << 20) -> Batches:
+    """Chunks (key, chunk_id, terms) -> (term, tf, keys, chunk_ids): about ``together`` postings at a time meet by term and
+    count, ``block`` in a list at most, so that the shuffle carries a term once for many of its postings."""
+    def meet(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        key, chunk_id, terms = rows.columns
+        flat = terms.flatten()
+        words, tf = pc.dictionary_encode(flat.field("term")), flat.field("tf").to_numpy()
+        word = words.indices.to_numpy()
+        order = np.lexsort((-tf, word))
+        word, tf, row = word[order], tf[order], pc.list_parent_indices(terms).take(pa.array(order))
+        cuts = _cuts(np.append(True, (word[1:] != word[:-1]) | (tf[1:] != tf[:-1])), block)
+        offsets = pa.array(cuts, pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [words.dictionary.take(pa.array(word[cuts[:-1]])), pa.array(tf[cuts[:-1]]),
+             pa.ListArray.from_arrays(offsets, key.take(row)), pa.ListArray.from_arrays(offsets, chunk_id.take(row))],
+            names=["term", "tf", "keys", "chunk_ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            found = len(batch.column(2).flatten())
+            if found:
+                held.append(batch)
+                n += found
+            if n >= together:
+                yield meet(held)
+                held, n = [], 0
+        if held:
+            yield meet(held)
+    return run
+
+
+def _blocks(block: int) -> Batches:
+    """Lists in order of term and count -> (term, n, top, low, postings), ``block`` postings in a block at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            term, tf, keys, chunk_ids = batch.columns
+            row = pc.list_parent_indices(keys).to_numpy()
+            new = np.append(True, pc.not_equal(term[1:], term[:-1]).to_numpy(zero_copy_only=False))
+            first = np.append(True, row[1:] != row[:-1])  # of its list
+            cuts = _cuts(first & new[row], block)
+            counts = tf.to_numpy()[row]
+            postings = pa.StructArray.from_arrays([pa.array(counts), keys.flatten(), chunk_ids.flatten()], ["tf", "key", "chunk_id"])
+            yield pa.RecordBatch.from_arrays(
+                [term.take(pa.array(row[cuts[:-1]])), pa.array(np.diff(cuts), pa.int64()), pa.array(counts[cuts[:-1]]),
+                 pa.array(counts[cuts[1:] - 1]), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), postings)],
+                names=["term", "n", "top", "low", "postings"])
+    return run
+
+
 class TextIndex:
     """An index under ``path``; keys are unique in a source, of the type ``key_type``."""
 
@@ -87,24 +177,24 @@ class TextIndex:
 
     # --- J5
 
-    def _write_segment(self, n: int, docs: DataFrame, forward: DataFrame) -> None:
-        """A segment from (key, fingerprint, n_chunks) and (key, chunk_id, terms)."""
+    def _write_segment(self, n: int, docs: Callable[[DataFrame], DataFrame], forward: DataFrame) -> None:
+        """A segment from (key, chunk_id, terms) and what makes (key, fingerprint, n_chunks) of that table."""
         base, number = f"{self.path}/segment-{n}", F.lit(n).alias("segment")  # a failed sync may have left its own behind
-        docs.select("key", "fingerprint", "n_chunks", number).write.mode("overwrite").parquet(f"{base}/docs")
-        forward.select("key", "chunk_id", "terms", number).write.mode("overwrite").parquet(f"{base}/forward")
-        post = self.spark.read.parquet(f"{base}/forward").select(F.explode("terms").alias("t"), "key", "chunk_id")
-        post = ts.with_row_id(post.select("t.term", "t.tf", "key", "chunk_id"), ["term", F.desc("tf"), "key", "chunk_id"], "at")
-        entry = F.struct((-F.col("tf")).alias("o"), "key", "chunk_id", "tf")
-        blocks = post.groupBy("term", F.floor(F.col("at") / BLOCK).alias("block")).agg(
-            F.count("*").alias("n"), F.max("tf").alias("top"), F.min("tf").alias("low"), F.sort_array(F.collect_list(entry)).alias("p"))  # at most BLOCK
-        postings = F.transform("p", lambda x: F.struct(x["tf"].alias("tf"), x["key"].alias("key"), x["chunk_id"].alias("chunk_id")))
-        blocks.select("term", "n", "top", "low", postings.alias("postings"), number).sortWithinPartitions("term", F.desc("top")).write.mode("overwrite").parquet(f"{base}/blocks")
+        _put(forward.select("key", "chunk_id", "terms", number), f"{base}/forward")
+        forward = self._forward([n])
+        _put(docs(forward).select("key", "fingerprint", "n_chunks", number), f"{base}/docs")
+        lists = forward.select("key", "chunk_id", "terms").mapInArrow(
+            _lists(BLOCK), f"term string, tf bigint, keys array<{self.key_type}>, chunk_ids array<int>")
+        order = ["term", F.desc("tf"), F.col("keys")[0], F.col("chunk_ids")[0]]
+        blocks = lists.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+            _blocks(BLOCK), f"term string, n bigint, top bigint, low bigint, postings array<struct<tf: bigint, key: {self.key_type}, chunk_id: int>>")
+        _put(blocks.select("*", number), f"{base}/blocks")
 
     def sync(self, source: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """Brings the index to ``source`` (all current texts) and returns (status, n): added, changed, removed, kept."""
         version, segments, tombstones = self.manifest()
-        now = written(source.select(F.col(key).cast(self.key_type).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-                      .withColumn("fingerprint", F.md5("text")), "index-source")
+        texts = source.select(F.col(key).cast(self.key_type).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        now = written(texts.select("key", F.md5("text").alias("fingerprint")), "index-source")
         old = self.live().select("key", F.col("fingerprint").alias("before"), "segment")
         both = now.select("key", "fingerprint").join(old, "key", "full")
         status = (F.when(F.col("before").isNull(), "added").when(F.col("fingerprint").isNull(), "removed")
@@ -114,13 +204,23 @@ class TextIndex:
         did = {r["status"]: r["n"] for r in counts.collect()}  # at most four rows
         fresh, version = version, version + 1
         if did.get("added") or did.get("changed"):
-            new = written(now.join(both.where("status IN ('added', 'changed')").select("key"), "key", "left_semi"), "index-new")
-            parts = chunks(new, "key", "text")
-            terms = parts.select("key", "chunk_id", F.explode(tokens("chunk")).alias("term")).groupBy("key", "chunk_id", "term").agg(
-                F.count("*").alias("tf"))
-            forward = terms.groupBy("key", "chunk_id").agg(F.sort_array(F.collect_list(F.struct("term", "tf"))).alias("terms"))
-            n = parts.groupBy("key").agg(F.count("*").alias("n_chunks"))
-            docs = new.select("key", "fingerprint").join(n, "key", "left").withColumn("n_chunks", F.coalesce("n_chunks", F.lit(0).cast("bigint")))
+            fresh_keys = both.where("status IN ('added', 'changed')").select("key")
+            new = texts.join(fresh_keys, "key", "left_semi") if did.get("kept") else texts.where("key IS NOT NULL")
+            several = written(now.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "index-several")
+            forward, apart = _term_counts(chunks(new, "key", "text"), self.key_type), None
+            if not several.isEmpty():  # the chunks of a key's texts are one by their number
+                apart = chunks(new.join(several, "key", "left_semi"), "key", "text")
+                terms = _term_counts(apart, self.key_type).select("key", "chunk_id", F.explode("terms").alias("t"))
+                terms = terms.groupBy("key", "chunk_id", "t.term").agg(F.sum("t.tf").alias("tf"))
+                forward = forward.join(several, "key", "left_anti").unionByName(
+                    terms.groupBy("key", "chunk_id").agg(F.sort_array(F.collect_list(F.struct("term", "tf"))).alias("terms")))
+
+            def docs(forward: DataFrame) -> DataFrame:
+                rows = forward if apart is None else forward.join(several, "key", "left_anti").select("key").union(apart.select("key"))
+                n = rows.groupBy("key").agg(F.count("*").alias("n_chunks"))
+                return now.join(fresh_keys, "key", "left_semi").join(n, "key", "left").withColumn(
+                    "n_chunks", F.coalesce("n_chunks", F.lit(0).cast("bigint")))
+
             self._write_segment(version, docs, forward)
             segments = [*segments, version]
         if did.get("removed") or did.get("changed"):
@@ -135,7 +235,7 @@ class TextIndex:
 
     def _merged(self, n: int, segments: list[int], tombstones: list[int]) -> list[int]:
         dead = self._dead(tombstones)
-        self._write_segment(n, self._alive(self._docs(segments), dead), self._alive(self._forward(segments), dead))
+        self._write_segment(n, lambda _: self._alive(self._docs(segments), dead), self._alive(self._forward(segments), dead))
         return [n]
 
     # --- J6

@@ -83,3 +83,29 @@ def test_blocks_are_skipped_by_their_maxima(spark):
     tops = sorted(((b.top, b.postings[-1].tf) for b in blocks), reverse=True)
     assert all(b.top == b.postings[0].tf == max(p.tf for p in b.postings) for b in blocks)
     assert all(a[1] >= b[0] for a, b in zip(tops, tops[1:])), "blocks don't overlap"
+
+
+def test_postings_are_shuffled_once(spark):
+    """Terms are counted where a chunk is; what a segment shuffles is lists of many postings, not one row a posting."""
+    rows = [(i, " ".join(f"w{j % 5}" for j in range(i % 7))) for i in range(3000)]
+    parts = D.chunks(spark.createDataFrame(rows, "key long, text string").coalesce(1), "key", "text")
+    counts = Ix._term_counts(parts, "bigint")
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    found = {(r.key, t.term): t.tf for r in counts.collect() for t in r.terms}
+    assert found == {(i, f"w{k}"): sum(j % 5 == k for j in range(i % 7)) for i in range(3000) for k in range(min(5, i % 7))}
+    lists = counts.mapInArrow(Ix._lists(128), "term string, tf bigint, keys array<bigint>, chunk_ids array<int>").collect()
+    assert len(lists) < len(found) / 20 and all(len(r.chunk_ids) == len(r["keys"]) <= 128 for r in lists)
+    assert {(k, r.term): r.tf for r in lists for k in r["keys"]} == found and sum(len(r["keys"]) for r in lists) == len(found)
+
+
+def test_repeated_and_missing_keys(spark):
+    """The chunks of a key's texts are one by their number; a missing key is counted and not indexed."""
+    docs = spark.createDataFrame([(1, "a b"), (1, "a c\nd"), (2, "--"), (3, "a"), (None, "a")], "doc_id long, text string")
+    index = Ix.TextIndex(spark)
+    assert [(r.status, r.n) for r in index.sync(docs).collect()] == [("added", 5)]
+    segments = index.manifest()[1]
+    forward = {(r.key, r.chunk_id): {t.term: t.tf for t in r.terms} for r in index._forward(segments).collect() if r.terms}
+    assert forward == {(1, 0): {"a": 2, "b": 1, "c": 1}, (1, 1): {"d": 1}, (3, 0): {"a": 1}}
+    assert sorted((r.key, r.n_chunks) for r in index._docs(segments).collect()) == [(1, 3), (1, 3), (2, 1), (3, 1)]
+    postings = index._blocks(segments).select("term", F.explode("postings").alias("p")).select("term", "p.*").collect()
+    assert sorted(map(tuple, postings)) == [("a", 1, 3, 0), ("a", 2, 1, 0), ("b", 1, 1, 0), ("c", 1, 1, 0), ("d", 1, 1, 1)]
