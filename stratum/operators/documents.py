@@ -39,13 +39,17 @@ def tokens(text) -> Column:
 def html_text(html) -> Column:
     """J1 native path: drop script / style / comments, tags -> space,
     decode the five basic entities, collapse whitespace."""
-    s = F.regexp_replace(_c(html), r"(?s)<script\b.*?</script>", " ")
+    t = _c(html)
+    s = F.regexp_replace(t, r"(?s)<script\b.*?</script>", " ")
     s = F.regexp_replace(s, r"(?s)<style\b.*?</style>", " ")
     s = F.regexp_replace(s, r"(?s)<!--.*?-->", " ")
-    s = F.regexp_replace(s, r"<[^>]*>", " ")
+    s = F.when(F.contains(t, F.lit("<")), F.regexp_replace(s, r"<[^>]*>", " ")).otherwise(t)
+    plain = s
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return F.trim(F.regexp_replace(s, r"\s+", " "))
+        plain = F.replace(plain, F.lit(ent), F.lit(ch))
+    s = F.when(F.contains(t, F.lit("&")), plain).otherwise(s)
+    # a single space stays as it is
+    return F.trim(F.regexp_replace(s, r"[\t\n\x0B\f\r]\s*| \s+", " "))
 
 
 def html_title(html) -> Column:
@@ -123,6 +127,7 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 URL = r"https?://[^\s<>\"]+"
 LICENSE = r"(?i)(?:licen[cs]e[^\n]*)"
 YEAR = r"\b(?:19|20)[0-9]{2}\b"
+_IN_MATCHES = {EMAIL: "@", URL: "://"}  # what every match contains
 
 
 def extract(text, rules: Mapping[str, tuple[str, str]] | None = None) -> Column:
@@ -136,9 +141,16 @@ def extract(text, rules: Mapping[str, tuple[str, str]] | None = None) -> Column:
                       "first_year": ("first", YEAR), "n_years": ("count", YEAR), "has_license": ("flag", LICENSE)}
     fields = [F.nullif(F.trim(F.substring_index(t, "\n", 1)), F.lit("")).alias("title"),
               F.size(tokens(t)).alias("n_words")]
+    patterns = [p for _, p in rules.values()]
     for name, (kind, pat) in rules.items():
-        if kind == "all":
-            fields.append(F.regexp_extract_all(t, F.lit(pat), 0).alias(name))
+        found = F.regexp_extract_all(t, F.lit(pat), 0)
+        if kind != "all" and patterns.count(pat) > 1:  # one search for all rules of a pattern
+            out = {"first": F.nullif(F.get(found, F.lit(0)), F.lit("")), "count": F.size(found)}.get(kind, F.size(found) > 0)
+            fields.append(F.when(t.isNotNull(), out).alias(name))
+        elif kind == "all":
+            if pat in _IN_MATCHES:
+                found = F.when(~F.contains(t, F.lit(_IN_MATCHES[pat])), F.array().cast("array<string>")).otherwise(found)
+            fields.append(found.alias(name))
         elif kind == "first":
             fields.append(F.nullif(F.regexp_extract(t, pat, 0), F.lit("")).alias(name))
         elif kind == "count":
