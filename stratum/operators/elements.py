@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-z][a-z0-9]*)\b[^>]*>|[^<]+|<",
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-z][a-z0-9]*)\b[^>]*>|([^<]+|<)",
                     re.S | re.I)
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 # Element types by tag; other tags are inline.
@@ -42,9 +43,9 @@ _BREAKS = {"br", "hr", "img"}
 
 def walk(markup: str) -> tuple[list[tuple], list[tuple]]:
     """Elements (id, parent, depth, type, tag, text) and tables (id, header, rows) of one document."""
-    made = [[None, 0, "document", "", []]]  # parent, depth, type, tag, runs of text
+    made = [(None, 0, "document", "", [])]  # parent, depth, type, tag, runs of text
     stack = [0]
-    tables: dict[int, list[list[list[str]]]] = {}
+    tables: dict[int, list[list[tuple[int, list[str]]]]] = {}
     cells: list[tuple[int, list[str]]] = []  # open cells: element and the texts below it
 
     def say(text: str) -> None:
@@ -60,17 +61,17 @@ def walk(markup: str) -> tuple[list[tuple], list[tuple]]:
                 cells.pop()
         say(" ")
 
-    for m in _TOKEN.finditer(markup):
-        tag = (m.group(3) or "").lower()
-        if not tag:
-            if m.group(0)[0] != "<" or m.group(0) == "<":
-                say(entities.unescape(m.group(0)))
+    for _, end, name, run in _TOKEN.findall(markup):
+        if run:
+            say(entities.unescape(run) if "&" in run else run)
             continue
+        tag = name.lower()
         if tag in _BREAKS:
             say(" ")
-        if tag not in TYPES:
+        kind = TYPES.get(tag)
+        if kind is None:
             continue
-        if m.group(2):
+        if end:
             for i in range(len(stack) - 1, 0, -1):
                 if made[stack[i]][3] == tag:
                     close(i)
@@ -80,35 +81,59 @@ def walk(markup: str) -> tuple[list[tuple], list[tuple]]:
             continue
         if made[stack[-1]][3] == "p":
             close(len(stack) - 1)
-        same, stop = _ENDS.get(tag, ((), ()))
-        for i in range(len(stack) - 1, 0, -1):
-            if made[stack[i]][3] in stop:
-                break
-            if made[stack[i]][3] in same:
-                close(i)
-                break
+        if tag in _ENDS:
+            same, stop = _ENDS[tag]
+            for i in range(len(stack) - 1, 0, -1):
+                if made[stack[i]][3] in stop:
+                    break
+                if made[stack[i]][3] in same:
+                    close(i)
+                    break
         say(" ")
         at = len(made)
-        made.append([stack[-1], len(stack), TYPES[tag], tag, []])
+        made.append((stack[-1], len(stack), kind, tag, []))
         stack.append(at)
-        of = next((x for x in reversed(stack) if made[x][3] == "table"), None)
         if tag == "table":
             tables[at] = []
             cells.append((at, []))  # its texts are no part of a cell around it
-        elif tag == "tr" and of is not None:
-            tables[of].append([])
-        elif tag in ("td", "th") and of is not None:
+        elif tables and tag in ("tr", "td", "th"):
+            of = next((x for x in reversed(stack) if made[x][3] == "table"), None)
+            if of is None:
+                continue
+            if tag == "tr":
+                tables[of].append([])
+                continue
             if not tables[of]:
                 tables[of].append([])
             cells.append((at, []))
-            tables[of][-1].append(cells[-1][1])
+            tables[of][-1].append(cells[-1])
 
     def text(runs: list[str]) -> str:
-        return _SPACE.sub(" ", "".join(runs)).strip(" \t\n\r\f\v")
+        return b" ".join("".join(runs).encode().split()).decode()  # the white space of bytes is that of markup
+
+    elements = [(i, parent, depth, kind, tag, text(runs)) for i, (parent, depth, kind, tag, runs) in enumerate(made)]
+    # A cell without blocks has the text of its element.
+    grids = [(i, [[elements[at][5] if runs == made[at][4] else text(runs) for at, runs in row] for row in rows]) for i, rows in tables.items()]
+    return elements, [(i, rows[0] if rows else [], rows[1:]) for i, rows in grids]
+
+
+def _lists(found: Iterable[Sequence], make: Callable[[list], pa.Array]) -> pa.ListArray:
+    """One list per member, of the array that ``make`` gives for all their values in a row."""
+    found = list(found)
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, found))], pa.int32()), make(list(chain.from_iterable(found))))
+
+
+def _texts(lists: Iterable[Sequence[str]]) -> pa.ListArray:
+    return _lists(lists, lambda values: pa.array(values, pa.string()))
+
 
-    grids = [(i, [[text(c) for c in row] for row in rows]) for i, rows in tables.items()]
-    return ([(i, e[0], e[1], e[2], e[3], text(e[4])) for i, e in enumerate(made)],
-            [(i, rows[0] if rows else [], rows[1:]) for i, rows in grids])
+def _elements(rows: list[tuple]) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ELEMENT)], fields=list(_ELEMENT))
+
+
+def _tables(rows: list[tuple]) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array([t[0] for t in rows], pa.int32()), _texts(t[1] for t in rows),
+                                       _lists((t[2] for t in rows), _texts)], fields=list(_TABLE))
 
 
 _ELEMENT = pa.struct([("id", pa.int32()), ("parent", pa.int32()), ("depth", pa.int32()), ("type", pa.string()), ("tag", pa.string()),
@@ -123,15 +148,12 @@ def parse_elements(df: DataFrame, markup: str = "html", keep: Sequence[str] = ("
     kept = df.select(*[F.col(f"`{c}`") for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, types = [f.name for f in _ELEMENT], [f.name for f in _TABLE]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 found = [walk(t or "") for t in part.column(part.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([
-                    *part.columns[:-1],
-                    pa.array([[dict(zip(names, e)) for e in f[0]] for f in found], pa.list_(_ELEMENT)),
-                    pa.array([[dict(zip(types, t)) for t in f[1]] for f in found], pa.list_(_TABLE))],
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], _lists((f[0] for f in found), _elements), _lists((f[1] for f in found), _tables)],
                     names=[*keep, "elements", "tables"])
 
     parsed = kept.limit(0).select("*", F.lit(None).cast("int").alias("_")).schema.fields[:-1]
@@ -153,12 +175,17 @@ def _plain(label: str) -> str:
     return re.sub(r"[\W_]+", "_", label.lower()).strip("_")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _typed(value: Column, kind: str) -> Column:
     """A text as the schema's type; NULL where it is none."""
-    value = F.nullif(F.trim(value), F.lit(""))
+    value = _once(F.trim(value), lambda v: F.when(v != "", v))
     if kind in ("number", "integer"):
-        bare = F.regexp_replace(value, r"[$€£%,\s]", "")
-        signed = F.when(bare.rlike(r"^\(.*\)$"), F.concat(F.lit("-"), F.regexp_extract(bare, r"^\((.*)\)$", 1))).otherwise(bare)
+        bare = F.translate(value, "$€£%, \t\n\v\f\r", "")
+        signed = _once(bare, lambda b: F.when(b.startswith("(") & b.rlike(r"^\(.*\)$"), F.concat(
+            F.lit("-"), F.regexp_extract(b, r"^\((.*)\)$", 1))).otherwise(b))
         return signed.try_cast("double" if kind == "number" else "bigint")
     if kind == "boolean":
         word = F.lower(value)
@@ -168,14 +195,12 @@ def _typed(value: Column, kind: str) -> Column:
     return value
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def extract_schema(elements: Column | str, tables: Column | str, schema: Mapping) -> Column:
     """``{response: {...}}`` as VARIANT. ``schema`` is an object schema whose properties are string, number, integer
     or boolean, or arrays of objects of such; a property's ``title`` is its label if that is not its name."""
     elements, tables = (F.col(c) if isinstance(c, str) else c for c in (elements, tables))
+    if all(_plain(s.get("title", n)) for n, s in schema["properties"].items()):  # a label then has a name, and its element a colon
+        elements = F.filter(elements, lambda e: e["text"].contains(":") | e["text"].contains("："))
     pairs = F.transform(elements, lambda e: F.struct(_name(F.regexp_extract(e["text"], _PAIR, 1)).alias("name"),
                                                      F.regexp_extract(e["text"], _PAIR, 2).alias("value")))
     grids = F.transform(tables, lambda t: F.struct(F.transform(t["header"], _name).alias("header"), t["rows"].alias("rows")))
@@ -184,24 +209,24 @@ def extract_schema(elements: Column | str, tables: Column | str, schema: Mapping
         return F.lit(_plain(spec.get("title", name)))
 
     def scalar(x: Column, name: str, spec: Mapping) -> Column:
-        at = F.array_position(x["p"]["name"], label(name, spec)) - 1
-        return _typed(F.get(x["p"]["value"], at.cast("int")), spec["type"])
+        at = F.array_position(x["names"], label(name, spec)) - 1
+        return _typed(F.get(x["values"], at.cast("int")), spec["type"])
 
     def objects(x: Column, items: Mapping) -> Column:
         fits = F.filter(x["t"], lambda t: F.forall(F.array(*[label(n, s) for n, s in items.items()]),
                                                    lambda n: F.array_contains(t["header"], n)))
 
         def of(table: Column) -> Column:
-            return F.transform(table["rows"], lambda row: F.struct(*[
-                _typed(F.get(row, (F.array_position(table["header"], label(n, s)) - 1).cast("int")), s["type"]).alias(n)
-                for n, s in items.items()]))
+            places = F.struct(*[(F.array_position(table["header"], label(n, s)) - 1).cast("int").alias(n) for n, s in items.items()])
+            return _once(places, lambda at: F.transform(table["rows"], lambda row: F.struct(*[
+                _typed(F.get(row, at.getField(n)), s["type"]).alias(n) for n, s in items.items()])))
         return F.get(F.transform(F.slice(fits, 1, 1), of), 0)
 
     def response(x: Column) -> Column:
         return F.struct(*[(objects(x, s["items"]["properties"]) if s["type"] == "array" else scalar(x, n, s)).alias(n)
                           for n, s in schema["properties"].items()])
 
-    found = _once(F.struct(pairs.alias("p"), grids.alias("t")), response)
+    found = _once(_once(pairs, lambda p: F.struct(p["name"].alias("names"), p["value"].alias("values"), grids.alias("t"))), response)
     return F.parse_json(F.to_json(F.struct(found.alias("response"))))
 
 
@@ -222,4 +247,6 @@ FILING_SCHEMA = {"type": "object", "properties": {
 def silver_from_texts(filings: DataFrame) -> DataFrame:
     """The silver table from filing texts (file_name, company_key, document_type, industry_sector, html): J1, then J3."""
     keep = ["file_name", "company_key", "document_type", "industry_sector"]
+    # Few bytes of a filing take long to parse: by their bytes they came in one task per core and a straggler.
+    filings = filings.repartition(4 * filings.sparkSession.sparkContext.defaultParallelism, "file_name")
     return parse_elements(filings, "html", keep).select(*keep, extract_schema("elements", "tables", FILING_SCHEMA).alias("extracted_metrics"))

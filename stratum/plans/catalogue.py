@@ -837,13 +837,16 @@ def q_extract_schema(spark, d):
     props = El.FILING_SCHEMA["properties"]
     scalars = [F.variant_get("extracted_metrics", f"$.response.{n}", kinds[s["type"]]).alias(n) for n, s in props.items() if s["type"] != "array"]
 
+    def rows(name: str, first: str, second: str):
+        return F.variant_get("extracted_metrics", f"$.response.{name}", f"array<struct<{first}: string, {second}: double>>").alias(name)
+
     def sums(name: str, first: str, second: str):
-        rows = F.variant_get("extracted_metrics", f"$.response.{name}", f"array<struct<{first}: string, {second}: double>>")
-        total = F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, r: a + F.round(r[second] * 1e8).cast("bigint"))
-        return F.size(rows).cast("bigint").alias(f"n_{name}"), total.alias(f"cents_{name}"), F.array_join(
-            F.array_sort(F.transform(rows, lambda r: r[first])), "|").alias(f"names_{name}")
-    return m.select("file_name", *scalars, *sums("business_segments", "segment_name", "segment_revenue_billions"),
-                    *sums("geographic_revenue", "region", "region_revenue_billions"))
+        total = F.aggregate(name, F.lit(0).cast("bigint"), lambda a, r: a + F.round(r[second] * 1e8).cast("bigint"))
+        return F.size(name).cast("bigint").alias(f"n_{name}"), total.alias(f"cents_{name}"), F.array_join(
+            F.array_sort(F.transform(name, lambda r: r[first])), "|").alias(f"names_{name}")
+    arrays = [("business_segments", "segment_name", "segment_revenue_billions"), ("geographic_revenue", "region", "region_revenue_billions")]
+    read = m.select("file_name", *scalars, *[rows(*a) for a in arrays])
+    return read.select("file_name", *[F.col(n) for n, s in props.items() if s["type"] != "array"], *[c for a in arrays for c in sums(*a)])
 
 
 @query("financials_from_texts")
