@@ -62,8 +62,18 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _dec(c: str, p: int, s: int) -> Column:
-    return F.col(c).cast(T.DecimalType(p, s))
+def _hundredths(c: str, p: int) -> Column:
+    """A DOUBLE as DECIMAL(p, 2) in whole hundredths; only what is not exactly that many needs the decimal."""
+    x, n = F.col(c), F.rint(F.col(c) * 100)
+    exact = (F.abs(x) < float(10 ** (p - 2))) & (n / 100 == x)
+    return F.when(exact, n.cast("bigint")).otherwise((x.cast(T.DecimalType(p, 2)) * 100).cast("bigint"))
+
+
+def _total(units: Column, s: int) -> Column:
+    """Sum of whole units as DECIMAL with ``s`` places. Both halves of the bits are summed apart: no sum leaves a BIGINT."""
+    high, low = F.sum(F.shiftright(units, 32)), F.sum(units.bitwiseAND(F.lit(0xFFFFFFFF)))
+    whole = high.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+    return (whole.cast(T.DecimalType(32, 0)) * F.lit(10 ** -s).cast(T.DecimalType(s, s))).cast(T.DecimalType(28 + s, s))
 
 
 def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,12 +81,12 @@ def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     li = t.lineitem.select(
         "l_suppkey", F.year("l_shipdate").alias("fiscal_year"),
-        _dec("l_extendedprice", 12, 2).alias("p"),
-        _dec("l_discount", 4, 2).alias("d"), _dec("l_tax", 4, 2).alias("x"))
+        _hundredths("l_extendedprice", 12).alias("p"),
+        _hundredths("l_discount", 4).alias("d"), _hundredths("l_tax", 4).alias("x"))
     return (li.groupBy("l_suppkey", "fiscal_year").agg(
-        F.sum("p").alias("rev"),
-        F.sum(F.col("p") * (F.col("d") * 5 + F.lit(0.5).cast("decimal(2,1)"))).alias("cost"),
-        F.sum(F.col("p") * F.col("x")).alias("opex")))
+        _total(F.col("p"), 2).cast("decimal(22,2)").alias("rev"),
+        _total(F.col("p") * (F.col("d") * 5 + 50), 4).cast("decimal(30,4)").alias("cost"),
+        _total(F.col("p") * F.col("x"), 4).cast("decimal(27,4)").alias("opex")))
 
 
 def _bn(c: Column) -> Column:
@@ -171,9 +181,9 @@ def filing_texts(silver: DataFrame) -> DataFrame:
 def _segments(t: Tables) -> DataFrame:
     """Business segments per filing: revenue by part type (bounded: #types)."""
     li = t.lineitem.select("l_suppkey", "l_partkey", F.year("l_shipdate").alias("fiscal_year"),
-                           _dec("l_extendedprice", 12, 2).alias("p"))
+                           _hundredths("l_extendedprice", 12).alias("p"))
     by_type = (li.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-               .groupBy("l_suppkey", "fiscal_year", "p_type").agg(F.sum("p").alias("r")))
+               .groupBy("l_suppkey", "fiscal_year", "p_type").agg(_total(F.col("p"), 2).alias("r")))
     return by_type.groupBy("l_suppkey", "fiscal_year").agg(
         F.sort_array(F.collect_list(F.struct(
             F.col("p_type").alias("segment_name"),
@@ -183,14 +193,14 @@ def _segments(t: Tables) -> DataFrame:
 def _geography(t: Tables) -> DataFrame:
     """Geographic revenue per filing: revenue by the buying customer's region."""
     li = t.lineitem.select("l_suppkey", "l_orderkey", F.year("l_shipdate").alias("fiscal_year"),
-                           _dec("l_extendedprice", 12, 2).alias("p"))
+                           _hundredths("l_extendedprice", 12).alias("p"))
     cust_region = (t.customer.select("c_custkey", "c_nationkey")
                    .join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
                    .join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
                    .select("c_custkey", "r_name"))
     by_region = (li.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
                  .join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
-                 .groupBy("l_suppkey", "fiscal_year", "r_name").agg(F.sum("p").alias("r")))
+                 .groupBy("l_suppkey", "fiscal_year", "r_name").agg(_total(F.col("p"), 2).alias("r")))
     return by_region.groupBy("l_suppkey", "fiscal_year").agg(
         F.sort_array(F.collect_list(F.struct(
             F.col("r_name").alias("region"),
