@@ -1,10 +1,11 @@
 """Exact inner-product search: a ball tree per shard, searched by branch and bound.
 
 Every shard (a block of neighbouring vectors, of bounded size) is a ball tree.
-A query visits nodes in the order of their upper bound <q, centre> + |q| radius
-and stops when the next bound lies below its k-th best score.  That score is
+A query visits nodes whose upper bound <q, centre> + |q| radius reaches its k-th
+best score, within its own shard in the order of the bounds.  That score is
 shared: the query's own shard is searched first, its k-th score travels with the
-query to the other shards, and shards searched by one task hand it on.
+query to the other shards, and shards searched by one task hand it on.  There
+groups of queries go down a tree together, and leaves are matrix products.
 
 Defined cases: vectors that are null or hold null or non-finite components take
 no part, vectors of different lengths are not compared, a null vec_id is no
@@ -32,7 +33,10 @@ from stratum.llm.vectors import in_blocks, matrix, usable
 
 SHARD = 2048
 LEAF = 64
-QUERIES = 1024
+BAND = 8  # shards that one task searches in turn, at most
+BAND_BYTES = 1 << 24
+GROUP_BYTES = 1 << 22  # vectors of a group of queries
+TOGETHER = 1024  # queries that go down a tree together
 _EXACT = 2.0 ** 52
 _LONG = (1 << 63) - 1
 _NONE = _LONG  # stands for a null vec_id inside a shard
@@ -150,36 +154,98 @@ def _own(k: int, every: int):
     return run
 
 
+def search_many(tree: dict, q: np.ndarray, floors: np.ndarray, skips: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All rows that reach the floors of many queries (rows of q), as (place of the query, place of the row, score).
+
+    For queries whose scores are exact in doubles.  The queries go down the tree together: a leaf is multiplied
+    with those whose bounds reached their floors on the way.
+    """
+    m, rids = tree["m"], tree["rids"]
+    with np.errstate(over="ignore", invalid="ignore"):
+        slack = 1e-9 * (1 + float(np.abs(tree["centres"]).max(initial=0)) + tree["radii"].max(initial=0)) * (1 + np.abs(q).sum(1))
+        bounds = tree["centres"] @ q.T + np.outer(tree["radii"], np.sqrt(np.einsum("ij,ij->i", q, q))) + slack
+        bounds[~np.isfinite(bounds)] = math.inf
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    todo = [(0, np.arange(len(q)))]
+    while todo:
+        at, live = todo.pop()
+        live = live[bounds[at, live] >= floors[live]]
+        if not len(live):
+            continue
+        lo, hi, left, right = tree["nodes"][at]
+        if left >= 0:
+            todo += [(left, live), (right, live)]
+            continue
+        scores = m[lo:hi] @ q[live].T
+        row, of = np.nonzero(scores >= floors[live])
+        other = rids[lo + row] != skips[live[of]]
+        row, of = row[other], of[other]
+        out.append((live[of], lo + row, scores[row, of].astype(np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+
+def _best(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The k best (query, vec_id, score) of each query, and the rank of each from 0."""
+    of, ids, scores = (np.concatenate(x) for x in zip(*rows))
+    order = np.lexsort((ids, ~scores, of))
+    of, ids, scores = of[order], ids[order], scores[order]
+    rank = np.arange(len(of)) - np.searchsorted(of, of)
+    keep = rank < k
+    return of[keep], ids[keep], scores[keep], rank[keep]
+
+
+def _floor(scores: np.ndarray) -> np.ndarray:
+    """Whole scores as doubles that are not above them."""
+    x = scores.astype(np.float64)
+    return np.where(np.abs(x) < _EXACT, x, np.nextafter(x, -math.inf))
+
+
 def _others(k: int, scale: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared: dict[int, list[int]] = {}  # k best scores of the queries this task has met, bounded by one group of them
-        group, at, tree = None, None, {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["block"] != at:
-                    at, tree = row["block"], pickle.loads(row["tree"])
-                if row["part"] != group:
-                    group, shared = row["part"], {}
-                out = []
-                for x in row["queries"]:
-                    if x["block"] == at:
-                        continue
-                    own = shared.get(x["query"], [])
-                    floor = x["floor"] if x["floor"] is not None else -math.inf
-                    if len(own) == k:
-                        floor = max(floor, own[-1])
-                    raw = np.array(x["v"], np.float64)
-                    with np.errstate(over="ignore"):
-                        q = np.floor(raw * scale)
-                    best = search(tree, q, k, floor, x["query"], raw)
-                    if best:
-                        shared[x["query"]] = heapq.nlargest(k, own + [s for s, _, _ in best])
-                        out.append((x["query"], x["query_id"], best))
-                if out:
-                    yield _found(out)
+    def run(shards: pa.Table, asked: pa.Table) -> pa.Table:
+        """The k best rows of a run of shards for each query of a group."""
+        best = (np.zeros(0, np.int64),) * 3
+        query, query_id, block = (asked.column(c).combine_chunks().to_numpy() for c in ("query", "query_id", "block"))
+        if shards.num_rows and asked.num_rows:
+            raw = matrix(asked.column("v"), asked.column("dim")[0].as_py())
+            has = asked.column("floor").is_valid().to_numpy()
+            floors = np.where(has, _floor(asked.column("floor").combine_chunks().fill_null(0).to_numpy()), -math.inf)
+            with np.errstate(over="ignore", invalid="ignore"):
+                q = np.floor(raw * scale)
+                length = np.abs(q).sum(1)
+            for at, blob in zip(shards.column("block").to_pylist(), shards.column("tree")):
+                tree, rows = pickle.loads(blob.as_py()), [best]
+                with np.errstate(over="ignore", invalid="ignore"):
+                    exact = length * tree["largest"] < _EXACT
+                many = np.flatnonzero(exact & (block != at))
+                for i in range(0, len(many), TOGETHER):
+                    some = many[i:i + TOGETHER]
+                    of, row, scores = search_many(tree, q[some], floors[some], query[some])
+                    rows.append((some[of], tree["ids"][row], scores))
+                for i in np.flatnonzero(~exact & (block != at)):
+                    found = search(tree, q[i], k, float(floors[i]), int(query[i]), raw[i])
+                    rows.append((np.full(len(found), i), np.array([-v for _, v, _ in found], np.int64), np.array([s for s, _, _ in found], np.int64)))
+                *best, rank = _best(rows, k)
+                last = rank == k - 1
+                floors[best[0][last]] = np.maximum(floors[best[0][last]], _floor(best[2][last]))
+        of, ids, scores = best
+        return pa.table([pa.array(query[of]), pa.array(query_id[of]), pa.array(ids, mask=ids == _NONE), pa.array(scores)],
+                        names=["query", "query_id", "vec_id", "score"])
     return run
 
 
+def _deal(placed: DataFrame, every: int, shard: int) -> DataFrame:
+    """For each length of vector that is asked for: how many shards go to a task together (band), the first and the
+    last of those bands, and into how many groups (parts) its queries are dealt, all of bounded size."""
+    spark = placed.sparkSession
+    spans = placed.groupBy("dim").agg(F.min("block").alias("lo"), F.max("block").alias("hi"), F.count_if(F.col("vec_id") % every == 0).alias("n"))
+    rows = []
+    for r in spans.where("n > 0").collect():  # one row for each length of vector, as in in_blocks
+        size = 8 * max(1, r["dim"])
+        band = max(1, min(BAND, BAND_BYTES // (shard * size), (r["hi"] - r["lo"] + 1) // (4 * spark.sparkContext.defaultParallelism)))
+        rows.append((r["dim"], band, r["lo"] // band, r["hi"] // band, math.ceil(r["n"] * size / GROUP_BYTES)))
+    return spark.createDataFrame(rows, "dim int, band long, first long, last long, parts long")
+
+
 def top_k(vectors: DataFrame, k: int = 10, scale: float = 1024.0, every: int = 100, shard: int = SHARD) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each query, a row whose vec_id ``every`` divides.
 
@@ -187,20 +253,21 @@ def top_k(vectors: DataFrame, k: int = 10, scale: float = 1024.0, every: int = 1
     """
     rows = written(usable(vectors).withColumn("v", F.transform("v", lambda x: x.cast("double")))
                    .withColumn("id", F.monotonically_increasing_id()), "topk-rows")
-    placed, n = in_blocks(rows.select("id", "vec_id", "v", "dim"), shard, "topk-cells")
+    placed, _ = in_blocks(rows.select("id", "vec_id", "v", "dim"), shard, "topk-cells")
     placed = written(placed, "topk-placed")
     trees = written(placed.groupBy("block").applyInArrow(_shard(scale), "block long, dim int, tree binary"), "topk-trees")
     own = written(trees.mapInArrow(_own(k, every), _FOUND), "topk-own")
     floors = own.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
-    queries = placed.where(F.col("vec_id") % every == 0).join(floors, placed["id"] == floors["query"], "left").select(
+    queries = written(placed.where(F.col("vec_id") % every == 0).join(floors, placed["id"] == floors["query"], "left").select(
         F.col("id").alias("query"), F.col("vec_id").alias("query_id"), "v", "dim", "block",
-        F.when(F.col("n") >= k, F.col("floor").cast("double")).alias("floor"))
-    # whole groups of queries, each of bounded size, meet every shard of their length
-    parts = max(1, math.ceil(rows.where(F.col("vec_id") % every == 0).count() / QUERIES))
-    grouped = (queries.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)))
-               .groupBy("dim", "part").agg(F.collect_list(F.struct("query", "query_id", "v", "block", "floor")).alias("queries")))
-    meet = written(grouped, "topk-queries").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n - 1, 0)).cast("long"))))
-    pairs = meet.join(trees, ["block", "dim"]).select("block", "part", "tree", "queries")
-    found = own.union(pairs.sortWithinPartitions("part", "block").mapInArrow(_others(k, scale), _FOUND))
+        F.when(F.col("n") >= k, F.col("floor")).alias("floor")), "topk-queries")
+    # bands of shards meet groups of queries where both are shuffled to: copies of queries never pass the driver
+    deal = F.broadcast(_deal(placed, every, shard))
+    shards = trees.join(deal, "dim").select("dim", F.expr("block div band").alias("band"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"),
+                                            "block", "tree")
+    asked = queries.join(deal, "dim").select("dim", F.explode(F.sequence("first", "last")).alias("band"),
+                                             F.pmod(F.xxhash64("query"), "parts").alias("part"), "query", "query_id", "v", "block", "floor")
+    group = ["dim", "band", "part"]
+    found = own.union(shards.groupBy(*group).cogroup(asked.groupBy(*group)).applyInArrow(_others(k, scale), _FOUND))
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

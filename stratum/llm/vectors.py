@@ -49,7 +49,9 @@ def in_blocks(rows: DataFrame, size: int, purpose: str) -> tuple[DataFrame, int]
     wanted = min(PIVOTS, max(1, math.ceil(n / size)))
     names = rows.columns
     sample: dict[int, list] = {}
-    for r in rows.orderBy(F.xxhash64("id"), "id").select("dim", "v").limit(wanted).collect():
+    # ids first: a task sends the driver as many rows as are wanted in all
+    turn = {r["id"]: i for i, r in enumerate(rows.select("id").orderBy(F.xxhash64("id"), "id").limit(wanted).collect())}
+    for r in sorted(rows.where(F.col("id").isin([*turn])).select("id", "dim", "v").collect(), key=lambda r: turn[r["id"]]):
         sample.setdefault(r["dim"], []).append(list(r["v"]))
     pivots = {d: unit(np.array(x, np.float64).reshape(len(x), d)) for d, x in sample.items()}
 

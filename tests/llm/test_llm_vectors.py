@@ -1,5 +1,6 @@
 """Ops 4 and 7 against brute force."""
 
+import itertools
 import math
 from collections import Counter
 from fractions import Fraction
@@ -119,3 +120,38 @@ def test_tree_search_is_exact():
         want = sorted(((int(m[j] @ m[q]), -(j // 2), j) for j in range(700) if j != q), reverse=True)[:5]
         got = topk.search(tree, m[q], 5, -math.inf, q)
         assert [x[:2] for x in got] == [x[:2] for x in want]
+
+
+def test_tree_search_of_many_queries_is_exact():
+    rng = np.random.default_rng(6)
+    m = np.floor(np.concatenate([rng.standard_normal((400, 8)) * 50, np.repeat(rng.standard_normal((1, 8)) * 50, 300, 0)]))
+    tree = topk.build(m)
+    order = tree.pop("order")
+    tree |= {"m": m[order], "largest": float(np.abs(m).max()), "rids": order, "ids": order // 2}
+    asked = np.arange(0, 700, 25)
+    floors = np.array([sorted(m @ m[q])[-9] if q % 50 else -math.inf for q in asked])
+    of, row, scores = topk.search_many(tree, m[asked], floors, asked)
+    want = {(n, j, int(m[j] @ m[q])) for n, q in enumerate(asked) for j in range(700) if j != q and m[j] @ m[q] >= floors[n]}
+    assert len(of) == len(want) and set(zip(of.tolist(), tree["rids"][row].tolist(), scores.tolist())) == want
+
+
+def test_floors_are_not_above_their_scores():
+    for s in (0, -5, 2 ** 52, 2 ** 53 + 1, 2 ** 60 + 200, -2 ** 60 - 1, 2 ** 63 - 1, -2 ** 63):
+        assert Fraction(float(topk._floor(np.array([s]))[0])) <= s
+
+
+def test_top_k_of_many_bands_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(topk, "GROUP_BYTES", 256)
+    for band in (1, 3):
+        monkeypatch.setattr(topk, "BAND", band)
+        rows = vectors(2)
+        assert Counter(tuple(r) for r in topk.top_k(table(spark, rows), 10, shard=4).collect()) == brute_top(rows, 10, 100)
+
+
+def test_copies_of_queries_do_not_pass_the_driver(spark):
+    """The table of queries is small and its copies, one for each run of shards, are not: Spark must not broadcast them."""
+    plan = topk.top_k(table(spark, vectors()), 10, shard=8)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in plan]
+    sent = [y for i, x in enumerate(plan) if "BroadcastExchange" in x
+            for y, _ in itertools.takewhile(lambda z: z[1] > depth[i], zip(plan[i + 1:], depth[i + 1:]))]
+    assert any("Generate" in x for x in plan) and not any("Generate" in x for x in sent)
