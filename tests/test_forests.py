@@ -82,3 +82,40 @@ def test_few_partitions_are_spread_over_the_cores(spark):
     assert some.rdd.getNumPartitions() == 5 and sorted(r.id for r in some.collect()) == list(range(1000))
     assert Mo.spread(df, rows=10).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert Mo.spread(df).rdd.getNumPartitions() == 1
+
+
+def test_packed_forest_gives_the_models_scores(spark, trips, models):
+    f = Fo._packed(Fo.compile_forest(spark, models[0]))
+    assert len(set(f["tests"])) == len(f["tests"]) < len(f["child"]) and len(f["roots"]) == 7
+    for r in models[0].transform(trips.limit(100)).collect():
+        bits = [int(not r[Mo.FEATURES[i]] <= x) for i, x in f["tests"]] + [0]
+        total = 0.0
+        for node in f["roots"]:
+            for _ in range(f["depth"]):
+                node = f["child"][node] + bits[f["asks"][node]]
+            total += f["values"][0][node]
+        assert total / 7 == r.prediction
+
+
+def test_sql_functions_on_odd_features(spark, trips, models):
+    Fo.register_model_functions(spark, models[0], models[1][0])
+    odd = spark.createDataFrame([(x, 1, 2, 3, 0, 1, y) for x in (float("nan"), float("inf"), -float("inf"), -0.0) for y in (5.0, float("nan"), -1e300)],
+                                "trip_distance double, passenger_count int, hour_of_day int, day_of_week int, is_rush_hour int, is_weekend int, fare_amount double")
+    rows = models[0].transform(odd).withColumnRenamed("prediction", "fare_model").drop("features")
+    args = ", ".join(Mo.FEATURES)
+    rows = Mo.with_class_probs(models[1][0].transform(rows)).withColumn("f", F.expr(f"predict_taxi_fare({args})")).withColumn(
+        "c", F.expr(f"predict_tip_category(fare_amount, {args})"))
+    for r in rows.collect():
+        assert r.f == max(0.0, r.fare_model) and r.c == r.class_name
+
+
+def test_training_keeps_the_nodes_of_rows_and_the_forest(trips, models):
+    """The node that a row has reached in each tree is kept from level to level; the forest is that of walks from the roots."""
+    for model, label in ((models[0], "fare_amount"), (models[1][0], "tip_category")):
+        assert model.stages[-1].getCacheNodeIds() and model.stages[-1].getLabelCol() == label
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import RandomForestRegressor
+    plain = RandomForestRegressor(labelCol="fare_amount", numTrees=7, maxDepth=6, minInstancesPerNode=5, seed=42)
+    train = Mo.spread(trips).randomSplit([0.8, 0.2], seed=42)[0]
+    nodes = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in (models[0], Pipeline(stages=[Mo._assembler(), plain]).fit(train))]
+    assert nodes[0] == nodes[1]
